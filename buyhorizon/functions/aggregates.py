@@ -1,0 +1,64 @@
+"""Conditional per-user aggregates (the reference's helper family).
+
+Each helper takes a row predicate (the slice) and a value column and returns
+an aggregate Column for a ``groupBy(...).agg``. A user without rows in the
+slice gets null; count and sum give 0 only when the user has slice rows and
+all values are null (pandas semantics of group-then-left-join).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def rows(pred: Column) -> Column:
+    return F.count_if(pred)
+
+
+def guarded(pred: Column, agg: Column) -> Column:
+    return F.when(rows(pred) > 0, agg)
+
+
+def agg_count(pred: Column, c: Column) -> Column:
+    return guarded(pred, F.count(F.when(pred, c)))
+
+
+def agg_sum(pred: Column, c: Column) -> Column:
+    return guarded(pred, F.coalesce(F.sum(F.when(pred, c)), F.lit(0)))
+
+
+def agg_mean(pred: Column, c: Column) -> Column:
+    return F.avg(F.when(pred, c))
+
+
+def agg_min(pred: Column, c: Column) -> Column:
+    return F.min(F.when(pred, c))
+
+
+def agg_max(pred: Column, c: Column) -> Column:
+    return F.max(F.when(pred, c))
+
+
+def agg_std(pred: Column, c: Column) -> Column:
+    return F.stddev_samp(F.when(pred, c))
+
+
+def agg_median(pred: Column, c: Column) -> Column:
+    return F.median(F.when(pred, c))
+
+
+AGGREGATES = {
+    "count": agg_count,
+    "sum": agg_sum,
+    "mean": agg_mean,
+    "min": agg_min,
+    "max": agg_max,
+    "std": agg_std,
+    "median": agg_median,
+}
+
+
+def agg(kind: str, pred: Column, c: Column) -> Column:
+    """Registry lookup: the reference dispatches helpers by name."""
+    return AGGREGATES[kind](pred, c)
