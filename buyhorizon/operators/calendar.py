@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import midnight
+from ..functions import sqlexpr as X
 from ..spec import FeatureSpec
 
 
@@ -39,22 +39,26 @@ def anchors_array(anchors: list[tuple[int, dt.date]]):
                      for s, a in anchors])
 
 
+def anchors_sql(anchors: list[tuple[int, dt.date]]) -> str:
+    return "array(" + ", ".join(f"named_struct('slip', {int(s)}, 'anchor', {X.lit_date(a)})"
+                                for s, a in anchors) + ")"
+
+
 def explode_to_slips(df: DataFrame, ts_col: str, anchors: list[tuple[int, dt.date]],
                      lo_days: int, hi_days: int) -> DataFrame:
     """Pair each row with every slip whose window [anchor+lo, anchor+hi] (days,
     compared at midnight, closed) holds ``ts_col``. Adds ``slip``, ``anchor``
     and ``anchor_ts``. A row falls in at most len(anchors) slips."""
-    ts = F.col(ts_col)
     first = min(a for _, a in anchors) + dt.timedelta(days=lo_days)
     last = max(a for _, a in anchors) + dt.timedelta(days=hi_days)
     # outer bound first: a plain range predicate Catalyst pushes to the scan
-    pre = df.where((ts >= midnight(first)) & (ts <= midnight(last)))
-    hits = F.filter(anchors_array(anchors), lambda x: (ts >= midnight(F.date_add(x["anchor"], lo_days)))
-                    & (ts <= midnight(F.date_add(x["anchor"], hi_days))))
-    return (pre.withColumn("_slip", F.explode(hits))
-               .withColumns({"slip": F.col("_slip.slip"), "anchor": F.col("_slip.anchor")})
-               .drop("_slip")
-               .withColumn("anchor_ts", midnight(F.col("anchor"))))
+    pre = df.where(f"{ts_col} >= {X.midnight_of(first)} AND {ts_col} <= {X.midnight_of(last)}")
+    hit = (f"x -> {ts_col} >= CAST(date_add(x.anchor, {lo_days}) AS TIMESTAMP_NTZ) "
+           f"AND {ts_col} <= CAST(date_add(x.anchor, {hi_days}) AS TIMESTAMP_NTZ)")
+    cols = [c for c in pre.columns if c not in ("slip", "anchor", "anchor_ts")]
+    return (pre.selectExpr(*cols, f"explode(filter({anchors_sql(anchors)}, {hit})) AS _s")
+               .selectExpr(*cols, "_s.slip AS slip", "_s.anchor AS anchor",
+                           "CAST(_s.anchor AS TIMESTAMP_NTZ) AS anchor_ts"))
 
 
 def sample_facts(df: DataFrame, ts_col: str, spec: FeatureSpec, anchor: dt.date, window: int, slips=None) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BITS = 62
@@ -27,15 +27,15 @@ MAX_BITS = 62
 class DistinctRequest:
     out: str          # output column name
     value_key: str    # identifies the value expression (same key = same value)
-    value: Column     # value expression, cast to bigint
-    pred: Column      # row predicate
+    value: str        # value expression (SQL), cast to bigint
+    pred: str         # row predicate (SQL)
 
 
 def multi_distinct_counts(df: DataFrame, keys: list[str], requests: list[DistinctRequest]) -> DataFrame:
     """One row per key group with one count column per request (absent groups
     have no row; callers decide between null and 0)."""
     groups: dict[tuple[str, int], list[tuple[DistinctRequest, int]]] = {}
-    value_of: dict[tuple[str, int], Column] = {}
+    value_of: dict[tuple[str, int], str] = {}
     chunk_of: dict[str, int] = {}
     fill: dict[tuple[str, int], int] = {}
     for r in requests:
@@ -52,18 +52,18 @@ def multi_distinct_counts(df: DataFrame, keys: list[str], requests: list[Distinc
     vids = {g: i for i, g in enumerate(groups)}
     structs = []
     for g, members in groups.items():
-        mask = F.lit(0).cast("bigint")
-        for r, bit in members:
-            mask = mask + F.when(r.pred, F.lit(1 << bit).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-        structs.append(F.struct(F.lit(vids[g]).cast("int").alias("vid"),
-                                value_of[g].cast("bigint").alias("v"),
-                                mask.alias("m")))
-    exploded = (df.select(*keys, F.inline(F.array(*structs)))
-                  .where((F.col("m") != 0) & F.col("v").isNotNull()))
+        mask = " + ".join(f"CASE WHEN {r.pred} THEN {1 << bit} ELSE 0 END" for r, bit in members)
+        structs.append(f"named_struct('vid', {vids[g]}, 'v', CAST({value_of[g]} AS BIGINT), "
+                       f"'m', CAST({mask} AS BIGINT))")
+    exploded = (df.selectExpr(*keys, f"inline(array({', '.join(structs)}))")
+                  .where("m <> 0 AND v IS NOT NULL"))
     dedup = exploded.groupBy(*keys, "vid", "v").agg(F.bit_or("m").alias("m"))
-    counts = []
-    for g, members in groups.items():
-        for r, bit in members:
-            counts.append(F.count_if((F.col("vid") == vids[g])
-                                     & ((F.col("m").bitwiseAND(F.lit(1 << bit).cast("bigint"))) != 0)).alias(r.out))
-    return dedup.groupBy(*keys).agg(*counts)
+    counts = [f"count_if(vid = {vids[g]} AND (m & {1 << bit}) <> 0) AS {r.out}"
+              for g, members in groups.items() for r, bit in members]
+    return _agg_sql(dedup, keys, counts)
+
+
+def _agg_sql(df: DataFrame, keys: list[str], aggs: list[str]) -> DataFrame:
+    """GROUP BY keys with aggregate expressions given as SQL text."""
+    k = ", ".join(keys)
+    return df.sparkSession.sql(f"SELECT {k}, {', '.join(aggs)} FROM {{t}} GROUP BY {k}", t=df)

@@ -19,19 +19,22 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import aggregates as A
-from ..functions.columns import capped_ratio, day_gap, in_date_ranges, midnight, ratio
-from ..functions.slices import slice_names, slice_pred, type_pred
+from pyspark.sql import DataFrame
+
+from ..functions import sqlexpr as X
+from ..functions.slices import slice_names
 from ..operators.calendar import explode_to_slips
-from ..operators.distinct import DistinctRequest, multi_distinct_counts
+from ..operators.distinct import DistinctRequest, _agg_sql, multi_distinct_counts
 from ..spec import FeatureSpec
 from .catalogue import BY_KEY, CATALOGUE, FAMILY_SOURCE, SOURCE_TS, FeatureRow
 
 KEYS = ["slip", "user_id"]
 GAP_BITS = 21  # day gaps inside a window are < 2**21
+# one grouped pass per source (window flags inside the aggregates) instead of
+# one pass per (source, window)
+SINGLE_PASS = True
 
 # tie-break order of "latest row" per source (the attributes follow)
 LAST_ORDER_KEYS = {
@@ -40,19 +43,45 @@ LAST_ORDER_KEYS = {
     "action": ("a_date", "a_type", "sku_id", "a_num"),
 }
 
-VALUE_EXPR = {
-    "month_order": lambda: F.month("o_date"),
-}
+VALUE_SQL = {"month_order": "month(o_date)"}
+TS_COLUMNS = ("o_date", "a_date", "comment_create_tm")
+
+
+def _value(col: str) -> str:
+    return VALUE_SQL.get(col, col)
 
 
-def _value(col: str) -> Column:
-    return VALUE_EXPR[col]() if col in VALUE_EXPR else F.col(col)
+def _distinct_value(col: str) -> str:
+    if col in TS_COLUMNS:
+        return f"unix_micros(CAST({col} AS TIMESTAMP))"
+    return f"CAST({_value(col)} AS BIGINT)"
 
 
-def _distinct_value(col: str) -> Column:
-    if col in ("o_date", "a_date", "comment_create_tm"):
-        return F.unix_micros(F.col(col).cast("timestamp"))
-    return _value(col).cast("bigint")
+def _flag(kind: str, v) -> str:
+    return f"_{kind}_{v}"
+
+
+def prepare(df: DataFrame, src: str, spec: FeatureSpec) -> DataFrame:
+    """Per-row flags and values shared by many aggregates, computed once:
+    slice, type, window and promo flags, the gap to the anchor, the
+    comment delay and the weekend flag."""
+    ts = SOURCE_TS[src]
+    cols = {f"_s_{s}": X.slice_sql(spec.target_cates, s) for s in slice_names(spec, "targets")}
+    for s in slice_names(spec, "4")[2:]:
+        cols[f"_s_{s}"] = X.slice_sql(spec.target_cates, s)
+    if src == "action":
+        cols["_t_look"] = X.type_sql(spec, "look")
+        cols["_t_star"] = X.type_sql(spec, "star")
+    for w in spec.windows:
+        if w != spec.max_window:
+            cols[f"_w_{w}"] = f"{ts} >= CAST(date_add(anchor, {-w}) AS TIMESTAMP_NTZ)"
+    cols["_promo"] = X.in_date_ranges(ts, spec.promo_days)
+    cols["_gap"] = X.day_gap("anchor_ts", ts)
+    cols["_weekend"] = f"coalesce(weekday({ts}) IN (5, 6), false)"
+    if src in ("order", "comment"):
+        cols["_delay"] = X.day_gap("comment_create_tm", "o_date")
+    keep = [c for c in df.columns if c not in cols]
+    return df.selectExpr(*keep, *[f"{v} AS {k}" for k, v in cols.items()])
 
 
 def select_windows(spec: FeatureSpec, sel: str) -> list[int]:
@@ -71,45 +100,60 @@ def _slices(spec: FeatureSpec, kind: str) -> list[str]:
 
 @dataclass
 class Compiled:
-    plain: dict = field(default_factory=dict)      # (source, w) -> {sig: (name, Column)}
+    plain: dict = field(default_factory=dict)      # (source, w) -> {sig: (name, sql)}
     distinct: dict = field(default_factory=dict)   # source -> {sig: (name, DistinctRequest, w)}
-    outputs: list = field(default_factory=list)    # [(name, Column)]
+    outputs: list = field(default_factory=list)    # [(name, sql over helper columns)]
     _n: int = 0
 
     def _name(self) -> str:
         self._n += 1
         return f"_h{self._n}"
 
-    def plain_agg(self, source: str, w: int, sig: tuple, expr_fn) -> Column:
-        d = self.plain.setdefault((source, w), {})
+    def plain_agg(self, source: str, w: int, sig: tuple, sql: str) -> str:
+        d = self.plain.setdefault((source, None if SINGLE_PASS else w), {})
+        sig = (w,) + sig
         if sig not in d:
-            d[sig] = (self._name(), expr_fn())
-        return F.col(d[sig][0])
+            d[sig] = (self._name(), sql)
+        return d[sig][0]
 
-    def distinct_count(self, source: str, w: int, col: str, pred: Column, sig: tuple) -> Column:
+    def distinct_count(self, source: str, w: int, col: str, pred: str, sig: tuple) -> str:
         d = self.distinct.setdefault(source, {})
         key = (w, col) + sig
         if key not in d:
             name = self._name()
             d[key] = (name, DistinctRequest(name, col, _distinct_value(col), pred), w)
-        return F.col(d[key][0])
+        return d[key][0]
 
 
 class FeatureCompiler:
     def __init__(self, spec: FeatureSpec):
         self.spec = spec
         self.c = Compiled()
-
-    # ---- helpers -------------------------------------------------------
-    def _pred(self, s: str, t) -> Column:
-        return slice_pred(self.spec, s) & type_pred(self.spec, t)
-
-    def _rows(self, src, w, s, t, extra=None, extra_sig=()):
-        pred = self._pred(s, t) if extra is None else (self._pred(s, t) & extra)
-        return self.c.plain_agg(src, w, ("rows", s, t) + extra_sig, lambda: A.rows(pred))
-
-    def _promo(self, src: str) -> Column:
-        return in_date_ranges(F.col(SOURCE_TS[src]), self.spec.promo_days)
+        self._win = ""
+
+    def _pred(self, s: str, t) -> str:
+        flags = [_flag("s", s)] if s != "all" else []
+        if t is not None:
+            flags.append(_flag("t", t))
+        if self._win:
+            flags.append(self._win)
+        return " AND ".join(flags) or "true"
+
+    def _rows(self, src, w, s, t, extra=None, extra_sig=()) -> str:
+        pred = self._pred(s, t) if extra is None else X.and_(self._pred(s, t), extra)
+        return self.c.plain_agg(src, w, ("rows", s, t) + extra_sig, X.rows(pred))
+
+    def _promo(self, src: str) -> str:
+        return "_promo"
+
+    def _in_w(self, w: int) -> str:
+        # grouped stages read the widest window; each aggregate is narrowed to
+        # its own window by a flag column
+        return "" if w == self.spec.max_window else _flag("w", w)
+
+    def _out(self, name: str, sql: str) -> str:
+        self.c.outputs.append((name, sql))
+        return name
 
     # ---- compile one catalogue row -------------------------------------
     def add(self, row: FeatureRow) -> list[str]:
@@ -119,115 +163,93 @@ class FeatureCompiler:
         names = []
         for w in select_windows(spec, row.windows):
             prefix = f"{row.family}_{w}slip_"
+            self._win = self._in_w(w) if SINGLE_PASS else ""
             for t in row.types:
                 for s in _slices(spec, row.slices):
                     pred = self._pred(s, t)
                     fmt = dict(col=row.col, s=s)
+                    name = prefix + row.pattern.format(agg="{agg}", attr="{attr}", **fmt)
                     k = row.kind
                     if k in ("agg", "gap", "delay"):
+                        if k == "agg":
+                            val = _value(row.col)
+                        elif k == "gap":
+                            val = "_gap"
+                        else:
+                            val = "_delay"
                         for a in row.aggs:
-                            if k == "agg":
-                                val = _value(row.col)
-                            elif k == "gap":
-                                val = day_gap(F.col("anchor_ts"), F.col(row.col))
-                            else:
-                                val = day_gap(F.col("comment_create_tm"), F.col("o_date"))
-                            ref = c.plain_agg(src, w, (k, row.col, a, s, t),
-                                              lambda a=a, pred=pred, val=val: A.agg(a, pred, val))
-                            names.append(self._out(prefix + row.pattern.format(agg=a, **fmt), ref))
+                            ref = c.plain_agg(src, w, (k, row.col, a, s, t), X.agg(a, pred, val))
+                            names.append(self._out(name.format(agg=a), ref))
                     elif k == "nunique":
                         rows = self._rows(src, w, s, t)
-                        ref = c.distinct_count(src, w, row.col, pred & self._in_w(w), ("n", s, t))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(rows > 0, F.coalesce(ref, F.lit(0)))))
+                        ref = c.distinct_count(src, w, row.col, X.and_(pred, self._in_w(w)), ("n", s, t))
+                        names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN coalesce({ref}, 0) END"))
                     elif k == "share_count":
                         rows = self._rows(src, w, s, t)
-                        num = c.plain_agg(src, w, ("cnt", row.col, s, t),
-                                          lambda pred=pred: F.count(F.when(pred, F.col(row.col))))
+                        num = c.plain_agg(src, w, ("cnt", row.col, s, t), f"count({X.when(pred, row.col)})")
                         den = c.plain_agg(src, w, ("cnt", row.col, "all", t),
-                                          lambda: F.count(F.col(row.col)))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(rows > 0, ratio(num, den))))
+                                          f"count({X.when(self._pred('all', t), row.col)})")
+                        names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN {X.ratio(num, den)} END"))
                     elif k == "share_nunique":
                         rows = self._rows(src, w, s, t)
-                        num = c.distinct_count(src, w, row.col, pred & self._in_w(w), ("n", s, t))
-                        den = c.distinct_count(src, w, row.col, self._pred("all", t) & self._in_w(w),
+                        num = c.distinct_count(src, w, row.col, X.and_(pred, self._in_w(w)), ("n", s, t))
+                        den = c.distinct_count(src, w, row.col, X.and_(self._pred("all", t), self._in_w(w)),
                                                ("n", "all", t))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(rows > 0, ratio(F.coalesce(num, F.lit(0)), den))))
+                        names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN "
+                                                     f"{X.ratio(f'coalesce({num}, 0)', den)} END"))
                     elif k == "last":
                         keys = LAST_ORDER_KEYS[src]
-                        st = c.plain_agg(src, w, ("last", s, t), lambda pred=pred, keys=keys: F.max(F.when(
-                            pred, F.struct(*[F.col(x).alias(f"k_{x}") for x in keys],
-                                           *[F.col(x).alias(f"v_{x}") for x in row.attrs]))))
+                        fields = ", ".join([f"'k_{x}', {x}" for x in keys] + [f"'v_{x}', {x}" for x in row.attrs])
+                        st = c.plain_agg(src, w, ("last", s, t), f"max({X.when(pred, f'named_struct({fields})')})")
                         for a in row.attrs:
-                            names.append(self._out(prefix + row.pattern.format(attr=a, **fmt),
-                                                   st.getField(f"v_{a}")))
+                            names.append(self._out(name.format(attr=a), f"{st}.v_{a}"))
                     elif k == "last_promo":
-                        mx = c.plain_agg(src, w, ("maxts", s, t), lambda pred=pred: F.max(F.when(pred, F.col(ts))))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(mx.isNotNull(),
-                                                      in_date_ranges(mx, spec.promo_days).cast("int"))))
+                        mx = c.plain_agg(src, w, ("maxts", s, t), f"max({X.when(pred, ts)})")
+                        names.append(self._out(name, f"CASE WHEN {mx} IS NOT NULL THEN "
+                                                     f"CAST({X.in_date_ranges(mx, spec.promo_days)} AS INT) END"))
                     elif k == "max_measure":
-                        gap = day_gap(F.col("anchor_ts"), F.col(ts))
-                        m = F.col(row.col)
-                        enc = c.plain_agg(src, w, ("maxenc", row.col, s, t), lambda pred=pred, gap=gap, m=m: F.max(
-                            F.when(pred & m.isNotNull(), m.cast("bigint") * F.lit(1 << GAP_BITS) + gap)))
-                        gmax = c.plain_agg(src, w, ("gap", ts, "max", s, t),
-                                           lambda pred=pred, gap=gap: A.agg("max", pred, gap))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.coalesce(F.pmod(enc, F.lit(1 << GAP_BITS)), gmax)))
+                        gap = "_gap"
+                        enc = c.plain_agg(src, w, ("maxenc", row.col, s, t), "max(" + X.when(
+                            X.and_(pred, f"{row.col} IS NOT NULL"),
+                            f"CAST({row.col} AS BIGINT) * {1 << GAP_BITS} + {gap}") + ")")
+                        gmax = c.plain_agg(src, w, ("gap", ts, "max", s, t), X.agg("max", pred, gap))
+                        names.append(self._out(name, f"coalesce(pmod({enc}, {1 << GAP_BITS}), {gmax})"))
                     elif k == "weekend":
-                        wk = self._rows(src, w, s, t, F.weekday(F.col(ts)).isin(5, 6), ("weekend",))
-                        n = c.plain_agg(src, w, ("cnt", ts, s, t), lambda pred=pred: F.count(F.when(pred, F.col(ts))))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(wk > 0, ratio(wk, n))))
+                        wk = self._rows(src, w, s, t, "_weekend", ("weekend",))
+                        n = c.plain_agg(src, w, ("cnt", ts, s, t), f"count({X.when(pred, ts)})")
+                        names.append(self._out(name, f"CASE WHEN {wk} > 0 THEN {X.ratio(wk, n)} END"))
                     elif k == "poor":
-                        bad = self._rows(src, w, s, t, F.col(row.col) == spec.poor_score, ("poor",))
-                        n = c.plain_agg(src, w, ("cnt", row.col, s, t),
-                                        lambda pred=pred: F.count(F.when(pred, F.col(row.col))))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(bad > 0, ratio(bad, n))))
+                        bad = self._rows(src, w, s, t, f"{row.col} = {spec.poor_score}", ("poor",))
+                        n = c.plain_agg(src, w, ("cnt", row.col, s, t), f"count({X.when(pred, row.col)})")
+                        names.append(self._out(name, f"CASE WHEN {bad} > 0 THEN {X.ratio(bad, n)} END"))
                     elif k == "promo_nunique":
                         promo = self._promo(src)
                         prow = self._rows(src, w, s, t, promo, ("promo",))
-                        num = c.distinct_count(src, w, row.col, pred & promo & self._in_w(w), ("np", s, t))
-                        den = c.distinct_count(src, w, row.col, pred & self._in_w(w), ("n", s, t))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(prow > 0, ratio(F.coalesce(num, F.lit(0)), den))))
+                        num = c.distinct_count(src, w, row.col, X.and_(pred, promo, self._in_w(w)), ("np", s, t))
+                        den = c.distinct_count(src, w, row.col, X.and_(pred, self._in_w(w)), ("n", s, t))
+                        names.append(self._out(name, f"CASE WHEN {prow} > 0 THEN "
+                                                     f"{X.ratio(f'coalesce({num}, 0)', den)} END"))
                     elif k == "promo_sum":
                         promo = self._promo(src)
                         prow = self._rows(src, w, s, t, promo, ("promo",))
                         num = c.plain_agg(src, w, ("sum", row.col, s, t, "promo"),
-                                          lambda pred=pred, promo=promo: F.sum(F.when(pred & promo, F.col(row.col))))
-                        den = c.plain_agg(src, w, ("sum", row.col, s, t),
-                                          lambda pred=pred: F.sum(F.when(pred, F.col(row.col))))
-                        names.append(self._out(prefix + row.pattern.format(**fmt),
-                                               F.when(prow > 0, ratio(F.coalesce(num, F.lit(0)),
-                                                                      F.coalesce(den, F.lit(0))))))
+                                          f"sum({X.when(X.and_(pred, promo), row.col)})")
+                        den = c.plain_agg(src, w, ("sum", row.col, s, t), f"sum({X.when(pred, row.col)})")
+                        names.append(self._out(name, f"CASE WHEN {prow} > 0 THEN "
+                                                     f"{X.ratio(f'coalesce({num}, 0)', f'coalesce({den}, 0)')} END"))
                     elif k == "conversion":
-                        opred = slice_pred(spec, s)
+                        opred = _flag("s", s) if s != "all" else "true"
                         orows = self._rows("order", w, s, None)
-                        od = c.distinct_count("order", w, "o_id", opred & self._in_w(w, "order"), ("n", s, None))
+                        od = c.distinct_count("order", w, "o_id", X.and_(opred, self._in_w(w)), ("n", s, None))
                         arows = self._rows("action", w, s, t)
-                        asum = c.plain_agg("action", w, ("sum", "a_num", s, t),
-                                           lambda pred=pred: F.sum(F.when(pred, F.col("a_num"))))
-                        names.append(self._out(prefix + row.pattern.format(**fmt), F.when(
-                            (orows > 0) & (arows > 0),
-                            capped_ratio(F.coalesce(od, F.lit(0)), F.coalesce(asum, F.lit(0))))))
+                        asum = c.plain_agg("action", w, ("sum", "a_num", s, t), f"sum({X.when(pred, 'a_num')})")
+                        names.append(self._out(name, f"CASE WHEN {orows} > 0 AND {arows} > 0 THEN "
+                                                     f"{X.capped_ratio(f'coalesce({od}, 0)', f'coalesce({asum}, 0)')}"
+                                                     f" END"))
                     else:
                         raise ValueError(k)
         return names
 
-    def _in_w(self, w: int, src: str | None = None) -> Column:
-        # distinct stages read the widest window; ``_ts`` is the timestamp of
-        # the stage's source, so each request is narrowed to its own window
-        return F.col("_ts") >= midnight(F.date_add(F.col("anchor"), -w))
-
-    def _out(self, name: str, expr: Column) -> str:
-        self.c.outputs.append((name, expr))
-        return name
-
 
 def compile_rows(spec: FeatureSpec, rows) -> tuple[Compiled, list[str]]:
     fc = FeatureCompiler(spec)
@@ -242,19 +264,18 @@ def run_compiled(c: Compiled, facts: dict[str, DataFrame], spine: DataFrame, spe
     """Execute: grouped sides joined onto the spine, then the named outputs."""
     anchors = spec.anchors(anchor, slips)
     sides = []
-    for (src, w), aggs in sorted(c.plain.items(), key=lambda kv: (kv[0][0], kv[0][1])):
-        data = explode_to_slips(facts[src], SOURCE_TS[src], anchors, -w, -1)
-        sides.append(data.groupBy(*KEYS).agg(*[e.alias(n) for n, e in aggs.values()]))
+    for (src, w), aggs in sorted(c.plain.items(), key=lambda kv: (kv[0][0], kv[0][1] or 0)):
+        data = prepare(explode_to_slips(facts[src], SOURCE_TS[src], anchors, -(w or spec.max_window), -1),
+                       src, spec)
+        sides.append(_agg_sql(data, KEYS, [f"{sql} AS {n}" for n, sql in aggs.values()]))
     for src, reqs in sorted(c.distinct.items()):
         wmax = max(w for _, _, w in reqs.values())
-        data = explode_to_slips(facts[src], SOURCE_TS[src], anchors, -wmax, -1) \
-            .withColumn("_ts", F.col(SOURCE_TS[src]))
+        data = prepare(explode_to_slips(facts[src], SOURCE_TS[src], anchors, -wmax, -1), src, spec)
         sides.append(multi_distinct_counts(data, KEYS, [r for _, r, _ in reqs.values()]))
     out = spine
     for side in sides:
         out = out.join(side, KEYS, "left")
-    spine_cols = [x for x in spine.columns]
-    return out.select(*spine_cols, *[e.alias(n) for n, e in c.outputs])
+    return out.selectExpr(*spine.columns, *[f"{sql} AS `{n}`" for n, sql in c.outputs])
 
 
 def build_features(facts: dict[str, DataFrame], spine: DataFrame, spec: FeatureSpec, anchor: dt.date,

@@ -25,7 +25,7 @@ def build_session(master: str | None = None, app: str = "buyhorizon",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SQL_DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
