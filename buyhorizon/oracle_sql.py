@@ -83,8 +83,8 @@ def big(x: str) -> str:
 class OracleBuilder:
     """Builds one SELECT per feature key: per-window CTEs + final projection."""
 
-    def __init__(self, spec: FeatureSpec, anchor: dt.date):
-        self.spec, self.anchor = spec, anchor
+    def __init__(self, spec: FeatureSpec, anchor: dt.date, prefix: str = ""):
+        self.spec, self.anchor, self.prefix = spec, anchor, prefix
         self.ctes: dict[str, tuple[str, list[str]]] = {}   # name -> (from/where, [agg AS col])
         self.extra: list[str] = []                          # extra CTE text
         self.joins: list[str] = []
@@ -92,7 +92,7 @@ class OracleBuilder:
         self.n = 0
 
     def _win_cte(self, src: str, w: int) -> str:
-        name = f"{src[0]}w{w}"
+        name = f"{self.prefix}{src[0]}w{w}"
         if name not in self.ctes:
             ts = SRC_TS[src]
             lo = self.anchor - dt.timedelta(days=w)
@@ -112,7 +112,7 @@ class OracleBuilder:
     def ranked(self, src: str, w: int, pred: str, order: list[str], cols: list[str]) -> str:
         """A CTE with the first row per user under ``order`` among rows matching pred."""
         self.n += 1
-        name = f"r{self.n}"
+        name = f"{self.prefix}r{self.n}"
         ts = SRC_TS[src]
         lo = self.anchor - dt.timedelta(days=w)
         hi = self.anchor - dt.timedelta(days=1)
@@ -204,12 +204,65 @@ class OracleBuilder:
                     else:
                         raise ValueError(k)
 
-    def sql(self) -> str:
+    def parts(self, lead: list[str] | None = None, extra_joins: list[str] | None = None) -> tuple[list[str], str]:
         ctes = [f"{n} AS (SELECT user_id, {', '.join(aggs)} {frm} GROUP BY user_id)"
                 for n, (frm, aggs) in self.ctes.items()]
-        body = "SELECT u.user_id AS user_id, " + ", ".join(self.outputs) + " FROM f_user u " + " ".join(
-            f"LEFT JOIN {j} ON {j}.user_id = u.user_id" for j in self.joins)
-        return with_fixtures(body, ",\n".join(ctes + self.extra))
+        cols = (lead or ["u.user_id AS user_id"]) + self.outputs
+        body = "SELECT " + ", ".join(cols) + " FROM f_user u " + " ".join(
+            f"LEFT JOIN {j} ON {j}.user_id = u.user_id" for j in self.joins + (extra_joins or []))
+        return ctes + self.extra, body
+
+    def sql(self) -> str:
+        ctes, body = self.parts()
+        return with_fixtures(body, ",\n".join(ctes))
+
+
+def label_cte(spec: FeatureSpec, anchor: dt.date, name: str) -> str:
+    hi = anchor + dt.timedelta(days=spec.label_window)
+    return (f"{name} AS (SELECT user_id, count(DISTINCT o_id) AS buy, min(o_date) AS first FROM ocus "
+            f"WHERE o_date >= {ts_lit(anchor)} AND o_date <= {ts_lit(hi)} AND {slice_sql(spec, '_'.join(str(c) for c in spec.target_cates))} "
+            f"GROUP BY user_id)")
+
+
+def label_cols(spec: FeatureSpec, anchor: dt.date, name: str, is_training: bool = True) -> list[str]:
+    t = "_".join(str(c) for c in spec.target_cates)
+    if not is_training:
+        return [f"CAST(-1 AS BIGINT) AS label_{t}_BuyNums", f"CAST(-1 AS BIGINT) AS label_{t}_IntervalDay"]
+    return [f"CAST(coalesce({name}.buy, 0) AS BIGINT) AS label_{t}_BuyNums",
+            f"CAST(coalesce({gap_sql(name + '.first', ts_lit(anchor))}, {spec.no_buy_day}) AS BIGINT) "
+            f"AS label_{t}_IntervalDay"]
+
+
+def onehot_cols(spec: FeatureSpec) -> list[str]:
+    out = []
+    for c in ("sex", "user_lv_cd", "age"):
+        for v in spec.onehot_vocab[c]:
+            out.append(f"CAST(CASE WHEN u.{c} = {v} THEN 1 ELSE 0 END AS BIGINT) AS {c}_{v}")
+    return out
+
+
+def table_sql(spec: FeatureSpec, keys, anchor: dt.date, slips, labels: bool = True, is_training: bool = True,
+              onehot: bool = False, slip_col: bool = True) -> str:
+    """Union over slips of spine [+ labels] + features [+ one-hot]."""
+    all_ctes, bodies = [], []
+    for s, a in spec.anchors(anchor, slips):
+        b = OracleBuilder(spec, a, prefix=f"s{s}_")
+        for k in keys:
+            b.add(BY_KEY[k])
+        lead = ([f"CAST({s} AS BIGINT) AS slip"] if slip_col else []) + ["u.user_id AS user_id"]
+        joins = []
+        if labels:
+            ln = f"s{s}_lab"
+            if is_training:
+                all_ctes.append(label_cte(spec, a, ln))
+                joins.append(ln)
+            lead += label_cols(spec, a, ln, is_training)
+        ctes, body = b.parts(lead, joins)
+        if onehot:
+            body = body.replace(" FROM f_user u ", ", " + ", ".join(onehot_cols(spec)) + " FROM f_user u ", 1)
+        all_ctes += ctes
+        bodies.append(body)
+    return with_fixtures("\nUNION ALL\n".join(bodies), ",\n".join(all_ctes))
 
 
 def feature_key_sql(spec: FeatureSpec, key: str, anchor: dt.date | None = None) -> str:

@@ -60,3 +60,859 @@ def _feature_query(key: str):
 
 for _row in CATALOGUE:
     register(_row.key, O.feature_key_sql(SPEC, _row.key))(_feature_query(_row.key))
+
+
+# =============================================================================
+# Everything else in SURVEY §2. Helpers first.
+# =============================================================================
+
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions import columns as C  # noqa: E402
+from .functions import sqlexpr as X  # noqa: E402
+from .operators import ranking as RK  # noqa: E402
+from .operators.calendar import explode_to_slips, slip_calendar  # noqa: E402
+from .operators.enrich import join_action_enriched, join_order_enriched, join_order_sku  # noqa: E402
+from .plans import analysis as AN  # noqa: E402
+from .plans import cleaning as CL  # noqa: E402
+from .plans import labels as LB  # noqa: E402
+from .plans import score as SC  # noqa: E402
+from .plans import training as TR  # noqa: E402
+from .plans.catalogue import FAMILY_KEYS  # noqa: E402
+from .plans.features import feature_names  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sources import io as IO  # noqa: E402
+
+A = SPEC.train_anchor
+LO = A - _dt.timedelta(days=SPEC.max_window)
+HI = A - _dt.timedelta(days=1)
+TA = SPEC.test_anchor
+BUY, DAY = "label_30_101_BuyNums", "label_30_101_IntervalDay"
+TGT = "coalesce(cate IN (30, 101), FALSE)"
+W = f"o_date >= {O.ts_lit(LO)} AND o_date <= {O.ts_lit(HI)}"
+WA = f"a_date >= {O.ts_lit(LO)} AND a_date <= {O.ts_lit(HI)}"
+WC = f"comment_create_tm >= {O.ts_lit(LO)} AND comment_create_tm <= {O.ts_lit(HI)}"
+
+
+def _t(spark, sf, clean=True):
+    return load_fixture_tables(spark, sf, clean)
+
+
+def _in_window(df, col, lo=LO, hi=HI):
+    return df.where(f"{col} >= {X.midnight_of(lo)} AND {col} <= {X.midnight_of(hi)}")
+
+
+def _q(sql_body: str, ctes: str = "") -> str:
+    return O.with_fixtures(sql_body, ctes)
+
+
+def _reuse(key: str, source: str):
+    register(key, ORACLES.get(source))(QUERIES[source])
+
+
+def _promo_sql(ts, ranges):
+    return O.promo_sql(ts, ranges)
+
+
+# ---- §2.1 sources and sinks -------------------------------------------------
+
+@register("scan_static", _q("SELECT sku_id, round(price, 6) AS price, cate, para_1, para_2, para_3 FROM f_sku_raw"))
+def q_scan_static(spark, sf):
+    path = scratch_path(spark, f"scan_static_{_uuid.uuid4().hex}")
+    IO.write_csv(_t(spark, sf, clean=False).sku, path)
+    return normalize(IO.scan_static(spark, path, "sku"))
+
+
+@register("scan_dated", _q("SELECT *, year(o_date) AS year, month(o_date) AS month, day(o_date) AS day FROM f_order"))
+def q_scan_dated(spark, sf):
+    path = scratch_path(spark, f"scan_dated_{_uuid.uuid4().hex}")
+    IO.write_csv(_t(spark, sf).order, path)
+    return normalize(IO.scan_dated(spark, path, "order"))
+
+
+_SFT_KEYS = ["oc_orders_nunique"]
+
+
+@register("sink_feature_table", O.table_sql(SPEC, _SFT_KEYS, A, SPEC.slips, onehot=True))
+def q_sink_feature_table(spark, sf):
+    path = scratch_path(spark, f"features_{_uuid.uuid4().hex}")
+    IO.sink_feature_table(TR.build_training_table(_t(spark, sf), SPEC, keys=_SFT_KEYS), path)
+    return normalize(IO.scan_feature_table(spark, path))
+
+
+_reuse("scan_feature_tables", "sink_feature_table")
+
+_BASELINE_SQL = f"""
+bl_o AS (SELECT user_id, count(DISTINCT o_id) AS n, max(o_date) AS last FROM ocus
+  WHERE o_date >= {O.ts_lit(TA - _dt.timedelta(days=180))} AND o_date <= {O.ts_lit(TA - _dt.timedelta(days=1))}
+  AND {TGT} GROUP BY user_id),
+bl AS (SELECT u.user_id, CAST(coalesce(n, 0) AS DOUBLE) AS {BUY},
+  coalesce(CAST(({O.gap_sql(O.ts_lit(TA), 'last')} % 31 + 31) % 31 AS DOUBLE) + 0.3, 15.0) AS {DAY}
+  FROM f_user u LEFT JOIN bl_o ON bl_o.user_id = u.user_id),
+topk AS (SELECT user_id, {BUY}, {DAY},
+  CAST(DATE '{TA}' + CAST(trunc({DAY} + ({SPEC.day_offset})) AS INTEGER) AS DATE) AS pred_date
+  FROM bl ORDER BY {BUY} DESC, user_id ASC LIMIT {SPEC.top_k}),
+truth AS (SELECT user_id, min(o_date) AS o_date FROM ocus WHERE CAST(o_date AS DATE) BETWEEN DATE '{SPEC.truth_start}'
+  AND DATE '{SPEC.truth_end}' AND {TGT} GROUP BY user_id),
+ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {BUY} DESC, user_id ASC) AS idx FROM topk),
+pairs AS (SELECT r.user_id, r.idx, 1.0 / (1.0 + ln(r.idx)) AS wi, day(r.pred_date) AS pred_day,
+  coalesce(day(t.o_date), 0) AS real_day, CASE WHEN t.user_id IS NULL THEN 0 ELSE 1 END AS oi
+  FROM ranked r LEFT JOIN truth t ON t.user_id = r.user_id),
+scores AS (SELECT sum(oi * wi) / sum(wi) AS s1,
+  coalesce(sum(CASE WHEN oi = 1 THEN 10.0 / (10.0 + pow(pred_day - real_day, 2)) END), 0)
+   / (SELECT count(*) FROM truth) AS s2 FROM pairs)
+"""
+
+
+def _baseline(spark, sf):
+    t = _t(spark, sf)
+    return t, SC.baseline_predictions(t, SPEC, TA)
+
+
+def _topk(spark, sf):
+    t, pred = _baseline(spark, sf)
+    return t, SC.topk_users(pred, SPEC, TA)
+
+
+@register("sink_submission", _q("SELECT user_id, pred_date FROM topk", _BASELINE_SQL))
+def q_sink_submission(spark, sf):
+    _, top = _topk(spark, sf)
+    path = scratch_path(spark, f"submission_{_uuid.uuid4().hex}")
+    IO.sink_submission(top, path)
+    return normalize(IO.scan_prediction(spark, path))
+
+
+_reuse("scan_prediction", "sink_submission")
+
+
+# ---- §2.2 projections, filters, predicates ------------------------------------
+
+register("null_sentinel", _q("SELECT sku_id, round(price, 6) AS price, cate, para_1, para_2, para_3 FROM f_sku"))(
+    lambda spark, sf: normalize(_t(spark, sf).sku))
+
+_ORDER_ROW = "user_id, o_id, sku_id, o_date, comment_create_tm, score_level, cate"
+
+
+@register("filter_window_orders", _q(f"SELECT {_ORDER_ROW} FROM ocus WHERE {W}"))
+def q_filter_window_orders(spark, sf):
+    return normalize(_in_window(join_order_enriched(_t(spark, sf)), "o_date").selectExpr(*_ORDER_ROW.split(", ")))
+
+
+@register("filter_window_comments", _q(f"SELECT {_ORDER_ROW} FROM ocus WHERE {WC}"))
+def q_filter_window_comments(spark, sf):
+    return normalize(_in_window(join_order_enriched(_t(spark, sf)), "comment_create_tm")
+                     .selectExpr(*_ORDER_ROW.split(", ")))
+
+
+_ACTION_ROW = "user_id, sku_id, a_date, a_num, a_type, cate"
+
+
+@register("filter_window_actions", _q(f"SELECT {_ACTION_ROW} FROM aus WHERE {WA}"))
+def q_filter_window_actions(spark, sf):
+    return normalize(_in_window(join_action_enriched(_t(spark, sf)), "a_date").selectExpr(*_ACTION_ROW.split(", ")))
+
+
+_SLICES5 = ["all", "30_101", "30", "101", "other"]
+
+
+@register("slice_category", _q(" UNION ALL ".join(
+    f"SELECT '{s}' AS slice, count(*) AS rows, count(DISTINCT user_id) AS users FROM ocus WHERE {W} AND "
+    f"{O.slice_sql(SPEC, s)}" for s in _SLICES5)))
+def q_slice_category(spark, sf):
+    o = _in_window(join_order_enriched(_t(spark, sf)), "o_date")
+    tags = F.filter(F.array(*[F.lit(s) for s in _SLICES5]),
+                    lambda x: F.coalesce(
+                        (x == "all") | ((x == "30_101") & F.col("cate").isin(30, 101)) | ((x == "30") & (F.col("cate") == 30))
+                        | ((x == "101") & (F.col("cate") == 101))
+                        | ((x == "other") & ~F.coalesce(F.col("cate").isin(30, 101), F.lit(False))), F.lit(False)))
+    return normalize(o.withColumn("slice", F.explode(tags)).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users")))
+
+
+@register("slice_action_type", _q(
+    f"SELECT CASE a_type WHEN {SPEC.look_type} THEN 'look' WHEN {SPEC.star_type} THEN 'star' ELSE 'other' END AS kind, "
+    f"count(*) AS rows, sum(a_num) AS a_num FROM aus WHERE {WA} GROUP BY 1"))
+def q_slice_action_type(spark, sf):
+    a = _in_window(join_action_enriched(_t(spark, sf)), "a_date")
+    kind = (F.when(F.col("a_type") == SPEC.look_type, "look").when(F.col("a_type") == SPEC.star_type, "star")
+            .otherwise("other"))
+    return normalize(a.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"), F.sum("a_num").alias("a_num")))
+
+
+@register("filter_promo_days", _q(f"SELECT user_id, o_id, sku_id, o_date FROM f_order WHERE "
+                                  f"{_promo_sql('o_date', SPEC.promo_days)}"))
+def q_filter_promo_days(spark, sf):
+    o = _t(spark, sf).order
+    return normalize(o.where(C.in_date_ranges(F.col("o_date"), SPEC.promo_days)).select("user_id", "o_id", "sku_id", "o_date"))
+
+
+@register("filter_not_promo", _q(f"SELECT user_id, o_id, sku_id, o_date FROM f_order WHERE NOT coalesce("
+                                 f"{_promo_sql('o_date', SPEC.cleaning_promo_days)}, FALSE)"))
+def q_filter_not_promo(spark, sf):
+    o = _t(spark, sf).order
+    return normalize(o.where(~C.in_date_ranges(F.col("o_date"), SPEC.cleaning_promo_days))
+                     .select("user_id", "o_id", "sku_id", "o_date"))
+
+
+@register("filter_month", _q(f"SELECT o.user_id, o.o_id, o.sku_id, o.o_date, s.cate FROM f_order o LEFT JOIN f_sku s "
+                             f"ON o.sku_id = s.sku_id WHERE CAST(o.o_date AS DATE) BETWEEN DATE '{SPEC.truth_start}' "
+                             f"AND DATE '{SPEC.truth_end}'"))
+def q_filter_month(spark, sf):
+    t = _t(spark, sf)
+    o = join_order_sku(t.order, t.sku).where(F.to_date("o_date").between(F.lit(SPEC.truth_start), F.lit(SPEC.truth_end)))
+    return normalize(o.select("user_id", "o_id", "sku_id", "o_date", "cate"))
+
+
+@register("filter_interval", _q(f"SELECT user_id, o_id, sku_id, o_date FROM f_order WHERE o_date >= "
+                                f"TIMESTAMP '{SPEC.repurchase_start}' AND o_date <= TIMESTAMP '{SPEC.repurchase_end}'"))
+def q_filter_interval(spark, sf):
+    o = _t(spark, sf).order
+    return normalize(o.where((F.col("o_date") >= F.lit(SPEC.repurchase_start)) & (F.col("o_date") <= F.lit(SPEC.repurchase_end)))
+                     .select("user_id", "o_id", "sku_id", "o_date"))
+
+
+_LABELS_ALL = O.table_sql(SPEC, [], A, SPEC.slips)
+
+
+def _labels(spark, sf):
+    t = _t(spark, sf)
+    from .operators.calendar import sample_spine
+    spine = sample_spine(t.user.select("user_id"), SPEC, A, list(SPEC.slips))
+    return LB.attach_labels(spine, join_order_enriched(t), SPEC, A, True, list(SPEC.slips)).drop("anchor")
+
+
+register("drop_columns", _LABELS_ALL)(lambda spark, sf: normalize(_labels(spark, sf)))
+
+
+@register("filter_buyers_only", f"SELECT * FROM ({_LABELS_ALL}) q WHERE {DAY} < {SPEC.no_buy_day}")
+def q_filter_buyers_only(spark, sf):
+    return normalize(_labels(spark, sf).where(F.col(DAY) < SPEC.no_buy_day))
+
+
+@register("relabel_binary", f"SELECT slip, user_id, CAST(CASE WHEN {BUY} > 0 THEN 1 ELSE 0 END AS BIGINT) AS {BUY} "
+                            f"FROM ({_LABELS_ALL}) q")
+def q_relabel_binary(spark, sf):
+    return normalize(_labels(spark, sf).select("slip", "user_id", (F.col(BUY) > 0).cast("int").alias(BUY)))
+
+
+def _all_feature_names():
+    onehot = [f"{c}_{v}" for c in ("sex", "user_lv_cd", "age") for v in SPEC.onehot_vocab[c]]
+    return onehot
+
+
+@register("select_feature_columns", None)
+def q_select_feature_columns(spark, sf):
+    df = TR.build_training_table(_t(spark, sf), SPEC)
+    cols = TR.feature_columns(df, SPEC)
+    return spark.createDataFrame([(c,) for c in cols], "name string")
+
+
+@register("rename_joined", _q(
+    "SELECT o.user_id, o.o_id, o.sku_id, o.o_date, c.comment_create_tm, year(o.o_date) AS year_order, "
+    "month(o.o_date) AS month_order, day(o.o_date) AS day_order, year(c.comment_create_tm) AS year_comment, "
+    "month(c.comment_create_tm) AS month_comment, day(c.comment_create_tm) AS day_comment "
+    "FROM f_order o LEFT JOIN f_comment c ON o.user_id = c.user_id AND o.o_id = c.o_id"))
+def q_rename_joined(spark, sf):
+    t = _t(spark, sf)
+    o = C.with_date_parts(t.order, "o_date")
+    c = C.with_date_parts(t.comment, "comment_create_tm")
+    o = o.withColumnsRenamed({"year": "year_order", "month": "month_order", "day": "day_order"})
+    c = c.withColumnsRenamed({"year": "year_comment", "month": "month_comment", "day": "day_comment"})
+    j = o.join(c.drop("score_level"), ["user_id", "o_id"], "left")
+    return normalize(j.select("user_id", "o_id", "sku_id", "o_date", "comment_create_tm", "year_order", "month_order",
+                              "day_order", "year_comment", "month_comment", "day_comment"))
+
+
+_reuse("rename_prefixed", "oc_last_order")
+
+
+# ---- §2.3 joins --------------------------------------------------------------
+
+_OCUS_COLS = ("user_id, sku_id, o_id, o_date, o_area, o_sku_num, comment_create_tm, score_level, price, cate, "
+              "para_1, para_2, para_3")
+
+
+@register("join_order_enriched", _q(f"SELECT {_OCUS_COLS.replace('price', 'round(price, 6) AS price')} FROM ocus"))
+def q_join_order_enriched(spark, sf):
+    return normalize(join_order_enriched(_t(spark, sf)).selectExpr(*_OCUS_COLS.split(", ")))
+
+
+_AUS_COLS = "user_id, sku_id, a_date, a_num, a_type, price, cate, para_1, para_2, para_3"
+
+
+@register("join_action_enriched", _q(f"SELECT {_AUS_COLS.replace('price', 'round(price, 6) AS price')} FROM aus"))
+def q_join_action_enriched(spark, sf):
+    return normalize(join_action_enriched(_t(spark, sf)).selectExpr(*_AUS_COLS.split(", ")))
+
+
+@register("join_order_sku", _q("SELECT o.*, round(s.price, 6) AS price, s.cate, s.para_1, s.para_2, s.para_3 "
+                               "FROM f_order o LEFT JOIN f_sku s ON o.sku_id = s.sku_id"))
+def q_join_order_sku(spark, sf):
+    t = _t(spark, sf)
+    return normalize(join_order_sku(t.order, t.sku))
+
+
+_reuse("join_feature_to_spine", "oc_orders_count")
+
+
+@register("join_inner_two_aggs", _q(
+    f"SELECT o.user_id, o.o_id, l.a_num FROM (SELECT user_id, count(DISTINCT o_id) AS o_id FROM f_order WHERE {W} "
+    f"GROUP BY user_id) o JOIN (SELECT user_id, sum(a_num) AS a_num FROM f_action WHERE {WA} AND a_type = "
+    f"{SPEC.look_type} GROUP BY user_id) l ON l.user_id = o.user_id"))
+def q_join_inner_two_aggs(spark, sf):
+    t = _t(spark, sf)
+    o = _in_window(t.order, "o_date").groupBy("user_id").agg(F.count_distinct("o_id").alias("o_id"))
+    looks = (_in_window(t.action, "a_date").where(F.col("a_type") == SPEC.look_type)
+             .groupBy("user_id").agg(F.sum("a_num").alias("a_num")))
+    return normalize(o.join(looks, "user_id", "inner"))
+
+
+_GAPV = f"""
+gv_first AS (SELECT user_id, count(DISTINCT o_id) AS buy, min(o_date) AS first FROM ocus
+  WHERE o_date >= {O.ts_lit(A)} AND o_date <= {O.ts_lit(A + _dt.timedelta(days=SPEC.label_window))} AND {TGT}
+  GROUP BY user_id),
+gv_last AS (SELECT user_id, max(a_date) AS last FROM f_action
+  WHERE a_date >= {O.ts_lit(A - _dt.timedelta(days=30))} AND a_date <= {O.ts_lit(HI)} GROUP BY user_id),
+gv_pos AS (SELECT u.user_id, f.buy, {O.gap_sql('f.first', 'l.last')} AS day, l.last FROM f_user u
+  JOIN gv_first f ON f.user_id = u.user_id JOIN gv_last l ON l.user_id = u.user_id)
+"""
+
+
+@register("join_label_positive", _q(f"SELECT CAST(0 AS BIGINT) AS slip, user_id, CAST(buy AS BIGINT) AS {BUY}, "
+                                    f"CAST(day AS BIGINT) AS {DAY}, last AS Sample_30_101_LastTime FROM gv_pos", _GAPV))
+def q_join_label_positive(spark, sf):
+    t = _t(spark, sf)
+    v = LB.label_gap_variant(t.user, join_order_enriched(t), t.action, SPEC, A, 30, [0])
+    return normalize(v.where(F.col("Sample_30_101_LastTime").isNotNull()))
+
+
+@register("label_gap_variant", _q(
+    f"SELECT CAST(0 AS BIGINT) AS slip, user_id, CAST(buy AS BIGINT) AS {BUY}, CAST(day AS BIGINT) AS {DAY}, "
+    f"last AS Sample_30_101_LastTime FROM gv_pos UNION ALL SELECT 0, user_id, 0, {SPEC.no_buy_day}, NULL FROM f_user "
+    f"WHERE user_id NOT IN (SELECT user_id FROM gv_pos)", _GAPV))
+def q_label_gap_variant(spark, sf):
+    t = _t(spark, sf)
+    return normalize(LB.label_gap_variant(t.user, join_order_enriched(t), t.action, SPEC, A, 30, [0]))
+
+
+_CLEAN = f"""
+buyers AS (SELECT DISTINCT user_id FROM f_order),
+actors AS (SELECT DISTINCT user_id FROM f_action),
+noact AS (SELECT user_id FROM buyers WHERE user_id NOT IN (SELECT user_id FROM actors)),
+few AS (SELECT user_id, count(DISTINCT o_id) AS o_id FROM f_order WHERE user_id IN (SELECT user_id FROM noact)
+  GROUP BY user_id HAVING count(DISTINCT o_id) BETWEEN {SPEC.few_orders_min} AND {SPEC.few_orders_max}),
+promo_only AS (SELECT user_id FROM f_order GROUP BY user_id
+  HAVING bool_and(coalesce({_promo_sql('o_date', SPEC.cleaning_promo_days)}, FALSE))),
+removed AS (SELECT user_id FROM few UNION SELECT user_id FROM promo_only)
+"""
+
+register("clean_few_orders_no_action", _q("SELECT user_id, o_id FROM few", _CLEAN))(
+    lambda spark, sf: normalize(CL.clean_few_orders_no_action(_t(spark, sf), SPEC)))
+register("clean_promo_only", _q("SELECT user_id FROM promo_only", _CLEAN))(
+    lambda spark, sf: normalize(CL.clean_promo_only(_t(spark, sf), SPEC)))
+register("clean_users_total", _q("SELECT user_id FROM removed", _CLEAN))(
+    lambda spark, sf: normalize(CL.clean_users_total(_t(spark, sf), SPEC)))
+_reuse("join_outer_users", "clean_users_total")
+register("distinct_users", _q("SELECT user_id FROM buyers", _CLEAN))(
+    lambda spark, sf: normalize(CL.distinct_users(_t(spark, sf).order)))
+register("users_difference", _q("SELECT user_id FROM noact", _CLEAN))(
+    lambda spark, sf: normalize(CL.buyers_without_actions(_t(spark, sf))))
+
+
+@register("union_user_sets", _q(" UNION ALL ".join(
+    f"SELECT user_id, o_id FROM few WHERE o_id = {n}" for n in range(SPEC.few_orders_min, SPEC.few_orders_max + 1)),
+    _CLEAN))
+def q_union_user_sets(spark, sf):
+    few = CL.clean_few_orders_no_action(_t(spark, sf), SPEC)
+    parts = [few.where(F.col("o_id") == n) for n in range(SPEC.few_orders_min, SPEC.few_orders_max + 1)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return normalize(out)
+
+
+@register("join_semi_users", _q("SELECT user_id, o_id, sku_id, o_date FROM f_order WHERE user_id IN "
+                                "(SELECT user_id FROM noact)", _CLEAN))
+def q_join_semi_users(spark, sf):
+    t = _t(spark, sf)
+    return normalize(t.order.join(CL.buyers_without_actions(t), "user_id", "left_semi")
+                     .select("user_id", "o_id", "sku_id", "o_date"))
+
+
+@register("join_anti_users", _q("SELECT user_id, sku_id, a_date, a_num, a_type FROM f_action WHERE user_id NOT IN "
+                                "(SELECT user_id FROM few)", _CLEAN))
+def q_join_anti_users(spark, sf):
+    t = _t(spark, sf)
+    return normalize(CL.apply_cleaning(t.action, CL.clean_few_orders_no_action(t, SPEC)))
+
+
+@register("apply_cleaning", _q(f"SELECT * FROM ({_LABELS_ALL}) q WHERE user_id NOT IN (SELECT user_id FROM removed)",
+                              _CLEAN))
+def q_apply_cleaning(spark, sf):
+    t = _t(spark, sf)
+    return normalize(CL.apply_cleaning(_labels(spark, sf), CL.clean_users_total(t, SPEC)))
+
+
+@register("join_prediction_truth", _q("SELECT user_id, idx AS index, round(wi, 6) AS wi, pred_day, real_day, oi FROM pairs",
+                                      _BASELINE_SQL))
+def q_join_prediction_truth(spark, sf):
+    t, top = _topk(spark, sf)
+    p = SC.scored_pairs(top, SC.truth_first_order(t, SPEC), SPEC)
+    return normalize(p.select("user_id", "index", "wi", "pred_day", "real_day", "oi"))
+
+
+@register("feature_examine", _q(
+    f"SELECT u.user_id, CAST(CASE WHEN f.user_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS E_first_order_on_last_action "
+    f"FROM f_user u LEFT JOIN gv_last l ON l.user_id = u.user_id LEFT JOIN (SELECT user_id, min(o_date) AS o_date "
+    f"FROM f_order GROUP BY user_id) f ON f.user_id = u.user_id AND f.o_date = l.last", _GAPV))
+def q_feature_examine(spark, sf):
+    t = _t(spark, sf)
+    last = LB.label_gap_inference(t.user, t.action, SPEC, A, 30).select("user_id", "Sample_30_101_LastTime")
+    first = t.order.groupBy("user_id").agg(F.min("o_date").alias("o_date"))
+    hit = (last.join(first, (last.user_id == first.user_id) & (last.Sample_30_101_LastTime == first.o_date), "inner")
+               .select(last.user_id))
+    out = t.user.select("user_id").join(hit.withColumn("_hit", F.lit(1)), "user_id", "left")
+    return normalize(out.select("user_id", C.is_null_flag(F.col("_hit")).alias("E_first_order_on_last_action")))
+
+
+@register("join_slip_range", _q(" UNION ALL ".join(
+    f"SELECT CAST({s} AS BIGINT) AS slip, user_id, o_id, sku_id, o_date FROM f_order WHERE o_date >= "
+    f"{O.ts_lit(a - _dt.timedelta(days=SPEC.max_window))} AND o_date <= {O.ts_lit(a - _dt.timedelta(days=1))}"
+    for s, a in SPEC.anchors(A))))
+def q_join_slip_range(spark, sf):
+    o = _t(spark, sf).order
+    e = explode_to_slips(o, "o_date", SPEC.anchors(A), -SPEC.max_window, -1)
+    return normalize(e.select("slip", "user_id", "o_id", "sku_id", "o_date"))
+
+
+# ---- §2.4 aggregation helpers on the 180-day slices (full user spine) -------
+
+def _helper(spark, sf, src, aggs: dict):
+    t = _t(spark, sf)
+    facts = join_order_enriched(t) if src == "order" else join_action_enriched(t)
+    ts = "o_date" if src == "order" else "a_date"
+    g = _in_window(facts, ts).groupBy("user_id").agg(*[e.alias(n) for n, e in aggs.items()])
+    return normalize(t.user.select("user_id").join(g, "user_id", "left"))
+
+
+def _helper_sql(src, aggs: dict) -> str:
+    tab, w = ("ocus", W) if src == "order" else ("aus", WA)
+    cols = ", ".join(f"{e} AS {n}" for n, e in aggs.items())
+    return _q(f"SELECT u.user_id, {', '.join('g.' + n for n in aggs)} FROM f_user u LEFT JOIN "
+              f"(SELECT user_id, {cols} FROM {tab} WHERE {w} GROUP BY user_id) g ON g.user_id = u.user_id")
+
+
+_HELPERS = {
+    "agg_count": ("order", {"o_id_count": (lambda: F.count("o_id"), "CAST(count(o_id) AS BIGINT)")}),
+    "agg_nunique": ("order", {"sku_id_nunique": (lambda: F.count_distinct("sku_id"), "CAST(count(DISTINCT sku_id) AS BIGINT)")}),
+    "agg_median": ("order", {"o_sku_num_median": (lambda: F.median("o_sku_num"), "round(CAST(median(o_sku_num) AS DOUBLE), 6)")}),
+    "agg_mean": ("order", {"o_sku_num_mean": (lambda: F.avg("o_sku_num"), "round(avg(o_sku_num), 6)")}),
+    "agg_sum": ("order", {"o_sku_num_sum": (lambda: F.sum("o_sku_num"), "CAST(sum(o_sku_num) AS BIGINT)")}),
+    "agg_max": ("order", {"price_max": (lambda: F.max("price"), "round(max(price), 6)")}),
+    "agg_min": ("order", {"price_min": (lambda: F.min("price"), "round(min(price), 6)")}),
+    "agg_std": ("order", {"o_sku_num_std": (lambda: F.stddev_samp("o_sku_num"), "round(stddev_samp(o_sku_num), 6)")}),
+    "last_action_gap": ("action", {"a_date_gap": (lambda: C.day_gap(C.midnight(A), F.max("a_date")),
+                                                  O.gap_sql(O.ts_lit(A), "max(a_date)"))}),
+}
+for _k, (_src, _aggs) in _HELPERS.items():
+    register(_k, _helper_sql(_src, {n: v[1] for n, v in _aggs.items()}))(
+        (lambda src, aggs: lambda spark, sf: _helper(spark, sf, src, {n: v[0]() for n, v in aggs.items()}))(_src, _aggs))
+
+_reuse("last_event_attributes", "ac_last_action")
+_reuse("share_count", "oc_orders_share_count")
+_reuse("share_nunique", "oc_orders_share_nunique")
+_reuse("share_promo_orders", "oc_promo_share")
+_reuse("share_promo_actions", "ac_promo_share")
+_reuse("last_event_on_promo", "oc_last_on_promo")
+
+
+@register("op_gap", _q(f"SELECT user_id, o_id, sku_id, {O.gap_sql(O.ts_lit(A), 'o_date')} AS gap FROM f_order WHERE {W}"))
+def q_op_gap(spark, sf):
+    o = _in_window(_t(spark, sf).order, "o_date")
+    return normalize(o.select("user_id", "o_id", "sku_id", C.day_gap(C.midnight(A), F.col("o_date")).alias("gap")))
+
+
+@register("time_gap", _q(f"SELECT user_id, o_id, sku_id, {O.gap_sql('comment_create_tm', 'o_date')} AS gap "
+                         f"FROM ocus WHERE {W}"))
+def q_time_gap(spark, sf):
+    o = _in_window(join_order_enriched(_t(spark, sf)), "o_date")
+    return normalize(o.select("user_id", "o_id", "sku_id", C.day_gap(F.col("comment_create_tm"), F.col("o_date"))
+                              .alias("gap")))
+
+
+def _repurchase_share(o, cate):
+    """feature_buy_second_rate on one category: quantity of the singleton
+    (user_id, o_date, o_sku_num) rows other than the first / all quantity."""
+    rows = o.where(F.col("cate") == cate).select("user_id", "o_date", "o_sku_num")
+    cols = ["user_id", "o_date", "o_sku_num"]
+    total = rows.groupBy("user_id").agg(F.sum("o_sku_num").alias("_all"))
+    first = RK.first_per_user(rows, ["o_date"], cols)
+    second = RK.rows_except_singleton(rows, first, cols).groupBy("user_id").agg(F.sum("o_sku_num").alias("_sec"))
+    return total.join(second, "user_id", "left").select(
+        "user_id", C.ratio(F.col("_sec"), F.col("_all")).alias(f"o_sku_num_{cate}_second_rate"))
+
+
+@register("share_repurchase", _q(
+    "SELECT u.user_id, " + ", ".join(f"round(r{c}.rate, 6) AS o_sku_num_{c}_second_rate" for c in SPEC.target_cates)
+    + " FROM f_user u " + " ".join(f"LEFT JOIN r{c} ON r{c}.user_id = u.user_id" for c in SPEC.target_cates),
+    ",\n".join(f"""
+ x{c} AS (SELECT user_id, o_date, o_sku_num FROM ocus WHERE {W} AND cate = {c}),
+ f{c} AS (SELECT user_id, o_date, o_sku_num FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
+   ORDER BY o_date, o_sku_num) AS rn FROM x{c}) q WHERE rn = 1),
+ s{c} AS (SELECT user_id, o_date, o_sku_num FROM x{c} GROUP BY user_id, o_date, o_sku_num HAVING count(*) = 1
+   EXCEPT SELECT * FROM f{c}),
+ r{c} AS (SELECT a.user_id, CAST(b.q AS DOUBLE) / a.q AS rate FROM (SELECT user_id, sum(o_sku_num) AS q FROM x{c}
+   GROUP BY user_id) a LEFT JOIN (SELECT user_id, sum(o_sku_num) AS q FROM s{c} GROUP BY user_id) b
+   ON a.user_id = b.user_id)""" for c in SPEC.target_cates)))
+def q_share_repurchase(spark, sf):
+    t = _t(spark, sf)
+    o = _in_window(join_order_enriched(t), "o_date")
+    out = t.user.select("user_id")
+    for c in SPEC.target_cates:
+        out = out.join(_repurchase_share(o, c), "user_id", "left")
+    return normalize(out)
+
+
+_ONEHOT_SQL = _q("SELECT u.user_id, " + ", ".join(O.onehot_cols(SPEC)) + " FROM f_user u")
+register("onehot", _ONEHOT_SQL)(lambda spark, sf: normalize(TR.onehot_users(_t(spark, sf).user, SPEC)))
+_reuse("onehot_users", "onehot")
+
+
+# ---- §2.6 labels, samples, assembly -------------------------------------------
+
+@register("slip_calendar", _q(" UNION ALL ".join(
+    f"SELECT CAST({c['slip']} AS BIGINT) AS slip, DATE '{c['anchor']}' AS anchor, DATE '{c['sample_start']}' AS "
+    f"sample_start, DATE '{c['sample_end']}' AS sample_end, DATE '{c['label_start']}' AS label_start, "
+    f"DATE '{c['label_end']}' AS label_end, (SELECT count(*) FROM f_order WHERE o_date >= {O.ts_lit(c['sample_start'])} "
+    f"AND o_date <= {O.ts_lit(c['sample_end'])}) AS sample_rows, (SELECT count(*) FROM f_order WHERE o_date >= "
+    f"{O.ts_lit(c['label_start'])} AND o_date <= {O.ts_lit(c['label_end'])}) AS label_rows"
+    for c in slip_calendar(SPEC, A))))
+def q_slip_calendar(spark, sf):
+    o = _t(spark, sf).order
+    cal = spark.createDataFrame(slip_calendar(SPEC, A), "slip int, anchor date, sample_start date, sample_end date, "
+                                                      "label_start date, label_end date")
+    s = explode_to_slips(o, "o_date", SPEC.anchors(A), -SPEC.max_window, -1).groupBy("slip").agg(
+        F.count(F.lit(1)).alias("sample_rows"))
+    lab = explode_to_slips(o, "o_date", SPEC.anchors(A), 0, SPEC.label_window).groupBy("slip").agg(
+        F.count(F.lit(1)).alias("label_rows"))
+    out = cal.join(s, "slip", "left").join(lab, "slip", "left").fillna(0, ["sample_rows", "label_rows"])
+    return normalize(out)
+
+
+_LAB0 = O.table_sql(SPEC, [], A, [0], slip_col=False)
+register("label_buy_count", f"SELECT user_id, {BUY} FROM ({_LAB0}) q")(
+    lambda spark, sf: normalize(_labels(spark, sf).where("slip = 0").select("user_id", BUY)))
+register("label_first_day", f"SELECT user_id, {DAY} FROM ({_LAB0}) q")(
+    lambda spark, sf: normalize(_labels(spark, sf).where("slip = 0").select("user_id", DAY)))
+
+
+@register("label_inference", O.table_sql(SPEC, [], TA, [0], is_training=False))
+def q_label_inference(spark, sf):
+    t = _t(spark, sf)
+    from .operators.calendar import sample_spine
+    spine = sample_spine(t.user.select("user_id"), SPEC, TA, [0])
+    return normalize(LB.attach_labels(spine, join_order_enriched(t), SPEC, TA, False, [0]).drop("anchor"))
+
+
+@register("label_balance", f"SELECT slip, count(*) FILTER (WHERE {BUY} > 0) AS positives, count(*) FILTER (WHERE "
+                           f"{BUY} = 0) AS negatives, round(CAST(count(*) FILTER (WHERE {BUY} = 0) AS DOUBLE) / "
+                           f"nullif(count(*) FILTER (WHERE {BUY} > 0), 0), 6) AS ratio FROM ({_LABELS_ALL}) q GROUP BY slip")
+def q_label_balance(spark, sf):
+    return normalize(LB.label_balance(_labels(spark, sf), SPEC))
+
+
+@register("label_gap_inference", _q(f"SELECT u.user_id, l.last AS Sample_30_101_LastTime, CAST(-1 AS BIGINT) AS {BUY}, "
+                                    f"CAST(-1 AS BIGINT) AS {DAY} FROM f_user u LEFT JOIN gv_last l ON l.user_id = "
+                                    f"u.user_id", _GAPV))
+def q_label_gap_inference(spark, sf):
+    t = _t(spark, sf)
+    return normalize(LB.label_gap_inference(t.user, t.action, SPEC, A, 30))
+
+
+@register("sample_spine", _q(" UNION ALL ".join(f"SELECT CAST({s} AS BIGINT) AS slip, user_id FROM f_user"
+                                                for s in SPEC.slips)))
+def q_sample_spine(spark, sf):
+    from .operators.calendar import sample_spine
+    return normalize(sample_spine(_t(spark, sf).user.select("user_id"), SPEC, A).select("slip", "user_id"))
+
+
+for _fam, _key in (("OC", "features_orders"), ("CC", "features_comments"), ("AC", "features_actions")):
+    register(_key, O.table_sql(SPEC, FAMILY_KEYS[_fam], A, [0], labels=False, slip_col=False))(
+        (lambda fam: lambda spark, sf: normalize(TR.family_table(_t(spark, sf), SPEC, fam).drop("slip")))(_fam))
+
+_STACK_KEYS = ["oc_orders_nunique", "cc_score", "ac_volume"]
+register("stack_slips", O.table_sql(SPEC, _STACK_KEYS, A, SPEC.slips))(
+    lambda spark, sf: normalize(TR.build_table(_t(spark, sf), SPEC, A, SPEC.slips, True, _STACK_KEYS, onehot=False)
+                                .drop("sex", "user_lv_cd", "age")))
+
+
+def _nan_oracle() -> str:
+    names = feature_names_no_spark("CC")
+    inner = O.table_sql(SPEC, FAMILY_KEYS["CC"], A, [0], labels=False, slip_col=False)
+    s = " + ".join(f'CASE WHEN "{n}" IS NULL THEN 1 ELSE 0 END' for n in names)
+    return f"SELECT user_id, CAST({s} AS BIGINT) AS NaNcount FROM ({inner}) q"
+
+
+def feature_names_no_spark(fam: str) -> list[str]:
+    b = O.OracleBuilder(SPEC, A)
+    for k in FAMILY_KEYS[fam]:
+        b.add(O.BY_KEY[k])
+    return [o.rsplit(' AS "', 1)[1].rstrip('"') for o in b.outputs]
+
+
+@register("nan_count", _nan_oracle())
+def q_nan_count(spark, sf):
+    df = TR.family_table(_t(spark, sf), SPEC, "CC")
+    names = feature_names_no_spark("CC")
+    return normalize(TR.nan_count(df, names).select("user_id", "NaNcount"))
+
+
+@register("build_training_table", O.table_sql(SPEC, [r.key for r in CATALOGUE], A, SPEC.slips, onehot=True))
+def q_build_training_table(spark, sf):
+    return normalize(TR.build_training_table(_t(spark, sf), SPEC))
+
+
+@register("build_inference_table", O.table_sql(SPEC, [r.key for r in CATALOGUE], TA, [0], is_training=False,
+                                               onehot=True))
+def q_build_inference_table(spark, sf):
+    return normalize(TR.build_inference_table(_t(spark, sf), SPEC))
+
+
+# ---- §2.7 per-group ranking ----------------------------------------------------
+
+register("first_per_user", _q("SELECT user_id, o_date FROM truth", _BASELINE_SQL))(
+    lambda spark, sf: normalize(SC.truth_first_order(_t(spark, sf), SPEC)))
+_reuse("truth_first_order", "first_per_user")
+
+
+@register("last_per_user", _q(f"SELECT user_id, a_date, a_type, sku_id, a_num FROM (SELECT *, ROW_NUMBER() OVER "
+                              f"(PARTITION BY user_id ORDER BY a_date DESC, a_type DESC, sku_id DESC, a_num DESC) AS rn "
+                              f"FROM f_action WHERE {WA}) q WHERE rn = 1"))
+def q_last_per_user(spark, sf):
+    a = _in_window(_t(spark, sf).action, "a_date")
+    cols = ["a_date", "a_type", "sku_id", "a_num"]
+    return normalize(RK.last_per_user(a, cols, cols))
+
+
+@register("max_measure_per_user", _q(f"SELECT user_id, o_date, o_sku_num FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "
+                                     f"user_id ORDER BY o_sku_num DESC, o_date ASC) AS rn FROM f_order WHERE {W} AND "
+                                     f"o_sku_num IS NOT NULL) q WHERE rn = 1"))
+def q_max_measure_per_user(spark, sf):
+    o = _in_window(_t(spark, sf).order, "o_date")
+    return normalize(RK.max_measure_per_user(o, "o_sku_num", "o_date", ["o_date", "o_sku_num"]))
+
+
+_REP = _CLEAN.strip() + f""",
+rep AS (SELECT o.user_id, o.o_date, o.o_id FROM f_order o LEFT JOIN f_sku s ON o.sku_id = s.sku_id
+  WHERE {TGT} AND o.o_date >= TIMESTAMP '{SPEC.repurchase_start}' AND o.o_date <= TIMESTAMP '{SPEC.repurchase_end}'
+  AND o.user_id NOT IN (SELECT user_id FROM removed)),
+rep_first AS (SELECT user_id, o_date, o_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY o_date, o_id)
+  AS rn FROM rep) q WHERE rn = 1),
+rep_rest AS (SELECT user_id, o_date, o_id FROM rep GROUP BY user_id, o_date, o_id HAVING count(*) = 1
+  EXCEPT SELECT user_id, o_date, o_id FROM rep_first),
+rep_second AS (SELECT user_id, min(o_date) AS o_date FROM rep_rest GROUP BY user_id),
+rep_pairs AS (SELECT f.user_id, f.o_date AS o_date_first, s.o_date AS o_date_second,
+  {O.gap_sql('s.o_date', 'f.o_date')} AS time_tag FROM rep_first f JOIN rep_second s ON s.user_id = f.user_id)
+"""
+
+register("second_purchase", _q("SELECT * FROM rep_pairs", _REP))(
+    lambda spark, sf: normalize(AN.repurchase_pairs(_t(spark, sf), SPEC)))
+register("rows_except_singleton", _q("SELECT * FROM rep_rest", _REP))(
+    lambda spark, sf: normalize(_rows_except(spark, sf)))
+
+
+def _rows_except(spark, sf):
+    t = _t(spark, sf)
+    rows = AN.target_orders_in(t, SPEC, SPEC.repurchase_start, SPEC.repurchase_end, CL.clean_users_total(t, SPEC))
+    cols = ["user_id", "o_date", "o_id"]
+    return RK.rows_except_singleton(rows, RK.first_per_user(rows, ["o_date", "o_id"], cols), cols)
+
+
+@register("rank_weight", _q("SELECT user_id, idx AS index, round(wi, 6) AS wi FROM pairs", _BASELINE_SQL))
+def q_rank_weight(spark, sf):
+    _, top = _topk(spark, sf)
+    return normalize(RK.rank_weight(top, SC.rank_order(SPEC)).select("user_id", "index", "wi"))
+
+
+# ---- §2.8 sort, top-k, sets ------------------------------------------------------
+
+@register("rank_users", _q(f"SELECT user_id, ROW_NUMBER() OVER (ORDER BY {BUY} DESC, user_id ASC) AS rank FROM bl",
+                           _BASELINE_SQL))
+def q_rank_users(spark, sf):
+    _, pred = _baseline(spark, sf)
+    return normalize(RK.global_rank(pred, SC.rank_order(SPEC)).select("user_id", "rank"))
+
+
+register("topk_users", _q("SELECT user_id, pred_date FROM topk", _BASELINE_SQL))(
+    lambda spark, sf: normalize(_topk(spark, sf)[1].select("user_id", "pred_date")))
+
+
+@register("predict_date", _q(f"SELECT user_id, CAST(DATE '{TA}' + CAST(trunc({DAY} + ({SPEC.day_offset})) AS INTEGER) "
+                             f"AS DATE) AS pred_date FROM bl", _BASELINE_SQL))
+def q_predict_date(spark, sf):
+    _, pred = _baseline(spark, sf)
+    return normalize(SC.predict_date(pred, SPEC, TA).select("user_id", "pred_date"))
+
+
+_DAILY = _CLEAN.strip() + """,
+daily_orders AS (SELECT CAST(o_date AS DATE) AS o_date, count(DISTINCT o_id) AS o_id_nunique FROM f_order
+  WHERE user_id NOT IN (SELECT user_id FROM removed) GROUP BY 1)
+"""
+
+register("daily_order_count", _q("SELECT * FROM daily_orders", _DAILY))(
+    lambda spark, sf: normalize(AN.daily_order_count(_t(spark, sf), SPEC)))
+register("sort_ascending_report", _q("SELECT * FROM daily_orders ORDER BY o_id_nunique, o_date", _DAILY))(
+    lambda spark, sf: normalize(AN.daily_order_count(_t(spark, sf), SPEC).orderBy("o_id_nunique", "o_date")))
+
+
+@register("daily_action_volume", _q("SELECT CAST(a_date AS DATE) AS a_date, sum(a_num) AS a_num_sum FROM f_action WHERE "
+                                    "user_id NOT IN (SELECT user_id FROM few) GROUP BY 1", _CLEAN))
+def q_daily_action_volume(spark, sf):
+    return normalize(AN.daily_action_volume(_t(spark, sf), SPEC))
+
+
+# ---- §2.9 commented-out cleaning variants ----------------------------------------
+
+_RECENT = (A - _dt.timedelta(days=89), A - _dt.timedelta(days=1))
+
+
+@register("clean_no_recent_orders", _q(f"SELECT user_id FROM f_user WHERE user_id NOT IN (SELECT o.user_id FROM f_order o "
+                                       f"LEFT JOIN f_sku s ON o.sku_id = s.sku_id WHERE CAST(o.o_date AS DATE) BETWEEN "
+                                       f"DATE '{_RECENT[0]}' AND DATE '{_RECENT[1]}' AND {TGT})"))
+def q_clean_no_recent_orders(spark, sf):
+    return normalize(CL.clean_no_recent_orders(_t(spark, sf), SPEC, *_RECENT))
+
+
+_LOOKERS = (40.0, 2)
+
+
+@register("clean_lookers", _q(f"SELECT o.user_id FROM (SELECT user_id, count(DISTINCT o_id) AS n FROM f_order GROUP BY "
+                              f"user_id) o LEFT JOIN (SELECT user_id, sum(a_num) AS a FROM f_action WHERE a_type = "
+                              f"{SPEC.look_type} GROUP BY user_id) l ON l.user_id = o.user_id WHERE CAST(l.a AS DOUBLE) "
+                              f"/ o.n >= {_LOOKERS[0]} AND o.n <= {_LOOKERS[1]}"))
+def q_clean_lookers(spark, sf):
+    return normalize(CL.clean_lookers(_t(spark, sf), SPEC, *_LOOKERS))
+
+
+_SINGLE_DAY = SPEC.promo_days[1][0]
+
+
+@register("clean_single_day", _q(f"SELECT user_id FROM f_order GROUP BY user_id HAVING bool_and(CAST(o_date AS DATE) = "
+                                 f"DATE '{_SINGLE_DAY}')"))
+def q_clean_single_day(spark, sf):
+    return normalize(CL.clean_single_day(_t(spark, sf), _SINGLE_DAY))
+
+
+# ---- §2.10 analyses ---------------------------------------------------------------
+
+register("repurchase_gap_histogram", _q("SELECT time_tag, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM f_user), 6)"
+                                        " AS user_count FROM rep_pairs GROUP BY time_tag", _REP))(
+    lambda spark, sf: normalize(AN.repurchase_gap_histogram(_t(spark, sf), SPEC)))
+
+_LO_B, _HI_B = SPEC.calendar_order_range
+
+
+@register("calendar_bins", _q(
+    f"SELECT d.o_date, v.o_id_nunique, CASE WHEN v.o_id_nunique IS NULL THEN NULL ELSE CAST(least(greatest("
+    f"floor((v.o_id_nunique - {_LO_B}) / (({_HI_B} - {_LO_B}) / {SPEC.calendar_bins})) + 1, 1), "
+    f"{SPEC.calendar_bins}) AS BIGINT) END AS bin FROM (SELECT CAST(unnest(generate_series(DATE '{SPEC.calendar_start}', "
+    f"DATE '{SPEC.calendar_end}', INTERVAL 1 DAY)) AS DATE) AS o_date) d LEFT JOIN daily_orders v ON v.o_date = d.o_date",
+    _DAILY))
+def q_calendar_bins(spark, sf):
+    daily = AN.daily_order_count(_t(spark, sf), SPEC)
+    return normalize(AN.calendar_bins(daily, "o_date", "o_id_nunique", SPEC.calendar_start, SPEC.calendar_end,
+                                      _LO_B, _HI_B, SPEC.calendar_bins))
+
+
+@register("cohort_counts", _q(
+    "SELECT cohort, count(*) AS users FROM (SELECT DISTINCT user_id, 'first_buyers' AS cohort FROM rep "
+    "UNION ALL SELECT user_id, 'repeat_buyers' FROM rep_pairs "
+    "UNION ALL SELECT user_id, 'no_action_orders_' || CAST(o_id AS VARCHAR) FROM few "
+    "UNION ALL SELECT user_id, 'no_action_few_orders' FROM few "
+    "UNION ALL SELECT user_id, 'promo_only' FROM promo_only "
+    "UNION ALL SELECT user_id, 'removed_total' FROM removed) q GROUP BY cohort", _REP))
+def q_cohort_counts(spark, sf):
+    return normalize(AN.cohort_counts(_t(spark, sf), SPEC))
+
+
+register("monthly_buyers", _q("SELECT month(o_date) AS month, count(DISTINCT user_id) AS buyers FROM f_order GROUP BY 1"))(
+    lambda spark, sf: normalize(AN.monthly_buyers(_t(spark, sf))))
+_MONTHS = (1, 2, 3, 11, 12)
+register("buyers_in_months", _q(f"SELECT count(DISTINCT user_id) AS buyers FROM f_order WHERE month(o_date) IN "
+                                f"({', '.join(map(str, _MONTHS))})"))(
+    lambda spark, sf: normalize(AN.buyers_in_months(_t(spark, sf), _MONTHS)))
+
+
+# ---- §2.12 scoring -------------------------------------------------------------------
+
+def _score(spark, sf):
+    t, top = _topk(spark, sf)
+    return SC.score(top, SC.truth_first_order(t, SPEC), SPEC)
+
+
+register("score_s1", _q("SELECT round(s1, 6) AS s1 FROM scores", _BASELINE_SQL))(
+    lambda spark, sf: normalize(_score(spark, sf).select("s1")))
+register("score_s2", _q("SELECT round(s2, 6) AS s2 FROM scores", _BASELINE_SQL))(
+    lambda spark, sf: normalize(_score(spark, sf).select("s2")))
+register("score_total", _q("SELECT round(s1, 6) AS s1, round(s2, 6) AS s2, round(0.4 * s1 + 0.6 * s2, 6) AS s "
+                           "FROM scores", _BASELINE_SQL))(lambda spark, sf: normalize(_score(spark, sf)))
+
+
+# ---- §2.13 scalar functions (per row over the whole order / action tables) ---------
+
+_FN = {
+    "fn_date_parts": ("f_order", ["user_id", "o_id", "sku_id"],
+                      {"year": (lambda: F.year("o_date"), "year(o_date)"), "month": (lambda: F.month("o_date"), "month(o_date)"),
+                       "day": (lambda: F.dayofmonth("o_date"), "day(o_date)")}),
+    "fn_weekday": ("f_order", ["user_id", "o_id", "sku_id"],
+                   {"weekday": (lambda: F.weekday("o_date"), "isodow(o_date) - 1")}),
+    "fn_date_arith": ("f_order", ["user_id", "o_id", "sku_id"],
+                      {"plus_31": (lambda: F.date_add(F.to_date("o_date"), 31), "CAST(CAST(o_date AS DATE) + 31 AS DATE)"),
+                       "minus_31": (lambda: F.date_sub(F.to_date("o_date"), 31), "CAST(CAST(o_date AS DATE) - 31 AS DATE)")}),
+    "fn_day_diff": ("f_comment", ["user_id", "o_id"],
+                    {"gap": (lambda: C.day_gap(C.midnight(A), F.col("comment_create_tm")),
+                             O.gap_sql(O.ts_lit(A), "comment_create_tm"))}),
+    "fn_ratio": ("f_order", ["user_id", "o_id", "sku_id"],
+                 {"ratio": (lambda: C.ratio(F.col("o_area"), F.col("o_sku_num") - 1),
+                            "round(CAST(o_area AS DOUBLE) / nullif(o_sku_num - 1, 0), 6)")}),
+    "fn_cap": ("f_order", ["user_id", "o_id", "sku_id"],
+               {"capped": (lambda: F.least(F.col("o_area") / F.lit(10.0), F.lit(1.0)), "round(least(o_area / 10.0, 1.0), 6)")}),
+    "fn_log_square": ("f_order", ["user_id", "o_id", "sku_id"],
+                      {"ln_qty": (lambda: F.log(F.col("o_sku_num").cast("double")), "round(ln(o_sku_num), 6)"),
+                       "sq_qty": (lambda: F.pow(F.col("o_sku_num"), 2), "round(pow(o_sku_num, 2), 6)")}),
+    "fn_fill": ("f_comment", ["user_id", "o_id", "comment_create_tm"],
+                {"score_filled": (lambda: F.coalesce(F.col("score_level"), F.lit(0)), "coalesce(score_level, 0)")}),
+    "fn_is_null_flag": ("f_comment", ["user_id", "o_id", "comment_create_tm"],
+                        {"has_score": (lambda: C.is_null_flag(F.col("score_level")),
+                                       "CASE WHEN score_level IS NOT NULL THEN 1 ELSE 0 END")}),
+    "fn_membership": ("f_order", ["user_id", "o_id", "sku_id"],
+                      {"on_promo": (lambda: C.in_date_ranges(F.col("o_date"), SPEC.promo_days).cast("int"),
+                                    f"CASE WHEN {_promo_sql('o_date', SPEC.promo_days)} THEN 1 ELSE 0 END")}),
+}
+
+
+def _fn_query(tab, keys, exprs):
+    def q(spark, sf):
+        t = _t(spark, sf)
+        df = {"f_order": t.order, "f_comment": t.comment}[tab]
+        return normalize(df.select(*keys, *[e().alias(n) for n, (e, _) in exprs.items()]))
+    return q
+
+
+for _k, (_tab, _keys, _exprs) in _FN.items():
+    _sel = ", ".join(_keys + [f"{sql} AS {n}" for n, (_, sql) in _exprs.items()])
+    register(_k, _q(f"SELECT {_sel} FROM {_tab}"))(_fn_query(_tab, _keys, _exprs))
+
+
+@register("fn_date_range", _q(f"SELECT d.day, count(o.o_id) AS orders FROM (SELECT CAST(unnest(generate_series(DATE "
+                              f"'{SPEC.promo_days[0][0]}', DATE '{SPEC.promo_days[0][1]}', INTERVAL 1 DAY)) AS DATE) AS day) d "
+                              f"LEFT JOIN f_order o ON CAST(o.o_date AS DATE) = d.day GROUP BY d.day"))
+def q_fn_date_range(spark, sf):
+    o = _t(spark, sf).order
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(SPEC.promo_days[0][0]), F.lit(SPEC.promo_days[0][1])))
+                                 .alias("day"))
+    j = days.join(o.select(F.to_date("o_date").alias("day"), "o_id"), "day", "left")
+    return normalize(j.groupBy("day").agg(F.count("o_id").alias("orders")))
