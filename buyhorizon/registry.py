@@ -916,3 +916,145 @@ def q_fn_date_range(spark, sf):
                                  .alias("day"))
     j = days.join(o.select(F.to_date("o_date").alias("day"), "o_id"), "day", "left")
     return normalize(j.groupBy("day").agg(F.count("o_id").alias("orders")))
+
+
+# ---- §2.11 training and prediction on MLlib (rows-only checks, except splits) ------
+
+import math as _math  # noqa: E402
+
+from .plans import model as ML  # noqa: E402
+
+_ML_PARAMS = ML.GBTParams(maxIter=5, maxDepth=3)
+_MEMO: dict = {}
+
+
+def _hex_threshold(frac: float) -> str:
+    return format(_math.ceil(frac * 16 ** 8), "08x")
+
+
+def _md5_sql(seed) -> str:
+    return f"substr(md5(concat_ws('|', CAST(slip AS VARCHAR), CAST(user_id AS VARCHAR), '{seed}')), 1, 8)"
+
+
+@register("holdout_split", f"SELECT slip, user_id, CAST(CASE WHEN {_md5_sql(0)} < '{_hex_threshold(0.33)}' THEN 1 ELSE 0 "
+                           f"END AS BIGINT) AS is_test FROM ({_LABELS_ALL}) q")
+def q_holdout_split(spark, sf):
+    tr, te = ML.holdout_split(_labels(spark, sf), 0.33, 0)
+    return normalize(tr.select("slip", "user_id", F.lit(0).alias("is_test"))
+                     .unionByName(te.select("slip", "user_id", F.lit(1).alias("is_test"))))
+
+
+@register("stratified_folds", f"SELECT slip, user_id, {BUY}, CAST(ROW_NUMBER() OVER (ORDER BY {BUY}, {_md5_sql(1)}, slip, "
+                              f"user_id) % 5 AS BIGINT) AS fold FROM ({_LABELS_ALL}) q")
+def q_stratified_folds(spark, sf):
+    return normalize(ML.stratified_folds(_labels(spark, sf), BUY, 5, 1).select("slip", "user_id", BUY, "fold"))
+
+
+def _matrices(spark, sf):
+    """Cleaned training table and the inference table, assembled with a fill
+    fitted on train, checkpointed once (every fit then reads the vectors)."""
+    key = ("mat", sf)
+    if key not in _MEMO:
+        t = _t(spark, sf)
+        removed = CL.clean_users_total(t, SPEC)
+        train = CL.apply_cleaning(TR.build_training_table(t, SPEC), removed)
+        test = CL.apply_cleaning(TR.build_inference_table(t, SPEC), removed)
+        cols = TR.feature_columns(train, SPEC)
+        m = ML.Matrix(cols).fit(train)
+        keep = ["slip", "user_id", BUY, DAY, "features"]
+        tr = m.transform(train).select(*keep).checkpoint(eager=True)
+        te = m.transform(test).select(*keep).checkpoint(eager=True)
+        _MEMO[key] = (tr, te, cols)
+    return _MEMO[key]
+
+
+def _fitted(spark, sf, label, buyers_only=False):
+    key = ("fit", sf, label, buyers_only)
+    if key not in _MEMO:
+        tr, te, _ = _matrices(spark, sf)
+        data = tr.where(F.col(DAY) < SPEC.no_buy_day) if buyers_only else tr
+        metric = "l2" if buyers_only else "auc"
+        _MEMO[key] = ML.StackedBaggedGBT(label, _ML_PARAMS, metric=metric).fit(data)
+    return _MEMO[key]
+
+
+@register("oof_stack_feature")
+def q_oof_stack_feature(spark, sf):
+    tr, _, _ = _matrices(spark, sf)
+    model = ML.StackedBaggedGBT(BUY, _ML_PARAMS)
+    return model.out_of_fold(tr).select("slip", "user_id", BUY, "stack_pred")
+
+
+@register("stack_inference_feature")
+def q_stack_inference_feature(spark, sf):
+    _, te, _ = _matrices(spark, sf)
+    return _fitted(spark, sf, BUY).stack_inference(te).select("user_id", "stack_pred")
+
+
+@register("bagging_ensemble")
+def q_bagging_ensemble(spark, sf):
+    _, te, _ = _matrices(spark, sf)
+    return _fitted(spark, sf, BUY).predict(te, BUY).select("user_id", BUY)
+
+
+@register("train_buy_count")
+def q_train_buy_count(spark, sf):
+    _, te, _ = _matrices(spark, sf)
+    m = _fitted(spark, sf, BUY)
+    return m.predict(te, BUY).select("user_id", BUY)
+
+
+@register("train_first_day")
+def q_train_first_day(spark, sf):
+    _, te, _ = _matrices(spark, sf)
+    return _fitted(spark, sf, DAY, buyers_only=True).predict(te, DAY).select("user_id", DAY)
+
+
+@register("train_buy_binary")
+def q_train_buy_binary(spark, sf):
+    tr, te, _ = _matrices(spark, sf)
+    clf = ML.train_buy_binary(tr, BUY, _ML_PARAMS)
+    from pyspark.ml.functions import vector_to_array
+    return clf.transform(te).select("user_id", vector_to_array("probability")[1].alias("p_buy"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    tr, _, cols = _matrices(spark, sf)
+    m = ML._regressor(_ML_PARAMS, BUY).fit(tr)
+    return spark.createDataFrame(ML.feature_importance(m, cols), "feature string, importance double")
+
+
+def _metric_rows(spark, sf):
+    tr, _, _ = _matrices(spark, sf)
+    fit_part, hold = ML.holdout_split(tr, 0.33, 0)
+    pred = ML._regressor(_ML_PARAMS, BUY).fit(fit_part).transform(hold)
+    return [("auc", ML.metric_auc(pred, BUY)), ("l2", ML.metric_l2(pred, BUY))]
+
+
+register("metric_auc")(lambda spark, sf: spark.createDataFrame(
+    [r for r in _metric_rows(spark, sf) if r[0] == "auc"], "metric string, value double"))
+register("metric_l2")(lambda spark, sf: spark.createDataFrame(
+    [r for r in _metric_rows(spark, sf) if r[0] == "l2"], "metric string, value double"))
+
+
+def _grid(spark, sf, depths=(2, 3), leaves=(1, 5)):
+    tr, _, _ = _matrices(spark, sf)
+    buyers = tr.where(F.col(DAY) < SPEC.no_buy_day)
+    cvm, grid = ML.grid_search_cv(buyers, DAY, _ML_PARAMS, depths, leaves)
+    named = [{p.name: v for p, v in pm.items()} for pm in grid]
+    rows = [(int(n["maxDepth"]), int(n["minInstancesPerNode"]), float(v)) for n, v in zip(named, cvm.avgMetrics)]
+    return spark.createDataFrame(rows, "maxDepth int, minInstancesPerNode int, mse double")
+
+
+register("grid_search_cv")(lambda spark, sf: _grid(spark, sf))
+register("grid_search_more")(lambda spark, sf: _grid(spark, sf, depths=(4,), leaves=(2, 10)))
+
+
+@register("sink_tuning_result")
+def q_sink_tuning_result(spark, sf):
+    g = _grid(spark, sf)
+    best = g.orderBy("mse", "maxDepth", "minInstancesPerNode").limit(1)
+    path = scratch_path(spark, f"tuning_{_uuid.uuid4().hex}")
+    IO.sink_tuning_result(best, path)
+    return spark.read.parquet(path)
