@@ -1,17 +1,34 @@
-"""Compile catalogue rows into Spark aggregations and run them for all slips.
-
-Plan shape (one per requested set of features):
-
-* per (source, window): facts exploded to the slips whose window holds them,
-  then ONE ``groupBy(slip, user_id).agg(...)`` with every plain conditional
-  aggregate of that window (hash aggregate, map-side partial);
-* per source: one skew-safe multi-distinct stage for all exact distinct
-  counts of every window (``operators.distinct``);
-* the user x slip spine LEFT JOINs each grouped result on (slip, user_id);
-  every grouped side is already hash-partitioned on that key, so the joins
-  add no exchange beyond the spine's own;
-* a final projection turns helper aggregates into the named features
-  (ratios, guards, caps, last-row fields).
+"""Compile catalogue rows into Spark jobs and run them for all slips.
+
+Plan shape, per source (orders, comments, actions):
+
+1. facts are exploded to the slips whose widest window holds them (a narrow
+   Generate, no join) and each row is put in exactly one *cell*:
+   (window band, category class, action type). Bands are the disjoint day
+   ranges between consecutive windows, so a window is a union of bands, and
+   every slice / type selection is a union of classes;
+2. ``GROUP BY slip, user_id, cell`` computes ~20 narrow statistics per cell
+   (rows, counts, sums, sums of squares, min, max, flagged counts): a
+   code-generated hash aggregate with map-side partial aggregation, so a hot
+   user is pre-aggregated in every task before the shuffle;
+3. the cell rows (at most K per user and slip, K fixed by the spec) are
+   repartitioned on (slip, user_id); each is exploded to the *selections*
+   (window, slice, type) it belongs to, the statistics are combined per
+   selection (sum / min / max), and the selection rows of a user are packed
+   into one dense ``array<struct>`` indexed by selection id. Both steps run
+   on that partitioning with no further exchange, and the joined rows stay
+   narrow (one array column per source instead of |selections| x
+   |statistics| columns, which would make the joins' generated code huge);
+4. each feature is a projection over its selection's statistics: mean =
+   sum / count and the sample spread from (n, sum, sum of squares) in exact
+   decimal arithmetic (all spread inputs are integers: day numbers, day
+   gaps, quantities, scores).
+
+Exact distinct counts use the skew-safe bitmask stage of
+``operators.distinct`` (packed into one array per source); latest-row
+attributes use ``max(struct)`` in a small aggregation of their own (its
+buffer is not fixed-width). The user x slip spine LEFT JOINs every side on
+(slip, user_id); each side is already hash-partitioned on that key.
 """
 
 from __future__ import annotations
@@ -19,9 +36,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import functions as F
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import sqlexpr as X
 from ..functions.slices import slice_names
@@ -32,9 +48,6 @@ from .catalogue import BY_KEY, CATALOGUE, FAMILY_SOURCE, SOURCE_TS, FeatureRow
 
 KEYS = ["slip", "user_id"]
 GAP_BITS = 21  # day gaps inside a window are < 2**21
-# one grouped pass per source (window flags inside the aggregates) instead of
-# one pass per (source, window)
-SINGLE_PASS = True
 
 # tie-break order of "latest row" per source (the attributes follow)
 LAST_ORDER_KEYS = {
@@ -57,33 +70,6 @@ def _distinct_value(col: str) -> str:
     return f"CAST({_value(col)} AS BIGINT)"
 
 
-def _flag(kind: str, v) -> str:
-    return f"_{kind}_{v}"
-
-
-def prepare(df: DataFrame, src: str, spec: FeatureSpec) -> DataFrame:
-    """Per-row flags and values shared by many aggregates, computed once:
-    slice, type, window and promo flags, the gap to the anchor, the
-    comment delay and the weekend flag."""
-    ts = SOURCE_TS[src]
-    cols = {f"_s_{s}": X.slice_sql(spec.target_cates, s) for s in slice_names(spec, "targets")}
-    for s in slice_names(spec, "4")[2:]:
-        cols[f"_s_{s}"] = X.slice_sql(spec.target_cates, s)
-    if src == "action":
-        cols["_t_look"] = X.type_sql(spec, "look")
-        cols["_t_star"] = X.type_sql(spec, "star")
-    for w in spec.windows:
-        if w != spec.max_window:
-            cols[f"_w_{w}"] = f"{ts} >= CAST(date_add(anchor, {-w}) AS TIMESTAMP_NTZ)"
-    cols["_promo"] = X.in_date_ranges(ts, spec.promo_days)
-    cols["_gap"] = X.day_gap("anchor_ts", ts)
-    cols["_weekend"] = f"coalesce(weekday({ts}) IN (5, 6), false)"
-    if src in ("order", "comment"):
-        cols["_delay"] = X.day_gap("comment_create_tm", "o_date")
-    keep = [c for c in df.columns if c not in cols]
-    return df.selectExpr(*keep, *[f"{v} AS {k}" for k, v in cols.items()])
-
-
 def select_windows(spec: FeatureSpec, sel: str) -> list[int]:
     if sel == "all":
         return list(spec.windows)
@@ -98,63 +84,168 @@ def _slices(spec: FeatureSpec, kind: str) -> list[str]:
     return ["all"] if kind == "1" else slice_names(spec, kind)
 
 
+# ---- cells -----------------------------------------------------------------
+
+def _n_types(src: str) -> int:
+    return 3 if src == "action" else 1
+
+
+def n_cells(spec: FeatureSpec, src: str) -> int:
+    return len(spec.windows) * (len(spec.target_cates) + 1) * _n_types(src)
+
+
+def cells(spec: FeatureSpec, src: str, w: int, s: str, t) -> list[int]:
+    """Cell ids whose union is window ``w``, slice ``s`` and type ``t``."""
+    wins = sorted(spec.windows)
+    nc = len(spec.target_cates) + 1
+    na = _n_types(src)
+    targets = [str(x) for x in spec.target_cates]
+    if s == "all":
+        cls = list(range(nc))
+    elif s == "_".join(targets):
+        cls = list(range(len(targets)))
+    elif s == "other":
+        cls = [nc - 1]
+    else:
+        cls = [targets.index(s)]
+    types = list(range(na)) if t is None else [{"look": 0, "star": 1}[t]]
+    return [(b * nc + c) * na + a for b in range(wins.index(w) + 1) for c in cls for a in types]
+
+
+def prepare(df: DataFrame, src: str, spec: FeatureSpec) -> DataFrame:
+    """Per-row values and flags: the cell id, the gap to the anchor, the
+    comment delay, the promo / weekend / poor-score flags."""
+    ts = SOURCE_TS[src]
+    wins = sorted(spec.windows)
+    band = "CASE " + " ".join(f"WHEN {ts} >= CAST(date_add(anchor, {-w}) AS TIMESTAMP_NTZ) THEN {i}"
+                              for i, w in enumerate(wins[:-1])) + f" ELSE {len(wins) - 1} END"
+    cclass = "CASE " + " ".join(f"WHEN cate = {int(c)} THEN {i}" for i, c in enumerate(spec.target_cates)) \
+        + f" ELSE {len(spec.target_cates)} END"
+    nc = len(spec.target_cates) + 1
+    na = _n_types(src)
+    atype = (f"CASE WHEN a_type = {spec.look_type} THEN 0 WHEN a_type = {spec.star_type} THEN 1 ELSE 2 END"
+             if src == "action" else "0")
+    cols = {
+        "_cell": f"(({band}) * {nc} + ({cclass})) * {na} + ({atype})",
+        "_promo": X.in_date_ranges(ts, spec.promo_days),
+        "_gap": X.day_gap("anchor_ts", ts),
+        "_weekend": f"coalesce(weekday({ts}) IN (5, 6), false)",
+        "_day_of_ts": f"unix_date(to_date({ts}))",
+    }
+    if src in ("order", "comment"):
+        cols["_delay"] = X.day_gap("comment_create_tm", "o_date")
+        cols["_poor"] = f"coalesce(score_level = {spec.poor_score}, false)"
+    keep = [c for c in df.columns if c not in cols]
+    return df.selectExpr(*keep, *[f"{v} AS {k}" for k, v in cols.items()])
+
+
+# ---- compiled plan -----------------------------------------------------------
+
 @dataclass
 class Compiled:
-    plain: dict = field(default_factory=dict)      # (source, w) -> {sig: (name, sql)}
+    stats: dict = field(default_factory=dict)      # source -> {stat key: (alias, sql over fact rows)}
+    struct: dict = field(default_factory=dict)     # source -> {sig: (name, sql)} latest-row aggregates
     distinct: dict = field(default_factory=dict)   # source -> {sig: (name, DistinctRequest, w)}
-    outputs: list = field(default_factory=list)    # [(name, sql over helper columns)]
+    sels: dict = field(default_factory=dict)       # source -> {(w, s, t): selection id}
+    outputs: list = field(default_factory=list)    # [(name, sql over pivot / helper columns)]
     _n: int = 0
 
+    def sel(self, src: str, w: int, s: str, t) -> int:
+        d = self.sels.setdefault(src, {})
+        return d.setdefault((w, s, t), len(d))
+
     def _name(self) -> str:
         self._n += 1
         return f"_h{self._n}"
 
-    def plain_agg(self, source: str, w: int, sig: tuple, sql: str) -> str:
-        d = self.plain.setdefault((source, None if SINGLE_PASS else w), {})
-        sig = (w,) + sig
+    def stat(self, src: str, key: tuple) -> str:
+        d = self.stats.setdefault(src, {})
+        if key not in d:
+            d[key] = (f"{src[0]}{len(d)}", _stat_sql(key))
+        return d[key][0]
+
+    def struct_agg(self, src: str, sig: tuple, sql: str) -> str:
+        d = self.struct.setdefault(src, {})
         if sig not in d:
             d[sig] = (self._name(), sql)
         return d[sig][0]
 
     def distinct_count(self, source: str, w: int, col: str, pred: str, sig: tuple) -> str:
+        """A reference into the packed distinct-count array of ``source``."""
         d = self.distinct.setdefault(source, {})
         key = (w, col) + sig
         if key not in d:
             name = self._name()
             d[key] = (name, DistinctRequest(name, col, _distinct_value(col), pred), w)
-        return d[key][0]
+        return f"_d_{source}[{list(d).index(key)}]"
+
+
+def _stat_sql(key: tuple) -> str:
+    kind = key[0]
+    if kind == "rows":
+        return "count(1)"
+    col = _value(key[1])
+    return {
+        "cnt": lambda: f"count({col})",
+        "sum": lambda: f"sum({col})",
+        "ssq": lambda: f"sum(CAST({col} AS BIGINT) * CAST({col} AS BIGINT))",
+        "min": lambda: f"min({col})",
+        "max": lambda: f"max({col})",
+        "rowsif": lambda: f"count_if({key[1]})",
+        "sumif": lambda: f"sum(CASE WHEN {key[2]} THEN {col} END)",
+        "maxenc": lambda: f"max(CASE WHEN {col} IS NOT NULL THEN CAST({col} AS BIGINT) * {1 << GAP_BITS} + _gap END)",
+    }[kind]()
 
 
 class FeatureCompiler:
     def __init__(self, spec: FeatureSpec):
         self.spec = spec
         self.c = Compiled()
-        self._win = ""
-
-    def _pred(self, s: str, t) -> str:
-        flags = [_flag("s", s)] if s != "all" else []
-        if t is not None:
-            flags.append(_flag("t", t))
-        if self._win:
-            flags.append(self._win)
-        return " AND ".join(flags) or "true"
-
-    def _rows(self, src, w, s, t, extra=None, extra_sig=()) -> str:
-        pred = self._pred(s, t) if extra is None else X.and_(self._pred(s, t), extra)
-        return self.c.plain_agg(src, w, ("rows", s, t) + extra_sig, X.rows(pred))
-
-    def _promo(self, src: str) -> str:
-        return "_promo"
 
-    def _in_w(self, w: int) -> str:
-        # grouped stages read the widest window; each aggregate is narrowed to
-        # its own window by a flag column
-        return "" if w == self.spec.max_window else _flag("w", w)
+    # one statistic of one selection: a single pivot column
+    def _col(self, src, sel, key) -> str:
+        return f"_s_{src}[{self.c.sel(src, *sel)}].{self.c.stat(src, key)}"
+
+    def add_(self, src, sel, key) -> str:
+        return f"coalesce({self._col(src, sel, key)}, 0)"
+
+    def min_(self, src, sel, key) -> str:
+        return self._col(src, sel, key)
+
+    max_ = min_
+
+    def _agg(self, a: str, src, ids, col: str) -> str:
+        rows = self.add_(src, ids, ("rows",))
+        if a == "count":
+            return f"CASE WHEN {rows} > 0 THEN {self.add_(src, ids, ('cnt', col))} END"
+        if a == "sum":
+            return f"CASE WHEN {rows} > 0 THEN {self.add_(src, ids, ('sum', col))} END"
+        if a == "min":
+            return self.min_(src, ids, ("min", col))
+        if a == "max":
+            return self.max_(src, ids, ("max", col))
+        n = self.add_(src, ids, ("cnt", col))
+        s = self.add_(src, ids, ("sum", col))
+        if a == "mean":
+            return f"try_divide(CAST({s} AS DOUBLE), {n})"
+        if a == "std":
+            ss = self.add_(src, ids, ("ssq", col))
+            num = f"(CAST({n} AS DECIMAL(38,0)) * {ss} - CAST({s} AS DECIMAL(38,0)) * {s})"
+            return f"CASE WHEN {n} > 1 THEN sqrt(CAST({num} AS DOUBLE) / (CAST({n} AS DOUBLE) * ({n} - 1))) END"
+        raise ValueError(a)
 
     def _out(self, name: str, sql: str) -> str:
         self.c.outputs.append((name, sql))
         return name
 
+    @staticmethod
+    def _in_w(spec: FeatureSpec, w: int) -> str:
+        # distinct / struct stages read the widest window; narrow each request
+        return "" if w == spec.max_window else f"_ts >= CAST(date_add(anchor, {-w}) AS TIMESTAMP_NTZ)"
+
+    def _row_pred(self, s: str, t) -> str:
+        return X.and_(X.slice_sql(self.spec.target_cates, s), X.type_sql(self.spec, t))
+
     # ---- compile one catalogue row -------------------------------------
     def add(self, row: FeatureRow) -> list[str]:
         spec, c = self.spec, self.c
@@ -163,89 +254,73 @@ class FeatureCompiler:
         names = []
         for w in select_windows(spec, row.windows):
             prefix = f"{row.family}_{w}slip_"
-            self._win = self._in_w(w) if SINGLE_PASS else ""
+            inw = self._in_w(spec, w)
             for t in row.types:
                 for s in _slices(spec, row.slices):
-                    pred = self._pred(s, t)
-                    fmt = dict(col=row.col, s=s)
-                    name = prefix + row.pattern.format(agg="{agg}", attr="{attr}", **fmt)
+                    ids = (w, s, t)
+                    rows = self.add_(src, ids, ("rows",))
+                    pred = self._row_pred(s, t)
+                    name = prefix + row.pattern.format(agg="{agg}", attr="{attr}", col=row.col, s=s)
                     k = row.kind
                     if k in ("agg", "gap", "delay"):
-                        if k == "agg":
-                            val = _value(row.col)
-                        elif k == "gap":
-                            val = "_gap"
-                        else:
-                            val = "_delay"
+                        col = {"agg": row.col, "gap": "_gap", "delay": "_delay"}[k]
                         for a in row.aggs:
-                            ref = c.plain_agg(src, w, (k, row.col, a, s, t), X.agg(a, pred, val))
-                            names.append(self._out(name.format(agg=a), ref))
+                            names.append(self._out(name.format(agg=a), self._agg(a, src, ids, col)))
                     elif k == "nunique":
-                        rows = self._rows(src, w, s, t)
-                        ref = c.distinct_count(src, w, row.col, X.and_(pred, self._in_w(w)), ("n", s, t))
+                        ref = c.distinct_count(src, w, row.col, X.and_(pred, inw), ("n", s, t))
                         names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN coalesce({ref}, 0) END"))
                     elif k == "share_count":
-                        rows = self._rows(src, w, s, t)
-                        num = c.plain_agg(src, w, ("cnt", row.col, s, t), f"count({X.when(pred, row.col)})")
-                        den = c.plain_agg(src, w, ("cnt", row.col, "all", t),
-                                          f"count({X.when(self._pred('all', t), row.col)})")
+                        num = self.add_(src, ids, ("cnt", row.col))
+                        den = self.add_(src, (w, "all", t), ("cnt", row.col))
                         names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN {X.ratio(num, den)} END"))
                     elif k == "share_nunique":
-                        rows = self._rows(src, w, s, t)
-                        num = c.distinct_count(src, w, row.col, X.and_(pred, self._in_w(w)), ("n", s, t))
-                        den = c.distinct_count(src, w, row.col, X.and_(self._pred("all", t), self._in_w(w)),
+                        num = c.distinct_count(src, w, row.col, X.and_(pred, inw), ("n", s, t))
+                        den = c.distinct_count(src, w, row.col, X.and_(self._row_pred("all", t), inw),
                                                ("n", "all", t))
                         names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN "
                                                      f"{X.ratio(f'coalesce({num}, 0)', den)} END"))
                     elif k == "last":
                         keys = LAST_ORDER_KEYS[src]
                         fields = ", ".join([f"'k_{x}', {x}" for x in keys] + [f"'v_{x}', {x}" for x in row.attrs])
-                        st = c.plain_agg(src, w, ("last", s, t), f"max({X.when(pred, f'named_struct({fields})')})")
+                        p = X.and_(pred, inw)
+                        st = c.struct_agg(src, ("last", w, s, t), f"max({X.when(p, f'named_struct({fields})')})")
                         for a in row.attrs:
                             names.append(self._out(name.format(attr=a), f"{st}.v_{a}"))
                     elif k == "last_promo":
-                        mx = c.plain_agg(src, w, ("maxts", s, t), f"max({X.when(pred, ts)})")
-                        names.append(self._out(name, f"CASE WHEN {mx} IS NOT NULL THEN "
-                                                     f"CAST({X.in_date_ranges(mx, spec.promo_days)} AS INT) END"))
+                        mx = self.max_(src, ids, ("max", "_day_of_ts"))
+                        promo = X.in_date_ranges(f"date_from_unix_date({mx})", spec.promo_days)
+                        names.append(self._out(name, f"CASE WHEN {mx} IS NOT NULL THEN CAST({promo} AS INT) END"))
                     elif k == "max_measure":
-                        gap = "_gap"
-                        enc = c.plain_agg(src, w, ("maxenc", row.col, s, t), "max(" + X.when(
-                            X.and_(pred, f"{row.col} IS NOT NULL"),
-                            f"CAST({row.col} AS BIGINT) * {1 << GAP_BITS} + {gap}") + ")")
-                        gmax = c.plain_agg(src, w, ("gap", ts, "max", s, t), X.agg("max", pred, gap))
+                        enc = self.max_(src, ids, ("maxenc", row.col))
+                        gmax = self.max_(src, ids, ("max", "_gap"))
                         names.append(self._out(name, f"coalesce(pmod({enc}, {1 << GAP_BITS}), {gmax})"))
                     elif k == "weekend":
-                        wk = self._rows(src, w, s, t, "_weekend", ("weekend",))
-                        n = c.plain_agg(src, w, ("cnt", ts, s, t), f"count({X.when(pred, ts)})")
+                        wk = self.add_(src, ids, ("rowsif", "_weekend"))
+                        n = self.add_(src, ids, ("cnt", ts))
                         names.append(self._out(name, f"CASE WHEN {wk} > 0 THEN {X.ratio(wk, n)} END"))
                     elif k == "poor":
-                        bad = self._rows(src, w, s, t, f"{row.col} = {spec.poor_score}", ("poor",))
-                        n = c.plain_agg(src, w, ("cnt", row.col, s, t), f"count({X.when(pred, row.col)})")
+                        bad = self.add_(src, ids, ("rowsif", "_poor"))
+                        n = self.add_(src, ids, ("cnt", row.col))
                         names.append(self._out(name, f"CASE WHEN {bad} > 0 THEN {X.ratio(bad, n)} END"))
                     elif k == "promo_nunique":
-                        promo = self._promo(src)
-                        prow = self._rows(src, w, s, t, promo, ("promo",))
-                        num = c.distinct_count(src, w, row.col, X.and_(pred, promo, self._in_w(w)), ("np", s, t))
-                        den = c.distinct_count(src, w, row.col, X.and_(pred, self._in_w(w)), ("n", s, t))
+                        prow = self.add_(src, ids, ("rowsif", "_promo"))
+                        num = c.distinct_count(src, w, row.col, X.and_(pred, "_promo", inw), ("np", s, t))
+                        den = c.distinct_count(src, w, row.col, X.and_(pred, inw), ("n", s, t))
                         names.append(self._out(name, f"CASE WHEN {prow} > 0 THEN "
                                                      f"{X.ratio(f'coalesce({num}, 0)', den)} END"))
                     elif k == "promo_sum":
-                        promo = self._promo(src)
-                        prow = self._rows(src, w, s, t, promo, ("promo",))
-                        num = c.plain_agg(src, w, ("sum", row.col, s, t, "promo"),
-                                          f"sum({X.when(X.and_(pred, promo), row.col)})")
-                        den = c.plain_agg(src, w, ("sum", row.col, s, t), f"sum({X.when(pred, row.col)})")
-                        names.append(self._out(name, f"CASE WHEN {prow} > 0 THEN "
-                                                     f"{X.ratio(f'coalesce({num}, 0)', f'coalesce({den}, 0)')} END"))
+                        prow = self.add_(src, ids, ("rowsif", "_promo"))
+                        num = self.add_(src, ids, ("sumif", row.col, "_promo"))
+                        den = self.add_(src, ids, ("sum", row.col))
+                        names.append(self._out(name, f"CASE WHEN {prow} > 0 THEN {X.ratio(num, den)} END"))
                     elif k == "conversion":
-                        opred = _flag("s", s) if s != "all" else "true"
-                        orows = self._rows("order", w, s, None)
-                        od = c.distinct_count("order", w, "o_id", X.and_(opred, self._in_w(w)), ("n", s, None))
-                        arows = self._rows("action", w, s, t)
-                        asum = c.plain_agg("action", w, ("sum", "a_num", s, t), f"sum({X.when(pred, 'a_num')})")
-                        names.append(self._out(name, f"CASE WHEN {orows} > 0 AND {arows} > 0 THEN "
-                                                     f"{X.capped_ratio(f'coalesce({od}, 0)', f'coalesce({asum}, 0)')}"
-                                                     f" END"))
+                        oids = (w, s, None)
+                        orows = self.add_("order", oids, ("rows",))
+                        od = c.distinct_count("order", w, "o_id", X.and_(X.slice_sql(spec.target_cates, s), inw),
+                                              ("n", s, None))
+                        asum = self.add_(src, ids, ("sum", "a_num"))
+                        names.append(self._out(name, f"CASE WHEN {orows} > 0 AND {rows} > 0 THEN "
+                                                     f"{X.capped_ratio(f'coalesce({od}, 0)', asum)} END"))
                     else:
                         raise ValueError(k)
         return names
@@ -259,19 +334,57 @@ def compile_rows(spec: FeatureSpec, rows) -> tuple[Compiled, list[str]]:
     return fc.c, names
 
 
+# how a statistic combines over the cells of a selection
+COMBINE = {"rows": "sum", "cnt": "sum", "sum": "sum", "ssq": "sum", "rowsif": "sum", "sumif": "sum",
+           "min": "min", "max": "max", "maxenc": "max"}
+
+
+def selection_table(facts: DataFrame, src: str, stats: dict, sels: dict, spec: FeatureSpec,
+                    anchors) -> DataFrame:
+    """Stages 1-3: cell statistics, combined per selection, pivoted to one
+    row per (slip, user_id)."""
+    data = prepare(explode_to_slips(facts, SOURCE_TS[src], anchors, -spec.max_window, -1), src, spec)
+    per_cell = _agg_sql(data, KEYS + ["_cell"], [f"{sql} AS {a}" for a, sql in stats.values()])
+    # cell id -> the selections it belongs to (a fixed, spec-sized lookup)
+    member = [[] for _ in range(n_cells(spec, src))]
+    for (w, s, t), sid in sels.items():
+        for cell in cells(spec, src, w, s, t):
+            member[cell].append(sid)
+    lookup = "array(" + ", ".join(f"CAST(array({', '.join(map(str, m))}) AS ARRAY<INT>)" for m in member) + ")"
+    aliases = [(a, COMBINE[key[0]]) for key, (a, _) in stats.items()]
+    n = len(sels)
+    # repartitioned once on (slip, user_id): both aggregates below run on that
+    # partitioning without another exchange
+    per_sel = (per_cell.repartition(*KEYS)
+               .selectExpr(*KEYS, f"explode(element_at({lookup}, _cell + 1)) AS _sel", *[a for a, _ in aliases])
+               .groupBy(*KEYS, "_sel")
+               .agg(*[F.expr(f"{fn}({a})").alias(a) for a, fn in aliases]))
+    # one dense array<struct> per (slip, user_id), indexed by selection id; a
+    # user has at most n selection rows (n is fixed by the spec, not the data)
+    fields = ", ".join(a for a, _ in aliases)
+    return (per_sel.groupBy(*KEYS)
+            .agg(F.expr(f"map_from_entries(collect_list(struct(_sel, struct({fields}))))").alias("_m"))
+            .selectExpr(*KEYS, f"transform(sequence(0, {n - 1}), i -> try_element_at(_m, i)) AS _s_{src}"))
+
+
 def run_compiled(c: Compiled, facts: dict[str, DataFrame], spine: DataFrame, spec: FeatureSpec,
                  anchor: dt.date, slips=None) -> DataFrame:
-    """Execute: grouped sides joined onto the spine, then the named outputs."""
+    """Execute: every side joined onto the spine, then the named outputs."""
     anchors = spec.anchors(anchor, slips)
     sides = []
-    for (src, w), aggs in sorted(c.plain.items(), key=lambda kv: (kv[0][0], kv[0][1] or 0)):
-        data = prepare(explode_to_slips(facts[src], SOURCE_TS[src], anchors, -(w or spec.max_window), -1),
-                       src, spec)
+    for src, stats in sorted(c.stats.items()):
+        sides.append(selection_table(facts[src], src, stats, c.sels[src], spec, anchors))
+    for src, aggs in sorted(c.struct.items()):
+        data = explode_to_slips(facts[src], SOURCE_TS[src], anchors, -spec.max_window, -1) \
+            .withColumn("_ts", F.col(SOURCE_TS[src]))
         sides.append(_agg_sql(data, KEYS, [f"{sql} AS {n}" for n, sql in aggs.values()]))
     for src, reqs in sorted(c.distinct.items()):
         wmax = max(w for _, _, w in reqs.values())
-        data = prepare(explode_to_slips(facts[src], SOURCE_TS[src], anchors, -wmax, -1), src, spec)
-        sides.append(multi_distinct_counts(data, KEYS, [r for _, r, _ in reqs.values()]))
+        data = prepare(explode_to_slips(facts[src], SOURCE_TS[src], anchors, -wmax, -1), src, spec) \
+            .withColumn("_ts", F.col(SOURCE_TS[src]))
+        counts = multi_distinct_counts(data, KEYS, [r for _, r, _ in reqs.values()])
+        packed = ", ".join(f"CAST({n} AS BIGINT)" for n, _, _ in reqs.values())
+        sides.append(counts.selectExpr(*KEYS, f"array({packed}) AS _d_{src}"))
     out = spine
     for side in sides:
         out = out.join(side, KEYS, "left")
