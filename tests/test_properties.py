@@ -74,3 +74,31 @@ def test_partition_count_does_not_change_results(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_selection_cells_are_exact_unions():
+    """Each (window, slice, type) selection is exactly the cells whose band
+    lies inside the window, whose class is in the slice and whose type
+    matches; a wider window never loses a cell of a narrower one."""
+    from buyhorizon.functions.slices import slice_names
+    from buyhorizon.plans.features import cells, n_cells
+    nc = len(SPEC.target_cates) + 1
+    wins = sorted(SPEC.windows)
+    for src, na in (("order", 1), ("action", 3)):
+        assert n_cells(SPEC, src) == len(wins) * nc * na
+        for s in slice_names(SPEC, "5"):
+            for t in ([None] if na == 1 else [None, "look", "star"]):
+                prev = set()
+                for w in wins:
+                    got = set(cells(SPEC, src, w, s, t))
+                    assert len(got) == len(cells(SPEC, src, w, s, t)), "no cell twice"
+                    for cell in got:
+                        band, cls, typ = cell // (nc * na), (cell // na) % nc, cell % na
+                        assert band <= wins.index(w)
+                        assert t is None or typ == {"look": 0, "star": 1}[t]
+                        if s == "other":
+                            assert cls == nc - 1
+                        elif s != "all" and "_" not in s:
+                            assert cls == list(map(str, SPEC.target_cates)).index(s)
+                    assert prev <= got
+                    prev = got
