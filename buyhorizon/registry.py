@@ -83,7 +83,7 @@ from .plans import score as SC  # noqa: E402
 from .plans import training as TR  # noqa: E402
 from .plans.catalogue import FAMILY_KEYS  # noqa: E402
 from .plans.features import feature_names  # noqa: E402
-from .session import scratch_path  # noqa: E402
+from .session import checkpoint_dir, scratch_path  # noqa: E402
 from .sources import io as IO  # noqa: E402
 
 A = SPEC.train_anchor
@@ -953,8 +953,9 @@ def q_stratified_folds(spark, sf):
 def _matrices(spark, sf):
     """Cleaned training table and the inference table, assembled with a fill
     fitted on train, checkpointed once (every fit then reads the vectors)."""
-    key = ("mat", sf)
+    key = ("mat", sf, spark.sparkContext.applicationId)
     if key not in _MEMO:
+        checkpoint_dir(spark)
         t = _t(spark, sf)
         removed = CL.clean_users_total(t, SPEC)
         train = CL.apply_cleaning(TR.build_training_table(t, SPEC), removed)
@@ -969,7 +970,7 @@ def _matrices(spark, sf):
 
 
 def _fitted(spark, sf, label, buyers_only=False):
-    key = ("fit", sf, label, buyers_only)
+    key = ("fit", sf, label, buyers_only, spark.sparkContext.applicationId)
     if key not in _MEMO:
         tr, te, _ = _matrices(spark, sf)
         data = tr.where(F.col(DAY) < SPEC.no_buy_day) if buyers_only else tr
