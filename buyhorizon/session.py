@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,18 +46,27 @@ def apply_sql_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
+    """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only when it is unset (local tests) do we pick a scratch folder of our own.
+    Where the setting is absent a local session (tests) gets a scratch folder,
+    once; any other master is refused, since a machine-local folder would be
+    invisible to the other executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(d)
+        return d.rstrip("/")
+    d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="buyhorizon-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="buyhorizon-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), name) if "://" not in base else base.rstrip("/") + "/" + name
+    return f"{checkpoint_dir(spark)}/{name}"
