@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 
@@ -71,3 +75,24 @@ def running_total(df: DataFrame, group: list[str], order: list[str], size: str,
         on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     return (d.join(totals, on).withColumn(out, F.col("_local") + F.col("_base"))
             .drop("_chunk", "_c", "_local", "_base", *[f"_g{i}" for i in range(len(group))]))
+
+
+def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: str) -> DataFrame:
+    """``keep`` columns of ``df`` plus ``outputs``, made by ``fn`` batch by batch.
+
+    ``fn`` gets the other columns as Python lists and returns one list or array
+    per output. Rows stay in Arrow, so kept values do not change type.
+    """
+    rest = [c for c in df.columns if c not in keep]
+    rows = df.select(*keep, *rest)
+    schema = StructType(rows.select(*keep).schema.fields + StructType.fromDDL(outputs).fields)
+    arrow, n = to_arrow_schema(schema), len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = fn(*[c.to_pylist() for c in batch.columns[n:]])
+            yield pa.RecordBatch.from_arrays(
+                [c.cast(f.type) for c, f in zip(batch.columns[:n], arrow, strict=False)]
+                + [pa.array(v, f.type) for v, f in zip(new, list(arrow)[n:], strict=True)], schema=arrow)
+
+    return rows.mapInArrow(run, schema)

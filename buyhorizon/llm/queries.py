@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, langid, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -17,6 +17,13 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    near = simhash.near_duplicates(rows, shingle=3, distance=2, seed=42)
+    return near.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @_query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -28,3 +35,19 @@ WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256 FROM t
 """
+
+
+def held_out(doc_id: str, folds: int, fold: int):
+    """Whether crc32 of the id as text falls into the fold that is not learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(folds)) == fold, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    return langid.fit(docs.where(~held_out("doc_id", 3, 1)).select(F.col("doc_id").alias("id"), "text", "lang"))
+
+
+@_query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "text")
+    return langid.predict(rows, language_model(docs), ["doc_id", "held_out"])
