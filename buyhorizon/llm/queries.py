@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, simhash
+from . import exact_dedup, langid, mixing, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -51,3 +51,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "text")
     return langid.predict(rows, language_model(docs), ["doc_id", "held_out"])
+
+
+@_query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_counts(table(spark, sf_dir, "documents"), "doc_id", weights=(5, 2, 1), most=3).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return sharding.shard_by_bytes(rows, shards=8).select(
+        F.col("id").alias("doc_id"), "size", F.col("crc32").alias("text_crc32"), F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
