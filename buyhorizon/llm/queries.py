@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, sharding, simhash
+from . import exact_dedup, langid, mixing, quality, sharding, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -58,6 +58,15 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_counts(table(spark, sf_dir, "documents"), "doc_id", weights=(5, 2, 1), most=3).withColumnRenamed("id", "doc_id")
 
 
+@_query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 4, 2)
+    labels = table(spark, sf_dir, "labels").where(~out).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    model = quality.fit(docs.where(~out).select(F.col("doc_id").alias("id"), "text"), labels)
+    scored = quality.scores(docs.select("doc_id", out.alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @_query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
