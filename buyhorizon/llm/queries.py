@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, quality, sharding, simhash
+from . import bpe, exact_dedup, langid, mixing, quality, sharding, simhash, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -24,6 +24,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = table(spark, sf_dir, "documents").select("text")
+    counted = token_counts.lengths(rows, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, [])
+    return token_counts.suffix_sums(token_counts.histogram(counted))
+
+
 @_query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -73,3 +82,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(rows, shards=8).select(
         F.col("id").alias("doc_id"), "size", F.col("crc32").alias("text_crc32"), F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
