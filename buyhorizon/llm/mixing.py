@@ -140,8 +140,8 @@ def mixed_counts(docs: DataFrame, id_col: str, weights: tuple[float, ...], **opt
     rows = stored(_sized(with_locators(docs), id_col), "mix-rows")
     sources, taken = take(rows, weights, **options)
     words = taken.groupBy("file", "row").agg(F.sum((F.col("to") - F.col("first")) * F.col("times")).alias("taken"))
-    words = stored(words, "mix-taken")
-    out = rows.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).join(words, ["file", "row"], "left")
+    words = stored(words, "mix-taken")  # its files are far smaller than its rows: never broadcast by their size
+    out = rows.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).join(words.hint("merge"), ["file", "row"], "left")
     return out.select(F.col("order").alias("id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
@@ -171,7 +171,7 @@ def mixed_documents(docs: DataFrame, id_col: str, weights: tuple[float, ...], **
     docs = with_locators(docs)
     _, taken = take(stored(_sized(docs, id_col), "mix-rows"), weights, **options)
     parts = stored(taken.groupBy("file", "row").agg(F.collect_list(F.struct("first", "to", "times")).alias("parts")), "mix-parts")  # of one document
-    whole = located(docs, [F.struct(*docs.columns).alias("whole")]).join(parts, ["file", "row"]).select("whole", F.col("whole.text").alias("text"), "parts")
+    whole = located(docs, [F.struct(*docs.columns).alias("whole")]).join(parts.hint("merge"), ["file", "row"]).select("whole", F.col("whole.text").alias("text"), "parts")
     copies = map_rows(whole, ["whole"], lambda texts, parts: [[texts_of(t, p) for t, p in zip(texts, parts, strict=True)]], "texts array<string>")
     copies = copies.select("whole", F.explode("texts").alias("mixed"))
     set_anew = {"text": F.col("mixed"), "n_chars": F.char_length("mixed")}
