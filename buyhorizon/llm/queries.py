@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, mixing, quality, sharding, simhash, token_counts
+from . import bpe, exact_dedup, imatch, langid, mixing, quality, sharding, simhash, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -62,6 +62,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, language_model(docs), ["doc_id", "held_out"])
 
 
+@_query
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return imatch.neighbours_compared(rows).withColumnRenamed("id", "doc_id")
+
+
 @_query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_counts(table(spark, sf_dir, "documents"), "doc_id", weights=(5, 2, 1), most=3).withColumnRenamed("id", "doc_id")
