@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, imatch, langid, mixing, quality, sharding, simhash, token_counts
+from . import bpe, exact_dedup, html_extract, imatch, langid, mixing, quality, sharding, simhash, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -62,6 +62,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, language_model(docs), ["doc_id", "held_out"])
 
 
+@_query
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"), html_extract.fit(), ["page_id", "url"])
+
+
 @_query
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
