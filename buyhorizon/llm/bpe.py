@@ -225,11 +225,11 @@ class Bpe:
     def decode(self, ids: list[int]) -> str:
         return self.pack(ids)[2]
 
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """Number of tokens, and SHA-256 of the ids joined by spaces and of the decoded text."""
+    def digests(self, text: str | None) -> tuple[list[tuple[int, str, str]], int, str, str]:
+        """The runs, the number of tokens, and SHA-256 of the ids joined by spaces and of the decoded text."""
         found = self.runs(text or "")
         join = " " if self.kind is None else ""
-        return (sum([x[0] for x in found]), hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
+        return (found, sum([x[0] for x in found]), hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
                 hashlib.sha256(join.join([x[2] for x in found]).encode("utf-8", "replace")).hexdigest())
 
 
@@ -268,8 +268,13 @@ def decoded(rows: DataFrame, path: str, keep: list[str]) -> DataFrame:
     return map_rows(rows, keep, lambda ids: [[bpe().decode(i or []) for i in ids]], "text string")
 
 
-def round_trip(rows: DataFrame, path: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 of each whole text, in one pass."""
+def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = False) -> DataFrame:
+    """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 of each whole text (and its ids), in one pass."""
     bpe = _on_worker(rows, path)
-    return map_rows(rows, keep, lambda texts: list(zip(*[bpe().digests(t) for t in texts], strict=True)) if texts else [[], [], []],
-                    "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+    def both(texts: list) -> list:
+        found = [bpe().digests(t) for t in texts]
+        ids = [[[int(i) for _, run, _ in f[0] for i in run.split()] for f in found]] if with_ids else []
+        return ids + [[f[k] for f in found] for k in (1, 2, 3)]
+
+    return map_rows(rows, keep, both, "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string")
