@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 #: Lengths summed by one window; the ranges' totals are summed once more.
-RANGE = 4096
+RANGE = 64
 
 
 def load(path: str) -> dict[bytes, int]:

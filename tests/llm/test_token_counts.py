@@ -11,7 +11,7 @@ PATH, PATTERN = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 
 
 def test_all_answers(spark):
-    texts = [None, "", "a", "a b c", "a b c", "word " * 5000, "x" * 4096, "Été <|endoftext|> 中文"] + [f"doc {i} " * (i % 17) for i in range(60)]
+    texts = [None, "", "a", "a b c", "a b c", "word " * 5000, "x" * 4096, "y " * 70, "Été <|endoftext|> 中文"] + [f"doc {i} " * (i % 17) for i in range(60)]
     enc = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=T.load(PATH), special_tokens={})
     n = [len(enc.encode_ordinary(t or "")) for t in texts]
     rows = spark.createDataFrame([(t, 1) for t in texts], "text string, n_tokens int").select("text")
