@@ -18,7 +18,7 @@ import base64
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, stored
 
 #: Lengths summed by one window; the ranges' totals are summed once more.
 RANGE = 64
@@ -45,8 +45,8 @@ def lengths(rows: DataFrame, path: str, pattern: str, keep: list[str]) -> DataFr
 
 
 def histogram(counted: DataFrame) -> DataFrame:
-    """(n_tokens, n_docs), one row per length that occurs."""
-    return counted.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    """(n_tokens, n_docs), one row per length that occurs; stored, since every answer reads it again."""
+    return stored(counted.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "length-histogram")
 
 
 def suffix_sums(hist: DataFrame) -> DataFrame:
