@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,8 +22,6 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="buyhorizon-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-ckpt-", dir="/tmp"))
 
     from buyhorizon.plans import cleaning as CL
     from buyhorizon.plans import score as SC
@@ -37,15 +34,15 @@ def main() -> None:
 
     def features_one_slip():
         t = load_fixture_tables(spark, sf_dir)
-        run(TR.build_table(t, S, S.train_anchor, [0], True, materialize=True))
+        run(TR.build_table(t, S, S.train_anchor, [0], True))
 
     def training_table():
         t = load_fixture_tables(spark, sf_dir)
-        run(TR.build_training_table(t, S, materialize=True))
+        run(TR.build_training_table(t, S))
 
     def inference_table():
         t = load_fixture_tables(spark, sf_dir)
-        run(TR.build_inference_table(t, S, materialize=True))
+        run(TR.build_inference_table(t, S))
 
     def user_cleaning():
         t = load_fixture_tables(spark, sf_dir)

@@ -2,8 +2,7 @@
 
 The feature families compile to hundreds of aggregate expressions. Building
 them as Column objects costs one driver-to-JVM call per function node; as
-SQL text each aggregation is parsed once. The semantics are those of
-``functions.aggregates`` / ``functions.columns``.
+SQL text each aggregation is parsed once.
 """
 
 from __future__ import annotations
@@ -40,33 +39,6 @@ def and_(*ps: str) -> str:
     return "true" if not ps else " AND ".join(f"({p})" for p in ps)
 
 
-def when(p: str, v: str) -> str:
-    return v if p == "true" else f"CASE WHEN {p} THEN {v} END"
-
-
-def rows(p: str) -> str:
-    return "count(1)" if p == "true" else f"count_if({p})"
-
-
-def guarded(p: str, agg: str) -> str:
-    return f"CASE WHEN {rows(p)} > 0 THEN {agg} END"
-
-
-AGG_SQL = {
-    "count": lambda p, c: guarded(p, f"count({when(p, c)})"),
-    "sum": lambda p, c: guarded(p, f"coalesce(sum({when(p, c)}), 0)"),
-    "mean": lambda p, c: f"avg({when(p, c)})",
-    "min": lambda p, c: f"min({when(p, c)})",
-    "max": lambda p, c: f"max({when(p, c)})",
-    "std": lambda p, c: f"stddev_samp({when(p, c)})",
-    "median": lambda p, c: f"median({when(p, c)})",
-}
-
-
-def agg(kind: str, p: str, c: str) -> str:
-    return AGG_SQL[kind](p, c)
-
-
 def ratio(a: str, b: str) -> str:
     return f"try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
 
@@ -78,19 +50,6 @@ def capped_ratio(a: str, b: str, cap: float = 1.0) -> str:
             f"ELSE least(CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE), {cap}) END")
 
 
-def slice_sql(targets, name: str, cate: str = "cate") -> str:
-    t = ", ".join(str(int(x)) for x in targets)
-    if name == "all":
-        return "true"
-    if name == "_".join(str(x) for x in targets):
-        return f"coalesce({cate} IN ({t}), false)"
-    if name == "other":
-        return f"NOT coalesce({cate} IN ({t}), false)"
-    return f"coalesce({cate} = {int(name)}, false)"
-
-
-def type_sql(spec, kind, a_type: str = "a_type") -> str:
-    if kind is None:
-        return "true"
-    code = {"look": spec.look_type, "star": spec.star_type}[kind]
-    return f"coalesce({a_type} = {code}, false)"
+def micros(ts: str) -> str:
+    """A timestamp without zone as microseconds since 1970, whatever the session's zone."""
+    return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})"

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import sqlexpr as X
 from ..session import checkpoint_dir
 
 
@@ -36,7 +37,7 @@ def last_per_user(df: DataFrame, order: list[str], cols: list[str], keys=("user_
 def max_measure_per_user(df: DataFrame, measure: str, date_col: str, cols: list[str],
                          keys=("user_id",)) -> DataFrame:
     """Row with the largest measure; equal maxima -> the earliest date."""
-    neg = df.withColumn("_neg_date", -F.unix_micros(F.col(date_col).cast("timestamp")))
+    neg = df.withColumn("_neg_date", -F.expr(X.micros(date_col)))
     picked = _extreme_per_key(neg.where(F.col(measure).isNotNull()), list(keys), [measure, "_neg_date"], cols, F.max)
     return picked
 

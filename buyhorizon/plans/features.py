@@ -1,34 +1,34 @@
 """Compile catalogue rows into Spark jobs and run them for all slips.
 
-Plan shape, per source (orders, comments, actions):
-
-1. facts are exploded to the slips whose widest window holds them (a narrow
-   Generate, no join) and each row is put in exactly one *cell*:
-   (window band, category class, action type). Bands are the disjoint day
-   ranges between consecutive windows, so a window is a union of bands, and
-   every slice / type selection is a union of classes;
-2. ``GROUP BY slip, user_id, cell`` computes ~20 narrow statistics per cell
-   (rows, counts, sums, sums of squares, min, max, flagged counts): a
-   code-generated hash aggregate with map-side partial aggregation, so a hot
-   user is pre-aggregated in every task before the shuffle;
+Plan shape, per source (orders, comments, actions), on the stored, date-pruned
+facts of ``plans.facts``:
+
+1. facts are first combined per (user, day, midnight flag, category class,
+   action type), before anything is copied to slips: counts, sums, sums of
+   squares, minima and maxima. Whatever depends on the anchor (day gaps, promo
+   and weekend days, window bounds) is a function of the day and the flag that
+   tells a timestamp at midnight from one later in the day;
+2. these day rows are exploded to the slips whose widest window holds them (a
+   narrow Generate, no join), get their *cell* (window band, category class,
+   action type) and are combined per (slip, user, cell). Both steps are
+   code-generated hash aggregates with map-side partials, so a hot user is
+   pre-aggregated in every task before each shuffle;
 3. the cell rows (at most K per user and slip, K fixed by the spec) are
    repartitioned on (slip, user_id); each is exploded to the *selections*
    (window, slice, type) it belongs to, the statistics are combined per
-   selection (sum / min / max), and the selection rows of a user are packed
-   into one dense ``array<struct>`` indexed by selection id. Both steps run
-   on that partitioning with no further exchange, and the joined rows stay
-   narrow (one array column per source instead of |selections| x
-   |statistics| columns, which would make the joins' generated code huge);
+   selection, and the selection rows of a user are packed into one dense
+   ``array<struct>`` indexed by selection id, so the joined rows stay narrow;
 4. each feature is a projection over its selection's statistics: mean =
    sum / count and the sample spread from (n, sum, sum of squares) in exact
    decimal arithmetic (all spread inputs are integers: day numbers, day
    gaps, quantities, scores).
 
-Exact distinct counts use the skew-safe bitmask stage of
-``operators.distinct`` (packed into one array per source); latest-row
-attributes use ``max(struct)`` in a small aggregation of their own (its
-buffer is not fixed-width). The user x slip spine LEFT JOINs every side on
-(slip, user_id); each side is already hash-partitioned on that key.
+Distinct counts dedupe (user, day, class, type, value) before the slips, then
+use the skew-safe bitmask stage of ``operators.distinct``. Latest-row attributes
+take the latest timestamp from the day rows (fixed width, hashed), join the
+facts at exactly these timestamps, and compare structs of the few rows left. The
+user x slip spine LEFT JOINs every side on (slip, user_id); each side is already
+hash-partitioned on that key.
 """
 
 from __future__ import annotations
@@ -41,12 +41,12 @@ from pyspark.sql import functions as F
 
 from ..functions import sqlexpr as X
 from ..functions.slices import slice_names
-from ..operators.calendar import explode_to_slips
 from ..operators.distinct import DistinctRequest, _agg_sql, multi_distinct_counts
 from ..spec import FeatureSpec
 from .catalogue import BY_KEY, CATALOGUE, FAMILY_SOURCE, SOURCE_TS, FeatureRow
 
 KEYS = ["slip", "user_id"]
+DAY_KEYS = ["user_id", "_day", "_mid", "_class", "_type"]
 GAP_BITS = 21  # day gaps inside a window are < 2**21
 
 # tie-break order of "latest row" per source (the attributes follow)
@@ -56,8 +56,11 @@ LAST_ORDER_KEYS = {
     "action": ("a_date", "a_type", "sku_id", "a_num"),
 }
 
-VALUE_SQL = {"month_order": "month(o_date)"}
+VALUE_SQL = {"month_order": "month(o_date)", "day_order": "dayofmonth(o_date)", "day_comment": "dayofmonth(comment_create_tm)",
+             "day": "dayofmonth(a_date)"}
 TS_COLUMNS = ("o_date", "a_date", "comment_create_tm")
+# values that follow from the day row alone
+DAY_FLAGS = ("_promo", "_weekend")
 
 
 def _value(col: str) -> str:
@@ -65,9 +68,7 @@ def _value(col: str) -> str:
 
 
 def _distinct_value(col: str) -> str:
-    if col in TS_COLUMNS:
-        return f"unix_micros(CAST({col} AS TIMESTAMP))"
-    return f"CAST({_value(col)} AS BIGINT)"
+    return X.micros(col) if col in TS_COLUMNS else f"CAST({_value(col)} AS BIGINT)"
 
 
 def select_windows(spec: FeatureSpec, sel: str) -> list[int]:
@@ -112,39 +113,55 @@ def cells(spec: FeatureSpec, src: str, w: int, s: str, t) -> list[int]:
     return [(b * nc + c) * na + a for b in range(wins.index(w) + 1) for c in cls for a in types]
 
 
-def prepare(df: DataFrame, src: str, spec: FeatureSpec) -> DataFrame:
-    """Per-row values and flags: the cell id, the gap to the anchor, the
-    comment delay, the promo / weekend / poor-score flags."""
+def class_pred(spec: FeatureSpec, s: str) -> str:
+    """A category slice as a predicate on the class number."""
+    targets = [str(x) for x in spec.target_cates]
+    if s == "all":
+        return "true"
+    if s == "_".join(targets):
+        return f"_class < {len(targets)}"
+    return f"_class = {len(targets) if s == 'other' else targets.index(s)}"
+
+
+def type_pred(t) -> str:
+    return "true" if t is None else f"_type = {({'look': 0, 'star': 1}[t])}"
+
+
+def with_day_keys(df: DataFrame, src: str, spec: FeatureSpec) -> DataFrame:
+    """The day of the timestamp, whether it is at midnight, the category class and the action type."""
     ts = SOURCE_TS[src]
-    wins = sorted(spec.windows)
-    band = "CASE " + " ".join(f"WHEN {ts} >= CAST(date_add(anchor, {-w}) AS TIMESTAMP_NTZ) THEN {i}"
-                              for i, w in enumerate(wins[:-1])) + f" ELSE {len(wins) - 1} END"
     cclass = "CASE " + " ".join(f"WHEN cate = {int(c)} THEN {i}" for i, c in enumerate(spec.target_cates)) \
         + f" ELSE {len(spec.target_cates)} END"
-    nc = len(spec.target_cates) + 1
-    na = _n_types(src)
     atype = (f"CASE WHEN a_type = {spec.look_type} THEN 0 WHEN a_type = {spec.star_type} THEN 1 ELSE 2 END"
              if src == "action" else "0")
-    cols = {
-        "_cell": f"(({band}) * {nc} + ({cclass})) * {na} + ({atype})",
-        "_promo": X.in_date_ranges(ts, spec.promo_days),
-        "_gap": X.day_gap("anchor_ts", ts),
-        "_weekend": f"coalesce(weekday({ts}) IN (5, 6), false)",
-        "_day_of_ts": f"unix_date(to_date({ts}))",
-    }
+    cols = {"_day": f"unix_date(to_date({ts}))", "_mid": f"{ts} = CAST(to_date({ts}) AS TIMESTAMP_NTZ)", "_class": cclass, "_type": atype}
     if src in ("order", "comment"):
         cols["_delay"] = X.day_gap("comment_create_tm", "o_date")
         cols["_poor"] = f"coalesce(score_level = {spec.poor_score}, false)"
-    keep = [c for c in df.columns if c not in cols]
-    return df.selectExpr(*keep, *[f"{v} AS {k}" for k, v in cols.items()])
+    return df.selectExpr("*", *[f"{v} AS {k}" for k, v in cols.items()])
+
+
+def day_to_slips(df: DataFrame, spec: FeatureSpec, anchors, widest: int) -> DataFrame:
+    """Day rows copied to the slips whose closed window, compared at midnight, holds them.
+
+    Adds slip, the anchor's day number ``_a``, the floored gap in days and the
+    flags of the day: a timestamp after midnight is outside when its day is the
+    window's last one, and its gap is one less.
+    """
+    rows = ", ".join(f"named_struct('slip', {int(s)}, 'a', unix_date({X.lit_date(a)}))" for s, a in anchors)
+    held = f"x -> _day >= x.a - {widest} AND (_day < x.a - 1 OR (_day = x.a - 1 AND _mid))"
+    copied = df.selectExpr("*", f"explode(filter(array({rows}), {held})) AS _s")
+    return copied.selectExpr(*df.columns, "_s.slip AS slip", "_s.a AS _a", "CAST(_s.a - _day - if(_mid, 0, 1) AS BIGINT) AS _gap",
+                             f"{X.in_date_ranges('date_from_unix_date(_day)', spec.promo_days)} AS _promo",
+                             "weekday(date_from_unix_date(_day)) IN (5, 6) AS _weekend")
 
 
 # ---- compiled plan -----------------------------------------------------------
 
 @dataclass
 class Compiled:
-    stats: dict = field(default_factory=dict)      # source -> {stat key: (alias, sql over fact rows)}
-    struct: dict = field(default_factory=dict)     # source -> {sig: (name, sql)} latest-row aggregates
+    stats: dict = field(default_factory=dict)      # source -> {stat key: alias}
+    struct: dict = field(default_factory=dict)     # source -> {(w, s, t): (name, attributes)} latest rows
     distinct: dict = field(default_factory=dict)   # source -> {sig: (name, DistinctRequest, w)}
     sels: dict = field(default_factory=dict)       # source -> {(w, s, t): selection id}
     outputs: list = field(default_factory=list)    # [(name, sql over pivot / helper columns)]
@@ -161,14 +178,14 @@ class Compiled:
     def stat(self, src: str, key: tuple) -> str:
         d = self.stats.setdefault(src, {})
         if key not in d:
-            d[key] = (f"{src[0]}{len(d)}", _stat_sql(key))
-        return d[key][0]
+            d[key] = f"{src[0]}{len(d)}"
+        return d[key]
 
-    def struct_agg(self, src: str, sig: tuple, sql: str) -> str:
+    def latest(self, src: str, sel: tuple, attrs: tuple) -> str:
         d = self.struct.setdefault(src, {})
-        if sig not in d:
-            d[sig] = (self._name(), sql)
-        return d[sig][0]
+        if sel not in d:
+            d[sel] = (self._name(), attrs)
+        return d[sel][0]
 
     def distinct_count(self, source: str, w: int, col: str, pred: str, sig: tuple) -> str:
         """A reference into the packed distinct-count array of ``source``."""
@@ -180,21 +197,35 @@ class Compiled:
         return f"_d_{source}[{list(d).index(key)}]"
 
 
-def _stat_sql(key: tuple) -> str:
-    kind = key[0]
-    if kind == "rows":
-        return "count(1)"
-    col = _value(key[1])
-    return {
-        "cnt": lambda: f"count({col})",
-        "sum": lambda: f"sum({col})",
-        "ssq": lambda: f"sum(CAST({col} AS BIGINT) * CAST({col} AS BIGINT))",
-        "min": lambda: f"min({col})",
-        "max": lambda: f"max({col})",
-        "rowsif": lambda: f"count_if({key[1]})",
-        "sumif": lambda: f"sum(CASE WHEN {key[2]} THEN {col} END)",
-        "maxenc": lambda: f"max(CASE WHEN {col} IS NOT NULL THEN CAST({col} AS BIGINT) * {1 << GAP_BITS} + _gap END)",
-    }[kind]()
+def day_stats(key: tuple) -> dict[str, str]:
+    """The aggregates over fact rows that a statistic needs per day row, by name."""
+    kind, col = key[0], key[1] if len(key) > 1 else None
+    if kind == "rows" or col in ("_gap", "_day_of_ts", *TS_COLUMNS) or kind == "rowsif" and col in DAY_FLAGS:
+        return {}
+    if kind == "rowsif":
+        return {f"if_{col}": f"count_if({col})"}
+    fn = {"sumif": "sum", "maxenc": "max"}.get(kind, kind)
+    sql = {"cnt": "count({})", "sum": "sum({})", "ssq": "sum(CAST({0} AS BIGINT) * CAST({0} AS BIGINT))", "min": "min({})", "max": "max({})"}[fn]
+    return {f"{fn}_{col}": sql.format(_value(col))}
+
+
+def slip_value(key: tuple) -> str:
+    """A statistic of one day row in one slip, from its day aggregates."""
+    kind, col = key[0], key[1] if len(key) > 1 else None
+    if kind == "rows" or kind == "cnt" and col in ("_gap", *TS_COLUMNS):
+        return "_n"
+    if col == "_gap":
+        return {"sum": "_n * _gap", "ssq": "_n * _gap * _gap", "min": "_gap", "max": "_gap"}[kind]
+    if col == "_day_of_ts":
+        return "_day"
+    if kind == "rowsif" and col in DAY_FLAGS:
+        return f"if({col}, _n, 0)"
+    own = next(iter(day_stats(key)))
+    if kind == "sumif":
+        return f"if({key[2]}, {own}, NULL)"
+    if kind == "maxenc":
+        return f"CAST({own} AS BIGINT) * {1 << GAP_BITS} + _gap"
+    return own
 
 
 class FeatureCompiler:
@@ -240,11 +271,11 @@ class FeatureCompiler:
 
     @staticmethod
     def _in_w(spec: FeatureSpec, w: int) -> str:
-        # distinct / struct stages read the widest window; narrow each request
-        return "" if w == spec.max_window else f"_ts >= CAST(date_add(anchor, {-w}) AS TIMESTAMP_NTZ)"
+        # the day rows of the widest window are read; narrow each request
+        return "" if w == spec.max_window else f"_day >= _a - {w}"
 
     def _row_pred(self, s: str, t) -> str:
-        return X.and_(X.slice_sql(self.spec.target_cates, s), X.type_sql(self.spec, t))
+        return X.and_(class_pred(self.spec, s), type_pred(t))
 
     # ---- compile one catalogue row -------------------------------------
     def add(self, row: FeatureRow) -> list[str]:
@@ -280,10 +311,7 @@ class FeatureCompiler:
                         names.append(self._out(name, f"CASE WHEN {rows} > 0 THEN "
                                                      f"{X.ratio(f'coalesce({num}, 0)', den)} END"))
                     elif k == "last":
-                        keys = LAST_ORDER_KEYS[src]
-                        fields = ", ".join([f"'k_{x}', {x}" for x in keys] + [f"'v_{x}', {x}" for x in row.attrs])
-                        p = X.and_(pred, inw)
-                        st = c.struct_agg(src, ("last", w, s, t), f"max({X.when(p, f'named_struct({fields})')})")
+                        st = c.latest(src, (w, s, t), row.attrs)
                         for a in row.attrs:
                             names.append(self._out(name.format(attr=a), f"{st}.v_{a}"))
                     elif k == "last_promo":
@@ -316,7 +344,7 @@ class FeatureCompiler:
                     elif k == "conversion":
                         oids = (w, s, None)
                         orows = self.add_("order", oids, ("rows",))
-                        od = c.distinct_count("order", w, "o_id", X.and_(X.slice_sql(spec.target_cates, s), inw),
+                        od = c.distinct_count("order", w, "o_id", X.and_(class_pred(spec, s), inw),
                                               ("n", s, None))
                         asum = self.add_(src, ids, ("sum", "a_num"))
                         names.append(self._out(name, f"CASE WHEN {orows} > 0 AND {rows} > 0 THEN "
@@ -339,19 +367,27 @@ COMBINE = {"rows": "sum", "cnt": "sum", "sum": "sum", "ssq": "sum", "rowsif": "s
            "min": "min", "max": "max", "maxenc": "max"}
 
 
+def _band(spec: FeatureSpec) -> str:
+    wins = sorted(spec.windows)
+    return "CASE " + " ".join(f"WHEN _day >= _a - {w} THEN {i}" for i, w in enumerate(wins[:-1])) + f" ELSE {len(wins) - 1} END"
+
+
 def selection_table(facts: DataFrame, src: str, stats: dict, sels: dict, spec: FeatureSpec,
                     anchors) -> DataFrame:
-    """Stages 1-3: cell statistics, combined per selection, pivoted to one
-    row per (slip, user_id)."""
-    data = prepare(explode_to_slips(facts, SOURCE_TS[src], anchors, -spec.max_window, -1), src, spec)
-    per_cell = _agg_sql(data, KEYS + ["_cell"], [f"{sql} AS {a}" for a, sql in stats.values()])
+    """Stages 1-3: day statistics, cell statistics, combined per selection,
+    packed to one row per (slip, user_id)."""
+    own = {name: sql for key in stats for name, sql in day_stats(key).items()}
+    days = _agg_sql(with_day_keys(facts, src, spec), DAY_KEYS, ["count(1) AS _n", *[f"{sql} AS {name}" for name, sql in own.items()]])
+    cell = f"(({_band(spec)}) * {len(spec.target_cates) + 1} + _class) * {_n_types(src)} + _type"
+    data = day_to_slips(days, spec, anchors, spec.max_window).selectExpr(*KEYS, f"{cell} AS _cell", *[f"{slip_value(k)} AS {a}" for k, a in stats.items()])
+    per_cell = _agg_sql(data, KEYS + ["_cell"], [f"{COMBINE[k[0]]}({a}) AS {a}" for k, a in stats.items()])
     # cell id -> the selections it belongs to (a fixed, spec-sized lookup)
     member = [[] for _ in range(n_cells(spec, src))]
     for (w, s, t), sid in sels.items():
-        for cell in cells(spec, src, w, s, t):
-            member[cell].append(sid)
+        for c in cells(spec, src, w, s, t):
+            member[c].append(sid)
     lookup = "array(" + ", ".join(f"CAST(array({', '.join(map(str, m))}) AS ARRAY<INT>)" for m in member) + ")"
-    aliases = [(a, COMBINE[key[0]]) for key, (a, _) in stats.items()]
+    aliases = [(a, COMBINE[key[0]]) for key, a in stats.items()]
     n = len(sels)
     # repartitioned once on (slip, user_id): both aggregates below run on that
     # partitioning without another exchange
@@ -367,31 +403,59 @@ def selection_table(facts: DataFrame, src: str, stats: dict, sels: dict, spec: F
             .selectExpr(*KEYS, f"transform(sequence(0, {n - 1}), i -> try_element_at(_m, i)) AS _s_{src}"))
 
 
-def run_compiled(c: Compiled, facts: dict[str, DataFrame], spine: DataFrame, spec: FeatureSpec,
+def distinct_table(facts: DataFrame, src: str, reqs: dict, spec: FeatureSpec, anchors) -> DataFrame:
+    """All distinct counts of a source, packed into one array per (slip, user_id)."""
+    cols = list(dict.fromkeys(r.value_key for _, r, _ in reqs.values()))
+    values = ", ".join(f"named_struct('_vid', {i}, '_v', {_distinct_value(c)})" for i, c in enumerate(cols))
+    days = (with_day_keys(facts, src, spec).selectExpr(*DAY_KEYS, f"inline(array({values}))").where("_v IS NOT NULL")
+            .groupBy(*DAY_KEYS, "_vid", "_v").agg(F.lit(1).alias("_one")).drop("_one"))
+    data = day_to_slips(days, spec, anchors, max(w for _, _, w in reqs.values()))
+    own = [DistinctRequest(r.out, r.value_key, "_v", X.and_(f"_vid = {cols.index(r.value_key)}", r.pred)) for _, r, _ in reqs.values()]
+    packed = ", ".join(f"CAST({n} AS BIGINT)" for n, _, _ in reqs.values())
+    return multi_distinct_counts(data, KEYS, own).selectExpr(*KEYS, f"array({packed}) AS _d_{src}")
+
+
+def latest_table(facts: DataFrame, src: str, wanted: dict, spec: FeatureSpec, anchors) -> DataFrame:
+    """The attributes of the latest row of each selection, as one struct each.
+
+    The latest timestamp of a selection comes from the day rows by a hashed
+    aggregate; only the fact rows at such a timestamp are compared as structs.
+    """
+    keyed = with_day_keys(facts, src, spec).withColumn("_at", F.expr(X.micros(SOURCE_TS[src])))
+    days = keyed.groupBy(*DAY_KEYS).agg(F.max("_at").alias("_at"))
+    preds = {i: X.and_(class_pred(spec, s), type_pred(t)) for i, (w, s, t) in enumerate(wanted)}
+    inside = {i: X.and_(preds[i], f"_day >= _a - {w}") for i, (w, s, t) in enumerate(wanted)}
+    tops = _agg_sql(day_to_slips(days, spec, anchors, max(w for w, _, _ in wanted)), KEYS, [f"max(CASE WHEN {p} THEN _at END) AS _m{i}" for i, p in inside.items()])
+    tops = tops.selectExpr(*KEYS, "inline(array(" + ", ".join(f"named_struct('_req', {i}, '_at', _m{i})" for i in inside) + "))").where("_at IS NOT NULL")
+    fits = " OR ".join(f"(_req = {i} AND {p})" for i, p in preds.items())
+    rows = tops.join(keyed, ["user_id", "_at"]).where(fits)
+    out = []
+    for i, (name, attrs) in enumerate(wanted.values()):
+        fields = ", ".join([f"'k_{x}', {x}" for x in LAST_ORDER_KEYS[src]] + [f"'v_{x}', {x}" for x in attrs])
+        out.append(f"max(CASE WHEN _req = {i} THEN named_struct({fields}) END) AS {name}")
+    return _agg_sql(rows, KEYS, out)
+
+
+def run_compiled(c: Compiled, facts, spine: DataFrame, spec: FeatureSpec,
                  anchor: dt.date, slips=None) -> DataFrame:
-    """Execute: every side joined onto the spine, then the named outputs."""
+    """Execute: every side joined onto the spine, then the named outputs.
+
+    ``facts`` gives the stored facts of a source (``plans.facts.Facts``)."""
     anchors = spec.anchors(anchor, slips)
     sides = []
     for src, stats in sorted(c.stats.items()):
-        sides.append(selection_table(facts[src], src, stats, c.sels[src], spec, anchors))
-    for src, aggs in sorted(c.struct.items()):
-        data = explode_to_slips(facts[src], SOURCE_TS[src], anchors, -spec.max_window, -1) \
-            .withColumn("_ts", F.col(SOURCE_TS[src]))
-        sides.append(_agg_sql(data, KEYS, [f"{sql} AS {n}" for n, sql in aggs.values()]))
+        sides.append(selection_table(facts.of(src, spec, anchors), src, stats, c.sels[src], spec, anchors))
+    for src, wanted in sorted(c.struct.items()):
+        sides.append(latest_table(facts.of(src, spec, anchors), src, wanted, spec, anchors))
     for src, reqs in sorted(c.distinct.items()):
-        wmax = max(w for _, _, w in reqs.values())
-        data = prepare(explode_to_slips(facts[src], SOURCE_TS[src], anchors, -wmax, -1), src, spec) \
-            .withColumn("_ts", F.col(SOURCE_TS[src]))
-        counts = multi_distinct_counts(data, KEYS, [r for _, r, _ in reqs.values()])
-        packed = ", ".join(f"CAST({n} AS BIGINT)" for n, _, _ in reqs.values())
-        sides.append(counts.selectExpr(*KEYS, f"array({packed}) AS _d_{src}"))
+        sides.append(distinct_table(facts.of(src, spec, anchors), src, reqs, spec, anchors))
     out = spine
     for side in sides:
         out = out.join(side, KEYS, "left")
     return out.selectExpr(*spine.columns, *[f"{sql} AS `{n}`" for n, sql in c.outputs])
 
 
-def build_features(facts: dict[str, DataFrame], spine: DataFrame, spec: FeatureSpec, anchor: dt.date,
+def build_features(facts, spine: DataFrame, spec: FeatureSpec, anchor: dt.date,
                    keys=None, slips=None) -> DataFrame:
     rows = CATALOGUE if keys is None else [BY_KEY[k] for k in keys]
     c, _ = compile_rows(spec, rows)

@@ -7,13 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import sqlexpr as X
 from ..operators.calendar import sample_spine
-from ..session import checkpoint_dir
-from ..operators.enrich import join_action_enriched, join_order_enriched
 from ..sources.fixtures import Tables
 from ..spec import FeatureSpec
 from .catalogue import CATALOGUE, FAMILY_KEYS
+from .facts import Facts
 from .features import compile_rows, run_compiled
 from .labels import attach_labels, label_names
 
@@ -21,36 +19,8 @@ ID_COLUMNS = ["user_id"]
 USER_CODES = ["sex", "user_lv_cd", "age"]
 
 
-def facts_of(t: Tables, spec: FeatureSpec | None = None, anchors: list[dt.date] | None = None,
-             materialize: bool = False) -> dict[str, DataFrame]:
-    """Enriched facts per source. With ``materialize`` the facts inside the
-    date range the anchors need are checkpointed once into the shared
-    checkpoint folder: every grouped pass then reads them instead of
-    re-running the enrichment joins, and lineage is cut."""
-    orders = join_order_enriched(t)
-    actions = join_action_enriched(t)
-    if materialize and spec is not None and anchors:
-        lo = min(anchors) - dt.timedelta(days=spec.max_window)
-        hi = max(anchors) + dt.timedelta(days=spec.label_window)
-        orders = _checkpoint(_date_range(orders, ("o_date", "comment_create_tm"), lo, hi))
-        actions = _checkpoint(_date_range(actions, ("a_date",), lo, hi))
-    return {"order": orders, "comment": orders, "action": actions}
-
-
-def _date_range(df: DataFrame, cols, lo: dt.date, hi: dt.date) -> DataFrame:
-    cond = " OR ".join(f"({c} >= {X.midnight_of(lo)} AND {c} <= {X.midnight_of(hi)})" for c in cols)
-    return df.where(cond)
-
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder. Inputs with fewer partitions
-    than task slots are spread round-robin first (never by user: a hot user
-    must not land in one task; the grouped passes pre-aggregate map-side)."""
-    checkpoint_dir(df.sparkSession)
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df.checkpoint(eager=True)
+def facts_of(t: Tables) -> Facts:
+    return Facts(t)
 
 
 def onehot_users(df: DataFrame, spec: FeatureSpec, cols=USER_CODES) -> DataFrame:
@@ -64,33 +34,29 @@ def onehot_users(df: DataFrame, spec: FeatureSpec, cols=USER_CODES) -> DataFrame
 
 
 def nan_count(df: DataFrame, feature_cols: list[str]) -> DataFrame:
-    """Nulls per row over the feature columns (the true count)."""
-    n = F.lit(0)
-    for c in feature_cols:
-        n = n + F.col(c).isNull().cast("int")
-    return df.withColumn("NaNcount", n)
+    """Nulls per row over the feature columns (the true count): one flat array, not a chain of sums."""
+    flags = ", ".join(f"`{c}` IS NULL" for c in feature_cols)
+    return df.withColumn("NaNcount", F.expr(f"size(filter(array({flags}), x -> x))"))
 
 
 def build_table(t: Tables, spec: FeatureSpec, anchor: dt.date, slips=None, is_training: bool = True,
-                keys=None, onehot: bool = True, materialize: bool = False) -> DataFrame:
+                keys=None, onehot: bool = True) -> DataFrame:
     """One row per (slip, user): ids, labels, features, one-hot user codes."""
     slips = list(spec.slips if slips is None else slips)
-    facts = facts_of(t, spec, [a for _, a in spec.anchors(anchor, slips)], materialize)
     spine = sample_spine(t.user.select("user_id", *USER_CODES), spec, anchor, slips)
-    spine = attach_labels(spine, facts["order"], spec, anchor, is_training, slips)
+    spine = attach_labels(spine, t, spec, anchor, is_training, slips)
     rows = CATALOGUE if keys is None else [r for r in CATALOGUE if r.key in set(keys)]
     c, _ = compile_rows(spec, rows)
-    out = run_compiled(c, facts, spine, spec, anchor, slips).drop("anchor")
+    out = run_compiled(c, Facts(t), spine, spec, anchor, slips).drop("anchor")
     return onehot_users(out, spec) if onehot else out
 
 
-def build_training_table(t: Tables, spec: FeatureSpec, keys=None, materialize: bool = False) -> DataFrame:
-    return build_table(t, spec, spec.train_anchor, spec.slips, True, keys, materialize=materialize)
+def build_training_table(t: Tables, spec: FeatureSpec, keys=None) -> DataFrame:
+    return build_table(t, spec, spec.train_anchor, spec.slips, True, keys)
 
 
-def build_inference_table(t: Tables, spec: FeatureSpec, keys=None, anchor: dt.date | None = None,
-                          materialize: bool = False) -> DataFrame:
-    return build_table(t, spec, anchor or spec.test_anchor, [0], False, keys, materialize=materialize)
+def build_inference_table(t: Tables, spec: FeatureSpec, keys=None, anchor: dt.date | None = None) -> DataFrame:
+    return build_table(t, spec, anchor or spec.test_anchor, [0], False, keys)
 
 
 def feature_columns(df: DataFrame, spec: FeatureSpec) -> list[str]:
@@ -99,11 +65,9 @@ def feature_columns(df: DataFrame, spec: FeatureSpec) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
-def family_table(t: Tables, spec: FeatureSpec, family: str, anchor: dt.date | None = None, slips=(0,),
-                 materialize: bool = False) -> DataFrame:
+def family_table(t: Tables, spec: FeatureSpec, family: str, anchor: dt.date | None = None, slips=(0,)) -> DataFrame:
     """features_orders / features_comments / features_actions for the given slips."""
     anchor = anchor or spec.train_anchor
-    facts = facts_of(t, spec, [a for _, a in spec.anchors(anchor, list(slips))], materialize)
     spine = sample_spine(t.user.select("user_id"), spec, anchor, list(slips))
     c, _ = compile_rows(spec, [r for r in CATALOGUE if r.key in set(FAMILY_KEYS[family])])
-    return run_compiled(c, facts, spine, spec, anchor, list(slips)).drop("anchor")
+    return run_compiled(c, Facts(t), spine, spec, anchor, list(slips)).drop("anchor")

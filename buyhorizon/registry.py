@@ -281,7 +281,7 @@ def _labels(spark, sf):
     t = _t(spark, sf)
     from .operators.calendar import sample_spine
     spine = sample_spine(t.user.select("user_id"), SPEC, A, list(SPEC.slips))
-    return LB.attach_labels(spine, join_order_enriched(t), SPEC, A, True, list(SPEC.slips)).drop("anchor")
+    return LB.attach_labels(spine, t, SPEC, A, True, list(SPEC.slips)).drop("anchor")
 
 
 register("drop_columns", _LABELS_ALL)(lambda spark, sf: normalize(_labels(spark, sf)))
@@ -385,7 +385,7 @@ gv_pos AS (SELECT u.user_id, f.buy, {O.gap_sql('f.first', 'l.last')} AS day, l.l
                                     f"CAST(day AS BIGINT) AS {DAY}, last AS Sample_30_101_LastTime FROM gv_pos", _GAPV))
 def q_join_label_positive(spark, sf):
     t = _t(spark, sf)
-    v = LB.label_gap_variant(t.user, join_order_enriched(t), t.action, SPEC, A, 30, [0])
+    v = LB.label_gap_variant(t, SPEC, A, 30, [0])
     return normalize(v.where(F.col("Sample_30_101_LastTime").isNotNull()))
 
 
@@ -395,7 +395,7 @@ def q_join_label_positive(spark, sf):
     f"WHERE user_id NOT IN (SELECT user_id FROM gv_pos)", _GAPV))
 def q_label_gap_variant(spark, sf):
     t = _t(spark, sf)
-    return normalize(LB.label_gap_variant(t.user, join_order_enriched(t), t.action, SPEC, A, 30, [0]))
+    return normalize(LB.label_gap_variant(t, SPEC, A, 30, [0]))
 
 
 _CLEAN = f"""
@@ -614,7 +614,7 @@ def q_label_inference(spark, sf):
     t = _t(spark, sf)
     from .operators.calendar import sample_spine
     spine = sample_spine(t.user.select("user_id"), SPEC, TA, [0])
-    return normalize(LB.attach_labels(spine, join_order_enriched(t), SPEC, TA, False, [0]).drop("anchor"))
+    return normalize(LB.attach_labels(spine, t, SPEC, TA, False, [0]).drop("anchor"))
 
 
 @register("label_balance", f"SELECT slip, count(*) FILTER (WHERE {BUY} > 0) AS positives, count(*) FILTER (WHERE "

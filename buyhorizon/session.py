@@ -4,19 +4,16 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings the jobs rely on. AQE re-plans joins and coalesces
-# partitions at run time; skew join splits hot partitions; the session zone is
-# pinned because day gaps are computed from timestamps without zone.
+# Defaults for sessions this library builds. Broadcast thresholds and memory are
+# left to the cluster; results depend on none of these settings.
 SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    # broadcast only below this estimated size; above it Spark shuffles
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
 
@@ -32,17 +29,7 @@ def build_session(master: str | None = None, app: str = "buyhorizon",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
-    spark = b.getOrCreate()
-    apply_sql_defaults(spark)
-    return spark
-
-
-def apply_sql_defaults(spark: SparkSession) -> None:
-    """Set the runtime settings on an existing session (e.g. the driver's)."""
-    for k, v in SQL_DEFAULTS.items():
-        if k == "spark.sql.autoBroadcastJoinThreshold" and spark.conf.get(k, None) not in (None, "10485760", "10MB"):
-            continue  # keep a threshold the cluster chose
-        spark.conf.set(k, v)
+    return b.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -70,3 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A table location under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: shared by later passes, lineage cut."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
