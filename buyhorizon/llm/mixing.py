@@ -122,7 +122,8 @@ def take(rows: DataFrame, weights: tuple[float, ...], most: int = 3, block: int
     at = at.join(sources.select(F.col("source").alias("_source"), "number"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     last = F.expr(f"(at + size - 1) div {block}")
     pieces = at.withColumn("block", F.explode(F.sequence(F.expr(f"at div {block}"), last)))
-    taken = pieces.join(used, ["number", "block"])
+    # made by explode from a few rows, so Spark's estimate of it is far too low: never broadcast
+    taken = pieces.join(used.hint("merge"), ["number", "block"])
     return sources, taken.select(*rows.columns, F.greatest(F.lit(0), F.col("block") * block - F.col("at")).alias("first"),
                                  F.least(F.col("size"), (F.col("block") + 1) * block - F.col("at")).alias("to"), "times")
 
