@@ -37,11 +37,6 @@ def day_gap(later: Column, earlier: Column) -> Column:
     return F.floor(F.timestamp_diff("SECOND", earlier, later) / F.lit(SECONDS_PER_DAY)).cast("bigint")
 
 
-def in_closed_days(ts: Column, first_day: Column, last_day: Column) -> Column:
-    """Closed window of days compared at midnight: first 00:00 <= ts <= last 00:00."""
-    return (ts >= midnight(first_day)) & (ts <= midnight(last_day))
-
-
 def in_date_ranges(ts: Column, ranges) -> Column:
     """Membership of the calendar day of ``ts`` in a set of closed day ranges."""
     d = F.to_date(ts)
@@ -51,22 +46,10 @@ def in_date_ranges(ts: Column, ranges) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def weekday(ts: Column) -> Column:
-    """0 = Monday ... 6 = Sunday."""
-    return F.weekday(ts)
-
-
 def ratio(num: Column, den: Column) -> Column:
     """Division with null for a zero or missing denominator (ANSI-safe)."""
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def capped_ratio(num: Column, den: Column, cap: float = 1.0) -> Column:
-    """num/den capped at ``cap``; a zero denominator (infinite ratio) gives the cap."""
-    return (F.when(num.isNull() | den.isNull(), F.lit(None).cast("double"))
-            .when(den == 0, F.when(num == 0, F.lit(None).cast("double")).otherwise(F.lit(cap)))
-            .otherwise(F.least(num.cast("double") / den.cast("double"), F.lit(cap))))
-
-
 def is_null_flag(c: Column) -> Column:
     return c.isNotNull().cast("int")

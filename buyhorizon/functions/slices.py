@@ -23,6 +23,7 @@ def slice_names(spec: FeatureSpec, kind: str) -> list[str]:
         "2": ["all", joined],
         "3": ["all", joined, "other"],
         "targets": [joined, *t, "other"],
+        "classes": [joined, *t],
     }[kind]
 
 
@@ -37,9 +38,3 @@ def slice_pred(spec: FeatureSpec, name: str, cate: str = "cate") -> Column:
         return ~F.coalesce(c.isin(targets), F.lit(False))
     return F.coalesce(c == int(name), F.lit(False))
 
-
-def type_pred(spec: FeatureSpec, kind: str | None, a_type: str = "a_type") -> Column:
-    if kind is None:
-        return F.lit(True)
-    code = {"look": spec.look_type, "star": spec.star_type}[kind]
-    return F.coalesce(F.col(a_type) == code, F.lit(False))

@@ -66,19 +66,8 @@ def sample_facts(df: DataFrame, ts_col: str, spec: FeatureSpec, anchor: dt.date,
     return explode_to_slips(df, ts_col, spec.anchors(anchor, slips), -window, -1)
 
 
-def label_facts(df: DataFrame, ts_col: str, spec: FeatureSpec, anchor: dt.date, slips=None) -> DataFrame:
-    """Facts in the label window of each slip."""
-    return explode_to_slips(df, ts_col, spec.anchors(anchor, slips), 0, spec.label_window)
-
-
 def sample_spine(users: DataFrame, spec: FeatureSpec, anchor: dt.date, slips=None) -> DataFrame:
     """Every user once per slip (users x anchors by explode, no join)."""
     return (users.withColumn("_slip", F.explode(anchors_array(spec.anchors(anchor, slips))))
                  .withColumns({"slip": F.col("_slip.slip"), "anchor": F.col("_slip.anchor")})
                  .drop("_slip"))
-
-
-def slip_calendar_df(spark, spec: FeatureSpec, anchor: dt.date, slips=None) -> DataFrame:
-    rows = slip_calendar(spec, anchor, slips)
-    return spark.createDataFrame(rows, "slip int, anchor date, sample_start date, sample_end date, "
-                                       "label_start date, label_end date")

@@ -38,7 +38,3 @@ def join_action_enriched(t: Tables) -> DataFrame:
     """action LEFT JOIN sku, with the day of month of the action."""
     return (t.action.join(t.sku.select("sku_id", *SKU_COLUMNS), "sku_id", "left")
                     .withColumn("day", F.dayofmonth("a_date")))
-
-
-def join_user_attributes(df: DataFrame, users: DataFrame) -> DataFrame:
-    return df.join(users.select("user_id", "age", "sex", "user_lv_cd"), "user_id", "left")

@@ -88,3 +88,16 @@ def rank_weight(topk: DataFrame, order: list) -> DataFrame:
     w = Window.orderBy(*order)
     return (topk.withColumn("index", F.row_number().over(w))
                 .withColumn("wi", 1.0 / (1.0 + F.log(F.col("index").cast("double")))))
+
+
+def exact_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """The exact median per key from value counts: a key with a third of all rows is
+    first combined per (key, value), and only its distinct values meet in one window."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    by_value = Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    seen = counts.withColumn("_upto", F.sum("_n").over(by_value)).withColumn("_all", F.sum("_n").over(Window.partitionBy(key)))
+    # the rows at positions floor((n + 1) / 2) and floor((n + 2) / 2), which coincide for odd n
+    low, high = F.expr("(_all + 1) div 2"), F.expr("(_all + 2) div 2")
+    before = F.col("_upto") - F.col("_n")
+    hit = lambda at: F.when((before < at) & (at <= F.col("_upto")), F.col(value).cast("double"))
+    return seen.groupBy(key).agg(((F.max(hit(low)) + F.max(hit(high))) / 2).alias(out))

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from .plans.catalogue import BY_KEY, FAMILY_SOURCE, FeatureRow
-from .plans.features import LAST_ORDER_KEYS, _slices, select_windows
+from .plans.catalogue import BY_KEY, FAMILY_SOURCE, VARIANTS, FeatureRow
 from .sources.fixtures import FIXTURE_SQL
 from .spec import FeatureSpec
 
@@ -30,6 +29,24 @@ aus AS (
  FROM f_action a LEFT JOIN f_sku s ON a.sku_id = s.sku_id)
 """
 
+# Stated here once more, as literals, so that a wrong window, slice, anchor or
+# tie-break order in the engine cannot pass on both sides.
+WINDOWS = {"all": (30, 60, 90, 180), "recency": (60, 90, 180), "long": (180,)}
+SLICES = {"1": ("all",), "2": ("all", "30_101"), "3": ("all", "30_101", "other"), "4": ("all", "30_101", "30", "101"),
+          "5": ("all", "30_101", "30", "101", "other"), "targets": ("30_101", "30", "101", "other"), "classes": ("30_101", "30", "101")}
+ANCHORS = {("2001-05-01", 0): "2001-05-01", ("2001-05-01", 2): "2001-02-28", ("2001-05-01", 3): "2001-01-28", ("2001-05-01", 4): "2000-12-28",
+           ("2001-06-01", 0): "2001-06-01", ("2001-07-01", 0): "2001-07-01"}
+LAST_ORDER = {"order": ("o_date", "o_id", "sku_id", "comment_create_tm", "score_level"),
+              "comment": ("comment_create_tm", "o_date", "o_id", "sku_id", "score_level"),
+              "action": ("a_date", "a_type", "sku_id", "a_num")}
+LABEL_DAYS = 30
+ONEHOT = {"sex": (0, 1, 2), "user_lv_cd": (1, 2, 3, 4, 5), "age": (1, 2, 3, 4, 5, 6)}
+
+
+def anchor_of(anchor: dt.date, slip: int) -> dt.date:
+    return dt.date.fromisoformat(ANCHORS[anchor.isoformat(), slip])
+
+
 SRC_TABLE = {"order": "ocus", "comment": "ocus", "action": "aus"}
 SRC_TS = {"order": "o_date", "comment": "comment_create_tm", "action": "a_date"}
 DOUBLE_ATTRS = {"price"}
@@ -130,10 +147,10 @@ class OracleBuilder:
         spec, A = self.spec, self.anchor
         src = FAMILY_SOURCE[row.family]
         ts = SRC_TS[src]
-        for w in select_windows(spec, row.windows):
+        for w in WINDOWS[row.windows]:
             prefix = f"{row.family}_{w}slip_"
             for t in row.types:
-                for s in _slices(spec, row.slices):
+                for s in SLICES[row.slices]:
                     p = f"({slice_sql(spec, s)} AND {type_sql(spec, t)})"
                     name = prefix + row.pattern.format(agg="{agg}", attr="{attr}", col=row.col, s=s)
                     rows = self.agg(src, w, f"count(*) FILTER (WHERE {p})")
@@ -158,10 +175,10 @@ class OracleBuilder:
                     elif k in ("share_count", "share_nunique"):
                         d = "DISTINCT " if k == "share_nunique" else ""
                         num = self.agg(src, w, f"count({d}{row.col}) FILTER (WHERE {p})")
-                        den = self.agg(src, w, f"count({d}{row.col})")
+                        den = self.agg(src, w, f"count({d}{row.col}) FILTER (WHERE {type_sql(spec, t)})")
                         self.out(dbl(f"CASE WHEN {rows} > 0 THEN {num} / {den} END"), name)
                     elif k == "last":
-                        keys = list(LAST_ORDER_KEYS[src]) + list(row.attrs)
+                        keys = list(LAST_ORDER[src]) + list(row.attrs)
                         order = [f"{x} DESC NULLS LAST" for x in keys]
                         r = self.ranked(src, w, p, order, [f"{a} AS {a}" for a in row.attrs])
                         for a in row.attrs:
@@ -218,7 +235,7 @@ class OracleBuilder:
 
 
 def label_cte(spec: FeatureSpec, anchor: dt.date, name: str) -> str:
-    hi = anchor + dt.timedelta(days=spec.label_window)
+    hi = anchor + dt.timedelta(days=LABEL_DAYS)
     return (f"{name} AS (SELECT user_id, count(DISTINCT o_id) AS buy, min(o_date) AS first FROM ocus "
             f"WHERE o_date >= {ts_lit(anchor)} AND o_date <= {ts_lit(hi)} AND {slice_sql(spec, '_'.join(str(c) for c in spec.target_cates))} "
             f"GROUP BY user_id)")
@@ -236,7 +253,7 @@ def label_cols(spec: FeatureSpec, anchor: dt.date, name: str, is_training: bool
 def onehot_cols(spec: FeatureSpec) -> list[str]:
     out = []
     for c in ("sex", "user_lv_cd", "age"):
-        for v in spec.onehot_vocab[c]:
+        for v in ONEHOT[c]:
             out.append(f"CAST(CASE WHEN u.{c} = {v} THEN 1 ELSE 0 END AS BIGINT) AS {c}_{v}")
     return out
 
@@ -245,7 +262,8 @@ def table_sql(spec: FeatureSpec, keys, anchor: dt.date, slips, labels: bool = Tr
               onehot: bool = False, slip_col: bool = True) -> str:
     """Union over slips of spine [+ labels] + features [+ one-hot]."""
     all_ctes, bodies = [], []
-    for s, a in spec.anchors(anchor, slips):
+    for s in slips:
+        a = anchor_of(anchor, s)
         b = OracleBuilder(spec, a, prefix=f"s{s}_")
         for k in keys:
             b.add(BY_KEY[k])
@@ -267,5 +285,6 @@ def table_sql(spec: FeatureSpec, keys, anchor: dt.date, slips, labels: bool = Tr
 
 def feature_key_sql(spec: FeatureSpec, key: str, anchor: dt.date | None = None) -> str:
     b = OracleBuilder(spec, anchor or spec.train_anchor)
-    b.add(BY_KEY[key])
+    for row in VARIANTS.get(key) or (BY_KEY[key],):
+        b.add(row)
     return b.sql()

@@ -8,7 +8,7 @@ Window selectors: ``all`` = every window, ``recency`` = every window except
 ``spec.recency_skip_window``, ``long`` = only ``spec.long_window``.
 Slice sets: ``5`` all/30_101/30/101/other, ``4`` all/30_101/30/101,
 ``3`` all/30_101/other, ``2`` all/30_101, ``targets`` 30_101/30/101/other,
-``1`` all (names come from the target categories of the spec).
+``classes`` 30_101/30/101, ``1`` all (names come from the target categories of the spec).
 """
 
 from __future__ import annotations
@@ -91,5 +91,14 @@ CATALOGUE: tuple[FeatureRow, ...] = (
     R("ac_star_promo_share", "AC", "promo_sum", "a_num", (), "4", "{col}_{s}_star_rate", types=("star",)),
 )
 
+# Features the reference defines but leaves switched off; not part of the 744.
+VARIANTS: dict[str, tuple[FeatureRow, ...]] = {
+    "ac_category_share": (
+        R("ac_category_share", "AC", "share_count", "a_date", (), "classes", "{col}_rate_count_{s}", "long"),
+        R("ac_category_share", "AC", "share_count", "a_date", (), "classes", "{col}_rate_count_{s}_look", "long", types=("look",)),
+        R("ac_category_share", "AC", "share_count", "a_date", (), "classes", "{col}_rate_count_{s}_star", "long", types=("star",)),
+    ),
+}
+
 BY_KEY = {r.key: r for r in CATALOGUE}
 FAMILY_KEYS = {f: [r.key for r in CATALOGUE if r.family == f] for f in FAMILY_SOURCE}

@@ -43,7 +43,7 @@ from ..functions import sqlexpr as X
 from ..functions.slices import slice_names
 from ..operators.distinct import DistinctRequest, _agg_sql, multi_distinct_counts
 from ..spec import FeatureSpec
-from .catalogue import BY_KEY, CATALOGUE, FAMILY_SOURCE, SOURCE_TS, FeatureRow
+from .catalogue import BY_KEY, CATALOGUE, FAMILY_SOURCE, SOURCE_TS, VARIANTS, FeatureRow
 
 KEYS = ["slip", "user_id"]
 DAY_KEYS = ["user_id", "_day", "_mid", "_class", "_type"]
@@ -457,7 +457,7 @@ def run_compiled(c: Compiled, facts, spine: DataFrame, spec: FeatureSpec,
 
 def build_features(facts, spine: DataFrame, spec: FeatureSpec, anchor: dt.date,
                    keys=None, slips=None) -> DataFrame:
-    rows = CATALOGUE if keys is None else [BY_KEY[k] for k in keys]
+    rows = CATALOGUE if keys is None else [r for k in keys for r in VARIANTS.get(k) or (BY_KEY[k],)]
     c, _ = compile_rows(spec, rows)
     return run_compiled(c, facts, spine, spec, anchor, slips)
 

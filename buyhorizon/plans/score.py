@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_gap, midnight
 from ..functions.slices import slice_names, slice_pred
 from ..operators.enrich import join_order_sku
-from ..operators.ranking import first_per_user, rank_weight
+from ..operators.ranking import first_per_user, global_rank, rank_weight
 from ..sources.fixtures import Tables
 from ..spec import FeatureSpec
 from .labels import label_names
 
-RANK_ORDER = None  # set per spec: predicted count desc, user_id asc
-
 
 def rank_order(spec: FeatureSpec):
     buy, _ = label_names(spec)
@@ -49,6 +47,25 @@ def truth_first_order(t: Tables, spec: FeatureSpec, start: dt.date | None = None
     return first_per_user(o, ["o_date"], ["o_date"])
 
 
+def ranked_predictions(pred: DataFrame, spec: FeatureSpec, anchor: dt.date) -> DataFrame:
+    """The full list: user, both predictions, predicted date and position in rank order."""
+    buy, day = label_names(spec)
+    ranked = global_rank(predict_date(pred, spec, anchor), rank_order(spec), "position")
+    return ranked.select("position", "user_id", buy, day, "pred_date")
+
+
+def submission_pairs(submission: DataFrame, truth: DataFrame) -> DataFrame:
+    """A written submission (position, user_id, pred_date) with weight, hit flag and both days of month."""
+    weighted = submission.withColumn("wi", 1.0 / (1.0 + F.log(F.col("position").cast("double"))))
+    real = truth.select("user_id", F.dayofmonth("o_date").alias("real_day"), F.lit(1).alias("oi"))
+    return weighted.join(real, "user_id", "left").withColumn("pred_day", F.dayofmonth("pred_date")).fillna(0, ["oi", "real_day"])
+
+
+def score_submission(submission: DataFrame, truth: DataFrame) -> DataFrame:
+    """The score of a submission read back from its file."""
+    return _score_of(submission_pairs(submission, truth), truth)
+
+
 def scored_pairs(topk: DataFrame, truth: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Submission rows with weight, hit flag and both days of month."""
     ranked = rank_weight(topk, rank_order(spec))
@@ -60,14 +77,17 @@ def scored_pairs(topk: DataFrame, truth: DataFrame, spec: FeatureSpec) -> DataFr
 
 def score(topk: DataFrame, truth: DataFrame, spec: FeatureSpec) -> DataFrame:
     """S1 = sum(hit*w)/sum(w); S2 = sum over hits 10/(10+(pred_day-real_day)^2)
-    / number of true buyers; S = 0.4*S1 + 0.6*S2. One row."""
-    pairs = scored_pairs(topk, truth, spec)
-    spark = pairs.sparkSession
-    return spark.sql(
+    / number of true buyers; S = 0.4*S1 + 0.6*S2. One row; a part whose
+    denominator is empty is null."""
+    return _score_of(scored_pairs(topk, truth, spec), truth)
+
+
+def _score_of(pairs: DataFrame, truth: DataFrame) -> DataFrame:
+    return pairs.sparkSession.sql(
         """SELECT s1, s2, 0.4 * s1 + 0.6 * s2 AS s FROM (
-             SELECT sum(oi * wi) / sum(wi) AS s1,
-                    coalesce(sum(CASE WHEN oi = 1 THEN 10.0 / (10.0 + pow(pred_day - real_day, 2)) END), 0)
-                      / (SELECT count(*) FROM {truth}) AS s2
+             SELECT try_divide(sum(oi * wi), sum(wi)) AS s1,
+                    try_divide(coalesce(sum(CASE WHEN oi = 1 THEN 10.0 / (10.0 + pow(pred_day - real_day, 2)) END), 0),
+                               (SELECT count(*) FROM {truth})) AS s2
              FROM {pairs})""", pairs=pairs, truth=truth)
 
 

@@ -23,14 +23,36 @@ def facts_of(t: Tables) -> Facts:
     return Facts(t)
 
 
-def onehot_users(df: DataFrame, spec: FeatureSpec, cols=USER_CODES) -> DataFrame:
-    """Dummies over a fixed vocabulary (train and test agree); a missing code
-    gives 0 in every dummy; the original columns are dropped."""
-    new = {}
+def onehot_vocab(users: DataFrame, cols=USER_CODES, most: int = 1000) -> dict[str, list[int]]:
+    """The codes each column has in the training users, in order; at most ``most`` distinct codes a column.
+
+    Fitted once and used for every table of a run, so train and test agree."""
+    vocab = {}
     for c in cols:
-        for v in spec.onehot_vocab[c]:
+        codes = sorted(r[0] for r in users.select(c).where(F.col(c).isNotNull()).distinct().limit(most + 1).collect())
+        if len(codes) > most:
+            raise ValueError(f"{c} has more than {most} codes: not a code column")
+        vocab[c] = codes
+    return vocab
+
+
+def onehot_users(df: DataFrame, vocab: dict[str, list[int]]) -> DataFrame:
+    """Dummies over a fitted vocabulary; a missing code gives 0 in every dummy; the original columns are dropped."""
+    new = {}
+    for c, codes in vocab.items():
+        for v in codes:
             new[f"{c}_{v}"] = F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
-    return df.withColumns(new).drop(*cols)
+    return df.withColumns(new).drop(*vocab)
+
+
+def unknown_codes(df: DataFrame, vocab: dict[str, list[int]]) -> DataFrame:
+    """Rows per column and code that the vocabulary lacks (their dummies are all 0)."""
+    parts = [df.where(F.col(c).isNotNull() & ~F.col(c).isin(codes)).groupBy(F.lit(c).alias("column"), F.col(c).cast("long").alias("code")).agg(F.count(F.lit(1)).alias("rows"))
+             for c, codes in vocab.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 def nan_count(df: DataFrame, feature_cols: list[str]) -> DataFrame:
@@ -48,7 +70,7 @@ def build_table(t: Tables, spec: FeatureSpec, anchor: dt.date, slips=None, is_tr
     rows = CATALOGUE if keys is None else [r for r in CATALOGUE if r.key in set(keys)]
     c, _ = compile_rows(spec, rows)
     out = run_compiled(c, Facts(t), spine, spec, anchor, slips).drop("anchor")
-    return onehot_users(out, spec) if onehot else out
+    return onehot_users(out, onehot_vocab(t.user)) if onehot else out
 
 
 def build_training_table(t: Tables, spec: FeatureSpec, keys=None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from . import oracle_sql as O
 from .operators.calendar import sample_spine
-from .plans.catalogue import CATALOGUE
+from .plans.catalogue import CATALOGUE, VARIANTS
 from .plans.features import build_features
 from .plans.training import facts_of
 from .sources.fixtures import load_fixture_tables
@@ -58,8 +58,8 @@ def _feature_query(key: str):
     return q
 
 
-for _row in CATALOGUE:
-    register(_row.key, O.feature_key_sql(SPEC, _row.key))(_feature_query(_row.key))
+for _key in [r.key for r in CATALOGUE] + list(VARIANTS):
+    register(_key, O.feature_key_sql(SPEC, _key))(_feature_query(_key))
 
 
 # =============================================================================
@@ -82,6 +82,7 @@ from .plans import labels as LB  # noqa: E402
 from .plans import score as SC  # noqa: E402
 from .plans import training as TR  # noqa: E402
 from .plans.catalogue import FAMILY_KEYS  # noqa: E402
+from .plans.facts import Facts  # noqa: E402
 from .plans.features import feature_names  # noqa: E402
 from .session import checkpoint_dir, scratch_path  # noqa: E402
 from .sources import io as IO  # noqa: E402
@@ -119,31 +120,51 @@ def _promo_sql(ts, ranges):
 
 # ---- §2.1 sources and sinks -------------------------------------------------
 
-@register("scan_static", _q("SELECT sku_id, round(price, 6) AS price, cate, para_1, para_2, para_3 FROM f_sku_raw"))
-def q_scan_static(spark, sf):
-    path = scratch_path(spark, f"scan_static_{_uuid.uuid4().hex}")
-    IO.write_csv(_t(spark, sf, clean=False).sku, path)
-    return normalize(IO.scan_static(spark, path, "sku"))
+_SCANS = {
+    "scan_static": ("sku", "SELECT sku_id, round(price, 6) AS price, cate, para_1, para_2, para_3 FROM f_sku_raw"),
+    "scan_static_user": ("user", "SELECT user_id, age, sex, user_lv_cd FROM f_user_raw"),
+    "scan_dated": ("order", "SELECT *, year(o_date) AS year, month(o_date) AS month, day(o_date) AS day FROM f_order"),
+    "scan_dated_comment": ("comment", "SELECT *, year(comment_create_tm) AS year, month(comment_create_tm) AS month, day(comment_create_tm) AS day FROM f_comment_raw"),
+    "scan_dated_action": ("action", "SELECT *, year(a_date) AS year, month(a_date) AS month, day(a_date) AS day FROM f_action"),
+}
+
 
+def _scan(key: str, table: str):
+    def q(spark, sf):
+        path = scratch_path(spark, f"{key}_{_uuid.uuid4().hex}")
+        IO.write_csv(getattr(_t(spark, sf, clean=False), table), path)
+        return normalize((IO.scan_static if key.startswith("scan_static") else IO.scan_dated)(spark, path, table))
+    return q
 
-@register("scan_dated", _q("SELECT *, year(o_date) AS year, month(o_date) AS month, day(o_date) AS day FROM f_order"))
-def q_scan_dated(spark, sf):
-    path = scratch_path(spark, f"scan_dated_{_uuid.uuid4().hex}")
-    IO.write_csv(_t(spark, sf).order, path)
-    return normalize(IO.scan_dated(spark, path, "order"))
 
+for _k, (_table, _sql) in _SCANS.items():
+    register(_k, _q(_sql))(_scan(_k, _table))
 
-_SFT_KEYS = ["oc_orders_nunique"]
+_ALL_KEYS = [r.key for r in CATALOGUE]
 
 
-@register("sink_feature_table", O.table_sql(SPEC, _SFT_KEYS, A, SPEC.slips, onehot=True))
+@register("sink_feature_table", O.table_sql(SPEC, _ALL_KEYS, A, SPEC.slips, onehot=True))
 def q_sink_feature_table(spark, sf):
     path = scratch_path(spark, f"features_{_uuid.uuid4().hex}")
-    IO.sink_feature_table(TR.build_training_table(_t(spark, sf), SPEC, keys=_SFT_KEYS), path)
+    IO.sink_feature_table(TR.build_training_table(_t(spark, sf), SPEC), path)
     return normalize(IO.scan_feature_table(spark, path))
 
 
-_reuse("scan_feature_tables", "sink_feature_table")
+VA = SPEC.valid_anchor
+
+
+@register("scan_feature_tables", " UNION ALL ".join(
+    f"SELECT '{name}' AS part, * FROM ({O.table_sql(SPEC, _ALL_KEYS, a, sl, is_training=tr, onehot=True)}) q"
+    for name, a, sl, tr in (("train", A, SPEC.slips, True), ("valid", VA, [0], False), ("test", TA, [0], False))))
+def q_scan_feature_tables(spark, sf):
+    t, out = _t(spark, sf), None
+    for name, df in (("train", TR.build_training_table(t, SPEC)), ("valid", TR.build_inference_table(t, SPEC, anchor=VA)), ("test", TR.build_inference_table(t, SPEC))):
+        path = scratch_path(spark, f"features_{name}_{_uuid.uuid4().hex}")
+        IO.sink_feature_table(df, path)
+        part = IO.scan_feature_table(spark, path).withColumn("part", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return normalize(out)
+
 
 _BASELINE_SQL = f"""
 bl_o AS (SELECT user_id, count(DISTINCT o_id) AS n, max(o_date) AS last FROM ocus
@@ -177,15 +198,25 @@ def _topk(spark, sf):
     return t, SC.topk_users(pred, SPEC, TA)
 
 
-@register("sink_submission", _q("SELECT user_id, pred_date FROM topk", _BASELINE_SQL))
+@register("sink_submission", _q("SELECT idx AS position, user_id, pred_date FROM ranked", _BASELINE_SQL))
 def q_sink_submission(spark, sf):
-    _, top = _topk(spark, sf)
+    _, pred = _baseline(spark, sf)
     path = scratch_path(spark, f"submission_{_uuid.uuid4().hex}")
-    IO.sink_submission(top, path)
+    IO.sink_submission(SC.ranked_predictions(pred, SPEC, TA), path, SPEC.top_k)
     return normalize(IO.scan_prediction(spark, path))
 
 
-_reuse("scan_prediction", "sink_submission")
+_FULL = f"position BIGINT, user_id BIGINT, {BUY} DOUBLE, {DAY} DOUBLE, pred_date DATE"
+
+
+@register("scan_prediction", _q(
+    f"SELECT ROW_NUMBER() OVER (ORDER BY {BUY} DESC, user_id ASC) AS position, user_id, round({BUY}, 6) AS {BUY}, round({DAY}, 6) AS {DAY}, "
+    f"CAST(DATE '{TA}' + CAST(trunc({DAY} + ({SPEC.day_offset})) AS INTEGER) AS DATE) AS pred_date FROM bl", _BASELINE_SQL))
+def q_scan_prediction(spark, sf):
+    _, pred = _baseline(spark, sf)
+    path = scratch_path(spark, f"predictions_{_uuid.uuid4().hex}")
+    IO.sink_predictions(SC.ranked_predictions(pred, SPEC, TA), path)
+    return normalize(IO.scan_prediction(spark, path, _FULL))
 
 
 # ---- §2.2 projections, filters, predicates ------------------------------------
@@ -298,16 +329,25 @@ def q_relabel_binary(spark, sf):
     return normalize(_labels(spark, sf).select("slip", "user_id", (F.col(BUY) > 0).cast("int").alias(BUY)))
 
 
-def _all_feature_names():
-    onehot = [f"{c}_{v}" for c in ("sex", "user_lv_cd", "age") for v in SPEC.onehot_vocab[c]]
-    return onehot
+def _feature_names_no_spark() -> list[str]:
+    b = O.OracleBuilder(SPEC, A)
+    for k in _ALL_KEYS:
+        b.add(O.BY_KEY[k])
+    return [o.rsplit(' AS "', 1)[1].rstrip('"') for o in b.outputs]
+
+
+_MODEL_COLUMNS = _feature_names_no_spark() + [f"{c}_{v}" for c, codes in O.ONEHOT.items() for v in codes]
 
 
-@register("select_feature_columns", None)
+@register("select_feature_columns", f"WITH sfc AS MATERIALIZED ({O.table_sql(SPEC, _ALL_KEYS, A, SPEC.slips, onehot=True)}) "
+          f"UNPIVOT (SELECT {', '.join(f'count({chr(34)}{c}{chr(34)}) AS {chr(34)}{c}{chr(34)}' for c in _MODEL_COLUMNS)} FROM sfc) "
+          f"ON COLUMNS(*) INTO NAME name VALUE filled")
 def q_select_feature_columns(spark, sf):
+    """Each model column with the number of rows that have a value in it."""
     df = TR.build_training_table(_t(spark, sf), SPEC)
     cols = TR.feature_columns(df, SPEC)
-    return spark.createDataFrame([(c,) for c in cols], "name string")
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols])
+    return normalize(counts.unpivot([], cols, "name", "filled"))
 
 
 @register("rename_joined", _q(
@@ -481,7 +521,7 @@ def q_feature_examine(spark, sf):
 @register("join_slip_range", _q(" UNION ALL ".join(
     f"SELECT CAST({s} AS BIGINT) AS slip, user_id, o_id, sku_id, o_date FROM f_order WHERE o_date >= "
     f"{O.ts_lit(a - _dt.timedelta(days=SPEC.max_window))} AND o_date <= {O.ts_lit(a - _dt.timedelta(days=1))}"
-    for s, a in SPEC.anchors(A))))
+    for s, a in ((s, O.anchor_of(A, s)) for s in SPEC.slips))))
 def q_join_slip_range(spark, sf):
     o = _t(spark, sf).order
     e = explode_to_slips(o, "o_date", SPEC.anchors(A), -SPEC.max_window, -1)
@@ -508,9 +548,8 @@ def _helper_sql(src, aggs: dict) -> str:
 _HELPERS = {
     "agg_count": ("order", {"o_id_count": (lambda: F.count("o_id"), "CAST(count(o_id) AS BIGINT)")}),
     "agg_nunique": ("order", {"sku_id_nunique": (lambda: F.count_distinct("sku_id"), "CAST(count(DISTINCT sku_id) AS BIGINT)")}),
-    "agg_median": ("order", {"o_sku_num_median": (lambda: F.median("o_sku_num"), "round(CAST(median(o_sku_num) AS DOUBLE), 6)")}),
     "agg_mean": ("order", {"o_sku_num_mean": (lambda: F.avg("o_sku_num"), "round(avg(o_sku_num), 6)")}),
-    "agg_sum": ("order", {"o_sku_num_sum": (lambda: F.sum("o_sku_num"), "CAST(sum(o_sku_num) AS BIGINT)")}),
+    "agg_sum": ("order", {"o_sku_num_sum": (lambda: F.coalesce(F.sum("o_sku_num"), F.lit(0)), "CAST(coalesce(sum(o_sku_num), 0) AS BIGINT)")}),
     "agg_max": ("order", {"price_max": (lambda: F.max("price"), "round(max(price), 6)")}),
     "agg_min": ("order", {"price_min": (lambda: F.min("price"), "round(min(price), 6)")}),
     "agg_std": ("order", {"o_sku_num_std": (lambda: F.stddev_samp("o_sku_num"), "round(stddev_samp(o_sku_num), 6)")}),
@@ -521,6 +560,15 @@ for _k, (_src, _aggs) in _HELPERS.items():
     register(_k, _helper_sql(_src, {n: v[1] for n, v in _aggs.items()}))(
         (lambda src, aggs: lambda spark, sf: _helper(spark, sf, src, {n: v[0]() for n, v in aggs.items()}))(_src, _aggs))
 
+
+
+@register("agg_median", _helper_sql("order", {"o_sku_num_median": "round(CAST(median(o_sku_num) AS DOUBLE), 6)"}))
+def q_agg_median(spark, sf):
+    t = _t(spark, sf)
+    m = RK.exact_median(_in_window(join_order_enriched(t), "o_date"), "user_id", "o_sku_num", "o_sku_num_median")
+    return normalize(t.user.select("user_id").join(m, "user_id", "left"))
+
+
 _reuse("last_event_attributes", "ac_last_action")
 _reuse("share_count", "oc_orders_share_count")
 _reuse("share_nunique", "oc_orders_share_nunique")
@@ -576,20 +624,57 @@ def q_share_repurchase(spark, sf):
     return normalize(out)
 
 
+def _onehot(users):
+    return TR.onehot_users(users, TR.onehot_vocab(users))
+
+
+def _repurchase_windows_sql():
+    ctes, cols, joins = [], [], []
+    for w in (30, 60, 90, 180):
+        inside = f"o_date >= {O.ts_lit(A - _dt.timedelta(days=w))} AND o_date <= {O.ts_lit(HI)}"
+        for c in (30, 101):
+            n = f"{w}_{c}"
+            ctes.append(f"""
+ x{n} AS (SELECT user_id, o_date, o_sku_num FROM ocus WHERE {inside} AND cate = {c}),
+ f{n} AS (SELECT user_id, o_date, o_sku_num FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY o_date, o_sku_num) AS rn FROM x{n}) q WHERE rn = 1),
+ s{n} AS (SELECT user_id, o_date, o_sku_num FROM x{n} GROUP BY user_id, o_date, o_sku_num HAVING count(*) = 1 EXCEPT SELECT * FROM f{n}),
+ r{n} AS (SELECT a.user_id, CAST(b.q AS DOUBLE) / a.q AS rate FROM (SELECT user_id, sum(o_sku_num) AS q FROM x{n} GROUP BY user_id) a
+   LEFT JOIN (SELECT user_id, sum(o_sku_num) AS q FROM s{n} GROUP BY user_id) b ON a.user_id = b.user_id)""")
+            cols.append(f'round(r{n}.rate, 6) AS "OC_{w}slip_o_sku_num_{c}_second_rate"')
+            joins.append(f"LEFT JOIN r{n} ON r{n}.user_id = u.user_id")
+    return _q(f"SELECT u.user_id, {', '.join(cols)} FROM f_user u {' '.join(joins)}", ",".join(ctes))
+
+
+@register("oc_repurchase", _repurchase_windows_sql())
+def q_oc_repurchase(spark, sf):
+    t = _t(spark, sf)
+    o = Facts(t).of("order", SPEC, [(0, A)])
+    out = t.user.select("user_id")
+    for w in SPEC.windows:
+        inside = _in_window(o, "o_date", A - _dt.timedelta(days=w))
+        for c in SPEC.target_cates:
+            share = _repurchase_share(inside, c).withColumnRenamed(f"o_sku_num_{c}_second_rate", f"OC_{w}slip_o_sku_num_{c}_second_rate")
+            out = out.join(share, "user_id", "left")
+    return normalize(out)
+
+
 _ONEHOT_SQL = _q("SELECT u.user_id, " + ", ".join(O.onehot_cols(SPEC)) + " FROM f_user u")
-register("onehot", _ONEHOT_SQL)(lambda spark, sf: normalize(TR.onehot_users(_t(spark, sf).user, SPEC)))
+register("onehot", _ONEHOT_SQL)(lambda spark, sf: normalize(_onehot(_t(spark, sf).user)))
 _reuse("onehot_users", "onehot")
 
 
 # ---- §2.6 labels, samples, assembly -------------------------------------------
 
+# fixed values: the slips' bounds, written out
+_CALENDAR = ((0, "2001-05-01", "2000-11-02", "2001-04-30", "2001-05-31"), (2, "2001-02-28", "2000-09-01", "2001-02-27", "2001-03-30"),
+             (3, "2001-01-28", "2000-08-01", "2001-01-27", "2001-02-27"), (4, "2000-12-28", "2000-07-01", "2000-12-27", "2001-01-27"))
+
+
 @register("slip_calendar", _q(" UNION ALL ".join(
-    f"SELECT CAST({c['slip']} AS BIGINT) AS slip, DATE '{c['anchor']}' AS anchor, DATE '{c['sample_start']}' AS "
-    f"sample_start, DATE '{c['sample_end']}' AS sample_end, DATE '{c['label_start']}' AS label_start, "
-    f"DATE '{c['label_end']}' AS label_end, (SELECT count(*) FROM f_order WHERE o_date >= {O.ts_lit(c['sample_start'])} "
-    f"AND o_date <= {O.ts_lit(c['sample_end'])}) AS sample_rows, (SELECT count(*) FROM f_order WHERE o_date >= "
-    f"{O.ts_lit(c['label_start'])} AND o_date <= {O.ts_lit(c['label_end'])}) AS label_rows"
-    for c in slip_calendar(SPEC, A))))
+    f"SELECT CAST({s} AS BIGINT) AS slip, DATE '{a}' AS anchor, DATE '{b}' AS sample_start, DATE '{c}' AS sample_end, DATE '{a}' AS label_start, "
+    f"DATE '{d}' AS label_end, (SELECT count(*) FROM f_order WHERE o_date >= TIMESTAMP '{b} 00:00:00' AND o_date <= TIMESTAMP '{c} 00:00:00') AS sample_rows, "
+    f"(SELECT count(*) FROM f_order WHERE o_date >= TIMESTAMP '{a} 00:00:00' AND o_date <= TIMESTAMP '{d} 00:00:00') AS label_rows"
+    for s, a, b, c, d in _CALENDAR)))
 def q_slip_calendar(spark, sf):
     o = _t(spark, sf).order
     cal = spark.createDataFrame(slip_calendar(SPEC, A), "slip int, anchor date, sample_start date, sample_end date, "
@@ -643,31 +728,19 @@ for _fam, _key in (("OC", "features_orders"), ("CC", "features_comments"), ("AC"
     register(_key, O.table_sql(SPEC, FAMILY_KEYS[_fam], A, [0], labels=False, slip_col=False))(
         (lambda fam: lambda spark, sf: normalize(TR.family_table(_t(spark, sf), SPEC, fam).drop("slip")))(_fam))
 
-_STACK_KEYS = ["oc_orders_nunique", "cc_score", "ac_volume"]
+_STACK_KEYS = _ALL_KEYS
 register("stack_slips", O.table_sql(SPEC, _STACK_KEYS, A, SPEC.slips))(
     lambda spark, sf: normalize(TR.build_table(_t(spark, sf), SPEC, A, SPEC.slips, True, _STACK_KEYS, onehot=False)
                                 .drop("sex", "user_lv_cd", "age")))
 
 
-def _nan_oracle() -> str:
-    names = feature_names_no_spark("CC")
-    inner = O.table_sql(SPEC, FAMILY_KEYS["CC"], A, [0], labels=False, slip_col=False)
-    s = " + ".join(f'CASE WHEN "{n}" IS NULL THEN 1 ELSE 0 END' for n in names)
-    return f"SELECT user_id, CAST({s} AS BIGINT) AS NaNcount FROM ({inner}) q"
-
-
-def feature_names_no_spark(fam: str) -> list[str]:
-    b = O.OracleBuilder(SPEC, A)
-    for k in FAMILY_KEYS[fam]:
-        b.add(O.BY_KEY[k])
-    return [o.rsplit(' AS "', 1)[1].rstrip('"') for o in b.outputs]
+_NAN_NAMES = _feature_names_no_spark()
 
 
-@register("nan_count", _nan_oracle())
+@register("nan_count", "SELECT slip, user_id, CAST(" + " + ".join(f'CASE WHEN "{n}" IS NULL THEN 1 ELSE 0 END' for n in _NAN_NAMES)
+          + f" AS BIGINT) AS NaNcount FROM ({O.table_sql(SPEC, _ALL_KEYS, A, SPEC.slips)}) q")
 def q_nan_count(spark, sf):
-    df = TR.family_table(_t(spark, sf), SPEC, "CC")
-    names = feature_names_no_spark("CC")
-    return normalize(TR.nan_count(df, names).select("user_id", "NaNcount"))
+    return normalize(TR.nan_count(TR.build_training_table(_t(spark, sf), SPEC), feature_names(SPEC)).select("slip", "user_id", "NaNcount"))
 
 
 @register("build_training_table", O.table_sql(SPEC, [r.key for r in CATALOGUE], A, SPEC.slips, onehot=True))
@@ -797,7 +870,8 @@ def q_clean_lookers(spark, sf):
     return normalize(CL.clean_lookers(_t(spark, sf), SPEC, *_LOOKERS))
 
 
-_SINGLE_DAY = SPEC.promo_days[1][0]
+# a day on which a buyer made all their orders (rows at sf0.01)
+_SINGLE_DAY = _dt.date(2001, 1, 5)
 
 
 @register("clean_single_day", _q(f"SELECT user_id FROM f_order GROUP BY user_id HAVING bool_and(CAST(o_date AS DATE) = "
@@ -812,19 +886,26 @@ register("repurchase_gap_histogram", _q("SELECT time_tag, round(CAST(count(*) AS
                                         " AS user_count FROM rep_pairs GROUP BY time_tag", _REP))(
     lambda spark, sf: normalize(AN.repurchase_gap_histogram(_t(spark, sf), SPEC)))
 
-_LO_B, _HI_B = SPEC.calendar_order_range
+_DAILY_BOTH = _DAILY.strip() + """,
+daily_actions AS (SELECT CAST(a_date AS DATE) AS a_date, sum(a_num) AS a_num_sum FROM f_action WHERE user_id NOT IN (SELECT user_id FROM few) GROUP BY 1)
+"""
+
+
+def _bins_sql(source, table, day, value, lo, hi):
+    return (f"SELECT '{source}' AS source, d.day, CAST(v.{value} AS BIGINT) AS value, CASE WHEN v.{value} IS NULL THEN NULL ELSE CAST(least(greatest("
+            f"floor((v.{value} - {lo}) / (({hi} - {lo}) / 20)) + 1, 1), 20) AS BIGINT) END AS bin FROM (SELECT CAST(unnest(generate_series("
+            f"DATE '{SPEC.calendar_start}', DATE '{SPEC.calendar_end}', INTERVAL 1 DAY)) AS DATE) AS day) d LEFT JOIN {table} v ON v.{day} = d.day")
 
 
-@register("calendar_bins", _q(
-    f"SELECT d.o_date, v.o_id_nunique, CASE WHEN v.o_id_nunique IS NULL THEN NULL ELSE CAST(least(greatest("
-    f"floor((v.o_id_nunique - {_LO_B}) / (({_HI_B} - {_LO_B}) / {SPEC.calendar_bins})) + 1, 1), "
-    f"{SPEC.calendar_bins}) AS BIGINT) END AS bin FROM (SELECT CAST(unnest(generate_series(DATE '{SPEC.calendar_start}', "
-    f"DATE '{SPEC.calendar_end}', INTERVAL 1 DAY)) AS DATE) AS o_date) d LEFT JOIN daily_orders v ON v.o_date = d.o_date",
-    _DAILY))
+@register("calendar_bins", _q(_bins_sql("orders", "daily_orders", "o_date", "o_id_nunique", 200.0, 6000.0) + " UNION ALL "
+                              + _bins_sql("actions", "daily_actions", "a_date", "a_num_sum", 11000.0, 200000.0), _DAILY_BOTH))
 def q_calendar_bins(spark, sf):
-    daily = AN.daily_order_count(_t(spark, sf), SPEC)
-    return normalize(AN.calendar_bins(daily, "o_date", "o_id_nunique", SPEC.calendar_start, SPEC.calendar_end,
-                                      _LO_B, _HI_B, SPEC.calendar_bins))
+    t, out = _t(spark, sf), []
+    for source, daily, day, value, (lo, hi) in (("orders", AN.daily_order_count(t, SPEC), "o_date", "o_id_nunique", SPEC.calendar_order_range),
+                                                ("actions", AN.daily_action_volume(t, SPEC), "a_date", "a_num_sum", SPEC.calendar_action_range)):
+        bins = AN.calendar_bins(daily, day, value, SPEC.calendar_start, SPEC.calendar_end, lo, hi, SPEC.calendar_bins)
+        out.append(bins.select(F.lit(source).alias("source"), F.col(day).alias("day"), F.col(value).cast("long").alias("value"), "bin"))
+    return normalize(out[0].unionByName(out[1]))
 
 
 @register("cohort_counts", _q(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.columns import with_date_parts
 from . import schemas
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
 def scan_static(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
@@ -43,13 +44,22 @@ def scan_feature_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def sink_submission(topk: DataFrame, path: str) -> None:
-    """user_id, pred_date of the top-K rows as CSV with a header."""
-    topk.select("user_id", "pred_date").write.mode("overwrite").option("header", True).csv(path)
+SUBMISSION = "position BIGINT, user_id BIGINT, pred_date DATE"
 
 
-def scan_prediction(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("user_id BIGINT, pred_date DATE").option("header", True).csv(path)
+def sink_predictions(ranked: DataFrame, path: str) -> None:
+    """The full ranked list (position, user, both predictions, date) as CSV with a header."""
+    ranked.write.mode("overwrite").option("header", True).csv(path)
+
+
+def sink_submission(ranked: DataFrame, path: str, k: int) -> None:
+    """position, user_id, pred_date of the first ``k`` positions as CSV with a header."""
+    ranked.where(F.col("position") <= k).select("position", "user_id", "pred_date").write.mode("overwrite").option("header", True).csv(path)
+
+
+def scan_prediction(spark: SparkSession, path: str, schema: str = SUBMISSION) -> DataFrame:
+    """A submission, or with its schema a full list, with the positions as written."""
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def sink_tuning_result(df: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ same code runs on the competition calendar and on the fixture calendar.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 D = dt.date
 
@@ -55,12 +55,6 @@ class FeatureSpec:
     calendar_bins: int = 20
     calendar_order_range: tuple[float, float] = (200.0, 6000.0)
     calendar_action_range: tuple[float, float] = (11000.0, 200000.0)
-    # one-hot vocabularies (fixed so train and test agree)
-    onehot_vocab: dict = field(default_factory=lambda: {
-        "sex": (0, 1, 2),
-        "user_lv_cd": (1, 2, 3, 4, 5),
-        "age": (1, 2, 3, 4, 5, 6),
-    })
 
     @property
     def max_window(self) -> int:
