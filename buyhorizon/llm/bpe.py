@@ -31,6 +31,7 @@ import json
 import re
 import unicodedata
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
@@ -273,8 +274,12 @@ def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
     bpe = _on_worker(rows, path)
 
     def both(texts: list) -> list:
-        found = [bpe().digests(t) for t in texts]
-        ids = [[[int(i) for _, run, _ in f[0] for i in run.split()] for f in found]] if with_ids else []
-        return ids + [[f[k] for f in found] for k in (1, 2, 3)]
+        ids, rest = [], []
+        for text in texts:
+            runs, *digests = bpe().digests(text)
+            rest.append(digests)
+            if with_ids:  # as machine integers: lists of Python integers would take ten times the memory
+                ids.append(np.array(" ".join([x[1] for x in runs]).split(), np.int32))
+        return [ids] * with_ids + [[d[k] for d in rest] for k in range(3)]
 
     return map_rows(rows, keep, both, "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string")

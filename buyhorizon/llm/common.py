@@ -77,6 +77,17 @@ def running_total(df: DataFrame, group: list[str], order: list[str], size: str,
             .drop("_chunk", "_c", "_local", "_base", *[f"_g{i}" for i in range(len(group))]))
 
 
+#: Bytes of rows that a task turns into Python objects at once; a larger row is a slice of its own.
+SLICE = 4 << 20
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``SLICE`` bytes, all rows in order."""
+    rows = max(1, batch.num_rows * SLICE // max(SLICE, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: str) -> DataFrame:
     """``keep`` columns of ``df`` plus ``outputs``, made by ``fn`` batch by batch.
 
@@ -89,7 +100,7 @@ def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: s
     arrow, n = to_arrow_schema(schema), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             new = fn(*[c.to_pylist() for c in batch.columns[n:]])
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) for c, f in zip(batch.columns[:n], arrow, strict=False)]
