@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SECONDS_PER_DAY = 86400
+MICROS_PER_DAY = 86_400_000_000
 
 
 def null_sentinel(df: DataFrame, cols: Iterable[str], sentinel: int = -1) -> DataFrame:
@@ -32,9 +32,16 @@ def midnight(d) -> Column:
     return d.cast("date").cast("timestamp_ntz")
 
 
+def micros(ts: Column) -> Column:
+    """A timestamp without zone as microseconds since 1970, whatever the session's zone."""
+    return (F.unix_date(F.to_date(ts)).cast("bigint") * MICROS_PER_DAY + F.hour(ts) * F.lit(3_600_000_000) + F.minute(ts) * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
+
+
 def day_gap(later: Column, earlier: Column) -> Column:
     """Whole days from ``earlier`` to ``later``, floored (pandas ``.dt.days``)."""
-    return F.floor(F.timestamp_diff("SECOND", earlier, later) / F.lit(SECONDS_PER_DAY)).cast("bigint")
+    gap = micros(later) - micros(earlier)
+    return F.floor((gap - F.pmod(gap, F.lit(MICROS_PER_DAY))) / F.lit(MICROS_PER_DAY)).cast("bigint")
 
 
 def in_date_ranges(ts: Column, ranges) -> Column:

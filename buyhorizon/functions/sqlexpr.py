@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-SECONDS_PER_DAY = 86400
+MICROS_PER_DAY = 86_400_000_000
 
 
 def lit_date(d: dt.date) -> str:
@@ -22,8 +22,17 @@ def midnight_of(d) -> str:
     return f"CAST(CAST({d} AS DATE) AS TIMESTAMP_NTZ)"
 
 
+def micros(ts: str) -> str:
+    """A timestamp without zone as microseconds since 1970, whatever the session's zone:
+    from its date and time fields (timestampdiff would first cast it into the session's zone)."""
+    return (f"(unix_date(to_date({ts})) * {MICROS_PER_DAY} + hour({ts}) * 3600000000 + minute({ts}) * 60000000 "
+            f"+ CAST(extract(SECOND FROM {ts}) * 1000000 AS BIGINT))")
+
+
 def day_gap(later: str, earlier: str) -> str:
-    return f"CAST(floor(timestampdiff(SECOND, {earlier}, {later}) / {SECONDS_PER_DAY}) AS BIGINT)"
+    """Whole days from ``earlier`` to ``later``, floored."""
+    gap = f"({micros(later)} - {micros(earlier)})"
+    return f"(({gap} - pmod({gap}, {MICROS_PER_DAY})) div {MICROS_PER_DAY})"
 
 
 def in_date_ranges(ts: str, ranges) -> str:
@@ -48,8 +57,3 @@ def capped_ratio(a: str, b: str, cap: float = 1.0) -> str:
     return (f"CASE WHEN ({a}) IS NULL OR ({b}) IS NULL THEN CAST(NULL AS DOUBLE) "
             f"WHEN ({b}) = 0 THEN CASE WHEN ({a}) = 0 THEN CAST(NULL AS DOUBLE) ELSE {cap} END "
             f"ELSE least(CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE), {cap}) END")
-
-
-def micros(ts: str) -> str:
-    """A timestamp without zone as microseconds since 1970, whatever the session's zone."""
-    return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})"

@@ -7,40 +7,50 @@
   class is split evenly with no per-label window;
 * stacking: k fits, each predicts its held-out fold -> one out-of-fold
   meta-feature; the test meta-feature is the mean of the k models;
-* bagging: n fits on seeded hash holdouts, predictions averaged.
-Each fit is a distributed MLlib job; only the driver loop over fits is local.
+* bagging: n fits on seeded hash holdouts, predictions averaged;
+* rounds: every fit stops on its own held-out rows (the fold, or the bag's
+  holdout): MLlib's validation indicator ends boosting at the first round that
+  does not lower the held-out error by ``validationTol``; ``maxIter`` only
+  bounds a fit that never stops improving.
+Each fit is a distributed MLlib job on stored rows; only the driver loop over
+fits is local.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_rank
+from ..session import stored
 
 KEYS = ["slip", "user_id"]
 
 
 @dataclass(frozen=True)
 class GBTParams:
-    """learning_rate -> stepSize, num_leaves 64 -> maxDepth 6, bagging_fraction
-    -> subsamplingRate, feature_fraction -> featureSubsetStrategy, rounds ->
-    maxIter (capped), min_child_weight -> minInstancesPerNode."""
+    """The one parameter set of all models: learning_rate -> stepSize, num_leaves 64
+    -> maxDepth 6, bagging_fraction -> subsamplingRate, feature_fraction ->
+    featureSubsetStrategy, min_child_weight -> minInstancesPerNode, early stopping
+    -> validationTol (maxIter bounds the rounds)."""
     stepSize: float = 0.05
     maxDepth: int = 6
     subsamplingRate: float = 0.8
     featureSubsetStrategy: str = "0.9"
-    maxIter: int = 20
+    maxIter: int = 200
     minInstancesPerNode: int = 2
     seed: int = 2016
     maxBins: int = 32
+    validationTol: float = 0.001
 
 
 @dataclass
@@ -83,18 +93,10 @@ def stratified_folds(df: DataFrame, label: str, k: int, seed: int = 1) -> DataFr
     return ranked.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_u", "_pos")
 
 
-def _regressor(p: GBTParams, label: str, features: str = "features", weight: str | None = None):
-    kw = dict(labelCol=label, featuresCol=features, stepSize=p.stepSize, maxDepth=p.maxDepth,
-              subsamplingRate=p.subsamplingRate, featureSubsetStrategy=p.featureSubsetStrategy,
-              maxIter=p.maxIter, minInstancesPerNode=p.minInstancesPerNode, seed=p.seed, maxBins=p.maxBins)
-    return GBTRegressor(**kw)
-
-
-def _classifier(p: GBTParams, label: str, weight: str, features: str = "features"):
-    return GBTClassifier(labelCol=label, featuresCol=features, weightCol=weight, stepSize=p.stepSize,
-                         maxDepth=p.maxDepth, subsamplingRate=p.subsamplingRate,
-                         featureSubsetStrategy=p.featureSubsetStrategy, maxIter=p.maxIter,
-                         minInstancesPerNode=p.minInstancesPerNode, seed=p.seed, maxBins=p.maxBins)
+def _estimator(p: GBTParams, label: str, features: str = "features", held_out: str | None = "_held", weight: str | None = None):
+    """A boosted-tree estimator; with ``weight`` a classifier, with ``held_out`` it stops on those rows."""
+    kw = {**asdict(p), "labelCol": label, "featuresCol": features} | ({"validationIndicatorCol": held_out} if held_out else {})
+    return GBTClassifier(**kw, weightCol=weight) if weight else GBTRegressor(**kw)
 
 
 def metric_auc(pred: DataFrame, label: str) -> float:
@@ -107,92 +109,100 @@ def metric_l2(pred: DataFrame, label: str) -> float:
     return RegressionEvaluator(predictionCol="prediction", labelCol=label, metricName="mse").evaluate(pred)
 
 
-def feature_importance(model, feature_cols: list[str]) -> list[tuple[str, float]]:
-    imp = model.featureImportances.toArray()
-    return sorted(zip(feature_cols, [float(x) for x in imp]), key=lambda x: -x[1])
-
-
 @dataclass
 class StackedBaggedGBT:
+    """``binary``: the label becomes count > 0, positives weigh ``pos_weight``, and predictions are probabilities."""
+
     label: str
     params: GBTParams = field(default_factory=GBTParams)
     stacking_num: int = 5
     bagging_num: int = 3
     bagging_test_size: float = 0.33
     metric: str = "auc"
+    binary: bool = False
+    pos_weight: float = 20.0
     stack_models: list = field(default_factory=list)
     bag_models: list = field(default_factory=list)
     scores: list = field(default_factory=list)
-    importances: list = field(default_factory=list)
 
-    def _fit_one(self, df: DataFrame, features: str):
-        return _regressor(self.params, self.label, features).fit(df)
+    def _prepared(self, train: DataFrame) -> DataFrame:
+        y = F.col(self.label)
+        y = (y > 0) if self.binary else y
+        return train.withColumns({"_y": y.cast("double"), "_w": F.when(y.cast("double") > 0, self.pos_weight).otherwise(1.0)})
+
+    def _fit_one(self, data: DataFrame, features: str, held_out: Column):
+        return _estimator(self.params, "_y", features, weight="_w" if self.binary else None).fit(data.withColumn("_held", held_out))
+
+    def _apply(self, model, df: DataFrame, out: str) -> DataFrame:
+        made = model.transform(df)
+        value = vector_to_array("probability")[1] if self.binary else F.col("prediction")
+        return made.withColumn(out, value).select(*df.columns, out)
 
     def out_of_fold(self, train: DataFrame) -> DataFrame:
         """oof_stack_feature: adds ``stack_pred`` made by a model that did not see the row."""
-        folds = stratified_folds(train, self.label, self.stacking_num).cache()
-        parts = []
-        self.stack_models = []
+        folds = stored(stratified_folds(self._prepared(train), self.label, self.stacking_num), "folds")
+        self.stack_models, out = [], None
         for f in range(self.stacking_num):
-            m = self._fit_one(folds.where(F.col("fold") != f), "features")
+            held = F.col("fold") == f
+            m = self._fit_one(folds, "features", held)
             self.stack_models.append(m)
-            self.importances.append(m.featureImportances)
-            parts.append(m.transform(folds.where(F.col("fold") == f)).select(*KEYS, F.col("prediction").alias("stack_pred")))
-        oof = parts[0]
-        for p in parts[1:]:
-            oof = oof.unionByName(p)
-        return train.join(oof, KEYS, "left")
+            part = self._apply(m, folds.where(held), "stack_pred")
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def importances(self, feature_cols: list[str]) -> list[tuple[int, str, float]]:
+        """(fold, feature, importance) of every stacking model, largest first within a fold."""
+        rows = []
+        for f, m in enumerate(self.stack_models):
+            rows += [(f, c, float(x)) for x, c in sorted(zip(m.featureImportances.toArray(), feature_cols, strict=True), key=lambda r: (-r[0], r[1]))]
+        return rows
+
+    def _mean(self, models: list, df: DataFrame, out: str) -> DataFrame:
+        names = [f"_m{i}" for i in range(len(models))]
+        data = df
+        for m, n in zip(models, names, strict=True):
+            data = self._apply(m, data, n)
+        return data.withColumn(out, sum((F.col(n) for n in names[1:]), F.col(names[0])) / float(len(names))).drop(*names)
 
     def stack_inference(self, test: DataFrame) -> DataFrame:
         """stack_inference_feature: mean of the k fold models on the test rows."""
-        out = test
-        cols = []
-        for i, m in enumerate(self.stack_models):
-            out = m.transform(out).withColumnRenamed("prediction", f"_sp{i}")
-            cols.append(F.col(f"_sp{i}"))
-        mean = sum(cols[1:], cols[0]) / float(len(cols))
-        return out.withColumn("stack_pred", mean).drop(*[f"_sp{i}" for i in range(len(cols))])
+        return self._mean(self.stack_models, test, "stack_pred")
 
     def _with_meta(self, df: DataFrame) -> DataFrame:
         return VectorAssembler(inputCols=["features", "stack_pred"], outputCol="features2").transform(df)
 
     def fit(self, train: DataFrame) -> "StackedBaggedGBT":
-        data = self._with_meta(self.out_of_fold(train) if self.stacking_num > 1 else
-                               train.withColumn("stack_pred", F.lit(0.0)))
+        meta = self.out_of_fold(train) if self.stacking_num > 1 else self._prepared(train).withColumn("stack_pred", F.lit(0.0))
+        data = stored(self._with_meta(meta), "stacked")
         self.bag_models, self.scores = [], []
         for bn in range(self.bagging_num):
-            tr, va = holdout_split(data, self.bagging_test_size, bn)
-            m = _regressor(self.params, self.label, "features2").fit(tr)
-            pv = m.transform(va)
-            self.scores.append(metric_auc(pv, self.label) if self.metric == "auc" else metric_l2(pv, self.label))
+            held = _hash_unit(bn) < self.bagging_test_size
+            m = self._fit_one(data, "features2", held)
+            scored = self._apply(m, data.where(held), "prediction")
+            self.scores.append(metric_auc(scored, self.label) if self.metric == "auc" else metric_l2(scored, self.label))
             self.bag_models.append(m)
         return self
 
     def predict(self, test: DataFrame, out: str) -> DataFrame:
-        data = self._with_meta(self.stack_inference(test) if self.stacking_num > 1 else
-                               test.withColumn("stack_pred", F.lit(0.0)))
-        cols = []
-        for i, m in enumerate(self.bag_models):
-            data = m.transform(data).withColumnRenamed("prediction", f"_bp{i}")
-            cols.append(F.col(f"_bp{i}"))
-        return data.withColumn(out, sum(cols[1:], cols[0]) / float(len(cols))).drop(
-            *[f"_bp{i}" for i in range(len(cols))], "features2")
-
-
-def train_buy_binary(train: DataFrame, label: str, params: GBTParams, pos_weight: float = 20.0):
-    """Binary variant: count > 0 -> 1 with positive weight."""
-    data = (train.withColumn("_y", (F.col(label) > 0).cast("double"))
-                 .withColumn("_w", F.when(F.col("_y") == 1, F.lit(pos_weight)).otherwise(F.lit(1.0))))
-    return _classifier(params, "_y", "_w").fit(data)
-
-
-def grid_search_cv(train: DataFrame, label: str, params: GBTParams, depths, min_instances, folds: int = 3,
-                   parallelism: int = 2):
-    """Grid over depth x leaf size, k-fold CV, l2 minimised (the right direction)."""
-    est = _regressor(params, label)
-    grid = ParamGridBuilder().addGrid(est.maxDepth, list(depths)).addGrid(est.minInstancesPerNode,
-                                                                           list(min_instances)).build()
-    ev = RegressionEvaluator(predictionCol="prediction", labelCol=label, metricName="mse")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=params.seed)
-    return cv.fit(train), grid
+        meta = self.stack_inference(test) if self.stacking_num > 1 else test.withColumn("stack_pred", F.lit(0.0))
+        return self._mean(self.bag_models, self._with_meta(meta), out).drop("features2")
+
+
+def depth_of(num_leaves: int, max_depth: int) -> int:
+    """The depth an MLlib tree needs for at most ``num_leaves`` leaves, within ``max_depth``."""
+    return min(max_depth, math.ceil(math.log2(num_leaves)))
+
+
+def grid_search_cv(train: DataFrame, label: str, params: GBTParams, points: list[dict], folds: int = 3,
+                   parallelism: int = 4) -> list[tuple[dict, float]]:
+    """Mean held-out l2 (lower is better) of every point, by k-fold cross-validation.
+
+    Points that give the same estimator (leaves and depth often map to one depth) are fitted once."""
+    est = _estimator(params, label)
+    distinct = list({tuple(sorted(p.items())): p for p in points}.values())
+    grid = [{getattr(est, name): value for name, value in p.items()} for p in distinct]
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=RegressionEvaluator(predictionCol="prediction", labelCol=label, metricName="mse"),
+                        numFolds=folds, parallelism=parallelism, seed=params.seed)
+    data = train.withColumn("_held", _hash_unit(params.seed) < 0.2)
+    found = {tuple(sorted(p.items())): float(v) for p, v in zip(distinct, cv.fit(data).avgMetrics, strict=True)}
+    return [(p, found[tuple(sorted(p.items()))]) for p in points]

@@ -84,7 +84,7 @@ from .plans import training as TR  # noqa: E402
 from .plans.catalogue import FAMILY_KEYS  # noqa: E402
 from .plans.facts import Facts  # noqa: E402
 from .plans.features import feature_names  # noqa: E402
-from .session import checkpoint_dir, scratch_path  # noqa: E402
+from .session import scratch_path  # noqa: E402
 from .sources import io as IO  # noqa: E402
 
 A = SPEC.train_anchor
@@ -1004,8 +1004,10 @@ def q_fn_date_range(spark, sf):
 import math as _math  # noqa: E402
 
 from .plans import model as ML  # noqa: E402
+from .plans import predict as PR  # noqa: E402
 
-_ML_PARAMS = ML.GBTParams(maxIter=5, maxDepth=3)
+_ML_PARAMS = ML.GBTParams()
+# stored tables and fits of this application, so that keys of one run share them; each key also runs alone
 _MEMO: dict = {}
 
 
@@ -1031,112 +1033,144 @@ def q_stratified_folds(spark, sf):
     return normalize(ML.stratified_folds(_labels(spark, sf), BUY, 5, 1).select("slip", "user_id", BUY, "fold"))
 
 
-def _matrices(spark, sf):
-    """Cleaned training table and the inference table, assembled with a fill
-    fitted on train, checkpointed once (every fit then reads the vectors)."""
-    key = ("mat", sf, spark.sparkContext.applicationId)
+def _once(spark, key: tuple, make):
+    key = (spark.sparkContext.applicationId, *key)
     if key not in _MEMO:
-        checkpoint_dir(spark)
-        t = _t(spark, sf)
-        removed = CL.clean_users_total(t, SPEC)
-        train = CL.apply_cleaning(TR.build_training_table(t, SPEC), removed)
-        test = CL.apply_cleaning(TR.build_inference_table(t, SPEC), removed)
-        cols = TR.feature_columns(train, SPEC)
-        m = ML.Matrix(cols).fit(train)
-        keep = ["slip", "user_id", BUY, DAY, "features"]
-        tr = m.transform(train).select(*keep).checkpoint(eager=True)
-        te = m.transform(test).select(*keep).checkpoint(eager=True)
-        _MEMO[key] = (tr, te, cols)
+        _MEMO[key] = make()
     return _MEMO[key]
 
 
-def _fitted(spark, sf, label, buyers_only=False):
-    key = ("fit", sf, label, buyers_only, spark.sparkContext.applicationId)
-    if key not in _MEMO:
-        tr, te, _ = _matrices(spark, sf)
-        data = tr.where(F.col(DAY) < SPEC.no_buy_day) if buyers_only else tr
-        metric = "l2" if buyers_only else "auc"
-        _MEMO[key] = ML.StackedBaggedGBT(label, _ML_PARAMS, metric=metric).fit(data)
-    return _MEMO[key]
+def _matrices(spark, sf) -> PR.Matrices:
+    return _once(spark, ("matrices", sf), lambda: PR.matrices(_t(spark, sf), SPEC))
+
+
+def _models(spark, sf):
+    return _once(spark, ("models", sf), lambda: PR.fit_models(_matrices(spark, sf), SPEC, _ML_PARAMS))
 
 
 @register("oof_stack_feature")
 def q_oof_stack_feature(spark, sf):
-    tr, _, _ = _matrices(spark, sf)
-    model = ML.StackedBaggedGBT(BUY, _ML_PARAMS)
-    return model.out_of_fold(tr).select("slip", "user_id", BUY, "stack_pred")
+    out = _once(spark, ("oof", sf), lambda: ML.StackedBaggedGBT(BUY, _ML_PARAMS).out_of_fold(_matrices(spark, sf).train))
+    return out.select("slip", "user_id", BUY, "fold", "stack_pred")
 
 
 @register("stack_inference_feature")
 def q_stack_inference_feature(spark, sf):
-    _, te, _ = _matrices(spark, sf)
-    return _fitted(spark, sf, BUY).stack_inference(te).select("user_id", "stack_pred")
+    return _models(spark, sf)[0].stack_inference(_matrices(spark, sf).test).select("user_id", "stack_pred")
 
 
 @register("bagging_ensemble")
 def q_bagging_ensemble(spark, sf):
-    _, te, _ = _matrices(spark, sf)
-    return _fitted(spark, sf, BUY).predict(te, BUY).select("user_id", BUY)
+    """Each bag's own prediction and their mean."""
+    model, out = _models(spark, sf)[0], _matrices(spark, sf).test
+    out = model._with_meta(model.stack_inference(out))
+    for i, m in enumerate(model.bag_models):
+        out = model._apply(m, out, f"bag_{i}")
+    bags = [F.col(f"bag_{i}") for i in range(len(model.bag_models))]
+    return out.select("user_id", *bags, (sum(bags[1:], bags[0]) / float(len(bags))).alias(BUY))
 
 
 @register("train_buy_count")
 def q_train_buy_count(spark, sf):
-    _, te, _ = _matrices(spark, sf)
-    m = _fitted(spark, sf, BUY)
-    return m.predict(te, BUY).select("user_id", BUY)
+    """The count model's predictions of the validation and the test table."""
+    m, model = _matrices(spark, sf), _models(spark, sf)[0]
+    parts = [model.predict(rows.drop(BUY, DAY), BUY).select(F.lit(part).alias("part"), "user_id", BUY) for part, rows in (("valid", m.valid), ("test", m.test))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("train_first_day")
 def q_train_first_day(spark, sf):
-    _, te, _ = _matrices(spark, sf)
-    return _fitted(spark, sf, DAY, buyers_only=True).predict(te, DAY).select("user_id", DAY)
+    m, model = _matrices(spark, sf), _models(spark, sf)[1]
+    parts = [model.predict(rows.drop(BUY, DAY), DAY).select(F.lit(part).alias("part"), "user_id", DAY) for part, rows in (("valid", m.valid), ("test", m.test))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("train_buy_binary")
 def q_train_buy_binary(spark, sf):
-    tr, te, _ = _matrices(spark, sf)
-    clf = ML.train_buy_binary(tr, BUY, _ML_PARAMS)
-    from pyspark.ml.functions import vector_to_array
-    return clf.transform(te).select("user_id", vector_to_array("probability")[1].alias("p_buy"))
+    """The binary variant through the same stack and bags."""
+    m = _matrices(spark, sf)
+    model = _once(spark, ("binary", sf), lambda: ML.StackedBaggedGBT(BUY, _ML_PARAMS, binary=True).fit(m.train))
+    return model.predict(m.test, "p_buy").select("user_id", "p_buy")
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    tr, _, cols = _matrices(spark, sf)
-    m = ML._regressor(_ML_PARAMS, BUY).fit(tr)
-    return spark.createDataFrame(ML.feature_importance(m, cols), "feature string, importance double")
+    """Importances per stacking fold."""
+    rows = _models(spark, sf)[0].importances(_matrices(spark, sf).columns)
+    return spark.createDataFrame(rows, "fold int, feature string, importance double")
+
+
+def _scores(spark, sf, which: int, metric: str):
+    """The score of each bag on its holdout, and their mean."""
+    scores = _models(spark, sf)[which].scores
+    rows = [(str(i), metric, float(v)) for i, v in enumerate(scores)] + [("mean", metric, float(sum(scores) / len(scores)))]
+    return spark.createDataFrame(rows, "bag string, metric string, value double")
+
+
+register("metric_auc")(lambda spark, sf: _scores(spark, sf, 0, "auc"))
+register("metric_l2")(lambda spark, sf: _scores(spark, sf, 1, "l2"))
+
+# the metrics themselves, exactly, on the hand-made predictions of the test month
+_METRIC_SQL = f"""
+mt AS (SELECT bl.{BUY} AS p, coalesce(l.buy, 0) AS y FROM bl LEFT JOIN (SELECT user_id, count(DISTINCT o_id) AS buy FROM ocus
+  WHERE o_date >= TIMESTAMP '2001-07-01 00:00:00' AND o_date <= TIMESTAMP '2001-07-31 00:00:00' AND {TGT} GROUP BY user_id) l ON l.user_id = bl.user_id),
+rk AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM mt)
+"""
+
+
+def _baseline_scored(spark, sf):
+    t, pred = _baseline(spark, sf)
+    truth = LB.label_aggregates(t, SPEC, TA, [0]).select("user_id", F.col(BUY).alias("y"))
+    return pred.join(truth, "user_id", "left").select(F.col(BUY).alias("prediction"), F.coalesce("y", F.lit(0)).cast("double").alias("y"))
+
+
+register("metric_auc_exact", _q("SELECT round((sum(CASE WHEN y > 0 THEN r END) - count(*) FILTER (WHERE y > 0) * (count(*) FILTER (WHERE y > 0) + 1) / 2.0) / "
+         "(count(*) FILTER (WHERE y > 0) * count(*) FILTER (WHERE y = 0)), 6) AS auc FROM rk", _BASELINE_SQL.strip() + "," + _METRIC_SQL))(
+    lambda spark, sf: spark.createDataFrame([(round(ML.metric_auc(_baseline_scored(spark, sf), "y"), 6),)], "auc double"))
+register("metric_l2_exact", _q("SELECT round(avg((p - y) * (p - y)), 6) AS l2 FROM mt", _BASELINE_SQL.strip() + "," + _METRIC_SQL))(
+    lambda spark, sf: spark.createDataFrame([(round(ML.metric_l2(_baseline_scored(spark, sf), "y"), 6),)], "l2 double"))
+
+
+@register("predict_submit_score")
+def q_predict_submit_score(spark, sf):
+    """The whole prediction job: models, ranked lists, submission files, scores from the files."""
+    return PR.predict_submit_score(_t(spark, sf), _matrices(spark, sf), _models(spark, sf), SPEC, f"submit_{_uuid.uuid4().hex}")
 
 
-def _metric_rows(spark, sf):
-    tr, _, _ = _matrices(spark, sf)
-    fit_part, hold = ML.holdout_split(tr, 0.33, 0)
-    pred = ML._regressor(_ML_PARAMS, BUY).fit(fit_part).transform(hold)
-    return [("auc", ML.metric_auc(pred, BUY)), ("l2", ML.metric_l2(pred, BUY))]
+# fixed values: the reference's grid of leaves and depths
+_LEAVES, _DEPTHS = range(20, 200, 10), range(3, 8)
 
 
-register("metric_auc")(lambda spark, sf: spark.createDataFrame(
-    [r for r in _metric_rows(spark, sf) if r[0] == "auc"], "metric string, value double"))
-register("metric_l2")(lambda spark, sf: spark.createDataFrame(
-    [r for r in _metric_rows(spark, sf) if r[0] == "l2"], "metric string, value double"))
+def _grid(spark, sf):
+    """Every (leaves, depth) of the grid for the count label, on the rows outside a 0.2 holdout."""
+    def make():
+        rest, _ = ML.holdout_split(_matrices(spark, sf).train, 0.2, 0)
+        pairs = [(n, d) for n in _LEAVES for d in _DEPTHS]
+        found = ML.grid_search_cv(rest.withColumn("_y", F.col(BUY).cast("double")), "_y", _ML_PARAMS, [{"maxDepth": ML.depth_of(n, d)} for n, d in pairs])
+        return [(n, d, p["maxDepth"], v) for (n, d), (p, v) in zip(pairs, found, strict=True)]
+    return spark.createDataFrame(_once(spark, ("grid", sf), make), "num_leaves int, max_depth int, depth_used int, mse double")
 
 
-def _grid(spark, sf, depths=(2, 3), leaves=(1, 5)):
-    tr, _, _ = _matrices(spark, sf)
-    buyers = tr.where(F.col(DAY) < SPEC.no_buy_day)
-    cvm, grid = ML.grid_search_cv(buyers, DAY, _ML_PARAMS, depths, leaves)
-    named = [{p.name: v for p, v in pm.items()} for pm in grid]
-    rows = [(int(n["maxDepth"]), int(n["minInstancesPerNode"]), float(v)) for n, v in zip(named, cvm.avgMetrics)]
-    return spark.createDataFrame(rows, "maxDepth int, minInstancesPerNode int, mse double")
+def _grid_more(spark, sf):
+    """The parameters MLlib has of the later grids, for the first-day label of buyers."""
+    def make():
+        rows = _matrices(spark, sf).train.where(F.col(DAY) < SPEC.no_buy_day).withColumn("_y", F.col(DAY).cast("double"))
+        points = [{"maxBins": b, "minInstancesPerNode": n} for b in (16, 32, 64) for n in (1, 5, 20)]
+        points += [{"subsamplingRate": r, "featureSubsetStrategy": f} for r in (0.6, 0.8, 1.0) for f in ("0.6", "0.8", "1.0")]
+        found = ML.grid_search_cv(rows, "_y", _ML_PARAMS, points)
+        return [(str(sorted(p.items())), v) for p, v in found]
+    return spark.createDataFrame(_once(spark, ("more", sf), make), "point string, mse double")
 
 
-register("grid_search_cv")(lambda spark, sf: _grid(spark, sf))
-register("grid_search_more")(lambda spark, sf: _grid(spark, sf, depths=(4,), leaves=(2, 10)))
+register("grid_search_cv")(_grid)
+register("grid_search_more")(_grid_more)
 
 
 @register("sink_tuning_result")
 def q_sink_tuning_result(spark, sf):
-    g = _grid(spark, sf)
-    best = g.orderBy("mse", "maxDepth", "minInstancesPerNode").limit(1)
+    """The best point of either search, appended one after the other and read back."""
     path = scratch_path(spark, f"tuning_{_uuid.uuid4().hex}")
-    IO.sink_tuning_result(best, path)
+    best = _grid(spark, sf).orderBy("mse", "num_leaves", "max_depth").limit(1)
+    IO.sink_tuning_result(best.selectExpr("'count' AS target", "concat('num_leaves=', num_leaves, ' max_depth=', max_depth) AS point", "mse"), path)
+    IO.sink_tuning_result(_grid_more(spark, sf).orderBy("mse", "point").limit(1).selectExpr("'first_day' AS target", "point", "mse"), path)
     return spark.read.parquet(path)
