@@ -6,9 +6,9 @@ starts, so b begins with the left part of an earlier merge that carried it
 there, and a chain of such merges must rise in rank. The longest chain, summed
 over the left parts, is the merge list's sufficient lookahead: tokens that end
 that many symbols before the end of what has been read are stable and leave the
-buffer. So the encoder's memory is constant, however long a word is; ends of
-words need no lookahead. Words repeat, so finished runs without white space are
-kept in a table of bounded size (``KEPT``).
+buffer. So the encoder's memory is constant, however long a word is. The end of a
+word needs no lookahead: words that fit the buffer are final at once, and the
+distinct ones of a batch go through the merges together, in columns.
 
 The decoder is a state machine over ids: with a byte-level decoder it holds at
 most the bytes of one unfinished character; tokenizer files without a decoder
@@ -32,13 +32,15 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from .common import map_rows
 
-#: Runs whose encoding a worker keeps; when full, the table starts anew.
-KEPT = 1 << 19
+#: Bytes of a word up to which it is merged in the batch with all others; longer words are streamed.
+SHORT = 256
 #: Symbols read between two emissions of a long word.
 WINDOW = 1024
 #: Characters that split() takes for white space and the tokenizers' patterns do not.
@@ -102,14 +104,14 @@ class Decoder:
     """
 
     def __init__(self, bpe: Bpe, kind: str | None):
-        self.bpe, self.kind, self.started = bpe, kind, False
-        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
+        self.bpe, self.kind, self.between = bpe, kind, ""
+        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace") if kind else None
 
     def feed(self, token: int) -> str:
         text = self.bpe.strings[token]
         if self.kind is None:
-            text = " " + text if self.started else text
-            self.started = True
+            text = self.between + text
+            self.between = " "
             return text
         suffix = self.bpe.suffix
         ended = bool(suffix) and text.endswith(suffix)
@@ -117,7 +119,7 @@ class Decoder:
         return self.utf8.decode(data + b" " if ended else data)
 
     def finish(self) -> str:
-        return self.utf8.decode(b"", True)
+        return self.utf8.decode(b"", True) if self.kind else ""
 
 
 class Bpe:
@@ -141,8 +143,16 @@ class Bpe:
         self.special = {s: i for s, i in spec["special"].items()}
         self.strings |= {i: s for s, i in self.special.items()}
         self.on_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.kept: dict[str, tuple[int, str, str]] = {}
         self.kind = spec["decoder"]
+        # the same as columns
+        most = max(self.strings) + 1
+        self.digits = pa.array([str(i) for i in range(most)])
+        self.shown = pa.array([self.strings.get(i, "") for i in range(most)])
+        self.plain_of, self.last_of = np.array(self.plain, np.int64), np.array(self.last, np.int64)
+        self.made_of = np.array(self.made, np.int64)
+        keys = np.array([(a << 32) | b for a, b in self.rank], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.rank.values()), np.int64)[order]
 
     def merge(self, symbols: list[int]) -> list[int]:
         """All merges of a run of symbols, lowest rank first, from the left."""
@@ -184,54 +194,142 @@ class Bpe:
 
     def word(self, word: str) -> list[int]:
         data = word.encode("utf-8", "replace")
-        symbols = [self.plain[b] for b in data[:-1]]
+        plain = self.plain
+        symbols = [plain[b] for b in data]
         if len(data) <= WINDOW:
-            symbols.append(self.last[data[-1]])
+            symbols[-1] = self.last[data[-1]]
             return self.merge(symbols)
         encoder = Encoder(self)
-        return encoder.feed(symbols) + encoder.feed([self.last[data[-1]]]) + encoder.finish()
-
-    def _run(self, run: str) -> tuple[int, str, str]:
-        """Tokens of a run without white space: their number, ids and decoded text."""
+        return encoder.feed(symbols[:-1]) + encoder.feed([self.last[data[-1]]]) + encoder.finish()
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All merges of many whole words at once: their tokens in order, and where each word's tokens start.
+
+        Every round merges, in each unfinished word, the leftmost pair of lowest rank."""
+        size = np.array([len(w) for w in words], np.int64)
+        symbols = self.plain_of[np.frombuffer(b"".join(words), np.uint8)]
+        last = np.cumsum(size) - 1
+        symbols[last] = self.last_of[np.frombuffer(bytes([w[-1] for w in words]), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), size)
+        ranks = np.full(len(symbols), _NONE)
+        inner = np.flatnonzero(owner[:-1] == owner[1:])
+        ranks[inner] = self.ranks_of(symbols[inner], symbols[inner + 1])
+        done_tokens, done_owner = [], []
+        while len(symbols):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            best = np.minimum.reduceat(ranks, starts)
+            counts = np.diff(np.append(starts, len(owner)))
+            open_ = np.repeat(best < _NONE, counts)
+            done_tokens.append(symbols[~open_])
+            done_owner.append(owner[~open_])
+            symbols, owner, ranks = symbols[open_], owner[open_], ranks[open_]
+            if not len(symbols):
+                break
+            lowest = np.repeat(best[best < _NONE], counts[best < _NONE])
+            hits = np.flatnonzero(ranks == lowest)
+            hits = hits[np.concatenate([[True], owner[hits[1:]] != owner[hits[:-1]]])]  # the leftmost of each word
+            symbols[hits] = self.made_of[ranks[hits]]
+            stay = np.ones(len(symbols), bool)
+            stay[hits + 1] = False
+            at = hits - np.arange(len(hits))  # each merge before moves the later ones one to the left
+            symbols, owner, ranks = symbols[stay], owner[stay], ranks[stay]
+            for left in (at - 1, at):
+                left = left[left >= 0]
+                right = np.minimum(left + 1, len(owner) - 1)
+                pair = (owner[left] == owner[right]) & (left < right)
+                ranks[left] = _NONE
+                ranks[left[pair]] = self.ranks_of(symbols[left[pair]], symbols[right[pair]])
+        tokens, of = np.concatenate(done_tokens), np.concatenate(done_owner)
+        order = np.argsort(of, kind="stable")
+        return tokens[order], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(words)))])
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left.astype(np.int64) << 32) | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NONE)
+
+    def split(self, run: str) -> list[str]:
+        """The words of a run without white space."""
+        if run.isalpha():
+            return [run]
+        if run.isascii():
+            return self.words.findall(run)
         # the library's patterns know Unicode 16: what is assigned later is neither letter nor number
-        shown = run if run.isascii() else "".join(["\ufffd" if unicodedata.category(c) == "Cn" and not IN_16.match(c) else c for c in run])
-        ids = [i for w in self.words.finditer(shown) for i in self.word(run[w.start():w.end()])]
-        found = self.pack(ids)
-        if len(run) <= 64:
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-            self.kept[run] = found
-        return found
-
-    def pack(self, ids: list[int]) -> tuple[int, str, str]:
-        decoder = Decoder(self, self.kind)
-        return len(ids), " ".join(map(str, ids)), "".join([decoder.feed(i) for i in ids]) + decoder.finish()
-
-    def runs(self, text: str) -> list[tuple[int, str, str]]:
-        """The text's runs without white space, encoded and decoded, in order."""
+        shown = "".join(["\ufffd" if unicodedata.category(c) == "Cn" and not IN_16.match(c) else c for c in run])
+        return [run[w.start():w.end()] for w in self.words.finditer(shown)]
+
+    def tokens_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each word, and where they start; a special token is a word after a space."""
+        short, rest = [], {}
+        for i, w in enumerate(words):
+            data = w.encode("utf-8", "replace")
+            if w[0] == " ":
+                rest[i] = [self.special[w[1:]]]
+            elif len(data) > SHORT:
+                rest[i] = self.word(w)
+            else:
+                short.append((i, data))
+        tokens, starts = self.merge_all([d for _, d in short]) if short else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        if not rest:
+            return tokens, starts
+        pieces = {i: tokens[a:b] for (i, _), a, b in zip(short, starts[:-1], starts[1:], strict=True)} | {i: np.array(t, np.int64) for i, t in rest.items()}
+        ordered = [pieces[i] for i in range(len(words))]
+        return np.concatenate(ordered), np.concatenate([[0], np.cumsum([len(p) for p in ordered])])
+
+    def runs(self, text: str) -> list[str]:
+        """The text's runs without white space, normalised; a special token is a run after a space."""
         out = []
         for k, part in enumerate(self.on_special.split(text) if self.on_special else [text]):
             if k % 2:
-                out.append(self.pack([self.special[part]]))
+                out.append(" " + part)
                 continue
             part = unicodedata.normalize("NFC", part)
             part = "".join(c.lower() for c in part) if "Σ" in part else part.lower()
-            get = self.kept.get
-            out += [get(run) or self._run(run) for run in (regex.split(r"\s+", part) if ODD_SPACE.search(part) else part.split()) if run]
-        return [x for x in out if x[0]]
+            out += [r for r in regex.split(r"\s+", part) if r] if ODD_SPACE.search(part) else part.split()
+        return out
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], list[str]]:
+        """Per text: the number of tokens, the ids joined by spaces, and the decoded text.
+
+        Each distinct word of the batch is encoded and decoded once; runs and texts are
+        put together from the distinct words' results in columns."""
+        runs: list[str] = []
+        ends = [0]
+        for text in texts:
+            runs += self.runs(text or "")
+            ends.append(len(runs))
+        coded = pa.array(runs, pa.string()).dictionary_encode()
+        words: list[str] = []
+        cuts = [0]
+        for run in coded.dictionary.to_pylist():
+            words += [run] if run[0] == " " else self.split(run)
+            cuts.append(len(words))
+        spelled = pa.array(words, pa.string()).dictionary_encode()
+        tokens, starts = self.tokens_of(spelled.dictionary.to_pylist())
+        which = spelled.indices.to_numpy()
+        counts = np.diff(starts)[which]
+        per_run = np.diff(np.concatenate([[0], np.cumsum(counts)])[np.array(cuts)])
+        totals = np.concatenate([[0], np.cumsum(per_run[coded.indices.to_numpy()])])[np.array(ends)]
+
+        def grouped(pieces: pa.Array, bounds, between: str) -> pa.Array:
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces), between)
+
+        def joined(of_words: pa.Array, between: str) -> list[str]:
+            of_runs = grouped(of_words.take(spelled.indices), cuts, between)
+            return grouped(of_runs.take(coded.indices), ends, between).to_pylist()
+
+        ids = joined(grouped(self.digits.take(pa.array(tokens)), starts, " "), " ")
+        if self.kind is None:  # the decoder's states, one token string after the other
+            return np.diff(totals), ids, joined(grouped(self.shown.take(pa.array(tokens)), starts, " "), " ")
+        decoded = [self.decode(tokens[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        return np.diff(totals), ids, joined(pa.array(decoded, pa.string()), "")
 
     def ids(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.runs(text) for i in ids.split()]
+        return [int(i) for i in self.encode([text])[1][0].split()]
 
     def decode(self, ids: list[int]) -> str:
-        return self.pack(ids)[2]
-
-    def digests(self, text: str | None) -> tuple[list[tuple[int, str, str]], int, str, str]:
-        """The runs, the number of tokens, and SHA-256 of the ids joined by spaces and of the decoded text."""
-        found = self.runs(text or "")
-        join = " " if self.kind is None else ""
-        return (found, sum([x[0] for x in found]), hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest(),
-                hashlib.sha256(join.join([x[2] for x in found]).encode("utf-8", "replace")).hexdigest())
+        decoder = Decoder(self, self.kind)
+        return "".join([decoder.feed(i) for i in ids]) + decoder.finish()
 
 
 def load(path: str) -> dict:
@@ -274,12 +372,9 @@ def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
     bpe = _on_worker(rows, path)
 
     def both(texts: list) -> list:
-        ids, rest = [], []
-        for text in texts:
-            runs, *digests = bpe().digests(text)
-            rest.append(digests)
-            if with_ids:  # as machine integers: lists of Python integers would take ten times the memory
-                ids.append(np.array(" ".join([x[1] for x in runs]).split(), np.int32))
-        return [ids] * with_ids + [[d[k] for d in rest] for k in range(3)]
+        n, ids, text = bpe().encode(texts)
+        sha = lambda values: [hashlib.sha256(v.encode("utf-8", "replace")).hexdigest() for v in values]
+        # ids as machine integers: lists of Python integers would take ten times the memory
+        return [[np.array(v.split(), np.int32) for v in ids]] * with_ids + [n, sha(ids), sha(text)]
 
     return map_rows(rows, keep, both, "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string")
