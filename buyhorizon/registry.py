@@ -737,8 +737,8 @@ register("stack_slips", O.table_sql(SPEC, _STACK_KEYS, A, SPEC.slips))(
 _NAN_NAMES = _feature_names_no_spark()
 
 
-@register("nan_count", "SELECT slip, user_id, CAST(" + " + ".join(f'CASE WHEN "{n}" IS NULL THEN 1 ELSE 0 END' for n in _NAN_NAMES)
-          + f" AS BIGINT) AS NaNcount FROM ({O.table_sql(SPEC, _ALL_KEYS, A, SPEC.slips)}) q")
+@register("nan_count", "SELECT slip, user_id, CAST(len(list_filter([" + ", ".join(f'"{n}" IS NULL' for n in _NAN_NAMES)
+          + f"], lambda x: x)) AS BIGINT) AS NaNcount FROM ({O.table_sql(SPEC, _ALL_KEYS, A, SPEC.slips)}) q")
 def q_nan_count(spark, sf):
     return normalize(TR.nan_count(TR.build_training_table(_t(spark, sf), SPEC), feature_names(SPEC)).select("slip", "user_id", "NaNcount"))
 
