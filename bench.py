@@ -19,7 +19,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
-    from buyhorizon.session import build_session
+    from buyhorizon.session import build_session, drop_scratch
     spark = build_session(f"local[{cpus}]", app="buyhorizon-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -73,6 +73,7 @@ def main() -> None:
         t0 = time.time()
         fn()
         times[name] = round(time.time() - t0, 3)
+        drop_scratch(spark)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "pipeline_wall_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "spark": spark.version, "cpus": cpus,

@@ -54,9 +54,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A table location under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}"
+    """A table location under the shared checkpoint folder; ``drop_scratch`` removes it."""
+    path = f"{checkpoint_dir(spark)}/{name}"
+    _MADE.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Removes the intermediate tables this process has made, through the folder's own file
+    system. For the end of a job: frames that still read them can no longer be evaluated."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -100,3 +100,16 @@ def test_fractions_of_a_second_survive_csv(spark, tmp_path):
     row = (1, 2, dt.datetime(2001, 5, 1, 3, 4, 5, 678901), 1, 1)
     IO.write_csv(spark.createDataFrame([row], IO.schemas.ACTION), str(tmp_path / "a"))
     assert IO.scan_dated(spark, str(tmp_path / "a"), "action").first().a_date == row[2]
+
+
+def test_intermediates_are_removed_at_the_end_of_a_job(spark):
+    import os
+    df = S.stored(spark.range(3), "to-drop")
+    made = df.inputFiles()[0].removeprefix("file://")
+    kept, S._MADE[:] = S._MADE[:-1], S._MADE[-1:]
+    try:
+        assert os.path.exists(made)
+        S.drop_scratch(spark)
+        assert not os.path.exists(made) and not S._MADE
+    finally:
+        S._MADE[:] = kept
