@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["oc_orders_nunique", "oc_last_order", "oc_promo_share", "cc_poor_share", "cc_last_comment",
         "ac_look_conversion", "ac_max_action_recency", "join_slip_range", "label_first_day", "stratified_folds",
         "clean_users_total", "second_purchase", "rank_users", "score_total", "calendar_bins", "share_repurchase",
-        "fn_day_diff", "scan_dated", "scan_dated_action", "build_inference_table", "nan_count", "agg_median", "ac_category_share",
+        "fn_day_diff", "scan_dated", "scan_dated_action", "build_inference_table", "agg_median", "ac_category_share",
         "oc_repurchase", "sink_submission", "scan_prediction", "metric_auc_exact", "slip_calendar", "oc_days_nunique", "ac_last_action"]
 
 
