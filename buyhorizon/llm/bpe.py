@@ -367,8 +367,11 @@ def decoded(rows: DataFrame, path: str, keep: list[str]) -> DataFrame:
     return map_rows(rows, keep, lambda ids: [[bpe().decode(i or []) for i in ids]], "text string")
 
 
-def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = False) -> DataFrame:
-    """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 of each whole text (and its ids), in one pass."""
+def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = False, inner: str | None = None) -> DataFrame:
+    """``keep`` columns with n_tokens, ids_sha256, decoded_sha256 of each whole text (and its ids), in one pass.
+
+    The text is the one other column, or field ``inner`` of the first kept one.
+    """
     bpe = _on_worker(rows, path)
 
     def both(texts: list) -> list:
@@ -377,4 +380,4 @@ def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
         # ids as machine integers: lists of Python integers would take ten times the memory
         return [[np.array(v.split(), np.int32) for v in ids]] * with_ids + [n, sha(ids), sha(text)]
 
-    return map_rows(rows, keep, both, "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_rows(rows, keep, both, "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string", inner)

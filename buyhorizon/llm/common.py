@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -88,11 +89,13 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: str) -> DataFrame:
+def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: str, inner: str | None = None) -> DataFrame:
     """``keep`` columns of ``df`` plus ``outputs``, made by ``fn`` batch by batch.
 
     ``fn`` gets the other columns as Python lists and returns one list or array
-    per output. Rows stay in Arrow, so kept values do not change type.
+    per output. Rows stay in Arrow, so kept values do not change type. With
+    ``inner``, that field of the first kept column, a struct, comes before the
+    other columns, so a text that is kept need not be sent twice.
     """
     rest = [c for c in df.columns if c not in keep]
     rows = df.select(*keep, *rest)
@@ -101,7 +104,8 @@ def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            new = fn(*[c.to_pylist() for c in batch.columns[n:]])
+            own = [pc.struct_field(batch.column(0), inner)] if inner else []
+            new = fn(*[c.to_pylist() for c in own + batch.columns[n:]])
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) for c, f in zip(batch.columns[:n], arrow, strict=False)]
                 + [pa.array(v, f.type) for v, f in zip(new, list(arrow)[n:], strict=True)], schema=arrow)

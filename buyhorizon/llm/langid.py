@@ -38,7 +38,7 @@ LETTER = re.compile(r"[^\W\d_]")
 FOLD = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 PAD = b" " * ORDER
 #: Bytes scored at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def symbols(text: str) -> bytes:
@@ -77,8 +77,8 @@ class Model:
         for lo in range(ORDER, len(a), BLOCK):
             hi = min(lo + BLOCK, len(a))
             x = a[lo - ORDER:hi]
-            code = (x[:-3] * self.size + x[1:-2]) * self.size + x[2:-1]
-            cost = self.bits[self.states[code] * self.size + x[3:]]
+            code = (x[:-3] * np.int32(self.size) + x[1:-2]) * np.int32(self.size) + x[2:-1]  # below 257 ** 3
+            cost = self.bits[self.states[code] * np.int64(self.size) + x[3:]]
             first, last = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi - 1, "right")
             for s in starts[first:last + 1]:  # the spaces before a text cost nothing
                 cost[max(s, lo) - lo:max(s + ORDER - lo, 0)] = 0
@@ -102,9 +102,9 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     langs = sorted(counts)
     seen = np.unique(np.concatenate([np.frombuffer(PAD, np.uint8)] + [((g[:, None] >> s) & 255).astype(np.uint8).ravel() for g, _ in counts.values() for s in [np.array([24, 16, 8, 0], np.uint32)]]))
     size = len(seen) + 1
-    classes = np.full(256, size - 1, np.int64)
+    classes = np.full(256, size - 1, np.int32)
     classes[seen] = np.arange(size - 1)
-    grams = {lang: (classes[(g[:, None] >> np.array([24, 16, 8, 0], np.uint32)) & 255], n) for lang, (g, n) in counts.items()}
+    grams = {lang: (classes.astype(np.int64)[(g[:, None] >> np.array([24, 16, 8, 0], np.uint32)) & 255], n) for lang, (g, n) in counts.items()}
 
     def code(columns: np.ndarray) -> np.ndarray:
         out = np.zeros(len(columns), np.int64)
@@ -175,7 +175,7 @@ def fit(labelled: DataFrame, train_docs: int = 2000, max_grams: int = 300_000) -
     return build(counts)
 
 
-def predict(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``rows`` with ``lang_pred`` and ``score``; the one other column is the text."""
+def predict(rows: DataFrame, model: Model, keep: list[str], inner: str | None = None) -> DataFrame:
+    """``keep`` columns of ``rows`` with ``lang_pred`` and ``score``; the text is the one other column, or field ``inner`` of the first."""
     shared = rows.sparkSession.sparkContext.broadcast(vars(model))
-    return map_rows(rows, keep, lambda texts: list(Model(**shared.value).predict(texts)), "lang_pred string, score double")
+    return map_rows(rows, keep, lambda texts: list(Model(**shared.value).predict(texts)), "lang_pred string, score double", inner)

@@ -38,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_model(docs)
     if not model.langs:
         return docs
-    found = langid.predict(docs.select(_whole(docs), "text"), model, ["whole"])
+    found = langid.predict(docs.select(_whole(docs)), model, ["whole"], inner="text")
     return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE)).select("whole.*")
 
 
@@ -68,7 +68,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     new = ("ids", "n_tokens", "ids_sha256", "decoded_sha256")
     docs = docs.drop(*new)
-    return bpe.round_trip(docs.select(_whole(docs), "text"), public_tokenizers.path("word_bpe_49k.json"), ["whole"], with_ids=True).select("whole.*", *new)
+    return bpe.round_trip(docs.select(_whole(docs)), public_tokenizers.path("word_bpe_49k.json"), ["whole"], with_ids=True, inner="text").select("whole.*", *new)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies), ("mixing", mix), ("bpe", encode)]
