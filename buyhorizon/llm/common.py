@@ -79,7 +79,7 @@ def running_total(df: DataFrame, group: list[str], order: list[str], size: str,
 
 
 #: Bytes of rows that a task turns into Python objects at once; a larger row is a slice of its own.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -104,6 +104,7 @@ def map_rows(df: DataFrame, keep: list[str], fn: Callable[..., list], outputs: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
+            pa.default_memory_pool().release_unused()
             own = [pc.struct_field(batch.column(0), inner)] if inner else []
             new = fn(*[c.to_pylist() for c in own + batch.columns[n:]])
             yield pa.RecordBatch.from_arrays(
