@@ -2,10 +2,10 @@
 
 ``count(DISTINCT x) FILTER (p_i)`` for dozens of (x, p_i) pairs makes
 Catalyst add an Expand that copies every row once per distinct group. Here
-each row is expanded once per distinct *value column* instead, carrying a
+each row is expanded once per distinct *value column* instead, and carries a
 bit mask of the predicates it satisfies:
 
-1. ``inline`` an array of (vid, value, mask) structs per row;
+1. rows in long form: (vid, value), one per value column;
 2. group by (keys, vid, value) with ``bit_or(mask)``: the shuffle key holds
    the value, so one hot user is spread over many tasks, and the map-side
    partial aggregate collapses repeats before the shuffle;
@@ -31,36 +31,43 @@ class DistinctRequest:
     pred: str         # row predicate (SQL)
 
 
+def value_keys(requests: list[DistinctRequest]) -> dict[str, str]:
+    """The distinct values the requests count, by key; their order numbers them."""
+    return {r.value_key: r.value for r in requests}
+
+
+def long_rows(df: DataFrame, requests: list[DistinctRequest], columns: list[str]) -> DataFrame:
+    """``columns`` of ``df`` once per value, with ``_vid`` and ``_v``."""
+    values = ", ".join(f"named_struct('_vid', {i}, '_v', CAST({v} AS BIGINT))" for i, v in enumerate(value_keys(requests).values()))
+    return df.selectExpr(*columns, f"inline(array({values}))").where("_v IS NOT NULL")
+
+
+def masked_counts(rows: DataFrame, keys: list[str], requests: list[DistinctRequest]) -> DataFrame:
+    """Stages 2 and 3 over long rows that still have the predicates' columns. A row has one
+    value, so only that value's predicates are evaluated; masks hold ``MAX_BITS`` each."""
+    vids = {k: i for i, k in enumerate(value_keys(requests))}
+    number: dict[str, int] = {}
+    bits = []
+    for r in requests:
+        n = number[r.value_key] = number.get(r.value_key, -1) + 1
+        bits.append((r, vids[r.value_key], n // MAX_BITS, 1 << (n % MAX_BITS)))
+    masks = [f"_m{c}" for c in range(1 + max(c for _, _, c, _ in bits))]
+    made = []
+    for c, mask in enumerate(masks):
+        cases = []
+        for vid in vids.values():
+            mine = [f"CAST(if({r.pred}, {bit}, 0) AS BIGINT)" for r, v, own, bit in bits if v == vid and own == c]
+            cases.append(f"WHEN {vid} THEN {' + '.join(mine) or 'CAST(0 AS BIGINT)'}")
+        made.append(f"CASE _vid {' '.join(cases)} END AS {mask}")
+    held = rows.selectExpr(*keys, "_vid", "_v", *made).where(" OR ".join(f"{m} <> 0" for m in masks))
+    dedup = held.groupBy(*keys, "_vid", "_v").agg(*[F.bit_or(m).alias(m) for m in masks])
+    return _agg_sql(dedup, keys, [f"count_if(_vid = {v} AND (_m{c} & {bit}) <> 0) AS {r.out}" for r, v, c, bit in bits])
+
+
 def multi_distinct_counts(df: DataFrame, keys: list[str], requests: list[DistinctRequest]) -> DataFrame:
     """One row per key group with one count column per request (absent groups
     have no row; callers decide between null and 0)."""
-    groups: dict[tuple[str, int], list[tuple[DistinctRequest, int]]] = {}
-    value_of: dict[tuple[str, int], str] = {}
-    chunk_of: dict[str, int] = {}
-    fill: dict[tuple[str, int], int] = {}
-    for r in requests:
-        c = chunk_of.setdefault(r.value_key, 0)
-        g = (r.value_key, c)
-        if fill.get(g, 0) >= MAX_BITS:
-            c += 1
-            chunk_of[r.value_key] = c
-            g = (r.value_key, c)
-        bit = fill.get(g, 0)
-        fill[g] = bit + 1
-        groups.setdefault(g, []).append((r, bit))
-        value_of[g] = r.value
-    vids = {g: i for i, g in enumerate(groups)}
-    structs = []
-    for g, members in groups.items():
-        mask = " + ".join(f"CASE WHEN {r.pred} THEN {1 << bit} ELSE 0 END" for r, bit in members)
-        structs.append(f"named_struct('vid', {vids[g]}, 'v', CAST({value_of[g]} AS BIGINT), "
-                       f"'m', CAST({mask} AS BIGINT))")
-    exploded = (df.selectExpr(*keys, f"inline(array({', '.join(structs)}))")
-                  .where("m <> 0 AND v IS NOT NULL"))
-    dedup = exploded.groupBy(*keys, "vid", "v").agg(F.bit_or("m").alias("m"))
-    counts = [f"count_if(vid = {vids[g]} AND (m & {1 << bit}) <> 0) AS {r.out}"
-              for g, members in groups.items() for r, bit in members]
-    return _agg_sql(dedup, keys, counts)
+    return masked_counts(long_rows(df, requests, df.columns), keys, requests)
 
 
 def _agg_sql(df: DataFrame, keys: list[str], aggs: list[str]) -> DataFrame:

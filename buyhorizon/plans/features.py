@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sqlexpr as X
 from ..functions.slices import slice_names
-from ..operators.distinct import DistinctRequest, _agg_sql, multi_distinct_counts
+from ..operators.distinct import DistinctRequest, _agg_sql, long_rows, masked_counts
 from ..spec import FeatureSpec
 from .catalogue import BY_KEY, CATALOGUE, FAMILY_SOURCE, SOURCE_TS, VARIANTS, FeatureRow
 
@@ -405,14 +405,11 @@ def selection_table(facts: DataFrame, src: str, stats: dict, sels: dict, spec: F
 
 def distinct_table(facts: DataFrame, src: str, reqs: dict, spec: FeatureSpec, anchors) -> DataFrame:
     """All distinct counts of a source, packed into one array per (slip, user_id)."""
-    cols = list(dict.fromkeys(r.value_key for _, r, _ in reqs.values()))
-    values = ", ".join(f"named_struct('_vid', {i}, '_v', {_distinct_value(c)})" for i, c in enumerate(cols))
-    days = (with_day_keys(facts, src, spec).selectExpr(*DAY_KEYS, f"inline(array({values}))").where("_v IS NOT NULL")
-            .groupBy(*DAY_KEYS, "_vid", "_v").agg(F.lit(1).alias("_one")).drop("_one"))
+    own = [r for _, r, _ in reqs.values()]
+    days = long_rows(with_day_keys(facts, src, spec), own, DAY_KEYS).distinct()
     data = day_to_slips(days, spec, anchors, max(w for _, _, w in reqs.values()))
-    own = [DistinctRequest(r.out, r.value_key, "_v", X.and_(f"_vid = {cols.index(r.value_key)}", r.pred)) for _, r, _ in reqs.values()]
     packed = ", ".join(f"CAST({n} AS BIGINT)" for n, _, _ in reqs.values())
-    return multi_distinct_counts(data, KEYS, own).selectExpr(*KEYS, f"array({packed}) AS _d_{src}")
+    return masked_counts(data, KEYS, own).selectExpr(*KEYS, f"array({packed}) AS _d_{src}")
 
 
 def latest_table(facts: DataFrame, src: str, wanted: dict, spec: FeatureSpec, anchors) -> DataFrame:
