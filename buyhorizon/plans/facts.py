@@ -10,6 +10,7 @@ orders of target products only and no comments.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,11 @@ class Facts:
     def __init__(self, t: Tables):
         self.tables, self.made = t, {}
 
+    def make(self, sources, spec: FeatureSpec, anchors) -> None:
+        """Stores several sources at once: independent jobs that share the cluster."""
+        with ThreadPoolExecutor(len(COLUMNS)) as pool:
+            list(pool.map(lambda src: self.of(src, spec, anchors), sources))
+
     def of(self, src: str, spec: FeatureSpec, anchors) -> DataFrame:
         lo = min(a for _, a in anchors) - dt.timedelta(days=spec.max_window)
         hi = max(a for _, a in anchors) - dt.timedelta(days=1)

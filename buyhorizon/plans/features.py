@@ -439,6 +439,7 @@ def run_compiled(c: Compiled, facts, spine: DataFrame, spec: FeatureSpec,
 
     ``facts`` gives the stored facts of a source (``plans.facts.Facts``)."""
     anchors = spec.anchors(anchor, slips)
+    facts.make(sorted({*c.stats, *c.struct, *c.distinct}), spec, anchors)
     sides = []
     for src, stats in sorted(c.stats.items()):
         sides.append(selection_table(facts.of(src, spec, anchors), src, stats, c.sels[src], spec, anchors))
