@@ -113,7 +113,7 @@ def take(rows: DataFrame, weights: tuple[float, ...], most: int = 3, block: int
                                     "source string, number long, source_size long, target double")
     dealt = spark.createDataFrame([(int(i), int(starts[k, i]), int(counts[k, i]), blocks[i]) for k in range(shards) for i in range(len(found)) if counts[k, i]],
                                   "number long, start long, n long, blocks long")
-    slot = dealt.repartition(shards, "number", "start").select("number", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot"), "blocks")
+    slot = dealt.repartition(shards).select("number", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot"), "blocks")
     used = map_rows(slot.select("number", F.col("number").alias("key"), "slot", "blocks"), ["number"], _place(seed), "block long")
     used = used.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
 
