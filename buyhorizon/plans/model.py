@@ -9,9 +9,11 @@
   meta-feature; the test meta-feature is the mean of the k models;
 * bagging: n fits on seeded hash holdouts, predictions averaged;
 * rounds: every fit stops on its own held-out rows (the fold, or the bag's
-  holdout): MLlib's validation indicator ends boosting at the first round that
-  does not lower the held-out error by ``validationTol``; ``maxIter`` only
-  bounds a fit that never stops improving.
+  holdout) once ``patience`` rounds in a row have not lowered the least held-out
+  error, and keeps the trees up to that least error. MLlib's validation indicator
+  ends at the first worse round instead, so fits run without it, their held-out
+  error is taken after each round, and a fit that has not ended is made anew with
+  twice the rounds; ``maxIter`` bounds them.
 Each fit is a distributed MLlib job on stored rows; only the driver loop over
 fits is local.
 """
@@ -20,13 +22,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import asdict, dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark import SparkContext, inheritable_thread_target
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,17 +43,17 @@ KEYS = ["slip", "user_id"]
 class GBTParams:
     """The one parameter set of all models: learning_rate -> stepSize, num_leaves 64
     -> maxDepth 6, bagging_fraction -> subsamplingRate, feature_fraction ->
-    featureSubsetStrategy, min_child_weight -> minInstancesPerNode, early stopping
-    -> validationTol (maxIter bounds the rounds)."""
+    featureSubsetStrategy, min_child_weight -> minInstancesPerNode, num_boost_round
+    -> maxIter, early_stopping_rounds -> patience."""
     stepSize: float = 0.05
     maxDepth: int = 6
     subsamplingRate: float = 0.8
     featureSubsetStrategy: str = "0.9"
-    maxIter: int = 200
+    maxIter: int = 10000
     minInstancesPerNode: int = 2
     seed: int = 2016
     maxBins: int = 32
-    validationTol: float = 0.001
+    patience: int = 200
 
 
 @dataclass
@@ -93,12 +96,58 @@ def stratified_folds(df: DataFrame, label: str, k: int, seed: int = 1) -> DataFr
     return ranked.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_u", "_pos")
 
 
-def _estimator(p: GBTParams, label: str, features: str = "features", held_out: str | None = "_held", weight: str | None = None):
-    """A boosted-tree estimator; with ``weight`` a classifier, with ``held_out`` it stops on those rows."""
-    kw = {**asdict(p), "labelCol": label, "featuresCol": features} | ({"validationIndicatorCol": held_out} if held_out else {})
+def _estimator(p: GBTParams, label: str, features: str = "features", weight: str | None = None):
+    """A boosted-tree estimator; with ``weight`` a classifier."""
+    kw = {k: v for k, v in asdict(p).items() if k != "patience"} | {"labelCol": label, "featuresCol": features}
     return GBTClassifier(**kw, weightCol=weight) if weight else GBTRegressor(**kw)
 
 
+def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
+    """The round of least error before ``patience`` rounds without a lower one, and whether those were seen."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model, n: int):
+    """The model of the first ``n`` trees."""
+    old, sc = model._java_obj, SparkContext._active_spark_context
+    ml = sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    own_trees, own_weights = old.trees(), old.treeWeights()
+    for i in range(n):
+        trees[i], weights[i] = own_trees[i], own_weights[i]
+    java, python = ((ml.classification.GBTClassificationModel, GBTClassificationModel) if isinstance(model, GBTClassificationModel)
+                    else (ml.regression.GBTRegressionModel, GBTRegressionModel))
+    cut = python(java(old.uid(), trees, weights, old.numFeatures()))
+    cut._resetUid(model.uid)
+    return model._copyValues(cut)
+
+
+def _round_errors(model, held: DataFrame) -> list[float]:
+    """The held-out error after each round."""
+    return list(model.evaluateEachIteration(held) if isinstance(model, GBTClassificationModel) else model.evaluateEachIteration(held, "squared"))
+
+
+def fit_rounds(est, splits: list[tuple[DataFrame, DataFrame]], patience: int) -> tuple[list, list[float]]:
+    """Models of (train, held) splits with the trees up to the least mean held-out error, and that error after each of their rounds."""
+    bound = est.getMaxIter()
+    rounds = min(bound, patience + patience // 4 + 1)
+    while True:
+        models = [est.fit(train, {est.maxIter: rounds}) for train, _ in splits]
+        curves = [_round_errors(m, held) for m, (_, held) in zip(models, splits, strict=True)]
+        errors = [sum(e) / len(e) for e in zip(*curves, strict=True)]
+        best, ended = best_round(errors, patience)
+        if ended or rounds == bound:
+            return [first_trees(m, best) for m in models], errors[:best]
+        rounds = min(bound, 2 * rounds)
+
+
 def metric_auc(pred: DataFrame, label: str) -> float:
     scored = pred.withColumn("_bin", (F.col(label) > 0).cast("double"))
     return BinaryClassificationEvaluator(rawPredictionCol="prediction", labelCol="_bin",
@@ -131,7 +180,8 @@ class StackedBaggedGBT:
         return train.withColumns({"_y": y.cast("double"), "_w": F.when(y.cast("double") > 0, self.pos_weight).otherwise(1.0)})
 
     def _fit_one(self, data: DataFrame, features: str, held_out: Column):
-        return _estimator(self.params, "_y", features, weight="_w" if self.binary else None).fit(data.withColumn("_held", held_out))
+        est = _estimator(self.params, "_y", features, weight="_w" if self.binary else None)
+        return fit_rounds(est, [(data.where(~held_out), data.where(held_out))], self.params.patience)[0][0]
 
     def _apply(self, model, df: DataFrame, out: str) -> DataFrame:
         made = model.transform(df)
@@ -195,14 +245,18 @@ def depth_of(num_leaves: int, max_depth: int) -> int:
 
 def grid_search_cv(train: DataFrame, label: str, params: GBTParams, points: list[dict], folds: int = 3,
                    parallelism: int = 4) -> list[tuple[dict, float]]:
-    """Mean held-out l2 (lower is better) of every point, by k-fold cross-validation.
+    """Mean held-out l2 (lower is better) of every point, by k-fold cross-validation, at the best round of the mean over the folds.
 
     Points that give the same estimator (leaves and depth often map to one depth) are fitted once."""
     est = _estimator(params, label)
     distinct = list({tuple(sorted(p.items())): p for p in points}.values())
-    grid = [{getattr(est, name): value for name, value in p.items()} for p in distinct]
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=RegressionEvaluator(predictionCol="prediction", labelCol=label, metricName="mse"),
-                        numFolds=folds, parallelism=parallelism, seed=params.seed)
-    data = train.withColumn("_held", _hash_unit(params.seed) < 0.2)
-    found = {tuple(sorted(p.items())): float(v) for p, v in zip(distinct, cv.fit(data).avgMetrics, strict=True)}
+    fold = F.floor(_hash_unit(params.seed) * folds)
+    splits = [(train.where(fold != f), train.where(fold == f)) for f in range(folds)]
+
+    def score(p: dict) -> float:
+        return fit_rounds(est.copy({getattr(est, name): value for name, value in p.items()}), splits, params.patience)[1][-1]
+
+    with ThreadPool(min(parallelism, len(distinct))) as pool:
+        scores = pool.map(inheritable_thread_target(train.sparkSession)(score), distinct)
+    found = {tuple(sorted(p.items())): float(v) for p, v in zip(distinct, scores, strict=True)}
     return [(p, found[tuple(sorted(p.items()))]) for p in points]

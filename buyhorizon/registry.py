@@ -1007,6 +1007,7 @@ from .plans import model as ML  # noqa: E402
 from .plans import predict as PR  # noqa: E402
 
 _ML_PARAMS = ML.GBTParams()
+_CV_PARAMS = ML.GBTParams(patience=30)
 # stored tables and fits of this application, so that keys of one run share them; each key also runs alone
 _MEMO: dict = {}
 
@@ -1146,7 +1147,7 @@ def _grid(spark, sf):
     def make():
         rest, _ = ML.holdout_split(_matrices(spark, sf).train, 0.2, 0)
         pairs = [(n, d) for n in _LEAVES for d in _DEPTHS]
-        found = ML.grid_search_cv(rest.withColumn("_y", F.col(BUY).cast("double")), "_y", _ML_PARAMS, [{"maxDepth": ML.depth_of(n, d)} for n, d in pairs])
+        found = ML.grid_search_cv(rest.withColumn("_y", F.col(BUY).cast("double")), "_y", _CV_PARAMS, [{"maxDepth": ML.depth_of(n, d)} for n, d in pairs])
         return [(n, d, p["maxDepth"], v) for (n, d), (p, v) in zip(pairs, found, strict=True)]
     return spark.createDataFrame(_once(spark, ("grid", sf), make), "num_leaves int, max_depth int, depth_used int, mse double")
 
@@ -1157,7 +1158,7 @@ def _grid_more(spark, sf):
         rows = _matrices(spark, sf).train.where(F.col(DAY) < SPEC.no_buy_day).withColumn("_y", F.col(DAY).cast("double"))
         points = [{"maxBins": b, "minInstancesPerNode": n} for b in (16, 32, 64) for n in (1, 5, 20)]
         points += [{"subsamplingRate": r, "featureSubsetStrategy": f} for r in (0.6, 0.8, 1.0) for f in ("0.6", "0.8", "1.0")]
-        found = ML.grid_search_cv(rows, "_y", _ML_PARAMS, points)
+        found = ML.grid_search_cv(rows, "_y", _CV_PARAMS, points)
         return [(str(sorted(p.items())), v) for p, v in found]
     return spark.createDataFrame(_once(spark, ("more", sf), make), "point string, mse double")
 

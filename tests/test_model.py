@@ -61,3 +61,31 @@ def test_metrics_by_hand(spark):
     df = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.7, 2), (0.1, 0)], "prediction double, y int")
     assert ML.metric_auc(df, "y") == pytest.approx(3 / 4)
     assert ML.metric_l2(df, "y") == pytest.approx((0.01 + 0.64 + 1.69 + 0.01) / 4)
+
+
+def test_rounds_go_on_through_a_rise_until_patience_ends():
+    errors = [5.0, 4.0, 4.1, 3.0, 3.2, 3.1, 3.05, 2.0]
+    assert ML.best_round(errors, 1) == (2, True)
+    assert ML.best_round(errors, 3) == (4, True)
+    assert ML.best_round(errors, 4) == (8, False)
+
+
+def test_a_fit_keeps_the_trees_up_to_its_least_held_out_error(spark):
+    from buyhorizon.session import stored
+    rng = random.Random(11)
+    data = []
+    for i in range(600):
+        x = [rng.gauss(0, 1) for _ in range(4)]
+        data.append((i % 2, i, x[0] + 0.5 * x[1] + rng.gauss(0, 2.5), Vectors.dense(x)))
+    rows = stored(spark.createDataFrame(data, ["slip", "user_id", "y", "features"]), "patience-test")
+    held = rows.where("user_id % 4 = 0")
+    train = rows.where("user_id % 4 <> 0")
+    whole = ML._estimator(ML.GBTParams(maxDepth=5, maxIter=30), "y").fit(train)
+    errors = whole.evaluateEachIteration(held, "squared")
+    least = min(range(30), key=lambda i: errors[i])
+    assert any(errors[i + 1] > errors[i] for i in range(least))  # a round before the least error is worse than the one before it
+    model = ML.StackedBaggedGBT("y", ML.GBTParams(maxDepth=5, maxIter=30))._fit_one(rows.withColumn("_y", F.col("y")), "features", F.col("user_id") % 4 == 0)
+    assert model.getNumTrees == least + 1
+    assert len(model.featureImportances) == 4
+    scored = model.transform(held).select(F.avg((F.col("prediction") - F.col("y")) ** 2)).first()[0]
+    assert scored == pytest.approx(errors[least])
