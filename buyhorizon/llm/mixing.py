@@ -95,11 +95,13 @@ def _place(seed: int):
     return place
 
 
-def take(rows: DataFrame, weights: tuple[float, ...], most: int = 3, block: int = 128, shards: int = 64, seed: int = 7):
+def take(rows: DataFrame, weights: tuple[float, ...], most: int = 3, block: int = 128, shards: int = 64, seed: int = 7, by_shard: bool = False):
     """Mixes ``rows`` (source, size, order, and columns that identify a row).
 
     Returns (sources, taken): per source (source, source_size, target), and per row
-    and block taken the row's columns with first and last word (to) and times.
+    and block taken the row's columns with first and last word (to) and times; with
+    ``by_shard``, per row and slot, with the output shard and the source's slot
+    number instead of times.
     """
     spark = rows.sparkSession
     found = sorted(rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).collect(), key=lambda r: (r.source is None, r.source or ""))
@@ -111,11 +113,14 @@ def take(rows: DataFrame, weights: tuple[float, ...], most: int = 3, block: int
     starts = np.cumsum(counts, axis=0) - counts
     sources = spark.createDataFrame([(r.source, i, s, float(t)) for i, (r, s, t) in enumerate(zip(found, sizes, aims, strict=True))],
                                     "source string, number long, source_size long, target double")
-    dealt = spark.createDataFrame([(int(i), int(starts[k, i]), int(counts[k, i]), blocks[i]) for k in range(shards) for i in range(len(found)) if counts[k, i]],
-                                  "number long, start long, n long, blocks long")
-    slot = dealt.repartition(shards).select("number", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot"), "blocks")
-    used = map_rows(slot.select("number", F.col("number").alias("key"), "slot", "blocks"), ["number"], _place(seed), "block long")
-    used = used.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
+    dealt = spark.createDataFrame([(int(i), k, int(starts[k, i]), int(counts[k, i]), blocks[i]) for k in range(shards) for i in range(len(found)) if counts[k, i]],
+                                  "number long, shard int, start long, n long, blocks long")
+    slot = dealt.repartition(shards).select("number", "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot"), "blocks")
+    own = ["shard", "slot"] if by_shard else []
+    slot = slot.select("number", *own, F.col("number").alias("key"), F.col("slot").alias("index"), "blocks")
+    used = map_rows(slot, ["number", *own], _place(seed), "block long")
+    if not by_shard:
+        used = used.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
 
     worded = rows.where("size > 0")
     at = running_total(worded, ["source"], ["order", *sorted(set(rows.columns) - {"source", "order"})], "size", "at")
@@ -125,7 +130,7 @@ def take(rows: DataFrame, weights: tuple[float, ...], most: int = 3, block: int
     # made by explode from a few rows, so Spark's estimate of it is far too low: never broadcast
     taken = pieces.join(used.hint("merge"), ["number", "block"])
     return sources, taken.select(*rows.columns, F.greatest(F.lit(0), F.col("block") * block - F.col("at")).alias("first"),
-                                 F.least(F.col("size"), (F.col("block") + 1) * block - F.col("at")).alias("to"), "times")
+                                 F.least(F.col("size"), (F.col("block") + 1) * block - F.col("at")).alias("to"), *(own or ["times"]))
 
 
 def word_count(text):
@@ -177,3 +182,15 @@ def mixed_documents(docs: DataFrame, id_col: str, weights: tuple[float, ...], **
     copies = copies.select("whole", F.explode("texts").alias("mixed"))
     set_anew = {"text": F.col("mixed"), "n_chars": F.char_length("mixed")}
     return copies.select(*[(set_anew[f.name].cast(f.dataType) if f.name in set_anew else F.col(f"whole.`{f.name}`")).alias(f.name) for f in docs.schema.fields])
+
+
+def mixed_shards(docs: DataFrame, id_col: str, weights: tuple[float, ...], **options) -> DataFrame:
+    """The mix per output shard: shard, source, slot of the source, and per document in the slot's block id, first and last word (to) and text."""
+    docs = with_locators(docs)
+    _, taken = take(stored(_sized(docs, id_col), "mix-rows"), weights, by_shard=True, **options)
+    piece = F.struct("shard", "slot", "first", "to", F.lit(1).alias("times"))
+    parts = stored(taken.groupBy("file", "row", "source", F.col("order").alias("id")).agg(F.collect_list(piece).alias("parts")), "mix-slots")  # of one document
+    whole = located(docs, [F.col("text")]).join(parts.hint("merge"), ["file", "row"]).select("source", "id", F.col("parts").alias("kept"), "text", "parts")
+    made = map_rows(whole, ["source", "id", "kept"], lambda texts, parts: [[[texts_of(t, [p])[0] for p in ps] for t, ps in zip(texts, parts, strict=True)]], "texts array<string>")
+    each = made.select("source", "id", F.explode(F.arrays_zip("kept", "texts")).alias("one"))
+    return each.select("one.kept.shard", "source", "one.kept.slot", "id", "one.kept.first", "one.kept.to", F.col("one.texts").alias("text"))

@@ -86,3 +86,28 @@ def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string, n_chars long")
     assert M.mixed_counts(empty, "doc_id", (5, 2, 1)).count() == 0
     assert M.mixed_documents(empty, "doc_id", (5, 2, 1)).count() == 0
+
+
+def test_every_output_shard_has_its_drawn_slots(spark):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, file string")
+    got = M.mixed_shards(docs, "doc_id", (5, 2, 1), block=16, shards=8).collect()
+    names = sorted({r[2] for r in rows if r[2] is not None}) + [None]
+    sizes = [sum(len(words(r[1])) for r in rows if r[2] == s) for s in names]
+    slots = [max((r.slot for r in got if r.source == s), default=-1) + 1 for s in names]
+    drawn = M.draw(slots, 8, 7)
+    for k in range(8):
+        assert [len({r.slot for r in got if r.shard == k and r.source == s}) for s in names] == drawn[k].tolist()
+    for s, size in zip(names, sizes):
+        filled = {}
+        for r in (r for r in got if r.source == s):
+            filled[r.slot] = filled.get(r.slot, 0) + r.to - r.first
+        assert all(n == 16 or n == size % 16 for n in filled.values())  # each slot is one block
+    texts = {i: words(t) for i, t, *_ in rows if i != 1}
+    assert all(words(r.text) == texts[r.id][r.first:r.to] for r in got if r.id not in (1, None))
+    by, counted = {}, {}
+    for r in got:
+        by[r.id] = by.get(r.id, 0) + len(words(r.text))
+    for r in M.mixed_counts(docs, "doc_id", (5, 2, 1), block=16, shards=8).collect():
+        counted[r.id] = counted.get(r.id, 0) + r.taken
+    assert by == {k: v for k, v in counted.items() if v}
