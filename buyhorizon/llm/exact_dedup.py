@@ -6,7 +6,7 @@ without expiry: the smallest identifier seen, the locator of its content and the
 number of rows. The streaming aggregate combines on the map side, so a text with
 a third of all copies reaches its state partition as one row per task. Every hit
 (a digest with more than one row) is then checked byte by byte against the text
-at the kept locator; should texts of one digest differ, they are told apart by
+at the kept locator, which of earlier batches is read from its file; should texts of one digest differ, they are told apart by
 their full text.
 
 Defined results: null text counts as empty; rows that repeat an identifier and a
@@ -101,6 +101,17 @@ class StreamingDedup:
         return (self._rows(docs, True).join(shared, "digest")
                 .select("digest", "id", "file", "row", "content", "group_size", first.alias("is_first")))
 
+    def earlier_hits(self, groups: DataFrame, hits: DataFrame) -> DataFrame | None:
+        """The same of logged rows that ``hits`` lacks (those of other batches), with their text read at their locators."""
+        first = (F.col("file") == F.col("first.file")) & (F.col("row") == F.col("first.row"))
+        logged = self.log().join(groups.where("group_size > 1"), "digest").select("digest", "id", "file", "row", "group_size", first.alias("is_first"))
+        earlier = stored(logged.join(hits.select("file", "row"), ["file", "row"], "left_anti"), "dedup-earlier")
+        files = [r["file"] for r in earlier.select("file").distinct().collect()]
+        if not files:
+            return None
+        texts = located(self.spark.read.parquet(*files), [normalised(F.col(self.text_col)).alias("content")])
+        return earlier.join(texts, ["file", "row"]).select(*hits.columns)
+
     @staticmethod
     def differing(hits: DataFrame) -> DataFrame:
         """Digests of which some text is not, byte for byte, the kept one."""
@@ -115,6 +126,8 @@ class StreamingDedup:
         """One row per logged row: id, file, row, digest, first (struct), group_size."""
         groups = stored(self.groups(), "dedup-groups")
         hits = stored(self.hits(docs, groups), "dedup-hits")
+        earlier = self.earlier_hits(groups, hits)
+        hits = hits if earlier is None else stored(hits.unionByName(earlier), "dedup-all-hits")
         rows = self.log().join(groups, "digest")
         differing = stored(self.differing(hits), "dedup-differing")
         if differing.isEmpty():

@@ -58,3 +58,24 @@ def test_empty_table_and_columns_kept(spark):
     kept = D.drop_exact_copies(spark.createDataFrame(ROWS, SCHEMA))
     assert kept.columns == ["doc_id", "text", "file", "first"]
     assert kept.count() == len({norm(r[1]) for r in ROWS})
+
+
+def test_hits_on_earlier_batches_are_checked_against_their_files(spark):
+    weak = lambda text: F.lit("same")
+    d = D.StreamingDedup(spark, digest=weak)
+    batches = [[(5, "a b"), (6, "c")], [(7, "d"), (8, "a  b"), (9, "c")]]
+    for batch in batches:
+        path = new_folder(spark, "arriving")
+        spark.createDataFrame(batch, "doc_id long, text string").write.parquet(path)
+        docs = spark.read.parquet(path)
+        d.add(docs)
+    got = {(r.id, r["first"].id, r.group_size) for r in d.result(docs).collect()}
+    assert got == {(5, 5, 2), (8, 5, 2), (6, 6, 2), (9, 6, 2), (7, 7, 1)}
+
+
+def test_a_text_that_is_no_copy_of_an_earlier_batch_stays(spark):
+    weak, folder = lambda text: F.lit("same"), new_folder(spark, "lasting")
+    schema = "doc_id long, text string"
+    assert [r.doc_id for r in D.drop_exact_copies(spark.createDataFrame([(1, "a")], schema), folder, digest=weak).collect()] == [1]
+    kept = D.drop_exact_copies(spark.createDataFrame([(2, "b"), (3, "a")], schema), folder, digest=weak)
+    assert [r.doc_id for r in kept.collect()] == [2]
