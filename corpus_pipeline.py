@@ -19,8 +19,6 @@ from buyhorizon.llm import bpe, exact_dedup, langid, mixing, simhash
 from buyhorizon.llm.common import located, new_folder, table, with_locators
 from buyhorizon.llm.queries import language_model
 
-#: Documents whose best language is less likely than this are rejected.
-LEAST_SCORE = 0.5
 WEIGHTS = (5, 2, 1)
 
 
@@ -30,16 +28,17 @@ def _whole(docs: DataFrame):
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognised language: no letters, or a score below ``LEAST_SCORE``.
+    """Drops documents without a recognised language: those without a letter.
 
-    The model learns from the table's own labelled rows; where there is none,
+    The score is a posterior over the learned languages, so a low one marks a short
+    text, not a foreign one, and rejects nothing. The model learns from the table's own labelled rows; where there is none,
     nothing can be judged and every row stays.
     """
     model = language_model(docs)
     if not model.langs:
         return docs
     found = langid.predict(docs.select(_whole(docs)), model, ["whole"], inner="text")
-    return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE)).select("whole.*")
+    return found.where(F.col("lang_pred") != langid.UND).select("whole.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

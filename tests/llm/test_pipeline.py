@@ -84,3 +84,11 @@ def test_clashing_columns_repeated_rows_and_empty_tables(spark):
     assert P.run(spark, D, docs.limit(0)).count() == 0
     nothing_learned = docs.withColumn("lang", F.lit(None).cast("string"))
     assert P.language_id(spark, nothing_learned, D).count() == len(rows) and UND == "und"
+
+
+def test_short_texts_of_no_clear_language_stay(spark):
+    rows = [(i, "same words in all", ("aa", "bb", "cc")[i % 3]) for i in range(90)] + [(900, "x", None), (901, "12", None)]
+    docs = again(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    from buyhorizon.llm.queries import language_model
+    assert max(language_model(docs).predict(["x"])[1]) < 0.5
+    assert sorted(r.doc_id for r in P.language_id(spark, docs, D).collect()) == [*range(90), 900]
