@@ -1138,8 +1138,11 @@ def q_predict_submit_score(spark, sf):
     return PR.predict_submit_score(_t(spark, sf), _matrices(spark, sf), _models(spark, sf), SPEC, f"submit_{_uuid.uuid4().hex}")
 
 
-# fixed values: the reference's grid of leaves and depths
+# fixed values: the reference's grid of leaves and depths, the first-day label's own leaves, and its sampling shares
 _LEAVES, _DEPTHS = range(20, 200, 10), range(3, 8)
+_DAY_LEAVES, _SHARES = range(20, 100, 5), (0.6, 0.7, 0.8, 0.9, 1.0)
+# some of the reference's 51 x 38 values of bins and leaf size
+_BINS, _LEAF_ROWS = (16, 32, 64), (1, 5, 20)
 
 
 def _grid(spark, sf):
@@ -1152,15 +1155,26 @@ def _grid(spark, sf):
     return spark.createDataFrame(_once(spark, ("grid", sf), make), "num_leaves int, max_depth int, depth_used int, mse double")
 
 
+def _more_points() -> list[tuple[str, str, dict]]:
+    """(target, point, parameters): leaves and depths of the first-day label, then bins, leaf size and sampling of either label."""
+    out = [("first_day", f"num_leaves={n} max_depth={d}", {"maxDepth": ML.depth_of(n, d)}) for n in _DAY_LEAVES for d in _DEPTHS]
+    later = [{"maxBins": b, "minInstancesPerNode": n} for b in _BINS for n in _LEAF_ROWS]
+    later += [{"subsamplingRate": r, "featureSubsetStrategy": str(f)} for r in _SHARES for f in _SHARES]
+    return out + [(target, str(sorted(p.items())), p) for target in ("count", "first_day") for p in later]
+
+
 def _grid_more(spark, sf):
-    """The parameters MLlib has of the later grids, for the first-day label of buyers."""
+    """The parameters MLlib has of the later grids: the first-day label of buyers, and the count label on the rows outside a 0.2 holdout."""
     def make():
-        rows = _matrices(spark, sf).train.where(F.col(DAY) < SPEC.no_buy_day).withColumn("_y", F.col(DAY).cast("double"))
-        points = [{"maxBins": b, "minInstancesPerNode": n} for b in (16, 32, 64) for n in (1, 5, 20)]
-        points += [{"subsamplingRate": r, "featureSubsetStrategy": f} for r in (0.6, 0.8, 1.0) for f in ("0.6", "0.8", "1.0")]
-        found = ML.grid_search_cv(rows, "_y", _CV_PARAMS, points)
-        return [(str(sorted(p.items())), v) for p, v in found]
-    return spark.createDataFrame(_once(spark, ("more", sf), make), "point string, mse double")
+        train, out = _matrices(spark, sf).train, []
+        rows = {"count": ML.holdout_split(train, 0.2, 0)[0].withColumn("_y", F.col(BUY).cast("double")),
+                "first_day": train.where(F.col(DAY) < SPEC.no_buy_day).withColumn("_y", F.col(DAY).cast("double"))}
+        for target in rows:
+            points = [(name, p) for t, name, p in _more_points() if t == target]
+            found = ML.grid_search_cv(rows[target], "_y", _CV_PARAMS, [p for _, p in points])
+            out += [(target, name, v) for (name, _), (_, v) in zip(points, found, strict=True)]
+        return out
+    return spark.createDataFrame(_once(spark, ("more", sf), make), "target string, point string, mse double")
 
 
 register("grid_search_cv")(_grid)
@@ -1169,9 +1183,10 @@ register("grid_search_more")(_grid_more)
 
 @register("sink_tuning_result")
 def q_sink_tuning_result(spark, sf):
-    """The best point of either search, appended one after the other and read back."""
+    """The best point of the first search and of the later one per label, appended one after the other and read back."""
     path = scratch_path(spark, f"tuning_{_uuid.uuid4().hex}")
     best = _grid(spark, sf).orderBy("mse", "num_leaves", "max_depth").limit(1)
     IO.sink_tuning_result(best.selectExpr("'count' AS target", "concat('num_leaves=', num_leaves, ' max_depth=', max_depth) AS point", "mse"), path)
-    IO.sink_tuning_result(_grid_more(spark, sf).orderBy("mse", "point").limit(1).selectExpr("'first_day' AS target", "point", "mse"), path)
+    for target in ("count", "first_day"):
+        IO.sink_tuning_result(_grid_more(spark, sf).where(F.col("target") == target).orderBy("mse", "point").limit(1), path)
     return spark.read.parquet(path)

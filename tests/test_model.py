@@ -89,3 +89,13 @@ def test_a_fit_keeps_the_trees_up_to_its_least_held_out_error(spark):
     assert len(model.featureImportances) == 4
     scored = model.transform(held).select(F.avg((F.col("prediction") - F.col("y")) ** 2)).first()[0]
     assert scored == pytest.approx(errors[least])
+
+
+def test_later_grids_have_the_reference_values():
+    from buyhorizon import registry as R
+    points = R._more_points()
+    leaves = [(name, p) for t, name, p in points if t == "first_day" and name.startswith("num_leaves")]
+    assert len(leaves) == len({name for name, _ in leaves}) == 16 * 5 and {p["maxDepth"] for _, p in leaves} == {3, 4, 5, 6, 7}
+    for target in ("count", "first_day"):
+        shares = {(p["subsamplingRate"], float(p["featureSubsetStrategy"])) for t, _, p in points if t == target and "subsamplingRate" in p}
+        assert shares == {(a, b) for a in (0.6, 0.7, 0.8, 0.9, 1.0) for b in (0.6, 0.7, 0.8, 0.9, 1.0)}
