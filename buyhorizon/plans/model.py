@@ -151,7 +151,7 @@ def fit_rounds(est, splits: list[tuple[DataFrame, DataFrame]], patience: int) ->
 def metric_auc(pred: DataFrame, label: str) -> float:
     scored = pred.withColumn("_bin", (F.col(label) > 0).cast("double"))
     return BinaryClassificationEvaluator(rawPredictionCol="prediction", labelCol="_bin",
-                                         metricName="areaUnderROC").evaluate(scored)
+                                         metricName="areaUnderROC", numBins=0).evaluate(scored)  # every distinct score is a point of the curve
 
 
 def metric_l2(pred: DataFrame, label: str) -> float:

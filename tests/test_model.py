@@ -99,3 +99,13 @@ def test_later_grids_have_the_reference_values():
     for target in ("count", "first_day"):
         shares = {(p["subsamplingRate"], float(p["featureSubsetStrategy"])) for t, _, p in points if t == target and "subsamplingRate" in p}
         assert shares == {(a, b) for a in (0.6, 0.7, 0.8, 0.9, 1.0) for b in (0.6, 0.7, 0.8, 0.9, 1.0)}
+
+
+def test_auc_of_many_distinct_scores_is_the_rank_sum(spark):
+    rng = random.Random(8)
+    data = [(rng.random() ** 3, int(rng.random() < 0.3)) for _ in range(5000)]
+    data = [(p + 0.1 * y, y) for p, y in data]
+    ranks = {p: i + 1 for i, p in enumerate(sorted(p for p, _ in data))}
+    n = sum(y for _, y in data)
+    auc = (sum(ranks[p] for p, y in data if y) - n * (n + 1) / 2) / (n * (len(data) - n))
+    assert ML.metric_auc(spark.createDataFrame(data, "prediction double, y int"), "y") == pytest.approx(auc, abs=1e-9)
