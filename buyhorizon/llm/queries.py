@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, imatch, langid, mixing, quality, sharding, simhash, token_counts
+from . import bpe, exact_dedup, html_extract, imatch, langid, mixing, phrases, quality, sharding, simhash, token_counts
 from .common import table
 
 QUERIES: dict = {}
@@ -102,6 +102,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
 
 
+@_query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top(phrases.collocations(phrases.frequent_phrases(table(spark, sf_dir, "documents"), least=100, longest=5)), 2000)
+
+
+ORACLES["op13_phrases"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, unnest([list_slice(ws, i, i + k - 1) for i in range(1, len(ws) - k + 2)]) AS ph FROM w, range(1, 6) s(k) WHERE len(ws) >= k),
+f AS MATERIALIZED (SELECT lang, k, ph, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k AS m, ph, f AS a FROM f WHERE k > 1 AND f >= 100),
+cut AS (SELECT c.lang, c.m, c.ph, c.a, s.k, list_slice(ph, 1, s.k) AS p1, list_slice(ph, s.k + 1, c.m) AS p2 FROM c, range(1, 5) s(k) WHERE s.k < c.m),
+sc AS (SELECT cut.lang, cut.m, cut.ph, cut.a, cut.k, x.f AS l, y.f AS r, t.n, (1000::HUGEINT * cut.a * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.ph = cut.p1 JOIN f y ON y.lang = cut.lang AND y.ph = cut.p2 JOIN t ON t.lang = cut.lang),
+b AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+sub AS (SELECT DISTINCT c.lang, list_slice(c.ph, i, i + n - 1) AS ph, c.a FROM c, range(1, 5) s(i), range(2, 5) z(n) WHERE n < c.m AND i + n - 1 <= c.m),
+gone AS (SELECT lang, ph, max(a) AS most FROM sub GROUP BY lang, ph),
+rest AS (SELECT b.* FROM b LEFT JOIN gone ON gone.lang = b.lang AND gone.ph = b.ph WHERE gone.most IS NULL OR gone.most < b.a),
+o AS (SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, n, score FROM rest)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM o QUALIFY rank <= 2000
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
