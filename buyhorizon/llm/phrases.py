@@ -1,10 +1,11 @@
 """Phrase collocations by sorted count streams.
 
-Counting. Texts are cut into pieces and words; words are counted first, then pairs
-of frequent words, then runs of three to ``longest`` words whose neighbouring pairs
-are all frequent. A part of a frequent phrase is frequent, so nothing is lost; what
-tells frequent words and pairs apart is a bitmap of fixed size (``BITS``) that knows
-every one of them, and others by chance only, whose counts then fall short.
+Counting. Texts are cut into pieces and words; words are counted first. Then 32-bit
+hashes of pairs of frequent words are counted, and last the phrases of two to
+``longest`` words whose neighbouring words are all pairs of a frequent hash. A part of
+a frequent phrase is frequent, so nothing is lost; what tells frequent words and pairs
+apart is a bitmap of fixed size (``BITS``) that knows every one of them, and others by
+chance only, whose exact counts then fall short.
 
 Estimation. The frequent phrases form one count stream, with the empty phrase
 (count: all words) as its root. Sorted in prefix order, every phrase follows its own
@@ -41,32 +42,31 @@ from .common import slices, stored
 #: Bits of the bitmap of frequent phrases: 8 MB wherever it is sent, whatever the table's size.
 BITS = 1 << 26
 #: Words that a task counts at once before it hands the counts on.
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
+#: Pair hashes are gathered by their first bits, so many hashes to a range.
+RANGE = 1 << 24
 #: Phrases of the sorted stream for a task, and the most tasks a stream is dealt to.
 PER_TASK, TASKS = 50_000, 4096
 
 _BREAK = b"\n"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _BREAK * 9)
 _SCHEMA = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
-
-
-def position(lang: bytes, phrase: bytes) -> int:
-    """The bit of a phrase, as ``_bitmap`` has it."""
-    return xxhash.xxh64_intdigest(lang + b"\t" + phrase, 42) & (BITS - 1)
+_HASHES = pa.schema([("range", pa.int32()), ("steps", pa.binary()), ("counts", pa.binary())])
 
 
 class _Words(dict):
-    """Word -> number, in order of appearance; -1 for breaks and words not ``known``, -2 for nothing."""
+    """Word -> number, in order of appearance; -1 for breaks and words not in the bitmap, -2 for nothing."""
 
-    def __init__(self, known):
+    def __init__(self, lang: str, bitmap: np.ndarray | None):
         super().__init__({b"": -2, _BREAK: -1})
-        self.known, self.list = known, []
+        self.lang, self.bitmap, self.list, self.hashes = lang.encode() + b"\t", bitmap, [], []
 
     def __missing__(self, word: bytes) -> int:
-        at = -1
-        if self.known is None or self.known(word):
+        at, h = -1, xxhash.xxh64_intdigest(self.lang + word, 42)  # the position that ``_bitmap`` gives it
+        if self.bitmap is None or int(self.bitmap[(h & (BITS - 1)) >> 6]) >> (h & 63) & 1:
             at = len(self.list)
             self.list.append(word)
+            self.hashes.append(h)
         self[word] = at
         return at
 
@@ -74,66 +74,59 @@ class _Words(dict):
 def numbers(texts: list[bytes], words: _Words) -> np.ndarray:
     """The words of the texts as numbers, pieces and texts parted by -1."""
     tokens = _BREAK.join(texts).translate(_TABLE).replace(_BREAK, b" \n ").split(b" ")
-    ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-    return np.append(ids[ids != -2], -1)
+    ids = np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens))
+    return np.append(ids[ids != -2], np.int32(-1))
 
 
-def unigrams(ids: np.ndarray, words: list[bytes], total: int) -> list[tuple[list, np.ndarray]]:
+def unigrams(ids: np.ndarray, words: _Words) -> list[tuple[list, np.ndarray]]:
     """Phrases and their counts: every word, and the empty phrase with the count of all words."""
-    return [([b"", *words], np.append(total, np.bincount(ids[ids >= 0], minlength=len(words))))]
-
-
-def longer(ids: np.ndarray, words: list[bytes], known, sizes: range) -> list[tuple[list, np.ndarray]]:
-    """Phrases of each of ``sizes`` words (2 at least) and their counts; without ``known`` pairs only, else runs of known pairs."""
-    out, starts = [], np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-    codes, before = ids[starts], words
-    for size in range(2, sizes[-1] + 1):
-        found, which, counts = np.unique(codes * len(words) + ids[starts + size - 1], return_inverse=True, return_counts=True)
-        own = [before[c // len(words)] + b" " + words[c % len(words)] for c in found.tolist()]
-        if size in sizes:
-            out.append((own, counts))
-        if size == sizes[-1]:
-            break
-        if size == 2:  # pairs that are not known end every longer phrase
-            good = np.fromiter(map(known, own), bool, len(own))[which]
-            starts, codes = starts[good], which[good]
-            pair = np.zeros(len(ids), bool)
-            pair[starts] = True
-        else:
-            codes = which
+    own = np.bincount(ids[ids >= 0], minlength=len(words.list))
+    return [([b"", *words.list], np.append(own.sum(), own))]
+
+
+def pair_starts(ids: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+
+
+def pair_hashes(ids: np.ndarray, starts: np.ndarray, words: _Words) -> np.ndarray:
+    """32-bit hashes of the pairs of words that begin at ``starts``."""
+    h = np.array(words.hashes, np.uint64)
+    with np.errstate(over="ignore"):
+        z = h[ids[starts]] * np.uint64(0x9E3779B97F4A7C15) + h[ids[starts + 1]] * np.uint64(0xC2B2AE3D27D4EB4F)
+        z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (z >> np.uint64(32)).astype(np.uint32)
+
+
+def longer(ids: np.ndarray, words: _Words, pairs: np.ndarray, longest: int) -> list[tuple[list, np.ndarray]]:
+    """Phrases of 2 to ``longest`` words whose neighbouring words all are pairs of the bitmap, and their counts."""
+    out, starts = [], pair_starts(ids)
+    at = pair_hashes(ids, starts, words).astype(np.int64) & (BITS - 1)
+    starts = starts[(pairs[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)) > 0]
+    pair = np.zeros(len(ids), bool)
+    pair[starts] = True
+    codes, before = ids[starts].astype(np.int64), words.list
+    for size in range(2, longest + 1):
+        found, codes, counts = np.unique(codes * len(words.list) + ids[starts + size - 1], return_inverse=True, return_counts=True)
+        before = [before[c // len(words.list)] + b" " + words.list[c % len(words.list)] for c in found.tolist()]
+        out.append((before, counts))
         on = pair[starts + size - 1]  # the next pair begins with the phrase's last word
-        starts, codes, before = starts[on], codes[on], own
+        starts, codes = starts[on], codes[on]
     return out
 
 
-def counted(docs: DataFrame, least: int, sizes: range, bits: list) -> DataFrame:
-    """(lang, phrase, f) of phrases of ``sizes`` words with f of ``least`` or more; size 1 also gives the empty phrase.
-    ``bits`` has the bitmaps of words and pairs as far as they are known."""
+def _pieces(docs: DataFrame, schema: str, count, bits: list) -> DataFrame:
+    """What ``count(lang, ids, words)`` yields for the words of whole texts, about ``AT_ONCE`` words at a time."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps = shared.value
-
-        def known(which: int, lang: bytes):
-            def test(phrase: bytes) -> bool:
-                at = position(lang, phrase)
-                return bool(bitmaps[which][at >> 6] >> (at & 63) & 1)
-            return test
-
-        def flush(held: dict) -> Iterator[pa.RecordBatch]:
-            for lang, (words, parts, n) in held.items():
-                ids = np.concatenate(parts)
-                if 1 in sizes:
-                    found = unigrams(ids, words.list, n)
-                else:
-                    found = longer(ids, words.list, known(1, lang.encode()) if len(bitmaps) > 1 else None, sizes)
-                for phrases, counts in found:
-                    for at in range(0, len(phrases), 65536):
-                        part = pa.array(phrases[at:at + 65536], pa.binary()).cast(pa.string())
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part, pa.array(counts[at:at + 65536], pa.int64())], schema=_SCHEMA)
-
-        held, size = {}, 0
+        bitmaps, held, size = shared.value, {}, 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, (words, parts) in held.items():
+                yield from count(lang, np.concatenate(parts), words, bitmaps)
+            held.clear()
+
         for batch in batches:
             for part in slices(batch):
                 by_lang: dict = {}
@@ -141,41 +134,97 @@ def counted(docs: DataFrame, least: int, sizes: range, bits: list) -> DataFrame:
                     by_lang.setdefault(lang, []).append(text)
                 for lang, texts in by_lang.items():
                     if lang not in held:
-                        held[lang] = [_Words(known(0, lang.encode()) if bitmaps else None), [], 0]
-                    ids = numbers(texts, held[lang][0])
-                    held[lang][1].append(ids.astype(np.int32 if 1 in sizes else np.int64))
-                    held[lang][2] += int((ids >= 0).sum())
-                    size += len(ids)
+                        held[lang] = (_Words(lang, bitmaps[0] if bitmaps else None), [])
+                    held[lang][1].append(numbers(texts, held[lang][0]))
+                    size += len(held[lang][1][-1])
                 if size > AT_ONCE:
-                    yield from flush(held)
-                    held, size = {}, 0
-        yield from flush(held)
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return rows.mapInArrow(run, schema)
 
-    counts = rows.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+def counted(docs: DataFrame, least: int, longest: int, bits: list) -> DataFrame:
+    """(lang, phrase, f) with f of ``least`` or more: without ``bits`` words and the empty phrase, else phrases of 2 to
+    ``longest`` words by the bitmaps of words and pairs."""
+    def count(lang: str, ids: np.ndarray, words: _Words, bitmaps: list) -> Iterator[pa.RecordBatch]:
+        for phrases, counts in longer(ids, words, bitmaps[1], longest) if bitmaps else unigrams(ids, words):
+            for at in range(0, len(phrases), 65536):
+                part = pa.array(phrases[at:at + 65536], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part, pa.array(counts[at:at + 65536], pa.int64())], schema=_SCHEMA)
+
+    counts = _pieces(docs, "lang string, phrase string, f long", count, bits).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return counts.where((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
 def _bitmap(frequent: DataFrame) -> np.ndarray:
     """The bits of all phrases of a table, gathered as at most BITS / 64 words."""
     at = F.xxhash64(F.concat("lang", F.lit("\t"), "phrase"))
-    found = frequent.groupBy(F.shiftrightunsigned(at.bitwiseAND(BITS - 1), 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(xxhash64(concat(lang, '\t', phrase)) & 63 AS INT))")).alias("bits"))
-    rows = found.toPandas()
-    out = np.zeros(BITS // 64, np.int64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return _gathered(frequent.select(at.bitwiseAND(BITS - 1).alias("at")))
+
+
+def _gathered(positions: DataFrame) -> np.ndarray:
+    """The bitmap with the bits ``at`` set."""
+    found = positions.groupBy(F.shiftrightunsigned("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits")).toPandas()
+    out = np.zeros(max(1, BITS // 64), np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return out.view(np.uint64)
 
 
+def _steps(hashes: np.ndarray, counts: np.ndarray, top: int) -> Iterator[pa.RecordBatch]:
+    """Ascending hashes by range, as steps of 16 bits (a longer one gets stops of count 0) with counts up to ``top``."""
+    span = 65535
+    for r in np.unique(hashes // RANGE):
+        own = slice(np.searchsorted(hashes, r * RANGE), np.searchsorted(hashes, (r + 1) * RANGE))
+        step = np.diff(hashes[own] - r * RANGE, prepend=0)
+        stops = np.maximum(0, step - 1) // span
+        ends = np.cumsum(stops + 1) - 1
+        steps, n = np.full(len(step) + stops.sum(), span, np.uint16), np.zeros(len(step) + stops.sum(), np.uint8)
+        steps[ends], n[ends] = step - stops * span, np.minimum(counts[own], top)
+        yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([steps.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], schema=_HASHES)
+
+
+def _frequent_pairs(docs: DataFrame, least: int, words: np.ndarray) -> np.ndarray:
+    """The bitmap of the hashes of pairs of frequent words that occur ``least`` times.
+
+    A count is of no interest beyond ``least`` (or 255, if that is lower), so a byte holds it and sums stop there."""
+    top = min(least, 255)
+
+    def count(lang: str, ids: np.ndarray, own: _Words, bitmaps: list) -> Iterator[pa.RecordBatch]:
+        hashes, counts = np.unique(pair_hashes(ids, pair_starts(ids), own), return_counts=True)
+        yield from _steps(hashes.astype(np.int64), counts, top)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, None
+
+        def out() -> pa.RecordBatch:
+            at = (np.flatnonzero(sums >= top) + now * RANGE) & (BITS - 1)
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(at), pa.int64())], names=["at"])
+
+        for batch in batches:
+            for r, steps, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if r != now:
+                    if now is not None:
+                        yield out()
+                    now, sums = r, np.zeros(RANGE, np.uint8)
+                at = np.cumsum(np.frombuffer(steps, np.uint16), dtype=np.int64)
+                more = np.frombuffer(counts, np.uint8)
+                at, more = at[more > 0], more[more > 0]
+                sums[at] = np.minimum(top, sums[at].astype(np.int16) + more)
+        if now is not None:
+            yield out()
+
+    parts = _pieces(docs, "range int, steps binary, counts binary", count, [words])
+    return _gathered(parts.repartition("range").sortWithinPartitions("range").mapInArrow(total, "at long"))
+
+
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> DataFrame:
     """(lang, words, f) of all phrases of at most ``longest`` words that occur ``least`` times, and per language the empty phrase."""
-    words = stored(counted(docs, least, range(1, 2), []), "words")
-    bits = [_bitmap(words)]
-    found = words
+    found = words = stored(counted(docs, least, 1, []), "words")
     if longest > 1:
-        pairs = stored(counted(docs, least, range(2, 3), bits), "pairs")
-        found = found.unionByName(pairs)
-        if longest > 2:
-            found = found.unionByName(stored(counted(docs, least, range(3, longest + 1), [*bits, _bitmap(pairs)]), "phrases"))
+        bits = _bitmap(words)
+        found = found.unionByName(stored(counted(docs, least, longest, [bits, _frequent_pairs(docs, least, bits)]), "phrases"))
     return found.select("lang", F.when(F.col("phrase") == "", F.array().cast("array<string>")).otherwise(F.split("phrase", " ")).alias("words"), "f")
 
 
