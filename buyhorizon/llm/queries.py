@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, imatch, langid, mixing, phrases, quality, sharding, simhash, token_counts
+from . import bpe, exact_dedup, html_extract, imatch, langid, mixing, phrases, quality, sharding, simhash, token_counts, toxicity, whitening
 from .common import table
 
 QUERIES: dict = {}
@@ -102,6 +102,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
 
 
+@_query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    labels = table(spark, sf_dir, "labels").where(~out).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    model = toxicity.fit(docs.where(~out).select(F.col("doc_id").alias("id"), "text"), labels)
+    scored = toxicity.passages(docs.select("doc_id", out.alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), whitening.integers(F.col("embedding")).alias("x"))
+    return whitening.whitened(rows, most=16).withColumnRenamed("id", "vec_id")
+
+
 @_query
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.top(phrases.collocations(phrases.frequent_phrases(table(spark, sf_dir, "documents"), least=100, longest=5)), 2000)
