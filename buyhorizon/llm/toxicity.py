@@ -66,15 +66,15 @@ class Model:
                 at = i + 1
         return maximal_segments(items)
 
-    def expected(self, score: float, n: int) -> float:
-        """How many segments of a clean text of n words score as much."""
-        return self.size * n * math.exp(-self.rate * score)
+    def surprise(self, score: float, n: int) -> float:
+        """-log of the number of segments of a clean text of n words that score as much."""
+        return self.rate * score - math.log(self.size * n)
 
     def score(self, words: list[str], segments: list[tuple[float, int, int]]) -> float:
         """The probability of toxic of a text with these segments."""
         if self.prior in (0.0, 1.0):
             return self.prior
-        gains = [g for g in (-math.log(self.expected(s, len(words))) for s, _, _ in segments) if g > 0]
+        gains = [g for g in (self.surprise(s, len(words)) for s, _, _ in segments) if g > 0]
         z = math.log(self.prior / (1 - self.prior)) + (sum(gains) if gains else self.none if words else 0.0)
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
@@ -160,6 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = 5000, sure: float
     u = F.pmod(F.xxhash64(F.lit("toxicity sample"), "id"), F.lit(1 << 30)) / (1 << 30)
     share = F.when(F.col("label") == 1, min(1.0, train_docs / rows[1])).otherwise(min(1.0, train_docs / rows[0]))
     chosen = labels.where(u < share).select("id", F.col("label").cast("int").alias("label"))
+    chosen = F.broadcast(chosen)  # about 2 x train_docs ids, whatever the table's size: texts are not shuffled
     sample = stored(docs.join(chosen, "id").select("label", "text"), "toxicity-sample")
 
     def tally(texts: list) -> list:
@@ -215,10 +216,10 @@ def passages(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for text in texts:
             words, spans = words_of(text)
             segments = own.segments(words)
-            best = [s for s in segments if own.expected(s[0], len(words)) <= own.expect]
+            best = [s for s in segments if own.surprise(s[0], len(words)) >= -math.log(own.expect)]
             scores.append(own.score(words, segments))
             found.append([{"start": spans[i][0], "end": spans[j - 1][1], "passage": text[spans[i][0]:spans[j - 1][1]], "segment_score": s,
-                           "expected": own.expected(s, len(words))} for s, i, j in best])
+                           "expected": math.exp(-min(700.0, own.surprise(s, len(words))))} for s, i, j in best])
         return [scores, found]
 
     return map_rows(rows, keep, scan, "score double, passages array<struct<start:int,end:int,passage:string,segment_score:double,expected:double>>")

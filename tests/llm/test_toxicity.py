@@ -116,3 +116,9 @@ def test_one_class_none_and_empty(spark):
         assert [round(r.score, 9) for r in T.passages(docs, model, ["id"]).collect()] == [want, want]
     empty = spark.createDataFrame([], docs.schema)
     assert T.passages(empty, model, ["id"]).count() == 0 and T.fit(empty, spark.createDataFrame([], "id long, label int")).prior == 0.5
+
+
+def test_a_score_beyond_any_double(spark):
+    model = T.Model({"bad": 5.0}, other=-0.01, rate=2.0, size=1e-6, prior=0.1)
+    (r,) = T.passages(spark.createDataFrame([(1, "bad " * 5000)], "id long, text string"), model, ["id"]).collect()
+    assert r.score == 1.0 and len(r.passages) == 1 and 0 <= r.passages[0].expected < 1e-300
