@@ -283,6 +283,29 @@ def table_sql(spec: FeatureSpec, keys, anchor: dt.date, slips, labels: bool = Tr
     return with_fixtures("\nUNION ALL\n".join(bodies), ",\n".join(all_ctes))
 
 
+def tables_sql(spec: FeatureSpec, keys, parts: list[tuple[str, dt.date, list[int], bool]]) -> str:
+    """Several tables (name, anchor, slips, with labels) under one ``part`` column; the shared facts are made once."""
+    all_ctes, bodies = [], []
+    for i, (name, anchor, slips, is_training) in enumerate(parts):
+        for s in slips:
+            a = anchor_of(anchor, s)
+            b = OracleBuilder(spec, a, prefix=f"p{i}s{s}_")
+            for k in keys:
+                b.add(BY_KEY[k])
+            joins = []
+            if is_training:
+                all_ctes.append(label_cte(spec, a, f"p{i}s{s}_lab"))
+                joins.append(f"p{i}s{s}_lab")
+            lead = [f"'{name}' AS part", f"CAST({s} AS BIGINT) AS slip", "u.user_id AS user_id", *label_cols(spec, a, f"p{i}s{s}_lab", is_training)]
+            ctes, body = b.parts(lead, joins)
+            all_ctes += ctes
+            bodies.append(body.replace(" FROM f_user u ", ", " + ", ".join(onehot_cols(spec)) + " FROM f_user u ", 1))
+    sql = with_fixtures("\nUNION ALL\n".join(bodies), ",\n".join(all_ctes))
+    for name in ("f_order", "f_action", "f_user", "f_sku", "f_comment", "ocus", "aus"):
+        sql = sql.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (", 1)
+    return sql
+
+
 def feature_key_sql(spec: FeatureSpec, key: str, anchor: dt.date | None = None) -> str:
     b = OracleBuilder(spec, anchor or spec.train_anchor)
     for row in VARIANTS.get(key) or (BY_KEY[key],):

@@ -434,8 +434,9 @@ def latest_table(facts: DataFrame, src: str, wanted: dict, spec: FeatureSpec, an
 
 
 def run_compiled(c: Compiled, facts, spine: DataFrame, spec: FeatureSpec,
-                 anchor: dt.date, slips=None) -> DataFrame:
-    """Execute: every side joined onto the spine, then the named outputs.
+                 anchor: dt.date, slips=None, lead: list[str] | None = None) -> DataFrame:
+    """Execute: every side joined onto the spine, then ``lead`` (SQL over the spine; its columns if not
+    given) and the named outputs in one projection: every further step over so many columns costs planning.
 
     ``facts`` gives the stored facts of a source (``plans.facts.Facts``)."""
     anchors = spec.anchors(anchor, slips)
@@ -450,7 +451,7 @@ def run_compiled(c: Compiled, facts, spine: DataFrame, spec: FeatureSpec,
     out = spine
     for side in sides:
         out = out.join(side, KEYS, "left")
-    return out.selectExpr(*spine.columns, *[f"{sql} AS `{n}`" for n, sql in c.outputs])
+    return out.selectExpr(*(spine.columns if lead is None else lead), *[f"{sql} AS `{n}`" for n, sql in c.outputs])
 
 
 def build_features(facts, spine: DataFrame, spec: FeatureSpec, anchor: dt.date,

@@ -1,82 +1,37 @@
-"""Stacked + bagged gradient-boosted trees on MLlib (the reference's model).
+"""Stacked and bagged boosted trees (the reference's model), and its tuning grids.
 
-* missing values: MLlib trees do not take nulls, so every feature column is
-  filled with one value below its training minimum (fitted on train only);
 * folds: exact stratified k folds from a distributed global rank over
   (label, hash) - consecutive positions cycle through folds, so each label
   class is split evenly with no per-label window;
-* stacking: k fits, each predicts its held-out fold -> one out-of-fold
+* stacking: k fits at once, each predicts its held-out fold -> one out-of-fold
   meta-feature; the test meta-feature is the mean of the k models;
-* bagging: n fits on seeded hash holdouts, predictions averaged;
-* rounds: every fit stops on its own held-out rows (the fold, or the bag's
-  holdout) once ``patience`` rounds in a row have not lowered the least held-out
-  error, and keeps the trees up to that least error. MLlib's validation indicator
-  ends at the first worse round instead, so fits run without it, their held-out
-  error is taken after each round, and a fit that has not ended is made anew with
-  twice the rounds; ``maxIter`` bounds them.
-Each fit is a distributed MLlib job on stored rows; only the driver loop over
-fits is local.
+* bagging: n fits at once on seeded hash holdouts, predictions averaged;
+* rounds: every fit stops on its own held-out rows (the fold, or the bag's holdout)
+  once ``early_stopping_rounds`` rounds in a row have not lowered the least held-out
+  error, and keeps the trees up to that least error (``plans.boost``).
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import asdict, dataclass, field
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass, field, replace
 
-from pyspark import SparkContext, inheritable_thread_target
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+import numpy as np
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_rank
+from ..operators.trees import BoostParams
 from ..session import stored
+from .boost import Bins, Fit, Fits, Model, best_round, edges_of, fit_groups, scored, with_bin
 
-KEYS = ["slip", "user_id"]
+__all__ = ["Bins", "BoostParams", "Fit", "Model", "best_round", "fit_groups", "scored"]
 
+#: Cells of equal width from which the bins of the meta-feature are made.
+META_CELLS = 4096
 
-@dataclass(frozen=True)
-class GBTParams:
-    """The one parameter set of all models: learning_rate -> stepSize, num_leaves 64
-    -> maxDepth 6, bagging_fraction -> subsamplingRate, feature_fraction ->
-    featureSubsetStrategy, min_child_weight -> minInstancesPerNode, num_boost_round
-    -> maxIter, early_stopping_rounds -> patience."""
-    stepSize: float = 0.05
-    maxDepth: int = 6
-    subsamplingRate: float = 0.8
-    featureSubsetStrategy: str = "0.9"
-    maxIter: int = 10000
-    minInstancesPerNode: int = 2
-    seed: int = 2016
-    maxBins: int = 32
-    patience: int = 200
 
-
-@dataclass
-class Matrix:
-    feature_cols: list[str]
-    fill: dict = field(default_factory=dict)
-
-    def fit(self, train: DataFrame) -> "Matrix":
-        """One aggregation: the fill value per column (min - 1, or 0 when the
-        column is all null)."""
-        row = train.agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"m{i}")
-                          for i, c in enumerate(self.feature_cols)]).first()
-        self.fill = {c: (row[i] - 1.0 if row[i] is not None else 0.0) for i, c in enumerate(self.feature_cols)}
-        return self
-
-    def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        filled = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in self.fill],
-                           *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(v)).alias(c)
-                             for c, v in self.fill.items()])
-        return VectorAssembler(inputCols=list(self.fill), outputCol=out).transform(filled)
-
-
-def _hash_unit(seed: int) -> F.Column:
+def _hash_unit(seed: int) -> Column:
     """A deterministic pseudo-uniform value in [0, 1) per (slip, user_id, seed)."""
     h = F.substring(F.md5(F.concat_ws("|", F.col("slip").cast("string"), F.col("user_id").cast("string"),
                                       F.lit(str(seed)))), 1, 8)
@@ -92,171 +47,130 @@ def holdout_split(df: DataFrame, test_fraction: float, seed: int) -> tuple[DataF
 
 def stratified_folds(df: DataFrame, label: str, k: int, seed: int = 1) -> DataFrame:
     """Adds ``fold`` in 0..k-1, balanced within every label value."""
-    ranked = global_rank(df.withColumn("_u", _hash_unit(seed)), [F.col(label), F.col("_u"), *KEYS], "_pos")
+    ranked = global_rank(df.withColumn("_u", _hash_unit(seed)), [F.col(label), F.col("_u"), "slip", "user_id"], "_pos")
     return ranked.withColumn("fold", (F.col("_pos") % k).cast("int")).drop("_u", "_pos")
 
 
-def _estimator(p: GBTParams, label: str, features: str = "features", weight: str | None = None):
-    """A boosted-tree estimator; with ``weight`` a classifier."""
-    kw = {k: v for k, v in asdict(p).items() if k != "patience"} | {"labelCol": label, "featuresCol": features}
-    return GBTClassifier(**kw, weightCol=weight) if weight else GBTRegressor(**kw)
-
-
-def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
-    """The round of least error before ``patience`` rounds without a lower one, and whether those were seen."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def first_trees(model, n: int):
-    """The model of the first ``n`` trees."""
-    old, sc = model._java_obj, SparkContext._active_spark_context
-    ml = sc._jvm.org.apache.spark.ml
-    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
-    weights = sc._gateway.new_array(sc._jvm.double, n)
-    own_trees, own_weights = old.trees(), old.treeWeights()
-    for i in range(n):
-        trees[i], weights[i] = own_trees[i], own_weights[i]
-    java, python = ((ml.classification.GBTClassificationModel, GBTClassificationModel) if isinstance(model, GBTClassificationModel)
-                    else (ml.regression.GBTRegressionModel, GBTRegressionModel))
-    cut = python(java(old.uid(), trees, weights, old.numFeatures()))
-    cut._resetUid(model.uid)
-    return model._copyValues(cut)
-
-
-def _round_errors(model, held: DataFrame) -> list[float]:
-    """The held-out error after each round."""
-    return list(model.evaluateEachIteration(held) if isinstance(model, GBTClassificationModel) else model.evaluateEachIteration(held, "squared"))
-
-
-def fit_rounds(est, splits: list[tuple[DataFrame, DataFrame]], patience: int) -> tuple[list, list[float]]:
-    """Models of (train, held) splits with the trees up to the least mean held-out error, and that error after each of their rounds."""
-    bound = est.getMaxIter()
-    rounds = min(bound, patience + patience // 4 + 1)
-    while True:
-        models = [est.fit(train, {est.maxIter: rounds}) for train, _ in splits]
-        curves = [_round_errors(m, held) for m, (_, held) in zip(models, splits, strict=True)]
-        errors = [sum(e) / len(e) for e in zip(*curves, strict=True)]
-        best, ended = best_round(errors, patience)
-        if ended or rounds == bound:
-            return [first_trees(m, best) for m in models], errors[:best]
-        rounds = min(bound, 2 * rounds)
-
-
 def metric_auc(pred: DataFrame, label: str) -> float:
-    scored = pred.withColumn("_bin", (F.col(label) > 0).cast("double"))
+    binary = pred.withColumn("_bin", (F.col(label) > 0).cast("double"))
     return BinaryClassificationEvaluator(rawPredictionCol="prediction", labelCol="_bin",
-                                         metricName="areaUnderROC", numBins=0).evaluate(scored)  # every distinct score is a point of the curve
+                                         metricName="areaUnderROC", numBins=0).evaluate(binary)  # every distinct score is a point of the curve
 
 
 def metric_l2(pred: DataFrame, label: str) -> float:
     return RegressionEvaluator(predictionCol="prediction", labelCol=label, metricName="mse").evaluate(pred)
 
 
+def role(held: Column) -> Column:
+    return F.when(held, 2).otherwise(1)
+
+
+def meta_edges(df: DataFrame, column: str, max_bin: int) -> list[float]:
+    """Bin edges of a computed column from exact counts of ``META_CELLS`` equal cells, so that they are the same in every run."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    if low is None or low == high:
+        return []
+    width = (high - low) / META_CELLS
+    cell = F.least(F.lit(META_CELLS - 1), F.floor((F.col(column) - low) / width)).cast("int")
+    counts = {r.cell: r.n for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    cells = sorted(counts)
+    return edges_of(np.array([low + (c + 1) * width for c in cells]), np.array([counts[c] for c in cells]), max_bin - 1)
+
+
 @dataclass
 class StackedBaggedGBT:
-    """``binary``: the label becomes count > 0, positives weigh ``pos_weight``, and predictions are probabilities."""
+    """Rows have slip, user_id, the label and ``bins``. ``binary``: the label becomes count > 0, positives weigh
+    ``scale_pos_weight``, and predictions are probabilities."""
 
     label: str
-    params: GBTParams = field(default_factory=GBTParams)
+    bins: Bins
+    params: BoostParams = field(default_factory=BoostParams)
     stacking_num: int = 5
     bagging_num: int = 3
     bagging_test_size: float = 0.33
     metric: str = "auc"
     binary: bool = False
-    pos_weight: float = 20.0
-    stack_models: list = field(default_factory=list)
-    bag_models: list = field(default_factory=list)
-    scores: list = field(default_factory=list)
-
-    def _prepared(self, train: DataFrame) -> DataFrame:
-        y = F.col(self.label)
-        y = (y > 0) if self.binary else y
-        return train.withColumns({"_y": y.cast("double"), "_w": F.when(y.cast("double") > 0, self.pos_weight).otherwise(1.0)})
+    stack: Fits | None = None
+    bags: Fits | None = None
+    edges: list[float] = field(default_factory=list)
+    scores: list[float] = field(default_factory=list)
 
-    def _fit_one(self, data: DataFrame, features: str, held_out: Column):
-        est = _estimator(self.params, "_y", features, weight="_w" if self.binary else None)
-        return fit_rounds(est, [(data.where(~held_out), data.where(held_out))], self.params.patience)[0][0]
+    def __post_init__(self):
+        self.params = replace(self.params, binary=self.binary)
 
-    def _apply(self, model, df: DataFrame, out: str) -> DataFrame:
-        made = model.transform(df)
-        value = vector_to_array("probability")[1] if self.binary else F.col("prediction")
-        return made.withColumn(out, value).select(*df.columns, out)
+    @property
+    def stack_models(self) -> list[Model]:
+        return list(self.stack.models.values()) if self.stack else []
 
-    def out_of_fold(self, train: DataFrame) -> DataFrame:
-        """oof_stack_feature: adds ``stack_pred`` made by a model that did not see the row."""
-        folds = stored(stratified_folds(self._prepared(train), self.label, self.stacking_num), "folds")
-        self.stack_models, out = [], None
-        for f in range(self.stacking_num):
-            held = F.col("fold") == f
-            m = self._fit_one(folds, "features", held)
-            self.stack_models.append(m)
-            part = self._apply(m, folds.where(held), "stack_pred")
-            out = part if out is None else out.unionByName(part)
-        return out
+    @property
+    def bag_models(self) -> list[Model]:
+        return list(self.bags.models.values()) if self.bags else []
 
-    def importances(self, feature_cols: list[str]) -> list[tuple[int, str, float]]:
-        """(fold, feature, importance) of every stacking model, largest first within a fold."""
-        rows = []
-        for f, m in enumerate(self.stack_models):
-            rows += [(f, c, float(x)) for x, c in sorted(zip(m.featureImportances.toArray(), feature_cols, strict=True), key=lambda r: (-r[0], r[1]))]
-        return rows
+    def _fits(self, held: list[tuple[str, Column]]) -> list[list[Fit]]:
+        return [[Fit(name, self.params, F.col(self.label), role(h))] for name, h in held]
 
-    def _mean(self, models: list, df: DataFrame, out: str) -> DataFrame:
-        names = [f"_m{i}" for i in range(len(models))]
-        data = df
-        for m, n in zip(models, names, strict=True):
-            data = self._apply(m, data, n)
-        return data.withColumn(out, sum((F.col(n) for n in names[1:]), F.col(names[0])) / float(len(names))).drop(*names)
+    def out_of_fold(self, train: DataFrame) -> DataFrame:
+        """oof_stack_feature: adds ``fold`` and ``stack_pred``, made by the model that did not see the row."""
+        rows = stored(stratified_folds(train, self.label, self.stacking_num), "folds")
+        self.stack = fit_groups(rows, self.bins, self._fits([(f"fold-{f}", F.col("fold") == f) for f in range(self.stacking_num)]))
+        return scored(rows, self.stack_models, "stack_pred", by="fold")
+
+    def importances(self) -> DataFrame:
+        """(fold, feature, importance, gain) of every stacking fit: the number of splits on a feature and their total gain,
+        from the written node table; features without a split have 0."""
+        spark = self.stack.spark
+        names = spark.createDataFrame(list(enumerate(self.bins.columns)), "feature_id int, feature string")
+        every = names.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(self.stacking_num - 1))))
+        splits = self.stack.nodes().where("feature >= 0").groupBy(F.substring_index("fit", "-", -1).cast("int").alias("fold"), F.col("feature").alias("feature_id")).agg(
+            F.count(F.lit(1)).alias("importance"), F.sum("gain").alias("gain"))
+        return every.join(splits, ["fold", "feature_id"], "left").select("fold", "feature", F.coalesce("importance", F.lit(0)).cast("double").alias("importance"), F.coalesce("gain", F.lit(0.0)).alias("gain"))
 
     def stack_inference(self, test: DataFrame) -> DataFrame:
         """stack_inference_feature: mean of the k fold models on the test rows."""
-        return self._mean(self.stack_models, test, "stack_pred")
+        return scored(test, self.stack_models, "stack_pred")
 
     def _with_meta(self, df: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=["features", "stack_pred"], outputCol="features2").transform(df)
-
-    def fit(self, train: DataFrame) -> "StackedBaggedGBT":
-        meta = self.out_of_fold(train) if self.stacking_num > 1 else self._prepared(train).withColumn("stack_pred", F.lit(0.0))
-        data = stored(self._with_meta(meta), "stacked")
-        self.bag_models, self.scores = [], []
-        for bn in range(self.bagging_num):
-            held = _hash_unit(bn) < self.bagging_test_size
-            m = self._fit_one(data, "features2", held)
-            scored = self._apply(m, data.where(held), "prediction")
-            self.scores.append(metric_auc(scored, self.label) if self.metric == "auc" else metric_l2(scored, self.label))
-            self.bag_models.append(m)
+        return with_bin(df, "stack_pred", self.edges) if self.stacking_num > 1 else df
+
+    def fit(self, train: DataFrame) -> StackedBaggedGBT:
+        rows, bins = train, self.bins
+        if self.stacking_num > 1:
+            rows = stored(self.out_of_fold(train), "out-of-fold")
+            self.edges = meta_edges(rows, "stack_pred", self.params.max_bin)
+            bins = self.bins.with_column("stack_pred", self.edges)
+        held = [_hash_unit(bn) < self.bagging_test_size for bn in range(self.bagging_num)]
+        data = stored(self._with_meta(rows), "stacked")
+        self.bags = fit_groups(data, bins, self._fits([(f"bag-{i}", h) for i, h in enumerate(held)]))
+        measure = metric_auc if self.metric == "auc" else metric_l2
+        self.scores = [measure(scored(data.where(h), [m], "prediction"), self.label) for h, m in zip(held, self.bag_models, strict=True)]
         return self
 
+    def each_bag(self, test: DataFrame) -> DataFrame:
+        """``test`` with ``bag_0``, ``bag_1``, ...: every bag's own prediction."""
+        out = self._with_meta(self.stack_inference(test) if self.stacking_num > 1 else test)
+        for i, m in enumerate(self.bag_models):
+            out = scored(out, [m], f"bag_{i}")
+        return out
+
     def predict(self, test: DataFrame, out: str) -> DataFrame:
-        meta = self.stack_inference(test) if self.stacking_num > 1 else test.withColumn("stack_pred", F.lit(0.0))
-        return self._mean(self.bag_models, self._with_meta(meta), out).drop("features2")
+        meta = self._with_meta(self.stack_inference(test) if self.stacking_num > 1 else test)
+        return scored(meta, self.bag_models, out).drop("stack_pred").withColumn("bins", F.expr(f"substring(bins, 1, {len(self.bins.columns)})"))
 
 
-def depth_of(num_leaves: int, max_depth: int) -> int:
-    """The depth an MLlib tree needs for at most ``num_leaves`` leaves, within ``max_depth``."""
-    return min(max_depth, math.ceil(math.log2(num_leaves)))
+def distinct_point(p: BoostParams) -> BoostParams:
+    """The same fit under its plainest parameters: a depth bounds the leaves, and without a draw its share and frequency do not matter."""
+    leaves = min(p.num_leaves, 2 ** p.max_depth) if p.max_depth > 0 else p.num_leaves
+    bag = {"bagging_fraction": 1.0, "bagging_freq": 0} if p.bagging_freq <= 0 or p.bagging_fraction >= 1 else {}
+    return replace(p, num_leaves=leaves, **bag)
 
 
-def grid_search_cv(train: DataFrame, label: str, params: GBTParams, points: list[dict], folds: int = 3,
-                   parallelism: int = 4) -> list[tuple[dict, float]]:
+def grid_search_cv(rows: DataFrame, bins: Bins, label: Column, params: BoostParams, points: list[dict], folds: int = 3) -> list[tuple[dict, float]]:
     """Mean held-out l2 (lower is better) of every point, by k-fold cross-validation, at the best round of the mean over the folds.
 
-    Points that give the same estimator (leaves and depth often map to one depth) are fitted once."""
-    est = _estimator(params, label)
-    distinct = list({tuple(sorted(p.items())): p for p in points}.values())
+    Points that are the same fit under other parameters are fitted once; all points and folds run at once."""
+    distinct = {distinct_point(replace(params, **p)): None for p in points}
     fold = F.floor(_hash_unit(params.seed) * folds)
-    splits = [(train.where(fold != f), train.where(fold == f)) for f in range(folds)]
-
-    def score(p: dict) -> float:
-        return fit_rounds(est.copy({getattr(est, name): value for name, value in p.items()}), splits, params.patience)[1][-1]
-
-    with ThreadPool(min(parallelism, len(distinct))) as pool:
-        scores = pool.map(inheritable_thread_target(train.sparkSession)(score), distinct)
-    found = {tuple(sorted(p.items())): float(v) for p, v in zip(distinct, scores, strict=True)}
-    return [(p, found[tuple(sorted(p.items()))]) for p in points]
+    groups = [[Fit(f"point-{i}-{f}", p, label, role(fold == f)) for f in range(folds)] for i, p in enumerate(distinct)]
+    found = fit_groups(rows, bins, groups)
+    error = {p: found.errors[g[0].name][-1] for p, g in zip(distinct, groups, strict=True)}
+    return [(p, float(error[distinct_point(replace(params, **p))])) for p in points]

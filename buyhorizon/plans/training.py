@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +37,14 @@ def onehot_vocab(users: DataFrame, cols=USER_CODES, most: int = 1000) -> dict[st
     return vocab
 
 
+def onehot_sql(vocab: dict[str, list[int]]) -> list[str]:
+    """The dummies of a fitted vocabulary as SQL; a missing code gives 0 in every dummy."""
+    return [f"coalesce(CAST({c} = {int(v)} AS INT), 0) AS {c}_{v}" for c, codes in vocab.items() for v in codes]
+
+
 def onehot_users(df: DataFrame, vocab: dict[str, list[int]]) -> DataFrame:
-    """Dummies over a fitted vocabulary; a missing code gives 0 in every dummy; the original columns are dropped."""
-    new = {}
-    for c, codes in vocab.items():
-        for v in codes:
-            new[f"{c}_{v}"] = F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
-    return df.withColumns(new).drop(*vocab)
+    """Dummies over a fitted vocabulary; the original columns are dropped."""
+    return df.selectExpr(*[f"`{c}`" for c in df.columns if c not in vocab], *onehot_sql(vocab))
 
 
 def unknown_codes(df: DataFrame, vocab: dict[str, list[int]]) -> DataFrame:
@@ -61,7 +63,7 @@ def nan_count(df: DataFrame, feature_cols: list[str]) -> DataFrame:
     return df.withColumn("NaNcount", F.expr(f"size(filter(array({flags}), x -> x))"))
 
 
-def build_table(t: Tables, spec: FeatureSpec, anchor: dt.date, slips=None, is_training: bool = True,
+def build_table(t: Tables, spec: FeatureSpec, anchor: dt.date | list[tuple[int, dt.date]], slips=None, is_training: bool = True,
                 keys=None, onehot: bool = True) -> DataFrame:
     """One row per (slip, user): ids, labels, features, one-hot user codes."""
     slips = list(spec.slips if slips is None else slips)
@@ -69,8 +71,31 @@ def build_table(t: Tables, spec: FeatureSpec, anchor: dt.date, slips=None, is_tr
     spine = attach_labels(spine, t, spec, anchor, is_training, slips)
     rows = CATALOGUE if keys is None else [r for r in CATALOGUE if r.key in set(keys)]
     c, _ = compile_rows(spec, rows)
-    out = run_compiled(c, Facts(t), spine, spec, anchor, slips).drop("anchor")
-    return onehot_users(out, onehot_vocab(t.user)) if onehot else out
+    lead = ["user_id", "slip", *label_names(spec), *(onehot_sql(onehot_vocab(t.user)) if onehot else USER_CODES)]
+    return run_compiled(c, Facts(t), spine, spec, anchor, slips, lead)
+
+
+def build_tables(t: Tables, spec: FeatureSpec, parts: dict[str, tuple[dt.date, list[int], bool]], keys=None,
+                 of_spine: Callable[[DataFrame], DataFrame] = lambda spine: spine) -> DataFrame:
+    """Several tables, each (anchor, slips, with labels), in one build: the facts of all their windows are joined,
+    stored and grouped once. Adds ``part``; every table keeps its own slips. ``of_spine`` says which of the
+    spine's rows (user_id, part, ...) are wanted, before any feature is made."""
+    stride = 1 + max(max(slips) for _, slips, _ in parts.values())
+    pairs = {name: [(i * stride + s, a) for s, a in spec.anchors(anchor, slips)] for i, (name, (anchor, slips, _)) in enumerate(parts.items())}
+    labelled = [pair for name, (_, _, with_labels) in parts.items() if with_labels for pair in pairs[name]]
+    every = [pair for own in pairs.values() for pair in own]
+    spine = sample_spine(t.user.select("user_id", *USER_CODES), spec, every)
+    if labelled:
+        spine = attach_labels(spine, t, spec, labelled)
+        known = F.col("slip").isin([s for s, _ in labelled])
+        spine = spine.withColumns({c: F.when(known, F.col(c)).otherwise(-1) for c in label_names(spec)})
+    else:
+        spine = attach_labels(spine, t, spec, every, False)
+    names = ", ".join(f"'{name}'" for name in parts)
+    spine = of_spine(spine.drop("anchor").withColumn("part", F.expr(f"element_at(array({names}), CAST(slip DIV {stride} AS INT) + 1)")))
+    c, _ = compile_rows(spec, CATALOGUE if keys is None else [r for r in CATALOGUE if r.key in set(keys)])
+    lead = ["part", f"slip % {stride} AS slip", "user_id", *label_names(spec), *onehot_sql(onehot_vocab(t.user))]
+    return run_compiled(c, Facts(t), spine, spec, every, lead=lead)
 
 
 def build_training_table(t: Tables, spec: FeatureSpec, keys=None) -> DataFrame:
@@ -83,7 +108,7 @@ def build_inference_table(t: Tables, spec: FeatureSpec, keys=None, anchor: dt.da
 
 def feature_columns(df: DataFrame, spec: FeatureSpec) -> list[str]:
     """select_feature_columns: everything but ids, labels, slip and last-time."""
-    skip = set(ID_COLUMNS) | set(label_names(spec)) | {"slip", "anchor", "Sample_30_101_LastTime"}
+    skip = set(ID_COLUMNS) | set(label_names(spec)) | {"slip", "anchor", "part", "Sample_30_101_LastTime"}
     return [c for c in df.columns if c not in skip]
 
 

@@ -84,7 +84,7 @@ from .plans import training as TR  # noqa: E402
 from .plans.catalogue import FAMILY_KEYS  # noqa: E402
 from .plans.facts import Facts  # noqa: E402
 from .plans.features import feature_names  # noqa: E402
-from .session import scratch_path  # noqa: E402
+from .session import input_identity, scratch_path, stored  # noqa: E402
 from .sources import io as IO  # noqa: E402
 
 A = SPEC.train_anchor
@@ -153,14 +153,14 @@ def q_sink_feature_table(spark, sf):
 VA = SPEC.valid_anchor
 
 
-@register("scan_feature_tables", " UNION ALL ".join(
-    f"SELECT '{name}' AS part, * FROM ({O.table_sql(SPEC, _ALL_KEYS, a, sl, is_training=tr, onehot=True)}) q"
-    for name, a, sl, tr in (("train", A, SPEC.slips, True), ("valid", VA, [0], False), ("test", TA, [0], False))))
+@register("scan_feature_tables", O.tables_sql(SPEC, _ALL_KEYS, [("train", A, list(SPEC.slips), True), ("valid", VA, [0], False), ("test", TA, [0], False)]))
 def q_scan_feature_tables(spark, sf):
-    t, out = _t(spark, sf), None
-    for name, df in (("train", TR.build_training_table(t, SPEC)), ("valid", TR.build_inference_table(t, SPEC, anchor=VA)), ("test", TR.build_inference_table(t, SPEC))):
+    """Train, valid and test tables, built together, written as one table each and read back."""
+    parts = {"train": (A, list(SPEC.slips), True), "valid": (VA, [0], False), "test": (TA, [0], False)}
+    built, out = stored(TR.build_tables(_t(spark, sf), SPEC, parts), "tables"), None
+    for name in parts:
         path = scratch_path(spark, f"features_{name}_{_uuid.uuid4().hex}")
-        IO.sink_feature_table(df, path)
+        IO.sink_feature_table(built.where(F.col("part") == name).drop("part"), path)
         part = IO.scan_feature_table(spark, path).withColumn("part", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return normalize(out)
@@ -1006,8 +1006,10 @@ import math as _math  # noqa: E402
 from .plans import model as ML  # noqa: E402
 from .plans import predict as PR  # noqa: E402
 
-_ML_PARAMS = ML.GBTParams()
-_CV_PARAMS = ML.GBTParams(patience=30)
+_ML_PARAMS = ML.BoostParams()
+# fixed values: the leaves of the binary variant, and the grids' parameters
+_BINARY = ML.BoostParams(num_leaves=31)
+_CV_PARAMS = ML.BoostParams(num_leaves=20, seed=2018, early_stopping_rounds=30)
 # stored tables and fits of this application, so that keys of one run share them; each key also runs alone
 _MEMO: dict = {}
 
@@ -1041,64 +1043,68 @@ def _once(spark, key: tuple, make):
     return _MEMO[key]
 
 
+# the given tables that the fixtures are derived from
+_INPUTS = ("customer", "part", "supplier", "orders", "lineitem")
+
+
 def _matrices(spark, sf) -> PR.Matrices:
-    return _once(spark, ("matrices", sf), lambda: PR.matrices(_t(spark, sf), SPEC))
+    return _once(spark, ("matrices", sf), lambda: PR.matrices(_t(spark, sf), SPEC, input_identity([spark.read.parquet(f"{sf}/{n}.parquet") for n in _INPUTS])))
 
 
 def _models(spark, sf):
     return _once(spark, ("models", sf), lambda: PR.fit_models(_matrices(spark, sf), SPEC, _ML_PARAMS))
 
 
+def _count_stack(spark, sf):
+    """The count model's stack alone, and its out-of-fold rows."""
+    def make():
+        m = _matrices(spark, sf)
+        model = ML.StackedBaggedGBT(BUY, m.binned(_ML_PARAMS.max_bin)[0], _ML_PARAMS)
+        return model, model.out_of_fold(m.rows("train"))
+    return _once(spark, ("stack", sf), make)
+
+
 @register("oof_stack_feature")
 def q_oof_stack_feature(spark, sf):
-    out = _once(spark, ("oof", sf), lambda: ML.StackedBaggedGBT(BUY, _ML_PARAMS).out_of_fold(_matrices(spark, sf).train))
-    return out.select("slip", "user_id", BUY, "fold", "stack_pred")
+    return _count_stack(spark, sf)[1].select("slip", "user_id", BUY, "fold", "stack_pred")
 
 
 @register("stack_inference_feature")
 def q_stack_inference_feature(spark, sf):
-    return _models(spark, sf)[0].stack_inference(_matrices(spark, sf).test).select("user_id", "stack_pred")
+    return _count_stack(spark, sf)[0].stack_inference(_matrices(spark, sf).rows("test")).select("user_id", "stack_pred")
 
 
 @register("bagging_ensemble")
 def q_bagging_ensemble(spark, sf):
     """Each bag's own prediction and their mean."""
-    model, out = _models(spark, sf)[0], _matrices(spark, sf).test
-    out = model._with_meta(model.stack_inference(out))
-    for i, m in enumerate(model.bag_models):
-        out = model._apply(m, out, f"bag_{i}")
+    model = _models(spark, sf)[0]
     bags = [F.col(f"bag_{i}") for i in range(len(model.bag_models))]
-    return out.select("user_id", *bags, (sum(bags[1:], bags[0]) / float(len(bags))).alias(BUY))
+    return model.each_bag(_matrices(spark, sf).rows("test")).select("user_id", *bags, (sum(bags[1:], bags[0]) / float(len(bags))).alias(BUY))
 
 
-@register("train_buy_count")
-def q_train_buy_count(spark, sf):
-    """The count model's predictions of the validation and the test table."""
-    m, model = _matrices(spark, sf), _models(spark, sf)[0]
-    parts = [model.predict(rows.drop(BUY, DAY), BUY).select(F.lit(part).alias("part"), "user_id", BUY) for part, rows in (("valid", m.valid), ("test", m.test))]
+def _both_parts(spark, sf, which: int, label: str):
+    """A model's predictions of the validation and the test table."""
+    m, model = _matrices(spark, sf), _models(spark, sf)[which]
+    parts = [model.predict(m.rows(part).drop(BUY, DAY), label).select(F.lit(part).alias("part"), "user_id", label) for part in ("valid", "test")]
     return parts[0].unionByName(parts[1])
 
 
-@register("train_first_day")
-def q_train_first_day(spark, sf):
-    m, model = _matrices(spark, sf), _models(spark, sf)[1]
-    parts = [model.predict(rows.drop(BUY, DAY), DAY).select(F.lit(part).alias("part"), "user_id", DAY) for part, rows in (("valid", m.valid), ("test", m.test))]
-    return parts[0].unionByName(parts[1])
+register("train_buy_count")(lambda spark, sf: _both_parts(spark, sf, 0, BUY))
+register("train_first_day")(lambda spark, sf: _both_parts(spark, sf, 1, DAY))
 
 
 @register("train_buy_binary")
 def q_train_buy_binary(spark, sf):
     """The binary variant through the same stack and bags."""
     m = _matrices(spark, sf)
-    model = _once(spark, ("binary", sf), lambda: ML.StackedBaggedGBT(BUY, _ML_PARAMS, binary=True).fit(m.train))
-    return model.predict(m.test, "p_buy").select("user_id", "p_buy")
+    model = _once(spark, ("binary", sf), lambda: ML.StackedBaggedGBT(BUY, m.binned(_BINARY.max_bin)[0], _BINARY, binary=True).fit(m.rows("train")))
+    return model.predict(m.rows("test").drop(BUY, DAY), "p_buy").select("user_id", "p_buy")
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    """Importances per stacking fold."""
-    rows = _models(spark, sf)[0].importances(_matrices(spark, sf).columns)
-    return spark.createDataFrame(rows, "fold int, feature string, importance double")
+    """Split counts and gains per stacking fold, from the written node table."""
+    return _count_stack(spark, sf)[0].importances()
 
 
 def _scores(spark, sf, which: int, metric: str):
@@ -1138,41 +1144,54 @@ def q_predict_submit_score(spark, sf):
     return PR.predict_submit_score(_t(spark, sf), _matrices(spark, sf), _models(spark, sf), SPEC, f"submit_{_uuid.uuid4().hex}")
 
 
-# fixed values: the reference's grid of leaves and depths, the first-day label's own leaves, and its sampling shares
+# fixed values: the reference's grid of leaves and depths, the first-day label's own leaves, its sampling shares and draws
 _LEAVES, _DEPTHS = range(20, 200, 10), range(3, 8)
-_DAY_LEAVES, _SHARES = range(20, 100, 5), (0.6, 0.7, 0.8, 0.9, 1.0)
+_DAY_LEAVES, _SHARES, _DRAWS = range(20, 100, 5), (0.6, 0.7, 0.8, 0.9, 1.0), range(0, 20, 5)
 # some of the reference's 51 x 38 values of bins and leaf size
-_BINS, _LEAF_ROWS = (16, 32, 64), (1, 5, 20)
+_BINS, _LEAF_ROWS = (16, 32, 64), (10, 20, 50)
+
+
+def _grid_rows(spark, sf, target: str, max_bin: int):
+    """Rows and label of a search: for the count label the rows outside a 0.2 holdout, for the first-day label the buyers."""
+    train = _matrices(spark, sf).rows("train", max_bin)
+    return (ML.holdout_split(train, 0.2, 0)[0], F.col(BUY)) if target == "count" else (train.where(F.col(DAY) < SPEC.no_buy_day), F.col(DAY))
+
+
+def _searched(spark, sf, target: str, points: list[dict]) -> list[float]:
+    """The error of every point; points with the same bins in one search."""
+    out: dict[int, float] = {}
+    for max_bin in sorted({p.get("max_bin", _CV_PARAMS.max_bin) for p in points}):
+        at = [i for i, p in enumerate(points) if p.get("max_bin", _CV_PARAMS.max_bin) == max_bin]
+        rows, label = _grid_rows(spark, sf, target, max_bin)
+        found = ML.grid_search_cv(rows, _matrices(spark, sf).binned(max_bin)[0], label, _CV_PARAMS, [points[i] for i in at])
+        out |= {i: v for i, (_, v) in zip(at, found, strict=True)}
+    return [out[i] for i in range(len(points))]
 
 
 def _grid(spark, sf):
     """Every (leaves, depth) of the grid for the count label, on the rows outside a 0.2 holdout."""
     def make():
-        rest, _ = ML.holdout_split(_matrices(spark, sf).train, 0.2, 0)
         pairs = [(n, d) for n in _LEAVES for d in _DEPTHS]
-        found = ML.grid_search_cv(rest.withColumn("_y", F.col(BUY).cast("double")), "_y", _CV_PARAMS, [{"maxDepth": ML.depth_of(n, d)} for n, d in pairs])
-        return [(n, d, p["maxDepth"], v) for (n, d), (p, v) in zip(pairs, found, strict=True)]
-    return spark.createDataFrame(_once(spark, ("grid", sf), make), "num_leaves int, max_depth int, depth_used int, mse double")
+        found = _searched(spark, sf, "count", [{"num_leaves": n, "max_depth": d} for n, d in pairs])
+        return [(n, d, v) for (n, d), v in zip(pairs, found, strict=True)]
+    return spark.createDataFrame(_once(spark, ("grid", sf), make), "num_leaves int, max_depth int, mse double")
 
 
 def _more_points() -> list[tuple[str, str, dict]]:
     """(target, point, parameters): leaves and depths of the first-day label, then bins, leaf size and sampling of either label."""
-    out = [("first_day", f"num_leaves={n} max_depth={d}", {"maxDepth": ML.depth_of(n, d)}) for n in _DAY_LEAVES for d in _DEPTHS]
-    later = [{"maxBins": b, "minInstancesPerNode": n} for b in _BINS for n in _LEAF_ROWS]
-    later += [{"subsamplingRate": r, "featureSubsetStrategy": str(f)} for r in _SHARES for f in _SHARES]
-    return out + [(target, str(sorted(p.items())), p) for target in ("count", "first_day") for p in later]
+    out = [("first_day", f"num_leaves={n} max_depth={d}", {"num_leaves": n, "max_depth": d}) for n in _DAY_LEAVES for d in _DEPTHS]
+    later = [{"max_bin": b, "min_data_in_leaf": n} for b in _BINS for n in _LEAF_ROWS]
+    later += [{"bagging_fraction": r, "bagging_freq": k, "feature_fraction": f} for f in _SHARES for r in _SHARES for k in _DRAWS]
+    return out + [(target, " ".join(f"{k}={v}" for k, v in p.items()), p) for target in ("count", "first_day") for p in later]
 
 
 def _grid_more(spark, sf):
-    """The parameters MLlib has of the later grids: the first-day label of buyers, and the count label on the rows outside a 0.2 holdout."""
+    """The later grids: the first-day label's leaves and depths, and bins, leaf size and sampling of both labels."""
     def make():
-        train, out = _matrices(spark, sf).train, []
-        rows = {"count": ML.holdout_split(train, 0.2, 0)[0].withColumn("_y", F.col(BUY).cast("double")),
-                "first_day": train.where(F.col(DAY) < SPEC.no_buy_day).withColumn("_y", F.col(DAY).cast("double"))}
-        for target in rows:
+        out = []
+        for target in ("count", "first_day"):
             points = [(name, p) for t, name, p in _more_points() if t == target]
-            found = ML.grid_search_cv(rows[target], "_y", _CV_PARAMS, [p for _, p in points])
-            out += [(target, name, v) for (name, _), (_, v) in zip(points, found, strict=True)]
+            out += [(target, name, v) for (name, _), v in zip(points, _searched(spark, sf, target, [p for _, p in points]), strict=True)]
         return out
     return spark.createDataFrame(_once(spark, ("more", sf), make), "target string, point string, mse double")
 

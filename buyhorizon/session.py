@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import getpass
+import hashlib
+import pathlib
 import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults for sessions this library builds. Broadcast thresholds and memory are
 # left to the cluster; results depend on none of these settings.
@@ -78,3 +83,57 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# ---- results that outlive a session ------------------------------------------
+
+def store_root(spark: SparkSession) -> str:
+    """Where finished tables and fits are kept for later sessions: below the folder all executors share;
+    a local session without one has a folder of the user's own."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return f"{d.rstrip('/')}/buyhorizon-store"
+    checkpoint_dir(spark)  # refuses a cluster that names no shared folder
+    return f"{tempfile.gettempdir()}/buyhorizon-store-{getpass.getuser()}"
+
+
+def store_entry(spark: SparkSession, name: str) -> str:
+    return f"{store_root(spark)}/{name}"
+
+
+def finished(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """The tables below ``folder`` with this prefix that were written whole, in a fixed order. Writers use a name
+    of their own each, so two that make the same table at once do not meet."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{prefix}*/_SUCCESS")
+    found = path.getFileSystem(hadoop).globStatus(path)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
+def kept(spark: SparkSession, name: str, make) -> DataFrame:
+    """The stored table of this name, made by ``make()`` and written if there is none yet."""
+    folder = store_entry(spark, name)
+    if not finished(spark, folder, "run-"):
+        make().write.parquet(f"{folder}/run-{uuid.uuid4().hex}")
+    return spark.read.parquet(finished(spark, folder, "run-")[0])
+
+
+def input_identity(tables: list[DataFrame]) -> list[str]:
+    """Per table a digest of its files: paths, sizes and times of change. Reads no column."""
+    out = []
+    for df in tables:
+        files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        files = files.select(F.xxhash64("file_path", "file_size", F.unix_micros("file_modification_time")).alias("h"))
+        r = files.agg(F.count("h").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+        out.append(f"{r.n}:{r.x}:{r.s}")
+    return out
+
+
+@functools.cache
+def code_digest() -> str:
+    """Names the code that made a stored result: the library's sources (the corpus operators apart)."""
+    root, h = pathlib.Path(__file__).parent, hashlib.sha256()
+    for path in sorted(root.rglob("*.py")):
+        if "llm" not in path.relative_to(root).parts:
+            h.update(path.read_bytes())
+    return h.hexdigest()

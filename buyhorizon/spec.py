@@ -60,8 +60,10 @@ class FeatureSpec:
     def max_window(self) -> int:
         return max(self.windows)
 
-    def anchors(self, anchor: dt.date, slips=None) -> list[tuple[int, dt.date]]:
-        """(slip, anchor date) pairs: each slip steps back label_window + 1 days."""
+    def anchors(self, anchor: dt.date | list[tuple[int, dt.date]], slips=None) -> list[tuple[int, dt.date]]:
+        """(slip, anchor date) pairs: each slip steps back label_window + 1 days. Stated pairs are taken as they are."""
+        if isinstance(anchor, list):
+            return anchor
         step = self.label_window + 1
         return [(s, anchor - dt.timedelta(days=s * step)) for s in (self.slips if slips is None else slips)]
 

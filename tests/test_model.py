@@ -3,58 +3,94 @@
 import random
 
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from buyhorizon import session as S
 from buyhorizon.plans import model as ML
 
-PARAMS = ML.GBTParams(maxDepth=2, maxIter=30)
+PARAMS = ML.BoostParams(max_depth=2, num_boost_round=30, min_data_in_leaf=5, learning_rate=0.3)
+
+
+@pytest.fixture(autouse=True)
+def store(tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "store_root", lambda spark: str(tmp_path / "store"))
 
 
 @pytest.fixture(scope="module")
-def rows(spark):
+def table(spark):
     rng = random.Random(3)
     data = []
     for i in range(240):
         x = [rng.random() for _ in range(3)]
-        data.append((i % 2, i, int(3 * x[0] + rng.random() * 0.3), Vectors.dense(x)))
-    from buyhorizon.session import stored
-    return stored(spark.createDataFrame(data, ["slip", "user_id", "y", "features"]), "model-test")
+        data.append((i % 2, i, int(3 * x[0] + rng.random() * 0.3), *x))
+    df = S.stored(spark.createDataFrame(data, "slip int, user_id long, y int, a double, b double, c double"), "model-table")
+    bins = ML.Bins(["a", "b", "c"]).fit(df, PARAMS.max_bin)
+    return bins, S.stored(bins.binned(df, ["slip", "user_id", "y"]), "model-rows")
 
 
-def test_out_of_fold_covers_every_row_once_and_is_repeatable(rows):
-    a = ML.StackedBaggedGBT("y", PARAMS, stacking_num=3).out_of_fold(rows).select("slip", "user_id", "fold", "stack_pred").collect()
-    b = ML.StackedBaggedGBT("y", PARAMS, stacking_num=3).out_of_fold(rows).select("slip", "user_id", "fold", "stack_pred").collect()
+def test_out_of_fold_covers_every_row_once_and_is_repeatable(table, tmp_path, monkeypatch):
+    bins, rows = table
+    a = ML.StackedBaggedGBT("y", bins, PARAMS, stacking_num=3).out_of_fold(rows).select("slip", "user_id", "fold", "stack_pred").collect()
+    monkeypatch.setattr(S, "store_root", lambda spark: str(tmp_path / "other"))
+    b = ML.StackedBaggedGBT("y", bins, PARAMS, stacking_num=3).out_of_fold(rows).select("slip", "user_id", "fold", "stack_pred").collect()
     assert sorted(r.user_id for r in a) == list(range(240))
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert {r.fold for r in a} == {0, 1, 2}
 
 
-def test_stack_and_bags_learn_stop_early_and_average(rows):
-    m = ML.StackedBaggedGBT("y", PARAMS, stacking_num=2, bagging_num=2, metric="l2").fit(rows)
+def test_out_of_fold_predictions_come_from_the_other_folds(table):
+    bins, rows = table
+    m = ML.StackedBaggedGBT("y", bins, PARAMS, stacking_num=3)
+    got = m.out_of_fold(rows)
+    for f, model in enumerate(m.stack_models):
+        own = ML.scored(got.where(F.col("fold") == f).drop("stack_pred"), [model], "again").select("user_id", "again")
+        assert got.join(own, "user_id").where("abs(stack_pred - again) > 1e-12").count() == 0
+        assert model.name == f"fold-{f}" and model.base == pytest.approx(got.where(F.col("fold") != f).agg(F.avg("y")).first()[0])
+
+
+def test_stack_and_bags_learn_stop_early_and_average(table):
+    bins, rows = table
+    m = ML.StackedBaggedGBT("y", bins, PARAMS, stacking_num=2, bagging_num=2, metric="l2").fit(rows)
     spread = rows.agg(F.var_pop("y")).first()[0]
     assert len(m.scores) == 2 and all(s < 0.5 * spread for s in m.scores)
     noise = rows.withColumn("y", F.pmod(F.xxhash64("user_id"), F.lit(2)))
-    stopped = ML.StackedBaggedGBT("y", PARAMS, stacking_num=2, bagging_num=1).fit(noise)
-    assert max(x.getNumTrees for x in stopped.stack_models + stopped.bag_models) < PARAMS.maxIter  # noise: held-out error stops it
+    short = ML.replace(PARAMS, early_stopping_rounds=5)
+    stopped = ML.StackedBaggedGBT("y", bins, short, stacking_num=2, bagging_num=1).fit(noise)
+    assert max(len(x.trees) for x in stopped.stack_models + stopped.bag_models) < PARAMS.num_boost_round  # noise: held-out error stops it
     out = m.predict(rows.drop("y"), "p").select("user_id", "p").collect()
     assert len(out) == 240
-    imp = m.importances(["a", "b", "c"])
-    assert {(f, c) for f, c, _ in imp} == {(f, c) for f in (0, 1) for c in "abc"} and all(next(c for g, c, _ in imp if g == f) == "a" for f in (0, 1))
-
-
-def test_binary_variant_gives_probabilities(rows):
-    m = ML.StackedBaggedGBT("y", PARAMS, stacking_num=2, bagging_num=1, binary=True).fit(rows)
+    each = m.each_bag(rows.drop("y")).select("user_id", ((F.col("bag_0") + F.col("bag_1")) / 2).alias("p")).collect()
+    assert {r.user_id: pytest.approx(r.p) for r in each} == {r.user_id: r.p for r in out}
+    imp = m.importances().collect()
+    assert {(r.fold, r.feature) for r in imp} == {(f, c) for f in (0, 1) for c in "abc"}
+    assert all(max((r for r in imp if r.fold == f), key=lambda r: r.gain).feature == "a" for f in (0, 1))
+    splits = [sum(f >= 0 for t in x.trees for f in t.feature) for x in m.stack_models]
+    assert [sum(r.importance for r in imp if r.fold == f) for f in (0, 1)] == splits
+
+
+def test_binary_variant_gives_probabilities(table):
+    bins, rows = table
+    m = ML.StackedBaggedGBT("y", bins, PARAMS, stacking_num=2, bagging_num=1, binary=True).fit(rows)
     out = m.predict(rows, "p").select("y", "p").collect()
     assert all(0 <= r.p <= 1 for r in out)
     assert m.scores[0] > 0.9
 
 
-def test_grid_merges_points_of_one_estimator(rows):
-    assert [ML.depth_of(n, 7) for n in (20, 32, 40, 64, 70, 130, 190)] == [5, 5, 6, 6, 7, 7, 7]
-    points = [{"maxDepth": d} for d in (1, 2, 1)]
-    got = ML.grid_search_cv(rows.withColumn("_y", F.col("y").cast("double")), "_y", PARAMS, points, folds=2)
-    assert [p for p, _ in got] == points and got[0] == got[2] and got[1][1] < got[0][1]
+def test_grid_merges_points_of_one_fit(table):
+    bins, rows = table
+    p = [ML.distinct_point(ML.BoostParams(num_leaves=n, max_depth=d)).num_leaves for n, d in ((20, 3), (20, 7), (190, 7), (64, -1))]
+    assert p == [8, 20, 128, 64]
+    assert ML.distinct_point(ML.BoostParams(bagging_fraction=0.6, bagging_freq=0)) == ML.distinct_point(ML.BoostParams(bagging_fraction=1.0, bagging_freq=5))
+    points = [{"max_depth": d} for d in (1, 2, 1)]
+    got = ML.grid_search_cv(rows, bins, F.col("y"), PARAMS, points, folds=2)
+    assert [p for p, _ in got] == points and got[0] == got[2] and got[1][1] != got[0][1]
+
+
+def test_meta_edges_cut_where_the_rows_are(spark):
+    df = spark.createDataFrame([(0.0,)] * 500 + [(i / 100,) for i in range(500)], "p double")
+    edges = ML.meta_edges(df, "p", 32)
+    assert 20 <= len(edges) <= 30 and edges == sorted(set(edges)) and edges[0] < 0.01
+    assert ML.meta_edges(df.where("p = 0"), "p", 32) == [] and ML.meta_edges(df.where("false"), "p", 32) == []
 
 
 def test_metrics_by_hand(spark):
@@ -70,35 +106,15 @@ def test_rounds_go_on_through_a_rise_until_patience_ends():
     assert ML.best_round(errors, 4) == (8, False)
 
 
-def test_a_fit_keeps_the_trees_up_to_its_least_held_out_error(spark):
-    from buyhorizon.session import stored
-    rng = random.Random(11)
-    data = []
-    for i in range(600):
-        x = [rng.gauss(0, 1) for _ in range(4)]
-        data.append((i % 2, i, x[0] + 0.5 * x[1] + rng.gauss(0, 2.5), Vectors.dense(x)))
-    rows = stored(spark.createDataFrame(data, ["slip", "user_id", "y", "features"]), "patience-test")
-    held = rows.where("user_id % 4 = 0")
-    train = rows.where("user_id % 4 <> 0")
-    whole = ML._estimator(ML.GBTParams(maxDepth=5, maxIter=30), "y").fit(train)
-    errors = whole.evaluateEachIteration(held, "squared")
-    least = min(range(30), key=lambda i: errors[i])
-    assert any(errors[i + 1] > errors[i] for i in range(least))  # a round before the least error is worse than the one before it
-    model = ML.StackedBaggedGBT("y", ML.GBTParams(maxDepth=5, maxIter=30))._fit_one(rows.withColumn("_y", F.col("y")), "features", F.col("user_id") % 4 == 0)
-    assert model.getNumTrees == least + 1
-    assert len(model.featureImportances) == 4
-    scored = model.transform(held).select(F.avg((F.col("prediction") - F.col("y")) ** 2)).first()[0]
-    assert scored == pytest.approx(errors[least])
-
-
 def test_later_grids_have_the_reference_values():
     from buyhorizon import registry as R
     points = R._more_points()
-    leaves = [(name, p) for t, name, p in points if t == "first_day" and name.startswith("num_leaves")]
-    assert len(leaves) == len({name for name, _ in leaves}) == 16 * 5 and {p["maxDepth"] for _, p in leaves} == {3, 4, 5, 6, 7}
+    leaves = {(p["num_leaves"], p["max_depth"]) for t, name, p in points if t == "first_day" and name.startswith("num_leaves")}
+    assert leaves == {(n, d) for n in range(20, 100, 5) for d in (3, 4, 5, 6, 7)}
+    shares = (0.6, 0.7, 0.8, 0.9, 1.0)
     for target in ("count", "first_day"):
-        shares = {(p["subsamplingRate"], float(p["featureSubsetStrategy"])) for t, _, p in points if t == target and "subsamplingRate" in p}
-        assert shares == {(a, b) for a in (0.6, 0.7, 0.8, 0.9, 1.0) for b in (0.6, 0.7, 0.8, 0.9, 1.0)}
+        drawn = {(p["bagging_fraction"], p["feature_fraction"], p["bagging_freq"]) for t, _, p in points if t == target and "bagging_fraction" in p}
+        assert drawn == {(a, b, k) for a in shares for b in shares for k in (0, 5, 10, 15)}
 
 
 def test_auc_of_many_distinct_scores_is_the_rank_sum(spark):
