@@ -46,13 +46,19 @@ def located(docs: DataFrame, columns: list[Column]) -> DataFrame:
     return docs.select(*columns, meta["file_path"].alias("file"), meta["row_index"].alias("row"))
 
 
-def with_locators(docs: DataFrame) -> DataFrame:
-    """``docs`` itself if its rows carry file metadata, else a stored copy that does."""
+def with_locators(docs: DataFrame, otherwise: Callable[[], DataFrame | None] | None = None) -> DataFrame | None:
+    """``docs`` itself if its rows carry file metadata, else a stored copy that does (or what ``otherwise`` gives)."""
     try:
         located(docs, [F.lit(1).alias("one")]).schema  # noqa: B018  analysis happens here
         return docs
     except AnalysisException:
-        return stored(docs, "landed")
+        return otherwise() if otherwise else stored(docs, "landed")
+
+
+def rows_at(docs: DataFrame, locators: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (with locators) that lie at ``locators`` (file, row), with all their columns, whatever those are called."""
+    meta = docs.metadataColumn("_metadata")
+    return docs.join(locators, (meta["file_path"] == locators["file"]) & (meta["row_index"] == locators["row"]), "left_semi")
 
 
 def running_total(df: DataFrame, group: list[str], order: list[str], size: str, out: str, chunks: int = 1024) -> DataFrame:

@@ -1,17 +1,23 @@
 """Exact deduplication as a stateful stream.
 
-Rows are logged as (identifier, digest, content locator). A Structured Streaming
-query folds the log into disk-backed state (RocksDB), keyed by digest and kept
-without expiry: the smallest identifier seen, the locator of its content and the
-number of rows. The streaming aggregate combines on the map side, so a text with
-a third of all copies reaches its state partition as one row per task. Every hit
-(a digest with more than one row) is then checked byte by byte against the text
-at the kept locator, which of earlier batches is read from its file; should texts of one digest differ, they are told apart by
-their full text.
+Rows are logged as (identifier, digest, content locator, batch), each locator once:
+a batch that is added again, in whole or in part, or whose first attempt was lost
+after the log was written, changes nothing twice. A Structured Streaming query folds
+the log into disk-backed state (RocksDB), keyed by digest and kept without expiry: the
+smallest identifier seen, the locator of its content and the number of rows. The
+streaming aggregate combines on the map side, so a text with a third of all copies
+reaches its state partition as one row per task.
+
+Every hit (a digest with more than one row) is checked byte by byte against one text of
+its digest, once: rows of batches that are not yet checked are compared with the row
+that earlier batches kept, whose text is read at its locator, or, where there is none,
+with the one that is kept now. Should texts of one digest differ, they are told apart
+by their full text.
 
 Defined results: null text counts as empty; rows that repeat an identifier and a
 text are copies of each other, and exactly one (by locator) is kept; a null
-identifier sorts after all others; extra columns are ignored.
+identifier sorts after all others; an empty table gives no rows; texts of any length
+are compared whole; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,10 +25,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, located, new_folder, stored, with_locators
+from .common import SPACE, located, new_folder, rows_at, stored, with_locators
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -70,10 +77,18 @@ class StreamingDedup:
         return located(docs, cols + ([text.alias("content")] if with_text else []))
 
     def add(self, docs: DataFrame) -> None:
-        """Logs ``docs`` (rows with locators) and runs the stream over what is new."""
-        rows = self._rows(docs)
-        rows.write.mode("append").parquet(f"{self.folder}/log")
-        stream = self.spark.readStream.schema(rows.schema).parquet(f"{self.folder}/log")
+        """Logs those rows of ``docs`` (with locators) that the log lacks, and runs the stream over what is new."""
+        rows, log = self._rows(docs), self.log()
+        if log is None:
+            rows = rows.withColumn("batch", F.lit(0))
+        else:
+            known = log.join(rows.select("file").distinct(), "file", "left_semi").select("file", "row")
+            newest = log.agg(F.max("batch")).first()[0]
+            rows = rows.join(known, ["file", "row"], "left_anti").select(*rows.columns, F.lit(0 if newest is None else newest + 1).alias("batch"))
+            rows = stored(rows, "dedup-new")  # before the log that it reads grows
+        if log is None or not rows.isEmpty():
+            rows.write.mode("append").parquet(f"{self.folder}/log")
+        stream = self.spark.readStream.schema(self.log().schema).parquet(f"{self.folder}/log")
         state = stream.groupBy("digest").agg(
             F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "file", "row")).alias("first"), F.count(F.lit(1)).alias("group_size"))
         with _settings(self.spark, ROCKSDB):
@@ -82,8 +97,15 @@ class StreamingDedup:
                      .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{self.folder}/groups/batch={n}")).start())
             query.awaitTermination()
 
-    def log(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/log")
+    def _table(self, name: str) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(f"{self.folder}/{name}")
+        except AnalysisException:  # none yet
+            return None
+
+    def log(self) -> DataFrame | None:
+        """The logged rows: id, digest, file, row, batch."""
+        return self._table("log")
 
     def groups(self) -> DataFrame:
         """The state's latest version of each digest: the kept row and the group's size.
@@ -94,6 +116,12 @@ class StreamingDedup:
         versions = self.spark.read.parquet(f"{self.folder}/groups")
         return versions.groupBy("digest").agg(F.min("first").alias("first"), F.max("group_size").alias("group_size"))
 
+    def checked(self) -> tuple[int, DataFrame | None]:
+        """The last batch whose hits were compared, and the digests of which texts differed so far."""
+        found = self._table("checked")
+        last = found.agg(F.max("batch")).first()[0] if found is not None else None
+        return (-1 if last is None else last), None if found is None else found.where("digest IS NOT NULL").select("digest").distinct()
+
     def hits(self, docs: DataFrame, groups: DataFrame) -> DataFrame:
         """Rows of digests seen more than once, with their text."""
         shared = groups.where("group_size > 1")
@@ -101,16 +129,32 @@ class StreamingDedup:
         return (self._rows(docs, True).join(shared, "digest")
                 .select("digest", "id", "file", "row", "content", "group_size", first.alias("is_first")))
 
-    def earlier_hits(self, groups: DataFrame, hits: DataFrame) -> DataFrame | None:
-        """The same of logged rows that ``hits`` lacks (those of other batches), with their text read at their locators."""
-        first = (F.col("file") == F.col("first.file")) & (F.col("row") == F.col("first.row"))
-        logged = self.log().join(groups.where("group_size > 1"), "digest").select("digest", "id", "file", "row", "group_size", first.alias("is_first"))
-        earlier = stored(logged.join(hits.select("file", "row"), ["file", "row"], "left_anti"), "dedup-earlier")
-        files = [r["file"] for r in earlier.select("file").distinct().collect()]
+    def texts_at(self, rows: DataFrame) -> DataFrame:
+        """The stored ``rows`` (file, row, ...) with their text: of the files that they lie in, only those rows' texts are kept.
+        The list of these files is all that the driver sees, as with any read of them."""
+        files = [r["file"] for r in rows.select("file").distinct().collect()]
         if not files:
-            return None
-        texts = located(self.spark.read.parquet(*files), [normalised(F.col(self.text_col)).alias("content")])
-        return earlier.join(texts, ["file", "row"]).select(*hits.columns)
+            return rows.withColumn("content", F.lit(None).cast("string"))
+        return rows.join(located(self.spark.read.parquet(*files), [normalised(F.col(self.text_col)).alias("content")]), ["file", "row"])
+
+    def unchecked(self, docs: DataFrame, groups: DataFrame, done: int) -> DataFrame:
+        """Hits that were not compared yet, and per digest the one row (is_first) that they are compared with."""
+        hits = stored(self.hits(docs, groups), "dedup-hits")
+        log = self.log()
+        if done < 0 and log.agg(F.max("batch")).first()[0] == 0:
+            return hits  # the first batch is all there is
+        shared = groups.where("group_size > 1").select("digest", "first", "group_size")
+        new = log.where(F.col("batch") > done).join(shared, "digest")
+        before = log.where(F.col("batch") <= done).join(new.select("digest").distinct(), "digest", "left_semi")
+        before = before.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "file", "row")).alias("kept"))
+        new = new.join(before, "digest", "left").withColumn("against", F.coalesce("kept", "first"))
+        here = (F.col("file") == F.col("against.file")) & (F.col("row") == F.col("against.row"))
+        wanted = new.select("digest", "id", "file", "row", "group_size", here.alias("is_first"))
+        earlier = new.where("kept IS NOT NULL").select("digest", "kept.id", "kept.file", "kept.row", "group_size", F.lit(True).alias("is_first")).distinct()
+        wanted = stored(wanted.unionByName(earlier), "dedup-unchecked")
+        at_hand = wanted.join(hits.select("file", "row", "content"), ["file", "row"])
+        absent = stored(wanted.join(hits.select("file", "row"), ["file", "row"], "left_anti"), "dedup-absent")
+        return stored(at_hand.select(*hits.columns).unionByName(self.texts_at(absent).select(*hits.columns)), "dedup-texts")
 
     @staticmethod
     def differing(hits: DataFrame) -> DataFrame:
@@ -125,14 +169,18 @@ class StreamingDedup:
     def result(self, docs: DataFrame) -> DataFrame:
         """One row per logged row: id, file, row, digest, first (struct), group_size."""
         groups = stored(self.groups(), "dedup-groups")
-        hits = stored(self.hits(docs, groups), "dedup-hits")
-        earlier = self.earlier_hits(groups, hits)
-        hits = hits if earlier is None else stored(hits.unionByName(earlier), "dedup-all-hits")
+        done, known = self.checked()
+        newest = self.log().agg(F.max("batch")).first()[0]
+        if newest is not None and newest > done:
+            hits = self.unchecked(docs, groups, done)
+            found = self.differing(hits).select("digest", F.lit(newest).alias("batch"))
+            marker = self.spark.createDataFrame([(None, newest)], found.schema)
+            found.unionByName(marker).write.mode("overwrite").parquet(f"{self.folder}/checked/upto={newest}")
+            known = self.checked()[1]
         rows = self.log().join(groups, "digest")
-        differing = stored(self.differing(hits), "dedup-differing")
-        if differing.isEmpty():
+        if known is None or known.isEmpty():
             return rows
-        mixed = hits.join(differing, "digest")
+        mixed = self.texts_at(stored(self.log().join(known, "digest", "left_semi"), "dedup-mixed"))
         apart = mixed.groupBy("digest", "content").agg(
             F.min(F.struct(F.col("id").isNull().alias("null_id"), "id", "file", "row")).alias("own_first"), F.count(F.lit(1)).alias("own_size"))
         apart = mixed.join(apart, ["digest", "content"]).select("file", "row", "own_first", "own_size")
@@ -140,8 +188,23 @@ class StreamingDedup:
                 .withColumn("first", F.coalesce("own_first", "first")).withColumn("group_size", F.coalesce("own_size", "group_size")))
 
 
+def _landed(docs: DataFrame, folder: str | None) -> DataFrame:
+    """``docs`` with locators. Rows that come from no file are landed under their content, so that they have the same locators when they come again."""
+    found = with_locators(docs, lambda: None)
+    if found is not None or folder is None:
+        return found if found is not None else stored(docs, "landed")
+    h = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    r = docs.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s")).first()
+    path = f"{folder}/landed/{r.n}_{r.x}_{r.s}"
+    try:
+        return docs.sparkSession.read.schema(docs.schema).parquet(path)
+    except AnalysisException:  # first time
+        docs.write.parquet(path)
+        return docs.sparkSession.read.schema(docs.schema).parquet(path)
+
+
 def _dedup(docs: DataFrame, folder: str | None, **options) -> tuple[DataFrame, DataFrame]:
-    docs = with_locators(docs)
+    docs = _landed(docs, folder)
     dedup = StreamingDedup(docs.sparkSession, folder, **options)
     dedup.add(docs)
     return docs, dedup.result(docs)
@@ -160,6 +223,4 @@ def exact_groups(docs: DataFrame, folder: str | None = None, **options) -> DataF
 def drop_exact_copies(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     docs, rows = _dedup(docs, folder, **options)
-    kept = rows.where(_kept()).select(F.col("file").alias("_kept_file"), F.col("row").alias("_kept_row"))
-    meta = docs.metadataColumn("_metadata")
-    return docs.join(kept, (meta["file_path"] == F.col("_kept_file")) & (meta["row_index"] == F.col("_kept_row")), "left_semi")
+    return rows_at(docs, rows.where(_kept()).select("file", "row"))

@@ -79,3 +79,61 @@ def test_a_text_that_is_no_copy_of_an_earlier_batch_stays(spark):
     assert [r.doc_id for r in D.drop_exact_copies(spark.createDataFrame([(1, "a")], schema), folder, digest=weak).collect()] == [1]
     kept = D.drop_exact_copies(spark.createDataFrame([(2, "b"), (3, "a")], schema), folder, digest=weak)
     assert [r.doc_id for r in kept.collect()] == [2]
+
+
+def test_a_batch_added_again_changes_nothing(spark):
+    folder, schema = new_folder(spark, "again"), "doc_id long, text string"
+    rows = spark.createDataFrame([(1, "a"), (2, "a "), (3, "b")], schema)
+    for _ in range(3):
+        got = [tuple(r) for r in D.exact_groups(rows, folder).select("id", "keep_id", "group_size", "kept").collect()]
+        assert sorted(got) == [(1, 1, 1, True), (2, 2, 1, True), (3, 3, 1, True)]
+    path = new_folder(spark, "arriving")
+    rows.write.parquet(path)
+    for batch in ("doc_id < 3", "doc_id > 1", "true"):  # in part, and in whole
+        d = D.StreamingDedup(spark, folder + "-files")
+        docs = spark.read.parquet(path).where(batch)
+        d.add(docs)
+        got = d.result(docs)
+    assert sorted((r.id, r["first"].id, r.group_size) for r in got.collect()) == [(1, 1, 1), (2, 2, 1), (3, 3, 1)]
+    assert [r.doc_id for r in D.drop_exact_copies(spark.createDataFrame([(9, "b"), (8, "c")], schema), folder).collect()] == [8]
+
+
+def test_a_driver_lost_between_log_and_commit(spark, monkeypatch):
+    path, schema = new_folder(spark, "arriving"), "doc_id long, text string"
+    spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], schema).write.parquet(path)
+    docs, d = spark.read.parquet(path), D.StreamingDedup(spark)
+    with monkeypatch.context() as m:
+        m.setattr(D, "_settings", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        try:
+            d.add(docs)
+        except RuntimeError:
+            pass
+    assert d.log().count() == 3
+    d.add(docs)
+    assert sorted((r.id, r["first"].id, r.group_size) for r in d.result(docs).collect()) == [(1, 1, 2), (2, 1, 2), (3, 3, 1)]
+
+
+def test_three_batches_check_each_hit_once(spark, monkeypatch):
+    d = D.StreamingDedup(spark)
+    read, real = [], D.StreamingDedup.texts_at
+
+    def counting(self, rows):
+        read.append(rows.count())
+        return real(self, rows)
+
+    monkeypatch.setattr(D.StreamingDedup, "texts_at", counting)
+    rows = [[(5, "a b"), (6, "a  b"), (7, "c")], [(8, "a b"), (4, "a b")], [(9, "a b"), (10, "x"), (3, "c")]]
+    for batch in rows:
+        path = new_folder(spark, "arriving")
+        spark.createDataFrame(batch, "doc_id long, text string").write.parquet(path)
+        docs = spark.read.parquet(path)
+        d.add(docs)
+        got = {(r.id, r["first"].id, r.group_size) for r in d.result(docs).collect()}
+    assert read == [1, 2]  # of earlier batches only the kept rows of texts that came again
+    assert got == {(i, 4, 5) for i in (4, 5, 6, 8, 9)} | {(7, 3, 2), (3, 3, 2), (10, 10, 1)}
+
+
+def test_columns_may_have_any_name(spark):
+    rows = spark.createDataFrame([(1, "a", "x", "y", 3), (2, "a", "x", "y", 4), (3, "b", "u", "v", 5)], "doc_id long, text string, _kept_file string, `a.b` string, row int")
+    kept = D.drop_exact_copies(rows)
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "a", "x", "y", 3), (3, "b", "u", "v", 5)]
