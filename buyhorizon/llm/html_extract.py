@@ -10,8 +10,9 @@ Training pages (``html_train``) are of a fixed number, so the fit and the
 broadcast weights do not grow with the table; every page is read in whole.
 
 Defined results: null or empty html gives empty text; blocks are joined by one
-space; pages without main text give empty text; repeated rows each get a result;
-extra columns do not matter.
+space; pages without main text give empty text; repeated rows each get a result; an
+empty table gives no rows; pages of any length and depth are read whole, in linear
+time; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import map_rows
-from .html_blocks import Block, blocks
+from .html_blocks import Block, Element, blocks
 from .html_train import MAIN, OTHER, labelled_pages
 
 # fixed values: words that boilerplate uses, in the languages of the tables
@@ -32,14 +33,21 @@ TYPICAL = re.compile(r"copyright|©|all rights reserved|cookie|privacy|subscribe
 SIZES = (1, 3, 6, 12, 25, 60)
 
 
-def path_features(path: tuple[str, ...]) -> list[str]:
-    found = set()
-    for entry in path:
-        tag, *words = entry.split(" ")
-        found.add(f"in {tag}")
-        found.update(f"named {w}" for w in words)
-    tags = [e.split(" ", 1)[0] for e in path]
-    return [*found, f"at {tags[-1] if tags else ''}", f"under {' '.join(tags[-3:-1])}"]
+def place(path: Element | None) -> tuple[str, str]:
+    """Features of the innermost element and of the two around it."""
+    tags, at = [], path
+    while at is not None and len(tags) < 3:
+        tags.append(at.tag)
+        at = at.parent
+    return f"at {tags[0] if tags else ''}", f"under {' '.join(tags[:0:-1])}"
+
+
+def path_features(path: Element | None) -> list[str]:
+    out, at = [], path
+    while at is not None:
+        out += at.new
+        at = at.parent
+    return [*out, *place(path)]
 
 
 def text_features(block: Block, index: int, n: int) -> list[str]:
@@ -115,8 +123,19 @@ def fit(pages: int = 800, seed: int = 1) -> dict:
 
 
 class Extractor:
-    def __init__(self, model: dict, cache: dict):
-        self.weights, self.moves, self.paths = model["weights"], model["moves"], cache
+    def __init__(self, model: dict):
+        self.weights, self.moves = model["weights"], model["moves"]
+
+    def path_score(self, path: Element | None) -> float:
+        """The weight of all features of the ancestors; each element adds its own to its parent's, once."""
+        get, chain = self.weights.get, []
+        while path is not None and path.score is None:
+            chain.append(path)
+            path = path.parent
+        total = path.score if path is not None else 0.0
+        for element in reversed(chain):
+            total = element.score = total + sum([get(f, 0.0) for f in element.new])
+        return total
 
     def labels(self, found: list[Block]) -> list[int]:
         """The likeliest label sequence (Viterbi)."""
@@ -124,12 +143,8 @@ class Extractor:
         (stay0, to1), (to0, stay1) = self.moves
         zero, one, back = 0.0, 0.0, []
         for i, block in enumerate(found):
-            score = self.paths.get(block.path)
-            if score is None:
-                if len(self.paths) > 100_000:
-                    self.paths.clear()
-                score = self.paths[block.path] = sum(get(f, 0.0) for f in path_features(block.path))
-            score += sum([get(f, 0.0) for f in text_features(block, i, n)])
+            at, under = place(block.path)
+            score = self.path_score(block.path) + get(at, 0.0) + get(under, 0.0) + sum([get(f, 0.0) for f in text_features(block, i, n)])
             if i:
                 back.append((one + to0 > zero + stay0, one + stay1 > zero + to1))
                 zero, one = max(zero + stay0, one + to0), max(zero + to1, one + stay1) + score
@@ -147,10 +162,10 @@ class Extractor:
 
 def extracted(rows: DataFrame, model: dict, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``rows`` with the main ``text`` and its code points ``n_chars``; the one other column is the html."""
-    shared = rows.sparkSession.sparkContext.broadcast({"model": model, "paths": {}})
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def extract(pages: list) -> list:
-        extractor = Extractor(shared.value["model"], shared.value["paths"])
+        extractor = Extractor(shared.value)
         texts = [extractor.text(p) for p in pages]
         return [texts, [len(t) for t in texts]]
 

@@ -2,13 +2,15 @@
 
 import html
 import re
+import time
+import tracemalloc
 from itertools import product
 
 import numpy as np
 import pytest
 
 from buyhorizon.llm import html_extract as H
-from buyhorizon.llm.html_blocks import blocks
+from buyhorizon.llm.html_blocks import ancestors, blocks
 from buyhorizon.llm.html_train import MAIN, OTHER, labelled_pages
 
 
@@ -28,7 +30,8 @@ def test_block_reader():
     assert texts('<P CLASS="x>y">Hi<script>if(a<b)"</p>"</SCRIPT>  there\n&nbsp;you<style>p{}') == ["Hi there you"]
     assert texts('<div>cut <a href="x') == ["cut"] and texts("<div>cut <a href='x>y") == ["cut y"] or texts("<div>cut <a href='x>y") == ["cut"]
     assert texts("") == texts("  \n") == texts("<p></p>") == []
-    assert [b.path for b in blocks('<div class="adBox side-bar"><p role=note>x</div><p hidden>y')] == [("div ad box side bar", "p note"), ("p hidden",)]
+    assert [ancestors(b.path) for b in blocks('<div class="adBox side-bar"><p role=note>x</div><p hidden>y')] == [["div ad box side bar", "p note"], ["p hidden"]]
+    assert [ancestors(b.path) for b in blocks("<div><b><i>x</b>y<p>z</i>w</div>v")] == [["div", "b", "i"], ["div", "i", "p"], []]
     assert [b.linked for b in blocks("<p>ab <a href=x>cd</a> e<p><a>f")] == [2, 1]
     assert len(texts("<b>" * 5000 + "deep")) == 1 and len(texts("<p>x" * 20_000)) == 20_000
 
@@ -53,7 +56,7 @@ def test_sums_against_all_label_sequences():
 
 
 def test_viterbi_against_all_label_sequences(model):
-    extractor = H.Extractor(model, {})
+    extractor = H.Extractor(model)
     moves = np.array(model["moves"])
     for page in labelled_pages(30, seed=7):
         found = blocks(page)[:9]
@@ -63,8 +66,30 @@ def test_viterbi_against_all_label_sequences(model):
         assert np.isclose(value(extractor.labels(found)), value(best))
 
 
+def test_features_of_ancestors_count_once_each():
+    page = '<div class="a b"><div class="b c"><b><i class=c>x</b>y</i></div><p class=a>z'
+    for b in blocks(page):
+        names = [e.split(" ") for e in ancestors(b.path)]
+        every = {f"in {t}" for t, *_ in names} | {f"named {w}" for _, *ws in names for w in ws}
+        tags = [t for t, *_ in names]
+        assert sorted(H.path_features(b.path)) == sorted([*every, f"at {tags[-1]}", f"under {' '.join(tags[-3:-1])}"])
+
+
+def test_time_and_memory_are_linear(model):
+    """Deep nesting, unclosed silent elements, and closing tags that find nothing, of hundreds of kilobytes each."""
+    extractor = H.Extractor(model)
+    for page in ("<div>x" * 100_000, "<audio>" * 50_000 + "x", "<p><button>" + "<div>x" * 50_000, "<b>" * 30_000 + "<i>" * 30_000 + "</b>" * 30_000 + "x", "<i>" * 50_000 + "</p>x</section>" * 20_000):
+        began = time.process_time()
+        extractor.text(page)
+        assert time.process_time() - began < 6, page[:20]  # about a second where the machine is idle
+    tracemalloc.start()
+    blocks("<div>x" * 100_000)
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
 def test_held_out_pages(model):
-    extractor, hit, wrong, missed = H.Extractor(model, {}), 0, 0, 0
+    extractor, hit, wrong, missed = H.Extractor(model), 0, 0, 0
     for page in labelled_pages(200, seed=99):
         marked = [b for b in blocks(page) if b.text.strip(MAIN + OTHER + " ")]
         truth = [b.text[0] == MAIN for b in marked]
