@@ -6,20 +6,22 @@ starts, so b begins with the left part of an earlier merge that carried it
 there, and a chain of such merges must rise in rank. The longest chain, summed
 over the left parts, is the merge list's sufficient lookahead: tokens that end
 that many symbols before the end of what has been read are stable and leave the
-buffer. So the encoder's memory is constant, however long a word is. The end of a
-word needs no lookahead: words that fit the buffer are final at once, and the
-distinct ones of a batch go through the merges together, in columns.
+buffer. So the encoder's memory is constant, however long a word is. All distinct
+words of a batch are streams of one encoder: they are read side by side, ``WINDOW``
+symbols at a time, and whatever is stable is emitted; the end of a word needs no
+lookahead, so most words are final with their first window.
 
-The decoder is a state machine over ids: with a byte-level decoder it holds at
-most the bytes of one unfinished character; tokenizer files without a decoder
-join token strings by spaces, as the tokenizers library does.
+The decoder is a state machine over ids, fed with each text's ids in pieces: with a
+byte-level decoder it holds at most the bytes of one unfinished character; tokenizer
+files without a decoder join token strings by spaces, as the tokenizers library does.
 
 The vocabulary file (a parameter, never copied) is read on the driver and
 broadcast: its size is fixed by the vocabulary.
 
 Defined results: null text is empty (no ids, empty decoded text); special tokens
 written in a text are their ids, as in the library; repeated rows each get a
-result; extra columns do not matter.
+result; an empty table gives no rows; texts and words of any length are read whole;
+extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -39,10 +41,12 @@ from pyspark.sql import DataFrame
 
 from .common import map_rows
 
-#: Bytes of a word up to which it is merged in the batch with all others; longer words are streamed.
-SHORT = 256
-#: Symbols read between two emissions of a long word.
+#: Symbols read between two emissions of a word.
 WINDOW = 1024
+#: Symbols of a buffer up to which its merges are made in columns with all others', beyond that with a heap of their own.
+COLUMNS = 256
+#: Ids that the decoder is fed at once.
+PIECE = 4096
 #: Characters that split() takes for white space and the tokenizers' patterns do not.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Letters and numbers that Unicode 16 added, which Python's tables (15.1) lack.
@@ -72,28 +76,34 @@ def sufficient_lookahead(merges: list[tuple[str, str]], suffix: str) -> int:
 
 
 class Encoder:
-    """Symbols in, stable tokens out; holds at most lookahead + WINDOW symbols."""
-
-    def __init__(self, bpe: Bpe):
-        self.bpe, self.buffer = bpe, []
-
-    def feed(self, symbols: list[int]) -> list[int]:
-        out = []
-        for i in range(0, len(symbols), WINDOW):
-            self.buffer += symbols[i:i + WINDOW]
-            if len(self.buffer) > self.bpe.lookahead + WINDOW // 2:
-                done = 0
-                for token in self.bpe.merge(self.buffer):
-                    if done + self.bpe.length[token] > len(self.buffer) - self.bpe.lookahead:
-                        break
-                    done += self.bpe.length[token]
-                    out.append(token)
-                del self.buffer[:done]
-        return out
-
-    def finish(self) -> list[int]:
-        out, self.buffer = self.bpe.merge(self.buffer), []
-        return out
+    """Symbols of many streams in, stable tokens out; holds at most lookahead + 2 x WINDOW symbols of each."""
+
+    def __init__(self, bpe: Bpe, streams: int):
+        self.bpe, self.streams = bpe, streams
+        self.symbols, self.owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def feed(self, symbols: np.ndarray, owner: np.ndarray, ended: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Reads symbols (each of its ``owner``, in order); gives the tokens that are stable now, and whose they are.
+        Streams that ``ended`` have no more to come: all of theirs is stable."""
+        symbols, owner = np.concatenate([self.symbols, symbols]), np.concatenate([self.owner, owner])
+        order = np.argsort(owner, kind="stable")
+        symbols, owner = symbols[order], owner[order]
+        size = np.bincount(owner, minlength=self.streams)
+        due = (ended | (size > self.bpe.lookahead + WINDOW // 2))[owner]
+        of = np.flatnonzero(np.bincount(owner[due], minlength=self.streams))
+        tokens, starts = self.bpe.merged(symbols[due], size[of])
+        counts = np.diff(starts)
+        whose, lengths = np.repeat(of, counts), self.bpe.length_of[tokens]
+        upto = np.cumsum(lengths)
+        upto -= np.repeat(np.concatenate([[0], upto])[starts[:-1]], counts)
+        stable = ended[whose] | (upto <= size[whose] - self.bpe.lookahead)
+        gone = np.bincount(whose[stable], lengths[stable], self.streams).astype(np.int64)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+        self.symbols, self.owner = symbols[place >= gone[owner]], owner[place >= gone[owner]]
+        return tokens[stable], whose[stable]
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.feed(np.zeros(0, np.int64), np.zeros(0, np.int64), np.ones(self.streams, bool))
 
 
 class Decoder:
@@ -107,16 +117,14 @@ class Decoder:
         self.bpe, self.kind, self.between = bpe, kind, ""
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace") if kind else None
 
-    def feed(self, token: int) -> str:
-        text = self.bpe.strings[token]
-        if self.kind is None:
-            text = self.between + text
-            self.between = " "
-            return text
-        suffix = self.bpe.suffix
-        ended = bool(suffix) and text.endswith(suffix)
-        data = b"".join(self.bpe.bytes_of.get(c, c.encode()) for c in (text[:-len(suffix)] if ended else text))
-        return self.utf8.decode(data + b" " if ended else data)
+    def feed(self, ids: list[int]) -> str:
+        if self.kind:
+            return self.utf8.decode(b"".join([self.bpe.spelled(i) for i in ids]))
+        if not ids:
+            return ""
+        text = self.between + " ".join([self.bpe.strings[i] for i in ids])
+        self.between = " "
+        return text
 
     def finish(self) -> str:
         return self.utf8.decode(b"", True) if self.kind else ""
@@ -139,6 +147,7 @@ class Bpe:
         self.plain = [vocab[c] for c in self.symbols]
         self.last = [vocab[c + self.suffix] for c in self.symbols]
         self.length = {i: len(s) - len(self.suffix) if self.suffix and s.endswith(self.suffix) else len(s) for s, i in vocab.items()}
+        self.data_of: dict[int, bytes] = {}
         self.words = regex.compile(spec["pattern"])
         self.special = {s: i for s, i in spec["special"].items()}
         self.strings |= {i: s for s, i in self.special.items()}
@@ -147,13 +156,21 @@ class Bpe:
         # the same as columns
         most = max(self.strings) + 1
         self.digits = pa.array([str(i) for i in range(most)])
-        self.shown = pa.array([self.strings.get(i, "") for i in range(most)])
+        self.length_of = np.array([self.length.get(i, 0) for i in range(most)], np.int64)
         self.plain_of, self.last_of = np.array(self.plain, np.int64), np.array(self.last, np.int64)
         self.made_of = np.array(self.made, np.int64)
         keys = np.array([(a << 32) | b for a, b in self.rank], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.array(list(self.rank.values()), np.int64)[order]
 
+    def spelled(self, token: int) -> bytes:
+        """The bytes of a token; the end of a word is a space."""
+        if token not in self.data_of:
+            text, suffix = self.strings[token], self.suffix
+            ended = bool(suffix) and text.endswith(suffix)
+            self.data_of[token] = b"".join([self.bytes_of.get(c, c.encode()) for c in (text[:-len(suffix)] if ended else text)]) + b" " * ended
+        return self.data_of[token]
+
     def merge(self, symbols: list[int]) -> list[int]:
         """All merges of a run of symbols, lowest rank first, from the left."""
         if len(symbols) > 64:
@@ -192,25 +209,40 @@ class Bpe:
                     heapq.heappush(heap, (q, x, (ids[x], ids[y])))
         return [x for x in ids if x is not None]
 
-    def word(self, word: str) -> list[int]:
-        data = word.encode("utf-8", "replace")
-        plain = self.plain
-        symbols = [plain[b] for b in data]
-        if len(data) <= WINDOW:
-            symbols[-1] = self.last[data[-1]]
-            return self.merge(symbols)
-        encoder = Encoder(self)
-        return encoder.feed(symbols[:-1]) + encoder.feed([self.last[data[-1]]]) + encoder.finish()
-
-    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All merges of many whole words at once: their tokens in order, and where each word's tokens start.
-
-        Every round merges, in each unfinished word, the leftmost pair of lowest rank."""
+    def transduced(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of many words, each a stream of one encoder, and where each word's tokens start."""
         size = np.array([len(w) for w in words], np.int64)
+        begin = np.cumsum(size) - size
         symbols = self.plain_of[np.frombuffer(b"".join(words), np.uint8)]
-        last = np.cumsum(size) - 1
-        symbols[last] = self.last_of[np.frombuffer(bytes([w[-1] for w in words]), np.uint8)]
-        owner = np.repeat(np.arange(len(words)), size)
+        symbols[begin + size - 1] = self.last_of[np.frombuffer(bytes([w[-1] for w in words]), np.uint8)]
+        encoder, open_, at, out = Encoder(self, len(words)), np.arange(len(words)), 0, []
+        while len(open_):
+            n = np.minimum(size[open_] - at, WINDOW)
+            ended = np.zeros(len(words), bool)
+            ended[open_] = size[open_] <= at + WINDOW
+            place = np.arange(n.sum()) + np.repeat(begin[open_] + at - np.cumsum(n) + n, n)
+            out.append(encoder.feed(symbols[place], np.repeat(open_, n), ended))
+            open_, at = open_[~ended[open_]], at + WINDOW
+        tokens, of = (np.concatenate(x) for x in zip(*out, strict=True))
+        return tokens[np.argsort(of, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(words)))])
+
+    def merged(self, symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All merges of many buffers, one after the other in ``symbols``: their tokens, and where each one's start."""
+        if not len(size):
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        if size.max() <= COLUMNS:
+            return self.merge_all(symbols, size)
+        begin, short = np.cumsum(size) - size, size <= COLUMNS
+        tokens, starts = self.merge_all(symbols[np.repeat(short, size)], size[short]) if short.any() else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        pieces = dict(zip(np.flatnonzero(short).tolist(), np.split(tokens, starts[1:-1]), strict=False))
+        pieces |= {i: np.array(self.merge(symbols[begin[i]:begin[i] + size[i]].tolist()), np.int64) for i in np.flatnonzero(~short).tolist()}
+        ordered = [pieces[i] for i in range(len(size))]
+        return np.concatenate(ordered), np.concatenate([[0], np.cumsum([len(p) for p in ordered])])
+
+    def merge_all(self, symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same in columns: every round merges, in each unfinished buffer, the leftmost pair of lowest rank."""
+        symbols = symbols.copy()
+        owner = np.repeat(np.arange(len(size)), size)
         ranks = np.full(len(symbols), _NONE)
         inner = np.flatnonzero(owner[:-1] == owner[1:])
         ranks[inner] = self.ranks_of(symbols[inner], symbols[inner + 1])
@@ -241,7 +273,7 @@ class Bpe:
                 ranks[left[pair]] = self.ranks_of(symbols[left[pair]], symbols[right[pair]])
         tokens, of = np.concatenate(done_tokens), np.concatenate(done_owner)
         order = np.argsort(of, kind="stable")
-        return tokens[order], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(words)))])
+        return tokens[order], np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(size)))])
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = (left.astype(np.int64) << 32) | right
@@ -260,21 +292,20 @@ class Bpe:
 
     def tokens_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of each word, and where they start; a special token is a word after a space."""
-        short, rest = [], {}
-        for i, w in enumerate(words):
-            data = w.encode("utf-8", "replace")
-            if w[0] == " ":
-                rest[i] = [self.special[w[1:]]]
-            elif len(data) > SHORT:
-                rest[i] = self.word(w)
-            else:
-                short.append((i, data))
-        tokens, starts = self.merge_all([d for _, d in short]) if short else (np.zeros(0, np.int64), np.zeros(1, np.int64))
-        if not rest:
-            return tokens, starts
-        pieces = {i: tokens[a:b] for (i, _), a, b in zip(short, starts[:-1], starts[1:], strict=True)} | {i: np.array(t, np.int64) for i, t in rest.items()}
-        ordered = [pieces[i] for i in range(len(words))]
-        return np.concatenate(ordered), np.concatenate([[0], np.cumsum([len(p) for p in ordered])])
+        special = {i: self.special[w[1:]] for i, w in enumerate(words) if w[0] == " "}
+        plain = [w.encode("utf-8", "replace") for w in words if w[0] != " "]
+        tokens, starts = self.transduced(plain) if plain else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        if special:
+            counts = np.ones(len(words), np.int64)
+            counts[[i for i in range(len(words)) if i not in special]] = np.diff(starts)
+            all_starts = np.concatenate([[0], np.cumsum(counts)])
+            out = np.zeros(all_starts[-1], np.int64)
+            place = all_starts[list(special)]
+            rest = np.ones(len(out), bool)
+            rest[place] = False
+            out[place], out[rest] = list(special.values()), tokens
+            tokens, starts = out, all_starts
+        return tokens, starts
 
     def runs(self, text: str) -> list[str]:
         """The text's runs without white space, normalised; a special token is a run after a space."""
@@ -288,11 +319,11 @@ class Bpe:
             out += [r for r in regex.split(r"\s+", part) if r] if ODD_SPACE.search(part) else part.split()
         return out
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], list[str]]:
-        """Per text: the number of tokens, the ids joined by spaces, and the decoded text.
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's start.
 
-        Each distinct word of the batch is encoded and decoded once; runs and texts are
-        put together from the distinct words' results in columns."""
+        Each distinct word of the batch is encoded once; runs and texts are put together
+        from the distinct words' ids in columns."""
         runs: list[str] = []
         ends = [0]
         for text in texts:
@@ -306,30 +337,23 @@ class Bpe:
             cuts.append(len(words))
         spelled = pa.array(words, pa.string()).dictionary_encode()
         tokens, starts = self.tokens_of(spelled.dictionary.to_pylist())
-        which = spelled.indices.to_numpy()
-        counts = np.diff(starts)[which]
-        per_run = np.diff(np.concatenate([[0], np.cumsum(counts)])[np.array(cuts)])
-        totals = np.concatenate([[0], np.cumsum(per_run[coded.indices.to_numpy()])])[np.array(ends)]
-
-        def grouped(pieces: pa.Array, bounds, between: str) -> pa.Array:
-            return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces), between)
-
-        def joined(of_words: pa.Array, between: str) -> list[str]:
-            of_runs = grouped(of_words.take(spelled.indices), cuts, between)
-            return grouped(of_runs.take(coded.indices), ends, between).to_pylist()
-
-        ids = joined(grouped(self.digits.take(pa.array(tokens)), starts, " "), " ")
-        if self.kind is None:  # the decoder's states, one token string after the other
-            return np.diff(totals), ids, joined(grouped(self.shown.take(pa.array(tokens)), starts, " "), " ")
-        decoded = [self.decode(tokens[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        return np.diff(totals), ids, joined(pa.array(decoded, pa.string()), "")
+        tokens, starts = _taken(tokens, starts, spelled.indices.to_numpy())
+        tokens, starts = _taken(tokens, starts[np.array(cuts)], coded.indices.to_numpy())
+        return tokens, starts[np.array(ends)]
 
     def ids(self, text: str) -> list[int]:
-        return [int(i) for i in self.encode([text])[1][0].split()]
+        return self.encode([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         decoder = Decoder(self, self.kind)
-        return "".join([decoder.feed(i) for i in ids]) + decoder.finish()
+        return "".join([decoder.feed(ids[i:i + PIECE]) for i in range(0, len(ids), PIECE)]) + decoder.finish()
+
+
+def _taken(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` between ``starts`` in the order ``which``, and their new starts."""
+    n = np.diff(starts)[which]
+    ends = np.cumsum(n)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[:-1][which] - ends + n, n)], np.concatenate([[0], ends])
 
 
 def load(path: str) -> dict:
@@ -375,9 +399,13 @@ def round_trip(rows: DataFrame, path: str, keep: list[str], with_ids: bool = Fal
     bpe = _on_worker(rows, path)
 
     def both(texts: list) -> list:
-        n, ids, text = bpe().encode(texts)
+        own = bpe()
+        ids, starts = own.encode(texts)
+        digits = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), own.digits.take(pa.array(ids))), " ").to_pylist()
+        decoded = [own.decode(ids[a:b].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
         sha = lambda values: [hashlib.sha256(v.encode("utf-8", "replace")).hexdigest() for v in values]
         # ids as machine integers: lists of Python integers would take ten times the memory
-        return [[np.array(v.split(), np.int32) for v in ids]] * with_ids + [n, sha(ids), sha(text)]
+        whole = [np.split(ids.astype(np.int32), starts[1:-1])] if with_ids else []
+        return [*whole, np.diff(starts), sha(digits), sha(decoded)]
 
     return map_rows(rows, keep, both, "ids array<int>, " * with_ids + "n_tokens long, ids_sha256 string, decoded_sha256 string", inner)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
@@ -55,17 +56,34 @@ def _cached():
 def test_stream_equals_whole_and_memory_is_bounded(both):
     own, _ = both
     rng = random.Random(9)
-    for alphabet in ("ab", "abcdefghinotu", "aeth"):
-        symbols = [own.plain[ord(rng.choice(alphabet))] for _ in range(9000)] + [own.last[ord("e")]]
-        encoder, out, at, most = B.Encoder(own), [], 0, 0
-        while at < len(symbols):
-            n = rng.randint(1, 700)
-            out += encoder.feed(symbols[at:at + n])
-            at += n
-            most = max(most, len(encoder.buffer))
-        out += encoder.finish()
-        assert out == own.merge(symbols)
-        assert most <= own.lookahead + 2 * B.WINDOW
+    streams = [[own.plain[ord(rng.choice(alphabet))] for _ in range(n)] + [own.last[ord("e")]] for alphabet, n in (("ab", 9000), ("abcdefghinotu", 7000), ("aeth", 40), ("aeth", 5000))]
+    encoder, out, at, most = B.Encoder(own, 4), [[] for _ in streams], [0] * 4, 0
+    none = np.zeros(4, bool)
+
+    def take(tokens, whose):
+        for t, w in zip(tokens.tolist(), whose.tolist()):
+            out[w].append(t)
+
+    while any(a < len(s) for a, s in zip(at, streams)):
+        parts = [s[a:a + rng.randint(1, 700)] for a, s in zip(at, streams)]
+        at = [a + len(p) for a, p in zip(at, parts)]
+        take(*encoder.feed(np.array(sum(parts, [])), np.repeat(np.arange(4), [len(p) for p in parts]), none))
+        most = max(most, np.bincount(encoder.owner).max(initial=0))
+    take(*encoder.finish())
+    assert out == [own.merge(s) for s in streams] and not len(encoder.symbols)
+    assert most <= own.lookahead + 2 * B.WINDOW
+
+
+def test_every_text_passes_the_encoder_and_the_decoder(both, monkeypatch):
+    own, lib = both
+    fed, read = [], []
+    feed, decode = B.Encoder.feed, B.Decoder.feed
+    monkeypatch.setattr(B.Encoder, "feed", lambda self, *a: fed.append(len(a[0])) or feed(self, *a))
+    monkeypatch.setattr(B.Decoder, "feed", lambda self, ids: read.append(len(ids)) or decode(self, ids))
+    text = "ordinary words, some of them " + "long" * 900
+    ids = own.ids(text)
+    assert sum(fed) == sum(len(w) for w in {"ordinary", "words", ",", "some", "of", "them", "long" * 900}) and len(fed) == 4
+    assert own.decode(ids) == library(lib, text)[1] and sum(read) == len(ids)
 
 
 def test_lookahead_of_a_small_merge_list_is_sufficient():
@@ -91,9 +109,11 @@ def test_byte_decoder_is_incremental(both):
     own, _ = both
     d = B.Decoder(own, "ByteLevel")
     ids = own.ids("naïve 中文 x")
-    assert "".join(d.feed(i) for i in ids) + d.finish() == "naïve 中文 x "
+    assert "".join(d.feed([i]) for i in ids) + d.finish() == "naïve 中文 x "
     d = B.Decoder(own, "ByteLevel")
-    assert d.feed(own.plain[0xC3]) == "" and d.feed(own.plain[0xA9]) == "é" and d.feed(own.plain[0xC3]) == "" and d.finish() == "�"
+    assert d.feed([own.plain[0xC3]]) == "" and d.feed([own.plain[0xA9]]) == "é" and d.feed([own.plain[0xC3]]) == "" and d.finish() == "�"
+    d = B.Decoder(own, None)
+    assert d.feed([]) + d.feed(ids[:1]) + d.feed(ids[1:]) + d.finish() == own.decode(ids)
 
 
 def test_tables(spark, both):
