@@ -1,12 +1,14 @@
 """Sharding by bytes with Karmarkar-Karp differencing.
 
 Groups (rows of one text) are indivisible. Groups of at least one grain (the
-bytes of a shard over ``GRAINS``) are items of their own, at most shards x GRAINS
-of them; smaller groups fall by hash into shards x GRAINS bundles, each an item.
-So the differencing always sees at most 2 x shards x GRAINS items, whatever the
-table's size, and the bundles are fine enough to even out the large groups. It
-repeatedly takes the two partial partitions of largest spread and combines them
-oppositely ordered. Only the items (sizes, no texts) reach the driver, and the
+bytes of a shard over ``grains``) are items of their own, at most shards x grains
+of them; smaller groups fall by hash into shards x grains bundles, each an item.
+So the differencing always sees at most 2 x shards x grains items, whatever the
+table's size, and the bundles are fine enough to even out the large groups. The
+grains of a shard become fewer with more shards, so that their number stays about
+``GRAINS`` until a shard has ``LEAST`` of them. The differencing repeatedly takes the
+two partial partitions of largest spread and combines them oppositely ordered; a
+partial partition lists its non-empty parts only. Only the items (sizes, no texts) reach the driver, and the
 two look-up tables that go back, of the same bound, are broadcast.
 
 Defined results: null text has no bytes and goes with empty text; the size is
@@ -25,25 +27,24 @@ from pyspark.sql import functions as F
 
 from .common import running_total, stored
 
-GRAINS = 1024
+#: Grains of all shards together, and the fewest of one shard.
+GRAINS, LEAST = 8192, 8
 
 
 def differencing(sizes: list[int], shards: int) -> list[int]:
     """A shard for each item by the k-way largest differencing method."""
     if not sizes:
         return []
-    heap = []
-    for i, size in enumerate(sizes):
-        bins = [(0, None)] * (shards - 1) + [(size, i)]  # ascending; a bin is its bytes and a tree of items
-        heap.append((-size, i, bins))
+    heap = [(-size if shards > 1 else 0, i, [(size, i)]) for i, size in enumerate(sizes)]  # the other parts are empty
     heapq.heapify(heap)
     order = len(sizes)
     while len(heap) > 1:
         _, _, a = heapq.heappop(heap)
         _, _, b = heapq.heappop(heap)
-        bins = [(x + y, (p, q) if p is not None and q is not None else q if p is None else p) for (x, p), (y, q) in zip(a, reversed(b), strict=True)]
-        bins.sort(key=lambda x: x[0])
-        heapq.heappush(heap, (bins[0][0] - bins[-1][0], order, bins))
+        both = max(0, len(a) + len(b) - shards)  # parts that have none empty opposite: the smallest of either, oppositely ordered
+        parts = [(x + y, (p, q)) for (x, p), (y, q) in zip(a[:both], b[both - 1::-1] if both else (), strict=True)] + a[both:] + b[both:]
+        parts.sort(key=lambda x: x[0])
+        heapq.heappush(heap, ((parts[0][0] if len(parts) == shards else 0) - parts[-1][0], order, parts))
         order += 1
     out = [0] * len(sizes)
     for shard, (_, tree) in enumerate(reversed(heap[0][2])):
@@ -57,7 +58,7 @@ def differencing(sizes: list[int], shards: int) -> list[int]:
     return out
 
 
-def shard_by_bytes(rows: DataFrame, shards: int = 8, grains: int = GRAINS) -> DataFrame:
+def shard_by_bytes(rows: DataFrame, shards: int = 8, grains: int | None = None) -> DataFrame:
     """``rows`` (id, text) to (id, size, crc32, shard, slot), groups of equal text whole."""
     spark = rows.sparkSession
     text = F.coalesce("text", F.lit(""))
@@ -65,12 +66,12 @@ def shard_by_bytes(rows: DataFrame, shards: int = 8, grains: int = GRAINS) -> Da
                               F.unhex(F.sha2(text, 256)).alias("digest")), "shard-rows")
     groups = stored(rows.groupBy("digest").agg(F.sum("size").alias("bytes")), "shard-groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
-    bundles = shards * grains
+    bundles = shards * (grains or max(LEAST, GRAINS // shards))
     heavy = F.col("bytes") * bundles >= total
     bundle = F.pmod(F.xxhash64("digest"), F.lit(bundles)).cast("int")
     items = (groups.where(heavy).select("digest", F.lit(None).cast("int").alias("bundle"), "bytes")
              .union(groups.where(~heavy).groupBy(bundle.alias("bundle")).agg(F.sum("bytes").alias("bytes")).select(F.lit(None).cast("binary"), "bundle", "bytes")))
-    items = sorted(items.collect(), key=lambda r: (-r.bytes, r.digest is None, bytes(r.digest or b""), r.bundle or 0))  # 2 x shards x grains at most
+    items = sorted(items.collect(), key=lambda r: (-r.bytes, r.digest is None, bytes(r.digest or b""), r.bundle or 0))  # 2 x bundles at most
     placed = list(zip(items, differencing([r.bytes for r in items], shards), strict=True))
     large = spark.createDataFrame([(r.digest, s) for r, s in placed if r.digest is not None], "digest binary, own int")
     small = spark.createDataFrame([(r.bundle, s) for r, s in placed if r.digest is None], "bundle int, common int")

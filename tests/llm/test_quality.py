@@ -1,8 +1,10 @@
 """Compression classifier: held-out accuracy, defined results of awkward rows."""
 
+import math
 import random
 
 import numpy as np
+import zstandard
 
 from buyhorizon.llm import quality as Q
 
@@ -41,3 +43,23 @@ def test_logistic_recovers_a_curve():
     y = (rng.random(20_000) < 1 / (1 + np.exp(-(8 * x[:, 0] - 0.5 * x[:, 1] + 1)))).astype(float)
     a, b, base = Q.logistic(x, y, np.ones(20_000), ridge=1e-9)
     assert abs(a - 8) < 0.6 and abs(b + 0.5) < 0.05 and abs(base - 1) < 0.1
+
+
+def test_scores_equal_a_recomputation(spark):
+    """Difference, shortness and score from the dictionaries and the curve, with the library's own calls."""
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "id long, text string")
+    model = Q.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "id long, label int"))
+    extra = spark.createDataFrame([(900, None), (901, ""), (902, "über ünder " * 300)], docs.schema)
+    got = {r.id: r.score for r in Q.scores(docs.unionByName(extra), model, ["id"]).collect()}
+    a, b, base = model.curve
+    sizes = {}
+    for name, data in (("good", model.good), ("bad", model.bad)):
+        whole = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(data), write_content_size=False, write_checksum=False, write_dict_id=False)
+        sizes[name] = lambda part, c=whole: len(c.compress(part))
+    for i, text in [(i, t) for i, t, _ in rows[:60]] + [(900, None), (901, ""), (902, "über ünder " * 300)]:
+        data = (text or "").encode()
+        parts = [data[k:k + model.piece] for k in range(0, len(data), model.piece)]
+        difference = (sum(map(sizes["bad"], parts)) - sum(map(sizes["good"], parts))) / max(1, len(data))
+        z = a * difference + b * 64 / (64 + len(text or "")) + base
+        assert abs(got[i] - 1 / (1 + math.exp(-z))) < 1e-9

@@ -1,6 +1,7 @@
 """Karmarkar-Karp sharding: balance, whole groups, slots."""
 
 import random
+import time
 import zlib
 from itertools import product
 
@@ -69,3 +70,33 @@ def test_empty_and_written(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"t{i % 5}", "a") for i in range(20)], "doc_id long, text string, shard string")
     S.write_shards(docs, S.shard_by_bytes(docs.selectExpr("doc_id id", "text"), 2), "doc_id", str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def dense_differencing(sizes, k):
+    """The method as it is written down: partitions of all k parts, the two of largest spread combined oppositely ordered."""
+    parts = [(size, i, [0] * (k - 1) + [size]) for i, size in enumerate(sizes)]
+    n = len(sizes)
+    while len(parts) > 1:
+        parts.sort(key=lambda x: (-x[0], x[1]))
+        (_, _, a), (_, _, b), *parts = parts
+        both = sorted(x + y for x, y in zip(a, b[::-1]))
+        parts.append((both[-1] - both[0], n, both))
+        n += 1
+    return parts[0][2]
+
+
+def test_lists_of_non_empty_parts_give_the_same_sums():
+    rng = random.Random(5)
+    for _ in range(60):
+        k, sizes = rng.randint(2, 9), [rng.randint(1, 50) for _ in range(rng.randint(1, 40))]
+        at = S.differencing(sizes, k)
+        assert sorted(sum(s for s, x in zip(sizes, at) if x == i) for i in range(k)) == dense_differencing(sizes, k)
+
+
+def test_a_thousand_shards():
+    rng = random.Random(6)
+    sizes = [int(rng.paretovariate(3) * 1000) for _ in range(2 * 1000 * max(S.LEAST, S.GRAINS // 1000))]
+    began = time.process_time()
+    at = S.differencing(sizes, 1000)
+    assert time.process_time() - began < 60
+    assert spread(sizes, at, 1000) < 0.06 * sum(sizes) / 1000
