@@ -177,7 +177,7 @@ def mixed_documents(docs: DataFrame, id_col: str, weights: tuple[float, ...], **
     docs = with_locators(docs)
     _, taken = take(stored(_sized(docs, id_col), "mix-rows"), weights, **options)
     parts = stored(taken.groupBy("file", "row").agg(F.collect_list(F.struct("first", "to", "times")).alias("parts")), "mix-parts")  # of one document
-    whole = located(docs, [F.struct(*docs.columns).alias("whole")]).join(parts.hint("merge"), ["file", "row"]).select("whole", "parts")
+    whole = located(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")]).join(parts.hint("merge"), ["file", "row"]).select("whole", "parts")
     copies = map_rows(whole, ["whole"], lambda texts, parts: [[texts_of(t, p) for t, p in zip(texts, parts, strict=True)]], "texts array<string>", inner="text")
     copies = copies.select("whole", F.explode("texts").alias("mixed"))
     set_anew = {"text": F.col("mixed"), "n_chars": F.char_length("mixed")}

@@ -77,8 +77,13 @@ def test_clashing_columns_repeated_rows_and_empty_tables(spark):
     text = "the and of with that is a thing from over water " * 5
     rows = [(3, text, "en", "a", 1), (3, text, "en", "a", 1), (None, text, "en", "a", 1), (4, "der die und nicht ein haus", "de", None, 1), (5, None, None, "b", 1)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
-    clash = ["score", "whole", "file", "row", "id", "fp", "digest", "first", "ids", "size", "times"]
-    docs = spark.createDataFrame([r + ("x",) * len(clash) for r in rows], schema + "".join(f", {c} string" for c in clash))
+    clash = ["score", "whole", "file", "row", "id", "fp", "digest", "first", "ids", "n_tokens", "ids_sha256", "decoded_sha256", "size", "times", "_kept_file", "_kept_row", "a.b", "mixed",
+             "lang_pred", "texts", "parts", "null_id", "component", "_metadata_x"]
+    docs = spark.createDataFrame([r + ("x",) * len(clash) for r in rows], schema + "".join(f", `{c}` string" for c in clash))
+    for name, stage in P.STAGES:  # each stage alone, too
+        alone = stage(spark, again(spark, docs), D)
+        assert set(alone.columns) - {"ids", "n_tokens", "ids_sha256", "decoded_sha256"} == set(docs.columns) - {"ids", "n_tokens", "ids_sha256", "decoded_sha256"}
+        assert all(r["a.b"] == r._kept_file == "x" for r in alone.collect()), name
     out = P.run(spark, D, docs).collect()
     assert {r.doc_id for r in out} <= {3, 4} and all(r.score == "x" and r.n_tokens == len(r.ids) for r in out)
     assert P.run(spark, D, docs.limit(0)).count() == 0
