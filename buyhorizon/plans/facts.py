@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,3 +72,43 @@ class Facts:
         if (src, lo, hi) not in self.made:
             self.made[src, lo, hi] = stored(enriched(self.tables, src, lo, hi), f"facts-{src}")
         return self.made[src, lo, hi]
+
+
+class DayFacts(Facts):
+    """Facts in an append-only table per source, partitioned by day: a build adds the days that its windows need and the
+    table lacks, and reads its own days only. For builds one after the other, as a new slip or a new month is added.
+
+    ``folder`` belongs to one state of the input tables (name it after ``session.input_identity``): an order's comments
+    are joined when its day is added. Days are noted as held after they are written, and written by replacing whole
+    days, so an attempt that was lost is made again without doubling rows."""
+
+    TIMES = {"order": "o_date", "comment": "comment_create_tm", "action": "a_date"}
+
+    def __init__(self, t: Tables, folder: str):
+        super().__init__(t)
+        self.folder, self.added = folder, []
+
+    def held(self, spark, src: str) -> set[dt.date]:
+        try:
+            rows = spark.read.parquet(f"{self.folder}/{src}-days").distinct().collect()  # at most a row per day
+        except AnalysisException:  # none yet
+            return set()
+        return {r.day for r in rows}
+
+    def of(self, src: str, spec: FeatureSpec, anchors) -> DataFrame:
+        spark = self.tables.user.sparkSession
+        lo = min(a for _, a in anchors) - dt.timedelta(days=spec.max_window)
+        hi = max(a for _, a in anchors) - dt.timedelta(days=1)
+        held = self.held(spark, src)
+        missing = [d for d in (lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)) if d not in held]
+        time, path = self.TIMES[src], f"{self.folder}/{src}"
+        if missing:
+            first, last = missing[0], missing[-1]
+            wanted = F.to_date(time).isin(missing) if len(missing) <= (last - first).days else F.to_date(time) <= F.lit(last)
+            rows = enriched(self.tables, src, first, last + dt.timedelta(days=1)).where(wanted).withColumn("day", F.to_date(time))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+            spark.createDataFrame([(d,) for d in missing], "day date").coalesce(1).write.mode("append").parquet(f"{self.folder}/{src}-days")
+            self.added.append((src, first, last, len(missing)))
+        schema = enriched(self.tables, src, lo, hi).withColumn("day", F.to_date(time)).schema
+        days = spark.read.schema(schema).parquet(path).where(F.col("day").between(F.lit(lo), F.lit(hi)))
+        return between_days(days, time, lo, hi).drop("day")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.calendar import sample_spine
+from ..sources import io as IO
 from ..sources.fixtures import Tables
 from ..spec import FeatureSpec
 from .catalogue import CATALOGUE, FAMILY_KEYS
@@ -112,9 +113,29 @@ def feature_columns(df: DataFrame, spec: FeatureSpec) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
-def family_table(t: Tables, spec: FeatureSpec, family: str, anchor: dt.date | None = None, slips=(0,)) -> DataFrame:
+def family_table(t: Tables, spec: FeatureSpec, family: str, anchor: dt.date | None = None, slips=(0,), facts: Facts | None = None) -> DataFrame:
     """features_orders / features_comments / features_actions for the given slips."""
     anchor = anchor or spec.train_anchor
     spine = sample_spine(t.user.select("user_id"), spec, anchor, list(slips))
     c, _ = compile_rows(spec, [r for r in CATALOGUE if r.key in set(FAMILY_KEYS[family])])
-    return run_compiled(c, Facts(t), spine, spec, anchor, list(slips)).drop("anchor")
+    return run_compiled(c, facts or Facts(t), spine, spec, anchor, list(slips), ["user_id", "slip"])
+
+
+def stacked_one_by_one(t: Tables, spec: FeatureSpec, family: str, slips, facts: Facts) -> DataFrame:
+    """A family's tables of several slips, each built when it is added; with ``DayFacts`` an added slip joins new days only."""
+    parts = [family_table(t, spec, family, slips=[s], facts=facts) for s in slips]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def bucketed_families(t: Tables, spec: FeatureSpec, folder: str, prefix: str, buckets: int, anchor: dt.date | None = None) -> DataFrame:
+    """The three families of slip 0 as tables bucketed on user_id, joined to the bucketed spine without an exchange."""
+    anchor = anchor or spec.train_anchor
+    out = IO.sink_bucketed(t.user.select("user_id"), f"{prefix}_spine", f"{folder}/spine", buckets)
+    for family in FAMILY_KEYS:
+        made = family_table(t, spec, family, anchor).drop("slip")
+        table = IO.sink_bucketed(made, f"{prefix}_{family.lower()}", f"{folder}/{family.lower()}", buckets)
+        out = out.join(table, "user_id", "left")
+    return out

@@ -82,7 +82,7 @@ from .plans import labels as LB  # noqa: E402
 from .plans import score as SC  # noqa: E402
 from .plans import training as TR  # noqa: E402
 from .plans.catalogue import FAMILY_KEYS  # noqa: E402
-from .plans.facts import Facts  # noqa: E402
+from .plans.facts import DayFacts, Facts  # noqa: E402
 from .plans.features import feature_names  # noqa: E402
 from .session import input_identity, scratch_path, stored  # noqa: E402
 from .sources import io as IO  # noqa: E402
@@ -140,6 +140,30 @@ def _scan(key: str, table: str):
 for _k, (_table, _sql) in _SCANS.items():
     register(_k, _q(_sql))(_scan(_k, _table))
 
+# every table's key that breaks a line here and there: one more field, and a word for a number
+_BROKEN = {"sku": "sku_id", "user": "user_id", "order": "o_id", "comment": "o_id", "action": "sku_id"}
+
+
+@register("scan_quarantine", _q(" UNION ALL ".join(
+    f"SELECT '{name}' AS tbl, CAST(count(*) AS BIGINT) AS kept, CAST(count(*) FILTER (WHERE {key} % 97 = 0) + count(*) FILTER (WHERE {key} % 89 = 0) AS BIGINT) AS rejected FROM {src}"
+    for name, key, src in (("sku", "sku_id", "f_sku_raw"), ("user", "user_id", "f_user_raw"), ("order", "o_id", "f_order"), ("comment", "o_id", "f_comment_raw"), ("action", "sku_id", "f_action")))))
+def q_scan_quarantine(spark, sf):
+    """Every input table as CSV with broken lines among its rows: rows read, and lines in the quarantine."""
+    t, out, path = _t(spark, sf, clean=False), None, scratch_path(spark, f"quarantine_{_uuid.uuid4().hex}")
+    for name, key in _BROKEN.items():
+        df = getattr(t, name)
+        line = F.to_csv(F.struct(*df.columns), {"timestampNTZFormat": IO.TIMESTAMP_FORMAT})
+        broken = F.array(F.when(F.col(key) % 97 == 0, F.concat(line, F.lit(",more"))), F.when(F.col(key) % 89 == 0, F.concat(F.lit("no-number"), F.regexp_replace(line, "^[^,]*", ""))))
+        lines = df.select(F.explode(F.array_compact(F.concat(F.array(line), broken))).alias("value"))
+        lines.write.text(f"{path}/{name}-lines")
+        rows, rejected = IO.scan_checked(spark, f"{path}/{name}-lines", name, header=False)
+        IO.sink_rejected(rejected, name, f"{path}/rejected")
+        part = rows.agg(F.lit(name).alias("tbl"), F.count(F.lit(1)).alias("kept"))
+        out = part if out is None else out.unionByName(part)
+    counts = IO.rejected_counts(spark, f"{path}/rejected").groupBy(F.col("table").alias("tbl")).agg(F.sum("rejected").alias("rejected"))
+    return normalize(out.join(counts, "tbl", "left").select("tbl", "kept", F.coalesce("rejected", F.lit(0)).alias("rejected")))
+
+
 _ALL_KEYS = [r.key for r in CATALOGUE]
 
 
@@ -395,7 +419,11 @@ def q_join_order_sku(spark, sf):
     return normalize(join_order_sku(t.order, t.sku))
 
 
-_reuse("join_feature_to_spine", "oc_orders_count")
+@register("join_feature_to_spine", O.table_sql(SPEC, [r.key for r in CATALOGUE], A, [0], labels=False, slip_col=False))
+def q_join_feature_to_spine(spark, sf):
+    """The three families' stored tables, bucketed on user_id, joined to the spine without an exchange."""
+    name = f"families_{_uuid.uuid4().hex}"
+    return normalize(TR.bucketed_families(_t(spark, sf), SPEC, scratch_path(spark, name), name, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 @register("join_inner_two_aggs", _q(
@@ -734,6 +762,14 @@ register("stack_slips", O.table_sql(SPEC, _STACK_KEYS, A, SPEC.slips))(
                                 .drop("sex", "user_lv_cd", "age")))
 
 
+@register("stack_slips_incremental", O.table_sql(SPEC, FAMILY_KEYS["CC"], A, SPEC.slips, labels=False))
+def q_stack_slips_incremental(spark, sf):
+    """The review family of all slips, added one by one over facts that are kept by day."""
+    t = _t(spark, sf)
+    facts = DayFacts(t, scratch_path(spark, f"days_{_uuid.uuid4().hex}"))
+    return normalize(TR.stacked_one_by_one(t, SPEC, "CC", SPEC.slips, facts))
+
+
 _NAN_NAMES = _feature_names_no_spark()
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import with_date_parts
+from ..session import stored
 from . import schemas
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -30,6 +32,33 @@ def scan_dated(spark: SparkSession, path: str, table: str, fmt: str = "csv") ->
     return with_date_parts(df, schemas.DATE_COLUMN[table])
 
 
+#: Where a line that does not fit the declared schema is kept while a scan is split.
+REJECTED = "_rejected_line"
+
+
+def scan_checked(spark: SparkSession, path: str, table: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A CSV table's rows, and the lines that do not fit its declared schema: (file, line).
+
+    A line is rejected if it has more or fewer fields than the schema or one that its type cannot hold; none becomes a
+    row of silent nulls. The files are parsed once, all columns of them, and stored: both results read that, and do not
+    depend on which columns a query reads."""
+    schema = StructType([*schemas.SCHEMAS[table].fields, StructField(REJECTED, StringType())])
+    df = (spark.read.schema(schema).option("header", header).option("timestampNTZFormat", TIMESTAMP_FORMAT).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", REJECTED).option("columnPruning", False).csv(path))
+    df, bad = stored(df.select("*", F.col("_metadata.file_path").alias("_file")), f"parsed-{table}"), F.col(REJECTED).isNotNull()
+    return df.where(~bad).drop(REJECTED, "_file"), df.where(bad).select(F.col("_file").alias("file"), F.col(REJECTED).alias("line"))
+
+
+def sink_rejected(rejected: DataFrame, table: str, path: str) -> None:
+    """Appends rejected lines to the quarantine, one folder per table."""
+    rejected.withColumn("table", F.lit(table)).write.mode("append").partitionBy("table").parquet(path)
+
+
+def rejected_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(table, file, rejected) of a quarantine."""
+    return spark.read.schema("file STRING, line STRING, table STRING").parquet(path).groupBy("table", "file").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (df.write.mode(mode).option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
        .csv(path))
@@ -44,6 +73,21 @@ def scan_feature_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def sink_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = "user_id") -> DataFrame:
+    """A table in ``buckets`` files by ``key``, each sorted by it: tables of one bucket count join on it without an exchange.
+
+    The rows are dealt to the buckets first, so every bucket is one file."""
+    df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def scan_bucketed(spark: SparkSession, name: str, path: str, schema: StructType, buckets: int, key: str = "user_id") -> DataFrame:
+    """A bucketed table written by another session, under a name of this one."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 SUBMISSION = "position BIGINT, user_id BIGINT, pred_date DATE"
 
 
