@@ -424,6 +424,7 @@ def fit_groups(rows: DataFrame, bins: Bins, groups: list[list[Fit]]) -> Fits:
         spark.createDataFrame([(m, s.base, s.scale, float(s.held), blocks_path) for m, s in enumerate(begun)], _START).write.parquet(f"{path}/start-{uuid.uuid4().hex}")
         entry = finished(spark, path, "start-")
     saved = spark.read.schema(_START).parquet(entry[0]).orderBy("member").collect()
+    chunk_of = f"chunk-{entry[0].rpartition('-')[2]}-"  # margins are in the order of this start's blocks: another process may have made its own
     starts, blocks = [Start(r.base, r.scale, r.held) for r in saved], spark.read.schema(_BLOCK).parquet(saved[0].blocks)
 
     members = iter(range(len(fits)))
@@ -433,7 +434,7 @@ def fit_groups(rows: DataFrame, bins: Bins, groups: list[list[Fit]]) -> Fits:
     spread: dict[int, _Spread] = {}
     made = 0
     while True:
-        found = finished(spark, path, f"chunk-{len(chunks):05d}-")
+        found = finished(spark, path, f"{chunk_of}{len(chunks):05d}-")
         if not found:
             if all(g.ended for g in state):
                 break
@@ -442,8 +443,8 @@ def fit_groups(rows: DataFrame, bins: Bins, groups: list[list[Fit]]) -> Fits:
                 progress = _together(spark, blocks, chunks, fits, shape, cells, starts, state)
             else:
                 progress = _apart(spark, blocks, spread, fits, shape, cells, starts, state, rounds)
-            progress.write.parquet(f"{path}/chunk-{len(chunks):05d}-{uuid.uuid4().hex}")
-            found = finished(spark, path, f"chunk-{len(chunks):05d}-")
+            progress.write.parquet(f"{path}/{chunk_of}{len(chunks):05d}-{uuid.uuid4().hex}")
+            found = finished(spark, path, f"{chunk_of}{len(chunks):05d}-")
         chunks.append(found[0])
         for r in spark.read.schema(_PROGRESS).parquet(found[0]).select("member", "rounds").where(F.size("rounds") > 0).collect():
             rounds[r.member] += r.rounds

@@ -230,3 +230,28 @@ def test_no_rows(binned):
     with pytest.raises(ValueError, match="no rows"):
         B.fit_groups(rows.where("false"), bins, fits())
     assert B.scored(rows.where("false"), [B.Model("m", PLAIN, 1.0, [], [])], "p").count() == 0
+
+
+def test_a_second_start_has_progress_of_its_own(binned, monkeypatch):
+    """Two processes that begin the same fits at once write a start each; margins follow the blocks they were made on."""
+    bins, rows = binned
+    monkeypatch.setattr(B, "CHUNK", 4)
+    calls, real = [], B._together
+
+    def failing(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(B, "_together", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        B.fit_groups(rows, bins, fits())
+    seen = B.finished
+    blind = [True, True]  # the other process does not see the first start
+    monkeypatch.setattr(B, "finished", lambda spark, path, prefix: [] if prefix == "start-" and blind and blind.pop() and len(blind) == 1 else seen(spark, path, prefix))
+    other = B.fit_groups(rows.orderBy(F.desc("user_id")), bins, fits())
+    assert other.made >= 2
+    monkeypatch.setattr(B, "_together", real)
+    monkeypatch.setattr(B, "CHUNK", 100)
+    assert same(B.fit_groups(rows, bins, fits(replace(PLAIN, seed=PLAIN.seed))).models["one"], other.models["one"])
