@@ -41,7 +41,7 @@ from ..session import checkpoint_dir, code_digest, finished, store_entry
 
 KEYS = ["slip", "user_id"]
 #: Rounds after which progress is stored.
-CHUNK = 100
+CHUNK = 50
 #: Groups of spread-out fits that run at once.
 THREADS = 8
 
