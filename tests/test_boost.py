@@ -142,6 +142,26 @@ def test_many_blocks_give_the_same_models(binned, monkeypatch, tmp_path):
     assert same(B.fit_groups(rows, bins, fits(p, ("x",))).models["x"], one.models["x"])
 
 
+@pytest.mark.parametrize("binary", [False, True])
+def test_fits_over_many_blocks_are_few_jobs_and_the_same(spark, binned, monkeypatch, tmp_path, binary):
+    bins, rows = binned
+    p = replace(PLAIN, num_boost_round=7, bagging_freq=2, max_depth=-1, binary=binary)
+    groups = [*fits(p, ("x", "y")), [f[0] for f in fits(p, ("u", "v"))]]
+    one = B.fit_groups(rows, bins, groups)
+    monkeypatch.setattr(T, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(T, "ENTRIES", 50)  # sums in several parts
+    monkeypatch.setattr(B, "CHUNK", 4)
+    for name, most in (("task", 400), ("barrier", 100)):  # all rows in a task, and some features a task
+        monkeypatch.setattr(T, "TASK_ROWS", most)
+        monkeypatch.setattr(S, "store_root", lambda spark, name=name: str(tmp_path / name))
+        spark.sparkContext.setJobGroup(name, name)
+        many = B.fit_groups(rows, bins, groups)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert many.made == 2 and all(same(one.models[n], many.models[n]) for n in "xyuv") and many.errors == one.errors
+        assert jobs < 60  # not one a level: 7 rounds of 4 fits have about 28 x 4 levels
+
+
 def test_a_continued_fit_is_one_long_fit(binned, monkeypatch, tmp_path):
     bins, rows = binned
     long = B.fit_groups(rows, bins, fits(names=("x", "y", "z")))
