@@ -5,6 +5,7 @@ import io
 from contextlib import redirect_stdout
 
 
+from buyhorizon import registry as R
 from buyhorizon import session as S
 from buyhorizon.plans import facts as FA
 from buyhorizon.plans import training as TR
@@ -37,6 +38,29 @@ def test_broken_lines_are_set_aside_per_file(spark, tmp_path):
     assert "x,2,2001-03-04 05:06:07,3,1" in lines and "1,2,yesterday,3,1" in lines and len(lines) == 4
 
 
+def test_only_a_rejected_line_has_its_file_stored(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("user_id,age,sex,user_lv_cd\n1,2,0,1\nx,2,0,1\n,,,\n3,2,0\n")
+    held = []
+    monkeypatch.setattr(IO, "stored", lambda df, name: held.append(S.stored(df, name)) or held[-1])
+    rows, rejected = IO.scan_checked(spark, str(tmp_path / "in"), "user")
+    assert [r._file is None for r in held[0].orderBy(IO.REJECTED).collect()] == [True, True, False, False]
+    assert sorted((r.file.rpartition("/")[2], r.line) for r in rejected.collect()) == [("a.csv", "3,2,0"), ("a.csv", "x,2,0,1")]
+    assert {tuple(r) for r in rows.collect()} == {(1, 2, 0, 1), (None, None, None, None)}
+
+
+def test_lines_are_made_once_and_in_compiled_code(spark, tmp_path):
+    day = dt.datetime(2001, 3, 4, 5, 6, 7, 80)
+    spark.createDataFrame([(1, 97, day, -1), (2, 89, None, None), (None, 97 * 89, day, 3), (4, None, day, 3), (5, 5, day, 3)], IO.schemas.COMMENT).write.parquet(str(tmp_path / "in"))
+    lines = R._lines_with_broken(spark.read.parquet(str(tmp_path / "in")), "o_id")
+    at = "2001-03-04 05:06:07.000080"
+    assert sorted(r.value for r in lines.collect()) == sorted([
+        f"1,97,{at},-1", f"1,97,{at},-1,more", "2,89,,", "no-number,89,,", f",8633,{at},3", f",8633,{at},3,more", f"no-number,8633,{at},3",
+        f"4,,{at},3", f"5,5,{at},3"])
+    text = plan(lines)
+    assert "* Generate" in text and "lambda" not in text and text.count("to_csv(") == 1
+
+
 def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
     t = load_fixture_tables(spark, SF)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
