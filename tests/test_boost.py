@@ -119,6 +119,29 @@ def test_a_tree_equals_brute_force():
         assert np.allclose(margin, y.mean() + tree.predicted(bins))
 
 
+def test_bundles_hold_every_bin_and_sums_are_those_of_the_rows(monkeypatch):
+    rng = np.random.default_rng(8)
+    sizes, n = np.array([5, 2, 9, 33, 3, 12, 2, 40]), 6000
+    kind = rng.integers(0, 40, n)
+    bins = np.stack([np.where(rng.random(n) < 0.2, rng.integers(0, s, n), kind % s) * (kind % 3 > 0) for s in sizes], axis=1).astype(np.uint8)
+    cells, weights = T.Cells(sizes), [rng.integers(-1000, 1000, n).astype(float), rng.integers(0, 9, n).astype(float)]
+    nodes = [np.sort(rng.choice(n, k, replace=False)) for k in (5000, 400, 25, 1)]
+    monkeypatch.setattr(T, "PART_PATTERNS", 40)
+    made = list(T.bundles(bins.T, sizes))
+    assert [b.first for b in made] == list(np.cumsum([0, *[b.patterns.shape[1] for b in made]])[:-1]) and 1 < len(made) < len(sizes)
+    assert (np.concatenate([b.patterns[b.codes] for b in made], axis=1) == bins).all()
+    want = np.array([[np.concatenate([np.bincount(bins[r, f], None if w is None else w[r], s) for f, s in enumerate(sizes)]) for r in nodes] for w in (*weights, None)])
+    for kept, entries, stripe in ((1 << 27, 1 << 19, 1 << 16), (0, 1 << 19, 1 << 16), (1 << 27, 60, 900), (0, 60, 900)):
+        for name, value in (("KEPT_CELLS", kept), ("ENTRIES", entries), ("STRIPE", stripe)):
+            monkeypatch.setattr(T, name, value)
+        block = T.Block(bins, np.arange(n), np.zeros(n), np.zeros(n, bool), cells)
+        for many, all_ in ((0, 0), (0, 1 << 60), (300, 0), (1 << 60, 0)):  # by parts, by patterns, both with rows, by rows
+            block.many, block.all = many, all_
+            assert (block.sums(nodes, weights) == want).all()
+            assert (block.sums(nodes[:1], weights, want[-1, 0]) == want[:, :1]).all()
+        assert all((block.goes_left(nodes[1], f, 1) == (bins[nodes[1], f] <= 1)).all() for f in range(len(sizes)))
+
+
 def test_binary_gradients_are_slopes_of_the_loss():
     p = BoostParams(binary=True)
     y, margin, step = np.array([0.0, 1.0, 3.0, 0.0]), np.array([0.3, -1.2, 2.0, -4.0]), 1e-4
